@@ -116,7 +116,7 @@ VIEWS: dict[str, str] = {
     "v_results": """
         SELECT game_id, season, date, gameweek, opponent, venue_type, goals_for, goals_against, result,
                CAST(SUM(CASE result WHEN 'W' THEN 3 WHEN 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY season ORDER BY date) AS BIGINT) AS cumulative_points,
-               ROW_NUMBER() OVER (PARTITION BY season ORDER BY date, SUBSTR(MD5(game_id), 1, 2), game_id) AS match_number
+               ROW_NUMBER() OVER (PARTITION BY season ORDER BY date, game_id) AS match_number
         FROM v_matches""",
     "v_summary": """
         SELECT season, COUNT(*) AS played, COUNT(*) FILTER (WHERE result = 'W') AS wins,

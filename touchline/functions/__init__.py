@@ -12,11 +12,13 @@ from touchline.functions.numbers import (
 from touchline.functions.seasons import (
     normalize_season,
     recent_season_codes,
+    season_code,
     season_codes,
     season_label,
     season_of_date,
     season_start_year,
     season_to_years,
+    start_year_of,
 )
 from touchline.functions.text import (
     blank_to_null,
@@ -46,6 +48,6 @@ __all__ = [
     "get_url_path", "goals_per_90", "haversine_distance", "name_key", "normalize_season", "normalize_url",
     "parse_age", "parse_fee", "parse_market_value", "portrait_url", "profile_id", "profile_slug",
     "recent_season_codes", "safe_add", "safe_bigint", "safe_divide", "safe_double", "safe_subtract",
-    "season_codes", "season_label", "season_of_date", "season_start_year", "season_to_years", "slugify",
-    "surrogate_key", "to_float", "width_bucket",
+    "season_code", "season_codes", "season_label", "season_of_date", "season_start_year", "season_to_years", "slugify",
+    "start_year_of", "surrogate_key", "to_float", "width_bucket",
 ]

@@ -14,28 +14,28 @@ def _two_digits(year: Column) -> Column:
     return F.lpad((year % 100).cast("string"), 2, "0")
 
 
-def _code(start_year: Column) -> Column:
+def season_code(start_year: Column) -> Column:
     return F.concat(_two_digits(start_year), _two_digits(start_year + 1))
 
 
-def _start_year_of(day: Column) -> Column:
+def start_year_of(day: Column) -> Column:
     return F.year(day) - (F.month(day) < SEASON_START_MONTH).cast("int")
 
 
 def season_of_date(day: Column) -> Column:
-    return _code(_start_year_of(day))
+    return season_code(start_year_of(day))
 
 
 def season_codes(first_year: Column, as_of: Column) -> Column:
     """Array of every code from the season starting in ``first_year`` to the one running at ``as_of``."""
-    last = _start_year_of(as_of)
+    last = start_year_of(as_of)
     years = F.when(first_year.cast("int") <= last, F.sequence(first_year.cast("int"), last))
-    return F.transform(years, _code)
+    return F.transform(years, season_code)
 
 
 def recent_season_codes(as_of: Column, n: int = 10) -> Column:
     """Array of the ``n`` newest codes at ``as_of``, oldest first."""
-    return season_codes(_start_year_of(as_of) - (n - 1), as_of)
+    return season_codes(start_year_of(as_of) - (n - 1), as_of)
 
 
 def season_to_years(season: Column) -> Column:
@@ -62,7 +62,7 @@ def normalize_season(season: Column) -> Column:
                 F.regexp_extract(text, split_years, 2),
             ),
         )
-        .when(text.rlike(r"^20\d{2}$"), _code(text.try_cast("int")))
+        .when(text.rlike(r"^20\d{2}$"), season_code(text.try_cast("int")))
         .otherwise(text)
     )
 

@@ -16,8 +16,8 @@ def graph_players(
     performance: DataFrame, squad_values: DataFrame, portrait_pattern: str = DEFAULTS.portrait_pattern
 ) -> DataFrame:
     """One node per player name, with id, nation, position and photo of the newest squad row."""
-    named = performance.select(blank_to_null(F.col("player")).alias("name")).where(F.col("name").isNotNull())
-    names = named.groupBy(name_key(F.col("name")).alias("_key")).agg(F.min("name").alias("name"))
+    named = performance.select(name_key(F.col("player")).alias("_key"), clean(F.col("player")).alias("name"))
+    names = named.where(F.col("_key") != "").groupBy("_key").agg(F.min("name").alias("name"))
     optional = [c for c in ("nationality_full", "photo_url") if c not in squad_values.columns]
     squad = squad_values.withColumns({c: F.lit(None).cast("string") for c in optional}).select(
         name_key(F.col("player")).alias("_key"), "season", "player_id", "nationality", "nationality_full",
@@ -51,8 +51,11 @@ def graph_seasons(season_summary: DataFrame) -> DataFrame:
 def graph_clubs(transfers: DataFrame) -> DataFrame:
     """One node per club name on either side of a transfer."""
     sides = transfers.select(F.explode(F.array("from_club", "to_club")).alias("club"))
-    clubs = sides.select(blank_to_null(F.col("club")).alias("name")).where(F.col("name").isNotNull())
-    return clubs.groupBy(fingerprint_id(F.col("name")).alias("club_id")).agg(F.min("name").alias("name"))
+    clubs = sides.groupBy("club").agg(F.count("*")).select(
+        name_key(F.col("club")).alias("_key"), clean(F.col("club")).alias("name")
+    )
+    per_key = clubs.where(F.col("_key") != "").groupBy("_key").agg(F.min("name").alias("name"))
+    return per_key.select(fingerprint_id(F.col("_key")).alias("club_id"), "name")
 
 
 def _player_ids(players: DataFrame) -> DataFrame:
@@ -109,17 +112,17 @@ def edge_transferred_to(
     With ``latest_by`` only the first row in that order is kept per player, club and season, as an
     upsert on that key needs.
     """
-    arriving = F.lower(clean(F.col("direction"))) == "in"
-    rows = transfers.where(blank_to_null(F.col("player")).isNotNull()).select(
-        name_key(F.col("player")).alias("_key"),
-        fingerprint_id(F.when(arriving, F.col("from_club")).otherwise(F.col("to_club"))).alias("club_id"),
+    arriving = name_key(F.col("direction")) == "in"
+    club = F.when(arriving, F.col("from_club")).otherwise(F.col("to_club"))
+    rows = transfers.select(
+        name_key(F.col("player")).alias("_key"), name_key(club).alias("_club"),
         "season", "direction", "fee_eur", "fee_text",
-    )
+    ).where(F.col("_key") != "")
     if latest_by:
         # Before the join, so that only one row per key is shuffled to it.
-        rows = first_rows(rows, ["_key", "club_id", "season"], latest_by)
+        rows = first_rows(rows, ["_key", "_club", "season"], latest_by)
     return rows.join(_player_ids(players), "_key").select(
-        "player_id", "club_id", "season", "direction", "fee_eur", "fee_text"
+        "player_id", fingerprint_id(F.col("_club")).alias("club_id"), "season", "direction", "fee_eur", "fee_text"
     )
 
 

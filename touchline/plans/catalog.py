@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from touchline import functions as fn
 from touchline.operators import checks, graph, history, kpis, marts, networks, reads, relations, staging
+from touchline.plans import pipeline
 from touchline.sources import derived, loads, pages, schemas
 from touchline.sources.tables import rebuild_table, scan_table, write_mart
 
@@ -96,13 +97,52 @@ class Season:
     def players(self) -> DataFrame:
         return graph.graph_players(self.league, self.squad)
 
+    @cached_property
+    def clubs(self) -> DataFrame:
+        return graph.graph_clubs(self.transfers)
+
     @cached_property
     def seasons(self) -> DataFrame:
         return graph.graph_seasons(self.summary)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        return history.value_history_scd2(
+            None, self.squad.limit(0), self.squad, F.lit(dt.date(2024, 1, 1))
+        )
+
+
+class Network(Season):
+    """The same, with the tables the graph is built on and its nodes and edges written once.
+
+    A network query reads each of them several times; unwritten, every use would scan and group the
+    line items again.
+    """
+
+    @cached_property
+    def folder(self) -> str:
+        return work_dir(self.spark, "graph")
+
+    def written(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        rebuild_table(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def league(self) -> DataFrame:
+        return self.written("performance", super().league)
+
+    @cached_property
+    def squad(self) -> DataFrame:
+        return self.written("squad_values", super().squad)
+
+    @cached_property
+    def players(self) -> DataFrame:
+        return self.written("players", super().players)
+
     @cached_property
     def clubs(self) -> DataFrame:
-        return graph.graph_clubs(self.transfers)
+        return self.written("clubs", super().clubs)
 
     @cached_property
     def played_in(self) -> DataFrame:
@@ -110,12 +150,12 @@ class Season:
 
     @cached_property
     def played_with(self) -> DataFrame:
-        return graph.edge_played_with(self.league, self.players, squad=("season", "team"))
+        edges = graph.edge_played_with(self.league, self.players, squad=("season", "team"))
+        return self.written("played_with", edges)
 
     @cached_property
     def moved(self) -> DataFrame:
-        order = [F.col("fee_eur").desc_nulls_last(), F.col("fee_text"), F.col("direction")]
-        return graph.edge_transferred_to(self.transfers, self.players, latest_by=order)
+        return self.written("transferred_to", _transferred_to(self))
 
     @cached_property
     def graph(self) -> graph.PropertyGraph:
@@ -133,6 +173,11 @@ class Season:
         )
         return nodes, edges
 
+    @cached_property
+    def written_transfer_network(self) -> tuple[DataFrame, DataFrame]:
+        nodes, edges = self.transfer_network
+        return self.written("nodes", nodes), self.written("edges", edges)
+
     @cached_property
     def squad_network(self) -> tuple[DataFrame, DataFrame]:
         return (
@@ -140,15 +185,14 @@ class Season:
             networks.squad_edges_season(self.played_with, self.players, self.league, SEASON),
         )
 
-    @cached_property
-    def history(self) -> DataFrame:
-        return history.value_history_scd2(
-            None, self.squad.limit(0), self.squad, F.lit(dt.date(2024, 1, 1))
-        )
 
+def _transferred_to(t: Season) -> DataFrame:
+    order = [F.col("fee_eur").desc_nulls_last(), F.col("fee_text"), F.col("direction")]
+    return graph.edge_transferred_to(t.transfers, t.players, latest_by=order)
 
-def _on(build: Callable[[Season], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Season(spark, sf_dir))
+
+def _on(kind: type[Season], build: Callable[[Season], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(kind(spark, sf_dir))
 
 
 # -- sources and loads ----------------------------------------------------------------------------
@@ -306,30 +350,33 @@ STAGES: dict[str, Callable[[Season], DataFrame]] = {
 # -- graph ----------------------------------------------------------------------------------------
 
 
-def _search(t: Season, part: int) -> DataFrame:
-    nodes, edges = t.transfer_network
+def _search(t: Network, part: int) -> DataFrame:
+    nodes, edges = t.written_transfer_network
     return networks.search_subgraph(nodes, edges, player="player 11", club="CLUB_33", season="99/00")[part]
 
 
-def _position(t: Season, part: int) -> DataFrame:
+def _position(t: Network, part: int) -> DataFrame:
     return networks.filter_by_position(*t.squad_network, "back")[part]
 
 
-def _match_edges(t: Season) -> DataFrame:
+def _match_edges(t: Network) -> DataFrame:
     hops = graph.match_edges(t.graph, "TransferredTo", where=F.col("a_position").startswith("Left"))
     return hops.select("a_name", "b_name", "season", "direction", "fee_eur")
 
 
-GRAPH: dict[str, Callable[[Season], DataFrame]] = {
+TABLES: dict[str, Callable[[Season], DataFrame]] = {
     "graph_players": lambda t: t.players,
     "graph_seasons": lambda t: t.seasons,
     "graph_clubs": lambda t: t.clubs,
-    "edge_played_in": lambda t: t.played_in,
-    "edge_played_with": lambda t: t.played_with,
-    "edge_transferred_to": lambda t: t.moved,
+    "edge_played_in": lambda t: graph.edge_played_in(t.league, t.players),
+    "edge_played_with": lambda t: graph.edge_played_with(t.league, t.players, squad=("season", "team")),
+    "edge_transferred_to": _transferred_to,
+    "latest_nonempty_position": lambda t: networks.latest_nonempty_position(t.squad),
+}
+
+GRAPH: dict[str, Callable[[Network], DataFrame]] = {
     "property_graph": lambda t: graph.graph_problems(t.graph),
     "match_edges": _match_edges,
-    "latest_nonempty_position": lambda t: networks.latest_nonempty_position(t.squad),
     "partnerships": lambda t: networks.partnerships(t.graph, " PLAYER 6", 12),
     "squad_nodes_season": lambda t: t.squad_network[0],
     "squad_nodes_all": lambda t: networks.squad_nodes_all(t.league, t.squad, t.players),
@@ -350,7 +397,7 @@ GRAPH: dict[str, Callable[[Season], DataFrame]] = {
     "search_subgraph_nodes": lambda t: _search(t, 0),
     "filter_by_position": lambda t: _position(t, 1),
     "filter_by_position_nodes": lambda t: _position(t, 0),
-    "neighbours": lambda t: networks.neighbours(t.transfer_network[1], "Player 6"),
+    "neighbours": lambda t: networks.neighbours(t.written_transfer_network[1], "Player 6"),
     "unknown_position_count": lambda t: networks.unknown_position_count(t.squad_network[0]),
 }
 
@@ -600,8 +647,13 @@ def _freshness(t: Season) -> DataFrame:
 
 
 def contract(t: Season) -> list[checks.Check]:
-    """The checks the marts are held to."""
-    perf, results, summary = t.performance, t.results, t.summary
+    """The checks the marts are held to. The marts are written first, as several checks read each."""
+    inputs = {"raw_matches": t.raw_matches, "raw_player_stats": t.raw_stats, "squad_values": t.squad,
+              "transfers": t.transfers}
+    marts_only = {n: s for n, s in pipeline.STEPS.items() if not n.startswith(("graph_", "edge_"))}
+    m = pipeline.write_all(t.spark, inputs, work_dir(t.spark, "marts"), marts_only)
+    perf, results, summary = m["player_performance"], m["match_results"], m["season_summary"]
+    values = m["player_values"]
 
     def not_null(table: str, df: DataFrame, *cols: str) -> list[checks.Check]:
         return [checks.Check(f"not_null_{c}", table, df, lambda d, c=c: checks.check_not_null(d, c)) for c in cols]
@@ -634,11 +686,11 @@ def contract(t: Season) -> list[checks.Check]:
         checks.Check("unique_season", "season_summary", summary, lambda d: checks.check_unique(d, "season"),
                      warn_when_empty=True),
         in_range("season_summary", summary, "points", 120),
-        checks.Check("unique_season", "squad_value", t.squad_value, lambda d: checks.check_unique(d, "season"),
+        checks.Check("unique_season", "squad_value", m["squad_value"], lambda d: checks.check_unique(d, "season"),
                      warn_when_empty=True),
-        checks.Check("unique_season", "transfer_balance", t.balance, lambda d: checks.check_unique(d, "season")),
-        *not_null("player_values", t.player_values, "season", "player"),
-        one_per("player_values", t.player_values, "season", "player"),
+        checks.Check("unique_season", "transfer_balance", m["transfer_balance"], lambda d: checks.check_unique(d, "season")),
+        *not_null("player_values", values, "season", "player"),
+        one_per("player_values", values, "season", "player"),
         checks.Check(
             "same_squads", "squad_values", t.squad,
             lambda d: checks.check_equality(d, t.fixture("squad_values_new"), ["season", "player", "market_value_eur"]),
@@ -812,7 +864,10 @@ RELATIONS: dict[str, Callable[[Season], DataFrame]] = {
 }
 
 QUERIES: dict[str, Query] = {
-    name: _on(build)
-    for group in (LOADS, STAGES, GRAPH, READS, REPORTS, COLUMNS, CHECKS, RELATIONS)
+    name: _on(kind, build)
+    for kind, group in (
+        (Season, LOADS), (Season, STAGES), (Season, TABLES), (Network, GRAPH), (Season, READS), (Season, REPORTS),
+        (Season, COLUMNS), (Season, CHECKS), (Season, RELATIONS),
+    )
     for name, build in group.items()
 }

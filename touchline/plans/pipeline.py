@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,14 +50,13 @@ def write_all(
     spark: SparkSession,
     inputs: Mapping[str, DataFrame],
     root: str,
-    only: Sequence[str] | None = None,
     steps: Mapping[str, Step] = STEPS,
 ) -> dict[str, DataFrame]:
     """Write the marts in order; a later table reads the written one, not its plan."""
     tables = dict(inputs)
     for name, step in steps.items():
         tables[name] = step.build(*[tables[i] for i in step.inputs])
-        if step.written and (only is None or name in only):
+        if step.written:
             path = f"{root.rstrip('/')}/{name}"
             schema = tables[name].schema
             write_mart(tables[name], path, step.partition_by, step.cluster_by)

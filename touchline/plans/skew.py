@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,13 +20,8 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: i
 
 
 def hash_slot(*cols: Column) -> Column:
-    """One of 256 slots, the first two hex digits of an MD5; the same in any SQL engine."""
-    return F.substring(F.md5(F.concat_ws("|", *[c.cast("string") for c in cols])), 1, 2)
-
-
-def same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """Join condition on columns where NULL equals NULL."""
-    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in cols])
+    """One of 4096 slots."""
+    return F.hex(F.pmod(F.xxhash64(*cols), F.lit(4096)))
 
 
 def order_slots(df: DataFrame, col: str, out: str = "_slot") -> DataFrame:

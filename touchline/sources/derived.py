@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions import season_of_date
+from touchline.functions import season_code, season_of_date, start_year_of
 from touchline.sources.tables import scan_table
 
 # Players per club in the league-wide stats.
@@ -45,15 +45,18 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _player_seasons(spark: SparkSession, sf_dir: str, *extra: str):
-    lines = scan_table(spark, sf_dir, "lineitem").withColumn("season", season_of_date(F.col("l_shipdate")))
-    return lines.groupBy("season", "l_suppkey", *extra)
+def _player_seasons(spark: SparkSession, sf_dir: str, extra: list[str], *aggs: Column) -> DataFrame:
+    """Aggregates per season and supplier; grouped by the start year, so the code is made once per group."""
+    lines = scan_table(spark, sf_dir, "lineitem").withColumn("_year", start_year_of(F.col("l_shipdate")))
+    totals = lines.groupBy("_year", "l_suppkey", *extra).agg(*aggs)
+    return totals.withColumn("season", season_code(F.col("_year"))).drop("_year")
 
 
 def raw_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stats as text. ``team`` keeps most players in the focal team, ``club`` makes squads of fixed size."""
     s = F.col("l_suppkey")
-    totals = _player_seasons(spark, sf_dir).agg(
+    totals = _player_seasons(
+        spark, sf_dir, [],
         F.count("*").alias("n"),
         _count_where(F.col("l_returnflag") == "R").alias("goals"),
         _count_where(F.col("l_returnflag") == "A").alias("assists"),
@@ -86,7 +89,8 @@ def raw_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def squad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("l_suppkey")
-    totals = _player_seasons(spark, sf_dir).agg(
+    totals = _player_seasons(
+        spark, sf_dir, [],
         F.sum(F.floor("l_extendedprice")).alias("value"), F.max("l_shipdate").alias("scraped_at")
     )
     nation = F.concat(F.lit("NATION_"), _text(s % 25))
@@ -188,7 +192,8 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three per-season stat tables as read from pages; shooting has two rows per player."""
     s, n = F.col("l_suppkey"), F.col("n")
     name = F.concat(F.lit("Player "), _text(s))
-    standard = _player_seasons(spark, sf_dir).agg(
+    standard = _player_seasons(
+        spark, sf_dir, [],
         F.count("*").alias("n"),
         _count_where(F.col("l_returnflag") == "R").alias("goals"),
         _count_where(F.col("l_quantity") == 50).alias("red"),
@@ -201,14 +206,14 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _text(n % 7).alias("Performance_CrdY"),
         _text(F.col("red")).alias("Performance_CrdR"),
     )
-    shooting = _player_seasons(spark, sf_dir, "l_linestatus").agg(F.count("*").alias("n")).select(
+    shooting = _player_seasons(spark, sf_dir, ["l_linestatus"], F.count("*").alias("n")).select(
         "season",
         F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("row_no"),
         name.alias("Player"),
         _text(n).alias("Standard_Sh"),
         F.when(s % 4 == 0, None).otherwise(_text(F.floor(n / 2))).alias("Standard_SoT"),
     )
-    misc = _player_seasons(spark, sf_dir).agg(F.count("*").alias("n")).where(s % 3 != 1).select(
+    misc = _player_seasons(spark, sf_dir, [], F.count("*").alias("n")).where(s % 3 != 1).select(
         "season", F.lit(0).alias("row_no"), name.alias("Player"),
         _text(n % 11).alias("Performance_TklW"), _text(n % 13).alias("Performance_Int"),
         _text(n % 3).alias("Performance_Fls"), _text(n % 5).alias("Performance_Fld"),
@@ -277,7 +282,8 @@ def _squad_no(c: Column) -> Column:
 
 def standard_stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stat pages per season and squad, every other one with its table inside a comment."""
-    totals = _player_seasons(spark, sf_dir).agg(
+    totals = _player_seasons(
+        spark, sf_dir, [],
         F.count("*").alias("n"), _count_where(F.col("l_returnflag") == "R").alias("goals")
     ).withColumn("squad_no", _squad_no(F.col("l_suppkey")))
     name = F.concat(F.lit("Player "), _text(F.col("l_suppkey")))
@@ -296,7 +302,7 @@ def standard_stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def squad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squad pages per season and squad, rows of nine cells with photo, flag and profile link."""
     s = F.col("l_suppkey")
-    totals = _player_seasons(spark, sf_dir).agg(F.sum(F.floor("l_extendedprice")).alias("value")).withColumn(
+    totals = _player_seasons(spark, sf_dir, [], F.sum(F.floor("l_extendedprice")).alias("value")).withColumn(
         "squad_no", _squad_no(s)
     )
     photo = F.concat(F.lit('<img data-src="/img/'), _text(s), F.lit('.png" src="x.gif">'))

@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
+import re
+from functools import cached_property
+from html import unescape
+
+TOKEN = re.compile(
+    r"<!--(?P<comment>.*?)-->"
+    r"|<(?P<raw>script|style)\b(?P<raw_attrs>[^>]*)>(?P<raw_text>.*?)</(?P=raw)\s*>"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|(?P<text>[^<]+|<)",
+    re.S | re.I,
+)
+ATTR = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-# Opening one of these ends an open sibling of the listed kinds.
+# Opening one of these ends an open element of the listed kinds.
 ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th")}
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    def __init__(self, tag: str, source: str = "", parent: Element | None = None):
+        self.tag, self.source, self.parent, self.children = tag, source, parent, []
 
-    def __init__(self, tag, attrs=(), parent=None):
-        self.tag, self.attrs, self.children, self.parent = tag, dict(attrs), [], parent
+    @cached_property
+    def attrs(self) -> dict[str, str]:
+        return {k.lower(): unescape(v.strip("\"'")) for k, v in ATTR.findall(self.source)}
 
     def walk(self):
         for child in self.children:
@@ -21,56 +33,52 @@ class Element:
                 yield child
                 yield from child.walk()
 
-    def all(self, tag, cls=()):
+    def all(self, tag: str, classes=()):
         for e in self.walk():
-            if e.tag == tag and (not cls or set(cls) & set((e.attrs.get("class") or "").split())):
+            if e.tag == tag and (not classes or not set(classes).isdisjoint(e.attrs.get("class", "").split())):
                 yield e
 
-    def first(self, tag, cls=(), **attrs):
-        for e in self.all(tag, cls):
+    def first(self, tag: str, classes=(), **attrs: str) -> Element | None:
+        for e in self.all(tag, classes):
             if all(e.attrs.get(k) == v for k, v in attrs.items()):
                 return e
         return None
 
-    def text(self, joiner=""):
+    def text(self, joiner: str = "") -> str:
+        """All text below, stripped; with a joiner every piece is stripped before joining."""
         parts = []
         for child in self.children:
-            parts.append(child.text(joiner) if isinstance(child, Element) else child.strip() if joiner else child)
-        return joiner.join(p for p in parts if p).strip()
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Element("#root")
-        self.comments = []
-
-    def handle_starttag(self, tag, attrs):
-        open_tags = ENDS.get(tag, ())
-        while self.at.tag in open_tags:
-            self.at = self.at.parent
-        element = Element(tag, attrs, self.at)
-        self.at.children.append(element)
-        if tag not in VOID:
-            self.at = element
-
-    def handle_endtag(self, tag):
-        e = self.at
-        while e is not None and e.tag != tag:
-            e = e.parent
-        if e is not None and e.parent is not None:
-            self.at = e.parent
-
-    def handle_data(self, data):
-        self.at.children.append(data)
-
-    def handle_comment(self, data):
-        self.comments.append(data)
+            part = child.text(joiner) if isinstance(child, Element) else child.strip() if joiner else child
+            if part:
+                parts.append(part)
+        return joiner.join(parts).strip()
 
 
-def parse(html: str) -> tuple[Element, list[str]]:
+def parse(html: str | None) -> tuple[Element, list[str]]:
     """The element tree of a page, and the text of its comments."""
-    builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root, builder.comments
+    root = at = Element("#root")
+    comments = []
+    for m in TOKEN.finditer(html or ""):
+        kind, tag = m.lastgroup, (m["tag"] or "").lower()
+        if m["text"] is not None:
+            at.children.append(unescape(m["text"]))
+        elif kind == "comment":
+            comments.append(m["comment"])
+        elif m["raw"]:
+            raw = Element(m["raw"].lower(), m["raw_attrs"], at)
+            raw.children.append(m["raw_text"])
+            at.children.append(raw)
+        elif m["end"]:
+            e = at
+            while e is not None and e.tag != tag:
+                e = e.parent
+            if e is not None:
+                at = e.parent
+        else:
+            while at.tag in ENDS.get(tag, ()):
+                at = at.parent
+            element = Element(tag, m["attrs"], at)
+            at.children.append(element)
+            if tag not in VOID:
+                at = element
+    return root, comments
