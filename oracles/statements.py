@@ -21,8 +21,8 @@ def money(text: str) -> str:
 
 
 def rounded(x: str) -> str:
-    """Two digits by the exact value of the double: ROUND scales it first, which lifts values just below a half."""
-    return f"CASE WHEN {x} * 8 = FLOOR({x} * 8) THEN ROUND({x}, 2) ELSE CAST(PRINTF('%.2f', {x}) AS DOUBLE) END"
+    """Two digits, half up on the shortest decimal text of the double, as Spark's ROUND does."""
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)"
 
 
 NO_FEE = "(LOWER(fee_text) LIKE '%free%' OR LOWER(fee_text) LIKE '%loan%' OR LOWER(fee_text) LIKE '%draft%' OR fee_text LIKE '%-%')"
@@ -101,7 +101,7 @@ LOADS = {
           SELECT COALESCE(l.season, b.season) AS season, CASE WHEN b.season IS NULL THEN 1 ELSE b.m END AS matches_count,
                  CASE WHEN b.season IS NULL THEN 25 ELSE b.p END AS players_count,
                  CASE WHEN b.season IS NULL THEN l.is_complete ELSE b.season <> '0102' END AS is_complete,
-                 CASE WHEN b.season IS NULL THEN TIMESTAMP '2023-01-01' ELSE TIMESTAMP '2024-01-31' END AS scraped_at
+                 CASE WHEN b.season IS NULL THEN DATE '2023-01-01' ELSE DATE '2024-01-31' END AS scraped_at
           FROM (SELECT * FROM v_ledger WHERE season < '9900') l FULL JOIN
                (SELECT season, CAST(SUM(m) AS BIGINT) AS m, CAST(SUM(p) AS BIGINT) AS p FROM (
                   SELECT season, 1 AS m, 0 AS p FROM v_raw_matches WHERE season >= '9798' UNION ALL
@@ -310,8 +310,8 @@ COLUMNS = {
     "parse_market_value": f"SELECT p_partkey, {money('fee_text')} AS value_eur FROM v_texts",
     "parse_fee": f"SELECT p_partkey, CASE WHEN {NO_FEE} THEN 0 ELSE {money('fee_text')} END AS fee_eur, fee_text FROM v_texts",
     "parse_age": "SELECT season, player, age FROM v_squad",
-    "profile_slug": """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'a-b' WHEN 1 THEN 'some-one' WHEN 2 THEN 'spieler' WHEN 3 THEN 'team' ELSE '' END AS profile_slug,
-          CASE WHEN p_partkey % 5 < 4 THEN CAST(p_partkey AS VARCHAR) ELSE '' END AS profile_id FROM part""",
+    "profile_slug": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'a-b' WHEN 1 THEN 'some-one' WHEN 2 THEN 'spieler' WHEN 3 THEN 'team' ELSE '' END AS profile_slug FROM part",
+    "profile_id": "SELECT p_partkey, CASE WHEN p_partkey % 5 < 4 THEN CAST(p_partkey AS VARCHAR) ELSE '' END AS profile_id FROM part",
     "normalize_url": """SELECT season, player, CASE WHEN photo_url LIKE '//%' THEN 'https:' || photo_url WHEN photo_url LIKE '/%' THEN 'https://site.example.com' || photo_url ELSE photo_url END AS url FROM v_squad""",
     "portrait_url": "SELECT season, player, CASE player_id WHEN '' THEN '' ELSE 'https://img.example.com/portrait/header/' || player_id || '.jpg' END AS url FROM v_squad",
     "first_srcset_url": """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'https://site.example.com/i/' || CAST(p_partkey AS VARCHAR) || '.jpg'
@@ -351,8 +351,8 @@ CHECKS = {
           CASE WHEN a.c > b.c THEN a.c - b.c WHEN a.c = b.c THEN 1 ELSE 0 END AS row_count_delta FROM {NATION_COUNTS}""",
     "check_equality": f"SELECT * FROM {SQUAD_DIFF}",
     "check_equality_precision": """SELECT which_diff, l_suppkey, CAST(rate AS DOUBLE) AS rate FROM (
-          SELECT 'a_minus_b' AS which_diff, * FROM (SELECT l_suppkey, ROUND(CAST(l_discount AS DECIMAL(28,9)), 1) AS rate FROM lineitem EXCEPT SELECT l_suppkey, ROUND(CAST(l_tax AS DECIMAL(28,9)), 1) FROM lineitem)
-          UNION ALL SELECT 'b_minus_a', * FROM (SELECT l_suppkey, ROUND(CAST(l_tax AS DECIMAL(28,9)), 1) FROM lineitem EXCEPT SELECT l_suppkey, ROUND(CAST(l_discount AS DECIMAL(28,9)), 1) FROM lineitem))""",
+          SELECT 'a_minus_b' AS which_diff, * FROM (SELECT l_suppkey, ROUND(CAST(l_discount AS DECIMAL(28,9)), 2) AS rate FROM lineitem EXCEPT SELECT l_suppkey, ROUND(CAST(l_tax AS DECIMAL(28,9)), 2) FROM lineitem)
+          UNION ALL SELECT 'b_minus_a', * FROM (SELECT l_suppkey, ROUND(CAST(l_tax AS DECIMAL(28,9)), 2) FROM lineitem EXCEPT SELECT l_suppkey, ROUND(CAST(l_discount AS DECIMAL(28,9)), 2) FROM lineitem))""",
     "check_expression": "SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem WHERE l_quantity >= 30 AND l_discount <= 0.02",
     "check_ranges_exclusive": """SELECT low AS lower_bound, high AS upper_bound, nxt AS next_lower_bound, nxt IS NULL AS is_last_record, low < high AS bounds_in_order, COALESCE(high <= nxt, TRUE) AS ends_before_next
         FROM (SELECT o_orderkey AS low, o_orderkey + o_custkey % 3 AS high, LEAD(o_orderkey) OVER (ORDER BY o_orderkey) AS nxt FROM orders) WHERE NOT (low < high AND COALESCE(high <= nxt, TRUE))""",

@@ -134,7 +134,7 @@ def check_equality(
 
     def cells(side: DataFrame) -> DataFrame:
         def cell(c: str) -> Column:
-            if precision is not None and isinstance(side.schema[c].dataType, T.NumericType):
+            if precision is not None and isinstance(side.schema[c].dataType, T.FractionalType):
                 return F.round(F.col(c).cast("decimal(38,9)"), precision).alias(c)
             return F.col(c)
 

@@ -255,7 +255,7 @@ def _mark_done(t: Season) -> DataFrame:
     return loads.mark_partition_done(
         ledger, t.raw_matches.where("season >= '9798'"), t.raw_stats.where("season >= '9798'"), "0102",
         F.lit(AS_OF).cast("timestamp"),
-    )
+    ).withColumn("scraped_at", F.col("scraped_at").cast("date"))
 
 
 def _coerce(t: Season) -> DataFrame:
@@ -492,9 +492,7 @@ def _links(t: Season) -> DataFrame:
         .when(key % 5 == 3, F.concat(F.lit("/team/"), ident, F.lit("/")))
         .otherwise("single")
     )
-    return t.table("part").select(
-        key, fn.profile_slug(href).alias("profile_slug"), fn.profile_id(href).alias("profile_id")
-    )
+    return t.table("part").select(key, href.alias("href"))
 
 
 def _images(t: Season) -> DataFrame:
@@ -587,7 +585,8 @@ COLUMNS: dict[str, Callable[[Season], DataFrame]] = {
         "p_partkey", "f.*"
     ),
     "parse_age": lambda t: t.squad.select("season", "player", fn.parse_age(F.col("dob")).alias("age")),
-    "profile_slug": _links,
+    "profile_slug": lambda t: _links(t).select("p_partkey", fn.profile_slug(F.col("href")).alias("profile_slug")),
+    "profile_id": lambda t: _links(t).select("p_partkey", fn.profile_id(F.col("href")).alias("profile_id")),
     "normalize_url": lambda t: t.squad.select("season", "player", fn.normalize_url(F.col("photo_url")).alias("url")),
     "portrait_url": lambda t: t.squad.select("season", "player", fn.portrait_url(F.col("player_id")).alias("url")),
     "first_srcset_url": _images,
@@ -738,7 +737,7 @@ CHECKS: dict[str, Callable[[Season], DataFrame]] = {
     ),
     "check_equality_precision": lambda t: checks.check_equality(
         t.table("lineitem").select("l_suppkey", F.col("l_discount").alias("rate")),
-        t.table("lineitem").select("l_suppkey", F.col("l_tax").alias("rate")), precision=1,
+        t.table("lineitem").select("l_suppkey", F.col("l_tax").alias("rate")), precision=2,
     ).select("which_diff", "l_suppkey", F.col("rate").cast("double").alias("rate")),
     "check_expression": lambda t: checks.check_expression(
         t.table("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount"),

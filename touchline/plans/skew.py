@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 # Rows of one group that meet in one task when pairs are built; larger groups are cut into cells.
 CELL_ROWS = 2000
 COPIES_PER_CHUNK = 100_000
+# Cut points are kept by the driver and in every task, so their number has a bound.
+MAX_SLOTS = 4096
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -38,7 +40,7 @@ def order_slots(df: DataFrame, col: str, out: str = "_slot") -> DataFrame:
         value = value.cast("timestamp")
     elif not isinstance(dtype, T.NumericType):
         return df.withColumn(out, F.lit(0.0))
-    slots = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = min(MAX_SLOTS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     numbered = df.withColumn("_pos", value.cast("double"))
     shares = [i / slots for i in range(1, slots)]
     cuts = numbered.approxQuantile("_pos", shares, 1 / (4 * slots))
