@@ -63,15 +63,16 @@ def seasons_list(ledger: DataFrame, default: str = DEFAULTS.default_season) -> D
         F.lit(1).alias("_rank"),
         F.col("season").alias("_raw"),
     )
-    extra = ledger.sparkSession.range(1).select(
-        normalize_season(F.lit(default)).alias("season"),
+    code = normalize_season(F.lit(default))
+    absent = known.agg(F.count_if(F.col("season") == code).alias("n")).where("n = 0")
+    added = absent.select(
+        code.alias("season"),
         F.lit(False).alias("is_complete"),
         F.lit(None).cast("bigint").alias("matches"),
         F.lit(0).alias("_rank"),
         F.lit(None).cast("string").alias("_raw"),
     )
-    added = extra.join(known.select("season"), "season", "left_anti")
-    every = known.unionByName(added.select(*known.columns))
+    every = known.unionByName(added)
     return every.orderBy("_rank", F.col("_raw").desc()).select(
         "season", season_label(F.col("season")).alias("label"), "is_complete", "matches"
     )

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from touchline.functions import blank_to_null, safe_double
 from touchline.plans.skew import first_rows
-from touchline.sources.tables import write_mart
+from touchline.sources.tables import rebuild_table, write_mart
 
 # Longest texts the run log keeps.
 RUN_TEXT_LIMITS = {"pipeline": 64, "season": 16, "status": 32, "error_msg": 8192}
@@ -157,16 +157,8 @@ def upsert_path(
         wanted = wanted | F.col(partition_by).isNull()
     staging = f"{path.rstrip('/')}__merge_{uuid.uuid4().hex}"
     merged = merge_upsert(target.where(wanted), batch, keys, order_by=order_by)
-    write_mart(merged, staging, [partition_by], cluster_by)
+    rebuild_table(merged, staging)
     ready = spark.read.schema(batch.schema).parquet(staging)
-    layout = [partition_by, *cluster_by]
-    (
-        ready.repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    write_mart(ready, path, [partition_by], cluster_by, touched_only=True)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(staging)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

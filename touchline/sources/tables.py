@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scan_table(spark: SparkSession, root: str, name: str, limit: int | None = None) -> DataFrame:
@@ -18,17 +19,24 @@ def rebuild_table(df: DataFrame, path: str) -> None:
 
 
 def write_mart(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    touched_only: bool = False,
 ) -> None:
-    """Replace a mart, laid out by partition columns and sorted by clustering columns within files.
+    """Write a mart, laid out by partition columns and sorted by clustering columns within files.
 
-    Range partitioning on both sets splits a hot partition value over several tasks and files, and
-    gives files narrow min/max ranges on the clustering columns for scans to skip by.
+    Rebalancing brings a partition value's rows together without a sampling pass; a value with many
+    rows is split by size over several tasks and files, and small ones share a task. With
+    ``touched_only`` only the partitions that occur in ``df`` are replaced, else the whole table.
     """
     layout = [*partition_by, *cluster_by]
     if layout:
-        df = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        together = [F.col(c) for c in partition_by or cluster_by]
+        df = df.hint("rebalance", *together).sortWithinPartitions(*layout)
+    mode = "dynamic" if touched_only else "static"
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
