@@ -39,7 +39,7 @@ class Season:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return scan_table(self.spark, self.sf_dir, name)
+        return derived.given_table(self.spark, self.sf_dir, name)
 
     def fixture(self, name: str) -> DataFrame:
         return getattr(derived, name)(self.spark, self.sf_dir)
@@ -270,7 +270,7 @@ def _align(t: Season) -> DataFrame:
 
 
 LOADS: dict[str, Callable[[Season], DataFrame]] = {
-    "scan_table": lambda t: t.table("customer"),
+    "scan_table": lambda t: scan_table(t.spark, t.sf_dir, "customer"),
     "replace_partitions": _replace_partitions,
     "merge_upsert": _merge_upsert,
     "replace_by_id": _replace_by_id,

@@ -9,12 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions import season_code, season_of_date, start_year_of
 from touchline.sources.tables import scan_table
 
 # Players per club in the league-wide stats.
 SQUAD_SIZE = 25
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
+def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. These do not change, so each one's schema is read once."""
+    key = (sf_dir, name)
+    if key not in _schemas:
+        _schemas[key] = scan_table(spark, sf_dir, name).schema
+    return scan_table(spark, sf_dir, name, schema=_schemas[key])
 
 
 def _text(c: Column) -> Column:
@@ -30,7 +40,7 @@ def _opponent(custkey: Column) -> Column:
 
 
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, k, c = scan_table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    o, k, c = given_table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
     home, foreign = k % 2 == 0, k % 10 == 9
     return o.select(
         _text(k).alias("game_id"),
@@ -47,7 +57,7 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _player_seasons(spark: SparkSession, sf_dir: str, extra: list[str], *aggs: Column) -> DataFrame:
     """Aggregates per season and supplier; grouped by the start year, so the code is made once per group."""
-    lines = scan_table(spark, sf_dir, "lineitem").withColumn("_year", start_year_of(F.col("l_shipdate")))
+    lines = given_table(spark, sf_dir, "lineitem").withColumn("_year", start_year_of(F.col("l_shipdate")))
     totals = lines.groupBy("_year", "l_suppkey", *extra).agg(*aggs)
     return totals.withColumn("season", season_code(F.col("_year"))).drop("_year")
 
@@ -127,7 +137,7 @@ def squad_values_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = scan_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
+    lines = given_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
     arrival = F.col("l_returnflag") == "A"
     kind = F.col("l_linenumber") % 5
     other = F.concat(F.lit("CLUB_"), _text(F.col("l_partkey") % 40))
@@ -159,7 +169,7 @@ def season_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the fixture pages, all text."""
-    o, k, c = scan_table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    o, k, c = given_table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
     cup = k % 9 == 0
     return o.select(
         season_of_date(F.col("o_orderdate")).alias("season"),
@@ -176,7 +186,7 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def value_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, k = scan_table(spark, sf_dir, "part"), F.col("p_partkey")
+    p, k = given_table(spark, sf_dir, "part"), F.col("p_partkey")
     kind = k % 7
     return p.select(
         k,
@@ -224,7 +234,7 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def player_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cached profiles, one per supplier, with the value points as JSON text."""
-    sup, s = scan_table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    sup, s = given_table(spark, sf_dir, "supplier"), F.col("s_suppkey")
     bal = F.floor("s_acctbal")
 
     def point(x: int, y: Column) -> Column:
@@ -250,7 +260,7 @@ def player_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run log events: a start per user and day, and a finish for days with a purchase or an error."""
-    e = scan_table(spark, sf_dir, "events")
+    e = given_table(spark, sf_dir, "events")
     kind = F.col("event_type")
     return e.where(kind.isin("signup", "purchase", "error")).select(
         F.concat_ws("-", "user_id", F.col("ts").cast("date").cast("string")).alias("run_id"),
