@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from touchline.llm.fmindex import op9_fm_decontamination
 from touchline.llm.secrets import op8_secret_ledger
+from touchline.llm.warc import op1_warc_roundtrip
 
 QUERIES = {
+    "op1_warc_roundtrip": op1_warc_roundtrip,
     "op8_secret_ledger": op8_secret_ledger,
+    "op9_fm_decontamination": op9_fm_decontamination,
 }
 SQL: dict[str, str] = {}
