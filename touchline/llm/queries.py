@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from touchline.llm.fmindex import op9_fm_decontamination
+from touchline.llm.jaccard import op7_jaccard_join
 from touchline.llm.secrets import op8_secret_ledger
+from touchline.llm.substrings import op5_substring_dedup
 from touchline.llm.warc import op1_warc_roundtrip
 
 QUERIES = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_secret_ledger": op8_secret_ledger,
     "op9_fm_decontamination": op9_fm_decontamination,
 }
