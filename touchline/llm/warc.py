@@ -32,6 +32,7 @@ MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 16 << 20
 READ_BYTES = 1 << 20
+SLICE_ROWS = 256
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -116,22 +117,21 @@ def write_archives(
     def write(batches: Iterator[pa.RecordBatch]):
         name = f"part-{TaskContext.get().partitionId():05d}"
         writer, count = ArchiveWriter(folder, name, file_bytes), 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                body = row["payload"]
-                fields = {
-                    "WARC-Target-URI": re.sub(r"[\r\n]+", " ", row["url"]) if row["url"] is not None else None,
-                    "X-Row-Id": row["key"],
-                    "WARC-Payload-Digest": f"sha1:{sha1_base32(body)}",
-                    "X-Payload-Length": len(body),
-                }
-                if row["original"] is None:
-                    data = record("response", fields | {"Content-Type": "text/html; charset=utf-8"}, body)
-                else:
-                    fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-                    data = record("revisit", fields | {"X-Refers-To-Row": row["original"]}, b"")
-                writer.add(gzip_member(data))
-                count += 1
+        for row in (r for b in batches for i in range(0, b.num_rows, SLICE_ROWS) for r in b.slice(i, SLICE_ROWS).to_pylist()):
+            body = row["payload"]
+            fields = {
+                "WARC-Target-URI": re.sub(r"[\r\n]+", " ", row["url"]) if row["url"] is not None else None,
+                "X-Row-Id": row["key"],
+                "WARC-Payload-Digest": f"sha1:{sha1_base32(body)}",
+                "X-Payload-Length": len(body),
+            }
+            if row["original"] is None:
+                data = record("response", fields | {"Content-Type": "text/html; charset=utf-8"}, body)
+            else:
+                fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+                data = record("revisit", fields | {"X-Refers-To-Row": row["original"]}, b"")
+            writer.add(gzip_member(data))
+            count += 1
         writer.close()
         if count:
             yield pa.RecordBatch.from_pydict({"name": [name], "records": [count]})
