@@ -6,10 +6,12 @@ from touchline.llm.fmindex import op9_fm_decontamination
 from touchline.llm.jaccard import op7_jaccard_join
 from touchline.llm.secrets import op8_secret_ledger
 from touchline.llm.substrings import op5_substring_dedup
+from touchline.llm.tokens import op3_wavelet_tokens
 from touchline.llm.warc import op1_warc_roundtrip
 
 QUERIES = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
+    "op3_wavelet_tokens": op3_wavelet_tokens,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_secret_ledger": op8_secret_ledger,
