@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from touchline.llm.fmindex import op9_fm_decontamination
 from touchline.llm.jaccard import op7_jaccard_join
+from touchline.llm.quality import op10_rule_quality
 from touchline.llm.secrets import op8_secret_ledger
 from touchline.llm.substrings import op5_substring_dedup
 from touchline.llm.tokens import op3_wavelet_tokens
@@ -16,5 +17,6 @@ QUERIES = {
     "op7_jaccard_join": op7_jaccard_join,
     "op8_secret_ledger": op8_secret_ledger,
     "op9_fm_decontamination": op9_fm_decontamination,
+    "op10_rule_quality": op10_rule_quality,
 }
 SQL: dict[str, str] = {}
