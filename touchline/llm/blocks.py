@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 DIGEST = 16
 
@@ -55,23 +56,40 @@ def used(refs: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, bytes]:
 
 
 class Names:
-    """Numbers for digests that arrive in many blocks."""
+    """Numbers, in the order of the names, for digests that arrive in many blocks; kept as one array."""
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+    def __init__(self, blocks: list[bytes]):
+        every = np.frombuffer(b"".join(blocks), f"S{DIGEST}")
+        own, self.inverse = np.unique(every, return_inverse=True)
+        self.inverse = self.inverse.astype(np.int32)
+        self.listed = own.tobytes()
+        self.starts = np.cumsum([0, *(len(b) // DIGEST for b in blocks)])
 
-    def numbers(self, digests: bytes) -> np.ndarray:
-        known = self.known
-        parts = (digests[i : i + DIGEST] for i in range(0, len(digests), DIGEST))
-        return np.fromiter((known.setdefault(d, len(known)) for d in parts), np.int64, len(digests) // DIGEST)
+    def __len__(self) -> int:
+        return len(self.listed) // DIGEST
 
-    def list(self) -> list[bytes]:
-        return list(self.known)
+    def block(self, i: int) -> np.ndarray:
+        """The numbers of the names of block ``i``."""
+        return self.inverse[self.starts[i] : self.starts[i + 1]]
+
+    def __getitem__(self, number: int) -> bytes:
+        return self.listed[number * DIGEST : (number + 1) * DIGEST]
+
+    def array(self) -> np.ndarray:
+        return np.frombuffer(self.listed, f"V{DIGEST}")
+
+
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """Places of the keys that occur more than once, in the order of the keys."""
+    order = np.argsort(keys, kind="stable")
+    new = changes(keys[order])
+    alone = new & np.concatenate([new[1:], np.ones(min(1, len(new)), bool)])
+    return order[~alone]
 
 
 def dealt(blocks: DataFrame, buckets: int) -> DataFrame:
-    """All blocks of a bucket in one task."""
-    return blocks.repartition(buckets, "bucket")
+    """Each bucket in a task of its own."""
+    return blocks.repartitionById(buckets, F.col("bucket"))
 
 
 def concat(parts: list[np.ndarray], kind) -> np.ndarray:

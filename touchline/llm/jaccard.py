@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, rows, slices, used
+from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, repeated, rows, slices, used
 from touchline.llm.common import SPLIT_LOWER, Hasher, chunks_of, components, mix, partitions, rolling, stored
 
 SHINGLE = 5
@@ -186,7 +186,7 @@ def send_signatures(buckets: int):
     return send
 
 
-def _as_groups(bucket: int, listed: list[bytes], owner: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _as_groups(bucket: int, listed: Names, owner: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Star rows (member, leader) and distinct groups, for numbers in the order of the names."""
     if not len(owner):
         return
@@ -199,25 +199,25 @@ def _as_groups(bucket: int, listed: list[bytes], owner: np.ndarray, count: np.nd
     yield from rows(GROUPS, [(bucket, listed[m], None, None, None, None) for m in alone])
     mark = np.add.reduceat(mix(owner.astype(np.uint64) + np.uint64(1)), head)
     _, kept = np.unique(mark + count.astype(np.uint64), return_index=True)
-    joined = np.frombuffer(b"".join(listed), f"V{DIGEST}")
+    joined = listed.array()
     out = [(bucket, None, None, joined[owner[head[k] : head[k] + count[k]]].tobytes(), None, None) for k in kept.tolist()]
     yield from rows(GROUPS, out, 512)
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One task's signature groups, and of the hot ones their members with the number of hot ranges per band."""
-    names, keys, owners, bucket = Names(), [], [], 0
-    for batch in batches:
-        for row in batch.to_pylist():
-            bucket = row["bucket"]
-            key = np.frombuffer(row["keys"], np.uint64)
-            keys.append(key >> np.uint64(REF_BITS))
-            owners.append(names.numbers(row["names"])[(key & np.uint64((1 << REF_BITS) - 1)).astype(np.int64)])
-    listed = names.list()
-    place = np.empty(len(listed), np.int64)
-    place[sorted(range(len(listed)), key=listed.__getitem__)] = np.arange(len(listed))
-    listed.sort()
-    sig, owner = concat(keys, np.uint64), place[concat(owners, np.int64)]
+    blocks = [row for batch in batches for row in batch.to_pylist()]
+    bucket = blocks[0]["bucket"] if blocks else 0
+    listed = Names([row.pop("names") for row in blocks])
+    keys, owners = [], []
+    for i, row in enumerate(blocks):
+        key = np.frombuffer(row.pop("keys"), np.uint64)
+        keys.append(key >> np.uint64(REF_BITS))
+        owners.append(listed.block(i)[(key & np.uint64((1 << REF_BITS) - 1)).astype(np.int32)])
+    sig, owner = concat(keys, np.uint64), concat(owners, np.int32)
+    del keys, owners
+    order = repeated(sig)  # most signatures belong to one set
+    sig, owner = sig[order], owner[order].astype(np.int64)
     order = np.lexsort((owner, sig))
     sig, owner = sig[order], owner[order]
     fresh = changes(sig, owner)
@@ -233,7 +233,7 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = (1 << BAND_BITS) - 1
         out = [(bucket, listed[m >> BAND_BITS], None, None, m & mask, k) for m, k in zip(marked.tolist(), often.tolist(), strict=True)]
         yield from rows(GROUPS, out)
-        joined = np.frombuffer(b"".join(listed), f"V{DIGEST}")
+        joined = listed.array()
         for h, c in zip(head[count > GROUP].tolist(), count[count > GROUP].tolist(), strict=True):
             for i in range(h, h + c, 1 << 16):  # long groups in parts: the signature holds them together
                 part = owner[i : min(i + (1 << 16), h + c)]
@@ -242,8 +242,8 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def of_unsafe(key, hot: pa.Table, unsafe: pa.Table) -> pa.Table:
     """The hot groups of a bucket without the sets that are found elsewhere."""
-    listed = sorted(set(unsafe.column("member").to_pylist()))
-    number = {m: i for i, m in enumerate(listed)}
+    listed = Names(unsafe.column("member").to_pylist())
+    number = {listed[i]: i for i in range(len(listed))}
     keep = set(zip(unsafe.column("member").to_pylist(), unsafe.column("band").to_pylist(), strict=True))
     parts: dict[bytes, list[int]] = {}
     for sig, blob, band in zip(*(hot.column(c).to_pylist() for c in ("sig", "sets", "level")), strict=True):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, expand, grouped_positions, rows, used
+from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, expand, grouped_positions, repeated, rows, used
 from touchline.llm.common import SPLIT_EXACT, Hasher, Words, chunks_of, partitions, rolling, runs_inside, stored
 
 PLACE_BITS = 28  # words of one chunk: a chunk is 2 MB of texts or one text
@@ -106,27 +106,30 @@ def send_anchors(length: int, anchor_words: int, buckets: int):
     return send
 
 
+def _received(batches: Iterator[pa.RecordBatch]) -> tuple[Names, list[dict]]:
+    blocks = [row for batch in batches for row in batch.to_pylist()]
+    return Names([row.pop("names") for row in blocks]), blocks
+
+
 def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors at two places, as places per text."""
-    names, hashes, places, owners = Names(), [], [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            number = names.numbers(row["names"])
-            hashes.append(np.frombuffer(row["hash"], np.uint64))
-            places.append(np.frombuffer(row["place"], np.uint32))
-            owners.append(number[np.frombuffer(row["ref"], np.uint32)])
-    yield from _repeated(names, concat(hashes, np.uint64), concat(owners, np.int64), concat(places, np.uint32))
+    names, blocks = _received(batches)
+    hashes = concat([np.frombuffer(row["hash"], np.uint64) for row in blocks], np.uint64)
+    places = concat([np.frombuffer(row["place"], np.uint32) for row in blocks], np.uint32)
+    owners = concat([names.block(i)[np.frombuffer(row["ref"], np.uint32)] for i, row in enumerate(blocks)], np.int32)
+    yield from _repeated(names, hashes, owners, places)
 
 
 def _repeated(names: Names, hashes: np.ndarray, owner: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = repeated(hashes)
+    hashes, owner, place = hashes[order], owner[order], place[order]
     order = np.lexsort((place, owner, hashes))
     hashes, owner, place = hashes[order], owner[order], place[order]
     fresh = changes(hashes, owner, place)  # a text that several tasks sent is one text
     hashes, owner, place = hashes[fresh], owner[fresh], place[fresh]
     new = changes(hashes)
     twice = ~(new & np.concatenate([new[1:], np.ones(min(1, len(new)), bool)]))
-    listed = names.list()
-    found = [(listed[o], p.astype(np.uint32).tobytes()) for o, p in grouped_positions(owner[twice], place[twice])]
+    found = [(names[o], p.astype(np.uint32).tobytes()) for o, p in grouped_positions(owner[twice], place[twice])]
     yield from rows(FOUND, found)
 
 
@@ -160,16 +163,14 @@ def send_windows(length: int, anchor_words: int, buckets: int):
 
 def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows at two places, as places per text."""
-    names, hashes, places, owners = Names(), [], [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            number = names.numbers(row["names"])
-            count = np.frombuffer(row["count"], np.uint16).astype(np.int64)
-            start = np.frombuffer(row["place"], np.uint32).astype(np.int64)
-            hashes.append(np.frombuffer(row["windows"], np.uint64))
-            places.append(expand(start, count))
-            owners.append(np.repeat(number[np.frombuffer(row["ref"], np.uint32)], count))
-    yield from _repeated(names, concat(hashes, np.uint64), concat(owners, np.int64), concat(places, np.int64))
+    names, blocks = _received(batches)
+    counts = [np.frombuffer(row["count"], np.uint16).astype(np.int64) for row in blocks]
+    hashes = concat([np.frombuffer(row["windows"], np.uint64) for row in blocks], np.uint64)
+    starts = (np.frombuffer(row["place"], np.uint32).astype(np.int64) for row in blocks)
+    places = concat([expand(s, c).astype(np.uint32) for s, c in zip(starts, counts, strict=True)], np.uint32)
+    refs = (names.block(i)[np.frombuffer(row["ref"], np.uint32)] for i, row in enumerate(blocks))
+    owners = concat([np.repeat(r, c) for r, c in zip(refs, counts, strict=True)], np.int32)
+    yield from _repeated(names, hashes, owners, places)
 
 
 def _gathered(found: DataFrame) -> DataFrame:
