@@ -6,6 +6,7 @@ from touchline.llm.fmindex import op9_fm_decontamination
 from touchline.llm.jaccard import op7_jaccard_join
 from touchline.llm.mixing import op4_soft_mixing
 from touchline.llm.quality import op10_rule_quality
+from touchline.llm.search import op6_block_max_search
 from touchline.llm.secrets import op8_secret_ledger
 from touchline.llm.substrings import op5_substring_dedup
 from touchline.llm.tokens import op3_wavelet_tokens
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_soft_mixing": op4_soft_mixing,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_block_max_search": op6_block_max_search,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_secret_ledger": op8_secret_ledger,
     "op9_fm_decontamination": op9_fm_decontamination,
