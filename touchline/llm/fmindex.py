@@ -66,9 +66,9 @@ class WaveletMatrix:
         for level in range(depth - 1, -1, -1):
             bits = (now >> np.uint32(level)) & np.uint32(1) != 0
             planes.append(BitRank.of(bits))
-            low = now[~bits]
+            low = np.compress(~bits, now)
             zeros.append(len(low))
-            now = np.concatenate([low, now[bits]])
+            now = np.concatenate([low, np.compress(bits, now)])
         return cls(planes, np.array(zeros, np.int64), len(symbols))
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -6,9 +6,9 @@ wavelet matrix (zeros of a plane go first in the next), cut into blocks that are
 number of ones before each block. So one file answers token access, counting and occurrence lookup without being
 unpacked as a whole, and a full read undoes the planes from the lowest up. Files get their final name when whole.
 
-Tokenization works on pieces (white space and the word after it), for which the byte-level rules give the same ids
-alone as in the text; each task keeps the ids of pieces it has seen, up to a bounded number. A text with white space
-outside ASCII is encoded as a whole.
+Tokenization works on pieces (white space and the word after it, cut before ASCII punctuation that follows an ASCII
+letter), for which the byte-level rules give the same ids alone as in the text; a worker keeps the ids of pieces it
+has seen lately, up to a bounded number. A text with white space outside ASCII is encoded as a whole.
 
 Defined results: a null text is empty and has the end id only; null ids come first; rows with equal ids follow the
 hash of their text and keep a row each; other columns are ignored; an empty table writes no files and reads no rows.
@@ -23,6 +23,7 @@ import sys
 import types
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,17 +35,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from touchline.llm.blocks import changes
 from touchline.llm.common import BLANKS, PRIME, Hasher, chunks_of, mix, partitions, shared_folder
 from touchline.llm.warc import open_folder
 
 END_ID = 0
 SHARD_TOKENS = 8 << 20
 BLOCK_BITS = 1 << 16
-KEPT_PIECES = 600_000
+KEPT_PIECES = 300_000
 KEPT_BYTES = 48
+RUN_BYTES = 4 << 20
 MAGIC = b"WMTK0001"
 # UTF-8 of the white space characters outside ASCII.
-WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+WIDE_SPACE = re.compile(rb"[\xc2\xe1-\xe3](?:(?<=\xc2)[\x85\xa0]|(?<=\xe1)\x9a\x80|(?<=\xe2)(?:\x80[\x80-\x8a\xa8\xa9\xaf]|\x81\x9f)|(?<=\xe3)\x80\x80)")
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -62,23 +65,26 @@ class Encoder:
         self.hasher = Hasher(np.arange(1, 257, dtype=np.uint64))
         self.blank = np.zeros(256, bool)
         self.blank[list(BLANKS)] = True
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.begin, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.size = np.zeros(4096, np.uint32), 0
+        self.letter, self.mark = np.zeros(256, bool), np.zeros(256, bool)
+        self.letter[[*range(65, 91), *range(97, 123)]] = True
+        self.mark[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+        # Byte-level models write byte b as character b if that is printable, and the others as 256, 257, ...
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.byte_letters = {b: 256 + i for i, b in enumerate(others)}
+        self.older: dict[bytes, bytes] = {}
+        self.newer: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         plain = []
         for i, text in enumerate(texts):
-            if WIDE_SPACE.search(text):
+            if not text.isascii() and WIDE_SPACE.search(text):
                 out[i] = np.array(self._ids([text.decode()])[0], np.uint32)
             else:
                 plain.append(i)
         own = [texts[i] for i in plain]
-        for a, b in chunks_of(own):
+        for a, b in chunks_of(own, RUN_BYTES):
             for i, ids in zip(plain[a:b], self._pieces(own[a:b]), strict=True):
                 out[i] = ids
         return out
@@ -92,7 +98,7 @@ class Encoder:
         data = np.frombuffer(buffer, np.uint8)
         blank = self.blank[data]
         edge = np.zeros(len(data) + 1, bool)
-        edge[1:-1] = blank[1:] & ~blank[:-1]  # a word ends
+        edge[1:-1] = (blank[1:] & ~blank[:-1]) | (self.mark[data[1:]] & self.letter[data[:-1]])
         edge[ends[:-1]] = True
         edge[-1] = True
         places = np.flatnonzero(edge)
@@ -101,35 +107,39 @@ class Encoder:
         sums = np.zeros(len(buffer) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.hasher.powers[: len(buffer)], out=sums[1:])
         hashes = mix((sums[stops] - sums[starts]) * self.hasher.inverse[starts]) ^ (stops - starts).astype(np.uint64) * np.uint64(PRIME)
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        numbers = self._numbers([buffer[s:e] for s, e in zip(starts[first].tolist(), stops[first].tolist(), strict=True)])
-        begin, length = self.begin[numbers][inverse], self.length[numbers][inverse]
+        order = np.argsort(hashes)
+        new = changes(hashes[order])
+        first, inverse = order[new], np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        found = self._found([buffer[s:e] for s, e in zip(starts[first].tolist(), stops[first].tolist(), strict=True)])
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        begin, length = (np.cumsum(size) - size)[inverse], size[inverse]
         after = np.cumsum(length)
-        ids = self.flat[np.repeat(begin - (after - length), length) + np.arange(int(after[-1]) if len(after) else 0)]
+        ids = flat[np.repeat(begin - (after - length), length) + np.arange(int(after[-1]) if len(after) else 0)]
         cuts = np.concatenate([[0], after])[np.searchsorted(starts, ends)]
-        if len(self.number) > KEPT_PIECES or self.size > 16 * KEPT_PIECES:
-            self.forget()
         return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
-    def _numbers(self, pieces: list[bytes]) -> np.ndarray:
-        known = self.number
-        new = [p for p in pieces if p not in known]
-        if new:
-            total = len(known) + len(new)
-            if total > len(self.begin):
-                self.begin, self.length = np.resize(self.begin, 2 * total), np.resize(self.length, 2 * total)
-            ids = self._ids([p.decode() for p in new])
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
-            if self.size + len(flat) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * (self.size + len(flat)))
-            at = len(known)
-            self.begin[at:total] = self.size + np.cumsum(lengths) - lengths
-            self.length[at:total] = lengths
-            self.flat[self.size : self.size + len(flat)] = flat
-            self.size += len(flat)
-            known.update(zip(new, range(at, total), strict=True))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+    def _found(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces as bytes; pieces not asked for in a while are forgotten."""
+        found = list(map(self.newer.get, pieces))
+        absent = [i for i, ids in enumerate(found) if ids is None]
+        for i in absent:
+            found[i] = self.older.get(pieces[i])
+        new = [i for i in absent if found[i] is None]
+        texts = [pieces[i].decode() for i in new]
+        words = [(i, t) for i, t in zip(new, texts, strict=True) if t[0] == " " and t[1:].isalpha()]
+        tokenize, table, blank = self.tokenizer.model.tokenize, self.byte_letters, chr(self.byte_letters[0x20])
+        for i, t in words:  # one blank and letters: a single unit of the byte-level rules
+            written = blank + t[1:] if t.isascii() else pieces[i].decode("latin-1").translate(table)
+            found[i] = array("I", [x.id for x in tokenize(written)]).tobytes()
+        rest = [(i, t) for i, t in zip(new, texts, strict=True) if found[i] is None]
+        for (i, _), ids in zip(rest, self._ids([t for _, t in rest]), strict=True):
+            found[i] = array("I", ids).tobytes()
+        self.newer.update((pieces[i], found[i]) for i in absent if len(pieces[i]) <= KEPT_BYTES)
+        if len(self.newer) > KEPT_PIECES:
+            self.older, self.newer = self.newer, {}
+        return found
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -153,9 +163,9 @@ def planes_of(ids: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, int]]:
     now = ids.astype(np.uint16 if depth <= 16 else np.uint32)
     for level in range(depth - 1, -1, -1):
         bits = (now >> now.dtype.type(level)) & now.dtype.type(1) != 0
-        low = now[~bits]
+        low = np.compress(~bits, now)  # several times faster than a boolean index
         yield bits, len(low)
-        now = np.concatenate([low, now[bits]])
+        now = np.concatenate([low, np.compress(bits, now)])
 
 
 def pack(ids: np.ndarray, depth: int, keys: list, lengths: np.ndarray) -> bytes:
@@ -165,7 +175,7 @@ def pack(ids: np.ndarray, depth: int, keys: list, lengths: np.ndarray) -> bytes:
     for bits, none in planes_of(ids, depth):
         zeros.append(none)
         packed = np.packbits(bits, bitorder="little").tobytes()
-        counts = np.add.reduceat(bits, np.arange(0, len(bits), BLOCK_BITS), dtype=np.int64) if len(bits) else np.zeros(0, np.int64)
+        counts = np.array([np.count_nonzero(bits[i : i + BLOCK_BITS]) for i in range(0, len(bits), BLOCK_BITS)], np.int64)
         ones.append(np.cumsum(counts) - counts)
         for i in range(0, len(packed), BLOCK_BITS // 8):
             raw = packed[i : i + BLOCK_BITS // 8]
@@ -291,8 +301,8 @@ class TokenFile:
             raw = b"".join(self._raw(plane * self.per_plane, (plane + 1) * self.per_plane))
             bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=self.tokens).view(bool)
             above = np.empty(self.tokens, kind)
-            above[~bits] = now[: self.zeros[plane]]
-            above[bits] = now[self.zeros[plane] :] | kind(1 << (self.depth - 1 - plane))
+            above[np.flatnonzero(~bits)] = now[: self.zeros[plane]]
+            above[np.flatnonzero(bits)] = now[self.zeros[plane] :] | kind(1 << (self.depth - 1 - plane))
             now = above
         return now
 
@@ -332,8 +342,8 @@ def write_tokens(
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())]))
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                own = batch.slice(i, 512)
+            for i in range(0, batch.num_rows, 1024):
+                own = batch.slice(i, 1024)
                 for k, ids in zip(own.column(0).to_pylist(), encoder.encode(own.column(1).to_pylist()), strict=True):
                     keys.append(k)
                     pieces.append(np.append(ids, np.uint32(end_id)))
