@@ -13,9 +13,11 @@ agreeing ranges are hot for both. It is taken out of the hot groups, and only th
 frequent passages stay there. No similar pair is lost.
 
 Signature groups are not expanded into pairs. First every set is compared with the smallest members of its groups,
-and connected components are formed. Then only members of a group that are still in different components are
-compared. Both times a parity sketch of the set comes first: the number of different bits is at most the number of
-different elements. Each remaining comparison is exact, on the texts.
+and connected components are formed. Then, for a few rounds, every set is compared with the nearest member of its
+groups that is in another component. Large groups of near copies are one component by then, and only members of a
+group that are still in different components are compared in the end, all of them. Before each comparison stands a
+parity sketch of the set: the number of different bits is at most the number of different elements. Each remaining
+comparison is exact, on the texts.
 
 Shuffles carry packed signatures with 16-byte names of sets; equal sets are one name and one node.
 
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, repeated, rows, slices, used
@@ -41,6 +43,8 @@ from touchline.llm.common import SPLIT_LOWER, Hasher, chunks_of, components, mix
 
 SHINGLE = 5
 TOP_LOAD = 2.0  # mean elements per range at the upper end of a band; below 2.8, so that filled ranges exceed a third
+ROUNDS = 4  # at most so many rounds of nearest members
+WINDOW = 64  # members that a round looks at for each member of a group
 GROUP = 64  # sets per signature beyond which it is hot
 REF_BITS, BAND_BITS = 16, 5  # a packed signature is 43 bits of hash, the band, and a reference into the block's names
 
@@ -279,20 +283,58 @@ def open_pairs(members: np.ndarray, component: np.ndarray, size: np.ndarray, wor
                         yield from zip(own[p[near]].tolist(), other[q[near]].tolist(), strict=True)
 
 
-def cross_pairs(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
-    """Per bucket: pairs to compare, from its groups and its members' components, sizes and sketches."""
+def _open_groups(groups_table: pa.Table, members_table: pa.Table):
+    """Names, components, sizes, sketches of a bucket's members, and its groups that span several components."""
     listed = members_table.column("member").to_pylist()
     number = {m: i for i, m in enumerate(listed)}
     component = np.array(members_table.column("component").to_pylist(), np.int64)
     size = np.array(members_table.column("n").to_pylist(), np.int64)
     sketches = [np.frombuffer(s, np.uint64) for s in members_table.column("sketch").to_pylist()]
+
+    def spanning():
+        for blob in groups_table.column("sets").to_pylist():
+            own = [number.get(blob[i : i + DIGEST]) for i in range(0, len(blob), DIGEST)]
+            own = np.array([x for x in own if x is not None], np.int64)
+            if len(own) > 1 and (component[own] != component[own[0]]).any():
+                yield own
+
+    return listed, component, size, sketches, spanning()
+
+
+def nearest(seed: int):
+    def run(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
+        """Per bucket: for each member the nearest one of its groups that is in another component.
+
+        In a group above ``WINDOW`` members, each looks at the next ones in an order that depends on ``seed``.
+        """
+        listed, component, size, sketches, spanning = _open_groups(groups_table, members_table)
+        best, partner = np.full(len(listed), 2.0), np.full(len(listed), -1, np.int64)
+        for own in spanning:
+            own = own[np.argsort(mix(own.astype(np.uint64) + np.uint64(seed << 32)))]
+            words = min(len(sketches[m]) for m in own.tolist())
+            stack = np.concatenate([folded(sketches[m][None, :], words) for m in own.tolist()])
+            for shift in range(1, min(WINDOW, len(own) // 2) + 1):
+                other, n, m = np.roll(own, -shift), size[own], np.roll(size[own], -shift)
+                different = np.bitwise_count(stack ^ np.roll(stack, -shift, axis=0)).sum(axis=1, dtype=np.int64)
+                may = (component[own] != component[other]) & may_match(n, m, different)
+                far = different / (n + m)
+                for a, b in ((own, other), (other, own)):
+                    better = may & (far < best[a])
+                    best[a[better]], partner[a[better]] = far[better], b[better]
+        at = np.flatnonzero(partner >= 0).tolist()
+        columns = [pa.array([listed[i] for i in at], pa.binary()), pa.array([listed[partner[i]] for i in at], pa.binary())]
+        return pa.table({"a": columns[0], "b": columns[1], "far": pa.array(best[at], pa.float64())})
+
+    return run
+
+
+def cross_pairs(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
+    """Per bucket: all pairs to compare, from its groups and its members' components, sizes and sketches."""
+    listed, component, size, sketches, spanning = _open_groups(groups_table, members_table)
     words = np.array([len(s) for s in sketches], np.int64)
     found: set[tuple[int, int]] = set()
-    for blob in groups_table.column("sets").to_pylist():
-        own = [number.get(blob[i : i + DIGEST]) for i in range(0, len(blob), DIGEST)]
-        own = np.array([x for x in own if x is not None], np.int64)
-        if len(own) > 1 and (component[own] != component[own[0]]).any():
-            found.update((x, y) if x < y else (y, x) for x, y in open_pairs(own, component, size, words, sketches))
+    for own in spanning:
+        found.update((x, y) if x < y else (y, x) for x, y in open_pairs(own, component, size, words, sketches))
     pairs = [(min(listed[x], listed[y]), max(listed[x], listed[y])) for x, y in found]
     return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
 
@@ -359,18 +401,28 @@ class Join:
         sizes = self.nodes.select("name", "n", "sketch")
         both = first.join(sizes.toDF("a", "n_a", "sketch_a"), "a").join(sizes.toDF("b", "n_b", "sketch_b"), "b")
         both = both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(allowed, "a binary, b binary")
-        near = stored(self.checked(stored(both, "stars")), "near")
-        found = self.numbered(near)
-        settled = components(found)
-        nodes = self.nodes.join(settled, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        members = stars.select("bucket", "member").distinct().join(nodes.withColumnRenamed("name", "member"), "member").select(
-            "bucket", "member", "component", "n", "sketch"
-        )
+        found = stored(self.numbered(self.checked(stored(both, "stars"))), "near")
         several = shared.where("members is not null").select(F.col("bucket").alias("part"), F.col("members").alias("sets"))
-        pairs = several.groupBy("part").cogroup(members.groupBy("bucket")).applyInArrow(cross_pairs, "a binary, b binary")
+        inside = stars.select("bucket", "member").distinct()
+        for seed in range(1, ROUNDS + 1):
+            picked = self.meeting(several, inside, found).applyInArrow(nearest(seed), "a binary, b binary, far double")
+            pairs = picked.groupBy("a").agg(F.min_by("b", "far").alias("b"))
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            more = stored(self.numbered(self.checked(stored(pairs, "nearest"))), "near")
+            if more.isEmpty():
+                break
+            found = found.unionByName(more)
+        pairs = self.meeting(several, inside, found).applyInArrow(cross_pairs, "a binary, b binary")
         more = stored(self.checked(stored(pairs.distinct(), "pairs")), "more")
         return stored(found.unionByName(self.numbered(more)), "links")
 
+    def meeting(self, several: DataFrame, inside: DataFrame, found: DataFrame):
+        """The groups of each bucket beside its members as they are connected so far."""
+        nodes = self.nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        members = inside.join(nodes.withColumnRenamed("name", "member"), "member")
+        members = members.select(F.col("bucket").alias("own"), "member", "component", "n", "sketch")
+        return several.groupBy("part").cogroup(members.groupBy("own"))
+
     def hot_groups(self, sent: DataFrame) -> DataFrame:
         """Hot groups, of those sets only that have too few ranges that are not hot."""
         counts = sent.where("band is not null and member is not null").select("bucket", "member", "band", "hot")
@@ -415,5 +467,15 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
 
 
+def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component: that with the smallest id, of rows that share it one; rows without an id stay."""
+    found = near_copies(docs, key, text)
+    heads = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_head")).distinct()
+    kept = docs.join(heads, docs[key].cast("bigint") == F.col("_head"), "left_semi")
+    one = Window.partitionBy(key).orderBy(F.xxhash64(text), F.col(text))
+    kept = kept.withColumn("_number", F.row_number().over(one)).where(F.col("_number") == 1).drop("_number")
+    return kept.unionByName(docs.where(F.col(key).isNull()))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
