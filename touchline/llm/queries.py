@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from touchline.llm.fmindex import op9_fm_decontamination
 from touchline.llm.jaccard import op7_jaccard_join
+from touchline.llm.licenses import op2_license_scan
 from touchline.llm.mixing import op4_soft_mixing
 from touchline.llm.quality import op10_rule_quality
 from touchline.llm.search import op6_block_max_search
@@ -14,6 +15,7 @@ from touchline.llm.warc import op1_warc_roundtrip
 
 QUERIES = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
+    "op2_license_scan": op2_license_scan,
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_soft_mixing": op4_soft_mixing,
     "op5_substring_dedup": op5_substring_dedup,
