@@ -405,6 +405,13 @@ def judged(found: DataFrame) -> DataFrame:
     )
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated; whole rows pass through the search, so ids need not be unique."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    found = find_contamination(rows, items, key="row")
+    return judged(found).where(~F.col("contaminated")).select("doc_id.*")
+
+
 def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return judged(find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))

@@ -3,7 +3,8 @@
 1. Every text becomes a row of letter shares and a word count, in one scan.
 2. A Gaussian naive Bayes classifier is fitted by one grouped aggregation over the rows whose domain a labelled table
    gives; its means and variances (domains x features numbers) become a column expression for domain posteriors.
-3. Rates: minimise the squared gap between the targets and the expected domain shares of words,
+3. Rates: with ``low`` above 0 the targets are first scaled to the least total that leaves them within reach. Then
+   minimise the squared gap between the targets and the expected domain shares of words,
    ``sum_d rate_d * words_d * p_dk / words`` per domain k, plus a small pull of each rate to 1, over rates in
    [low, high]. Each accelerated projected-gradient step needs one aggregation to as many sums as there are domains;
    the rates themselves stay a column, worked out from the steps so far.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,18 +111,54 @@ def rate_after(steps: list[tuple[list[float], float]], size: float, pull: float,
     return F.aggregate(listed, one, step)
 
 
+@dataclass(frozen=True)
+class Mix:
+    """A fitted mix: the domains' models, and the steps that lead to the rates."""
+
+    model: list
+    steps: list
+    size: float
+    low: float
+    high: float
+
+    @property
+    def domains(self) -> list[str]:
+        return [m[0] for m in self.model]
+
+    def rate(self) -> Column:
+        """Rate over the columns ``p`` and ``words``."""
+        return rate_after(self.steps, self.size, PULL, self.low, self.high)["rate"]
+
+    def apply(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+        """The rows of ``docs`` as a struct ``row``, with ``words``, ``p``, ``rate`` and ``copies``; one more scan, no join."""
+        value = F.coalesce(F.col(text), F.lit(""))
+        whole = docs.select(F.struct(*docs.columns).alias("row"), word_count(value).alias("words"), *letter_shares(value))
+        soft = whole.select("row", "words", posteriors(self.model).alias("p"))
+        return soft.withColumn("rate", self.rate()).withColumn("copies", copies(F.col("rate"), F.col(f"row.`{key}`")))
+
+
+def copies(rate: Column, key: Column) -> Column:
+    """floor(rate), and one more with the probability of the rest, by a hash of the id."""
+    chance = F.pmod(F.xxhash64(key), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    return (F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)).cast("bigint")
+
+
 def fit_rates(
     rows: DataFrame, targets: list[float], steps: int = STEPS, pull: float = PULL, low: float = 0.0, high: float = 1e6,
     close: float = 1e-6,
-) -> Column:
-    """Rates over the columns ``p`` (posteriors) and ``words``, as an expression; stops when all gaps are ``close``."""
+) -> tuple[list, float]:
+    """(steps, step size) towards the rates over the columns ``p`` and ``words``; ends when all gaps are ``close``."""
     k = len(targets)
     first = rows.agg(
         F.sum("words").alias("words"),
+        *[F.sum(F.col("words") * F.col("p")[i]).alias(f"s{i}") for i in range(k)],
         *[F.sum(F.col("words") * F.col("p")[i] * F.col("p")[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
     ).first()
     total = first["words"] or 1.0
-    # The largest eigenvalue of the domains' second moments bounds the curvature.
+    # Rates of at least `low` need so many words in all that no domain exceeds its target.
+    whole = max([1.0, *(low * (first[f"s{i}"] or 0.0) / total / t for i, t in enumerate(targets) if t > 0)])
+    targets = [t * whole for t in targets]
+    # A row sum of the domains' second moments bounds their largest eigenvalue, and so the curvature.
     norm = max(sum(abs((first[f"g{min(i, j)}_{max(i, j)}"] or 0.0) / total) for j in range(k)) for i in range(k))
     size, done, momentum = 1 / (norm + pull), [], 1.0
     for _ in range(steps):
@@ -132,14 +170,14 @@ def fit_rates(
         following = (1 + math.sqrt(1 + 4 * momentum**2)) / 2
         done.append((gap, (momentum - 1) / following))
         momentum = following
-    return rate_after(done, size, pull, low, high)["rate"]
+    return done, size
 
 
-def mixed(
+def fit_mix(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], key: str = "doc_id", text: str = "text",
     domain: str = "domain", steps: int = STEPS, low: float = 0.0, high: float = 1e6,
-) -> DataFrame:
-    """(key, words, p, rate, copies) per document; ``labelled`` gives the domains of some keys as (key, domain).
+) -> tuple[Mix, DataFrame]:
+    """A mix, and the table (key, words, p) it was fitted on; ``labelled`` gives the domains of some keys.
 
     ``p`` holds the posteriors in the order of the sorted domain names. Targets are normalised to sum 1.
     """
@@ -152,11 +190,8 @@ def mixed(
         raise ValueError(f"targets for unknown domains: {sorted(set(targets) - set(names))}")
     whole = sum(targets.values())
     soft = stored(rows.select("key", "words", posteriors(model).alias("p")), "posteriors")
-    rate = fit_rates(soft, [targets.get(n, 0.0) / whole for n in names], steps, low=low, high=high)
-    chance = F.pmod(F.xxhash64("key"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    rated = soft.withColumn("rate", rate)
-    copies = F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return rated.select(F.col("key").alias(key), "words", "p", "rate", copies.cast("bigint").alias("copies"))
+    done, size = fit_rates(soft, [targets.get(n, 0.0) / whole for n in names], steps, low=low, high=high)
+    return Mix(model, done, size, low, high), soft
 
 
 def languages(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
@@ -167,9 +202,10 @@ def languages(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
 
 def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rates = mixed(docs, languages(spark, sf_dir, docs), TARGETS)
-    best = F.array_position("p", F.array_max("p"))
-    return rates.select(
-        "doc_id", F.col("words").cast("bigint").alias("n_words"), F.element_at(F.array(*map(F.lit, sorted(TARGETS))), best.cast("int")).alias("domain"),
-        F.array_max("p").alias("posterior"), "rate", "copies",
+    mix, soft = fit_mix(docs, languages(spark, sf_dir, docs), TARGETS)
+    best = F.array_position("p", F.array_max("p")).cast("int")
+    return soft.withColumn("rate", mix.rate()).select(
+        F.col("key").alias("doc_id"), F.col("words").cast("bigint").alias("n_words"),
+        F.element_at(F.array(*map(F.lit, mix.domains)), best).alias("domain"), F.array_max("p").alias("posterior"),
+        "rate", copies(F.col("rate"), F.col("key")).alias("copies"),
     )
