@@ -30,6 +30,7 @@ from touchline.llm.common import stored
 LETTERS = "eaoiuhwkqzñü"
 MAX_DOMAINS = 64
 STEPS = 30
+STORED_STEPS = 10
 PULL = 1e-3
 # Target weights of the query, by language.
 TARGETS = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
@@ -71,44 +72,43 @@ def domain_model(rows: DataFrame, domain: str) -> list[tuple[str, float, list[fl
     ]
 
 
-def posteriors(model: list[tuple[str, float, list[float], list[float]]]) -> Column:
-    """Array of the domains' posteriors, in the order of the model, over columns named as ``FEATURES``."""
+def with_posteriors(rows: DataFrame, model: list[tuple[str, float, list[float], list[float]]], *keep: str) -> DataFrame:
+    """Columns ``p0``, ``p1``, ... with the domains' posteriors in the order of the model, beside those to keep."""
     logs = []
-    for _, prior, means, variances in model:
+    for k, (_, prior, means, variances) in enumerate(model):
         fit = F.lit(prior)
         for f, m, v in zip(FEATURES, means, variances, strict=True):
             fit = fit - ((F.col(f) - m) * (F.col(f) - m) / (2 * v) + 0.5 * math.log(v))
-        logs.append(F.when(F.col("words") > 0, fit).otherwise(F.lit(prior)))
-    return softmax(F.array(*logs))
-
-
-def softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    weights = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(weights, lambda w: w / F.aggregate(weights, F.lit(0.0), lambda a, b: a + b))
-
-
-def numbers(values: list[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
-def rate_after(steps: list[tuple[list[float], float]], size: float, pull: float, low: float, high: float) -> Column:
-    """(rate, ahead) after the steps so far, each a gap per domain and a momentum, from rate 1."""
-    one = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+        logs.append(F.when(F.col("words") > 0, fit).otherwise(F.lit(prior)).alias(f"l{k}"))
+    names = [f"l{k}" for k in range(len(model))]
+    rows = rows.select(*keep, *logs)
+    top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+    rows = rows.select(*keep, *names, top.alias("top"))
+    rows = rows.select(*keep, *[F.exp(F.col(n) - F.col("top")).alias(n) for n in names])
+    rows = rows.select(*keep, *names, sum((F.col(n) for n in names[1:]), F.col(names[0])).alias("total"))
+    return rows.select(*keep, *[(F.col(n) / F.col("total")).alias(f"p{k}") for k, n in enumerate(names)])
+
+
+def rate_after(steps: list[tuple[list[float], float]], size: float, pull: float, low: float, high: float, at: Column) -> Column:
+    """(rate, ahead) after the steps, each a gap per domain and a momentum, from ``at``; over the columns ``p0``, ..."""
     if not steps:
-        return one
-    listed = F.array(*[F.struct(numbers(gap).alias("gap"), F.lit(m).alias("m")) for gap, m in steps])
+        return at
+    k = len(steps[0][0])
+    listed = F.array(
+        *[F.struct(*[F.lit(float(g)).alias(f"g{i}") for i, g in enumerate(gap)], F.lit(float(m)).alias("m")) for gap, m in steps]
+    )
 
     def step(acc: Column, s: Column) -> Column:
-        moved = acc["ahead"] - size * (dot(s["gap"], F.col("p")) + pull * (acc["ahead"] - 1))
+        slope = sum((s[f"g{i}"] * F.col(f"p{i}") for i in range(1, k)), s["g0"] * F.col("p0"))
+        moved = acc["ahead"] - size * (slope + pull * (acc["ahead"] - 1))
         rate = F.least(F.greatest(moved, F.lit(low)), F.lit(high))
         return F.struct(rate.alias("rate"), (rate + s["m"] * (rate - acc["rate"])).alias("ahead"))
 
-    return F.aggregate(listed, one, step)
+    return F.aggregate(listed, at, step)
+
+
+def first_rate() -> Column:
+    return F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
 
 
 @dataclass(frozen=True)
@@ -126,15 +126,15 @@ class Mix:
         return [m[0] for m in self.model]
 
     def rate(self) -> Column:
-        """Rate over the columns ``p`` and ``words``."""
-        return rate_after(self.steps, self.size, PULL, self.low, self.high)["rate"]
+        """Rate over the posterior columns."""
+        return rate_after(self.steps, self.size, PULL, self.low, self.high, first_rate())["rate"]
 
     def apply(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """The rows of ``docs`` as a struct ``row``, with ``words``, ``p``, ``rate`` and ``copies``; one more scan, no join."""
+        """The rows of ``docs`` as a struct ``row``, with ``rate`` and ``copies``; one more scan, no join."""
         value = F.coalesce(F.col(text), F.lit(""))
         whole = docs.select(F.struct(*docs.columns).alias("row"), word_count(value).alias("words"), *letter_shares(value))
-        soft = whole.select("row", "words", posteriors(self.model).alias("p"))
-        return soft.withColumn("rate", self.rate()).withColumn("copies", copies(F.col("rate"), F.col(f"row.`{key}`")))
+        rated = with_posteriors(whole, self.model, "row").select("row", self.rate().alias("rate"))
+        return rated.withColumn("copies", copies(F.col("rate"), F.col(f"row.`{key}`")))
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -147,12 +147,15 @@ def fit_rates(
     rows: DataFrame, targets: list[float], steps: int = STEPS, pull: float = PULL, low: float = 0.0, high: float = 1e6,
     close: float = 1e-6,
 ) -> tuple[list, float]:
-    """(steps, step size) towards the rates over the columns ``p`` and ``words``; ends when all gaps are ``close``."""
-    k = len(targets)
+    """(steps, step size) towards the rates of ``rows`` (words, p0, p1, ...); ends when all gaps are ``close``.
+
+    Every ``STORED_STEPS`` steps the rates reached are written, so that a step works through few earlier ones.
+    """
+    k, p = len(targets), [F.col(f"p{i}") for i in range(len(targets))]
     first = rows.agg(
         F.sum("words").alias("words"),
-        *[F.sum(F.col("words") * F.col("p")[i]).alias(f"s{i}") for i in range(k)],
-        *[F.sum(F.col("words") * F.col("p")[i] * F.col("p")[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
+        *[F.sum(F.col("words") * p[i]).alias(f"s{i}") for i in range(k)],
+        *[F.sum(F.col("words") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
     ).first()
     total = first["words"] or 1.0
     # Rates of at least `low` need so many words in all that no domain exceeds its target.
@@ -161,9 +164,14 @@ def fit_rates(
     # A row sum of the domains' second moments bounds their largest eigenvalue, and so the curvature.
     norm = max(sum(abs((first[f"g{min(i, j)}_{max(i, j)}"] or 0.0) / total) for j in range(k)) for i in range(k))
     size, done, momentum = 1 / (norm + pull), [], 1.0
-    for _ in range(steps):
-        ahead = rate_after(done, size, pull, low, high)["ahead"]
-        sums = rows.agg(*[F.sum(ahead * F.col("words") * F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
+    now, since = rows.select("words", *[f"p{i}" for i in range(k)], first_rate().alias("at")), 0
+    for n in range(steps):
+        at = rate_after(done[since:], size, pull, low, high, F.col("at"))
+        if n and n % STORED_STEPS == 0:
+            now, since = stored(now.withColumn("at", at), "rates"), n
+            at = F.col("at")
+        ahead = now.select("words", *p, at["ahead"].alias("ahead"))
+        sums = ahead.agg(*[F.sum(F.col("ahead") * F.col("words") * p[i]).alias(f"s{i}") for i in range(k)]).first()
         gap = [(sums[i] or 0.0) / total - targets[i] for i in range(k)]
         if max(map(abs, gap)) < close:
             break
@@ -177,9 +185,9 @@ def fit_mix(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], key: str = "doc_id", text: str = "text",
     domain: str = "domain", steps: int = STEPS, low: float = 0.0, high: float = 1e6,
 ) -> tuple[Mix, DataFrame]:
-    """A mix, and the table (key, words, p) it was fitted on; ``labelled`` gives the domains of some keys.
+    """A mix, and the table (key, words, p0, p1, ...) it was fitted on; ``labelled`` gives the domains of some keys.
 
-    ``p`` holds the posteriors in the order of the sorted domain names. Targets are normalised to sum 1.
+    The posteriors are in the order of the sorted domain names. Targets are normalised to sum 1.
     """
     value = F.coalesce(F.col(text), F.lit(""))
     rows = stored(docs.select(F.col(key).alias("key"), word_count(value).alias("words"), *letter_shares(value)), "letters")
@@ -189,7 +197,7 @@ def fit_mix(
     if set(targets) - set(names):
         raise ValueError(f"targets for unknown domains: {sorted(set(targets) - set(names))}")
     whole = sum(targets.values())
-    soft = stored(rows.select("key", "words", posteriors(model).alias("p")), "posteriors")
+    soft = stored(with_posteriors(rows, model, "key", "words"), "posteriors")
     done, size = fit_rates(soft, [targets.get(n, 0.0) / whole for n in names], steps, low=low, high=high)
     return Mix(model, done, size, low, high), soft
 
@@ -203,9 +211,11 @@ def languages(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
 def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     mix, soft = fit_mix(docs, languages(spark, sf_dir, docs), TARGETS)
-    best = F.array_position("p", F.array_max("p")).cast("int")
-    return soft.withColumn("rate", mix.rate()).select(
-        F.col("key").alias("doc_id"), F.col("words").cast("bigint").alias("n_words"),
-        F.element_at(F.array(*map(F.lit, mix.domains)), best).alias("domain"), F.array_max("p").alias("posterior"),
-        "rate", copies(F.col("rate"), F.col("key")).alias("copies"),
+    p = [F.col(f"p{i}") for i in range(len(mix.domains))]
+    top = F.greatest(*p)
+    domain = F.coalesce(*[F.when(x == top, F.lit(d)) for x, d in zip(p, mix.domains, strict=True)])
+    rated = soft.withColumn("rate", mix.rate())
+    return rated.select(
+        F.col("key").alias("doc_id"), F.col("words").cast("bigint").alias("n_words"), domain.alias("domain"),
+        top.alias("posterior"), "rate", copies(F.col("rate"), F.col("key")).alias("copies"),
     )
