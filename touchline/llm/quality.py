@@ -7,8 +7,8 @@ kept rules and weights become one column expression, which scores every row of a
 
 Defined results: a null text counts as empty and gets a score; null ids are never used for training and count as
 held out; several labels of an id are several training rows; rows without a label or with a null label do not
-train; repeated rows and other columns stay; without labelled rows of both kinds, the score is the share of label 1
-(one half without any).
+train; repeated rows and other columns stay; without labelled rows of both kinds, or without a statistic
+that parts them, the score is the share of label 1 (one half without any).
 """
 
 from __future__ import annotations
@@ -164,10 +164,10 @@ def lasso(matrix: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int =
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> RuleModel:
-    if not len(y) or y.min() == y.max():
+    rules = tree_rules(x, y) if len(y) and y.min() < y.max() else []
+    if not rules:
         share = float(np.clip(y.mean() if len(y) else 0.5, 1e-6, 1 - 1e-6))
         return RuleModel(base=float(np.log(share / (1 - share))))
-    rules = tree_rules(x, y)
     matrix = np.column_stack([r.applies(x) for r in rules]).astype(float)
     base, weights = lasso(matrix, y)
     kept = np.flatnonzero(np.abs(weights) > 1e-6)
