@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.blocks import changes, concat
+from touchline.llm.blocks import changes, concat, slices
 from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, stored
 
-SHARD_DOCS = 8192
-SHARD_WORDS = 8 << 20
+SHARD_DOCS = 4096
+SHARD_WORDS = 4 << 20
 QUERY_BLOCK = 20_000
 BLOCK = 64
 K1, B = 1.2, 0.75
@@ -45,6 +45,10 @@ def term_counts(texts: list[bytes], hasher: Hasher) -> Iterator[tuple[np.ndarray
             yield terms, counts, end - begin
 
 
+def least_type(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+
+
 class Shard:
     """Postings by term: ``docs`` and ``tf`` between ``starts``; ``keys`` and ``lengths`` per document."""
 
@@ -66,24 +70,29 @@ class Shard:
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, lengths=self.lengths, vocab=self.vocab, starts=self.starts.astype(np.uint32), docs=self.docs.astype(np.uint32), tf=self.tf)
+        small = {name: least_type(getattr(self, name)) for name in ("lengths", "starts", "docs", "tf")}
+        np.savez(out, vocab=self.vocab, **small)
         return out.getvalue()
 
     @classmethod
     def load(cls, keys: list, data: bytes) -> Shard:
         x = np.load(io.BytesIO(data))
-        return cls(keys, x["lengths"], x["vocab"], x["starts"].astype(np.int64), x["docs"], x["tf"])
+        return cls(keys, x["lengths"], x["vocab"], x["starts"], x["docs"], x["tf"])
 
     def weights(self, mean_length: float) -> np.ndarray:
         """BM25 without the idf factor, for each posting."""
         norm = K1 * (1 - B + B * self.lengths / max(mean_length, 1e-9))
         return self.tf * (K1 + 1) / (self.tf + norm[self.docs])
 
-    def cursor(self, term: int, idf: float, weights: np.ndarray) -> Cursor | None:
-        i = int(np.searchsorted(self.vocab, np.uint64(term)))
-        if i == len(self.vocab) or int(self.vocab[i]) != term:
-            return None
-        a, b = int(self.starts[i]), int(self.starts[i + 1])
+    def find(self, terms: np.ndarray) -> np.ndarray:
+        """The numbers of terms in this shard, -1 for those it lacks."""
+        if not len(self.vocab):
+            return np.full(len(terms), -1)
+        at = np.minimum(np.searchsorted(self.vocab, terms), len(self.vocab) - 1)
+        return np.where(self.vocab[at] == terms, at, -1)
+
+    def cursor(self, number: int, idf: float, weights: np.ndarray) -> Cursor:
+        a, b = int(self.starts[number]), int(self.starts[number + 1])
         return Cursor(self.docs[a:b], idf * weights[a:b])
 
 
@@ -191,7 +200,7 @@ def document_frequencies(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 own = Shard.load(row["keys"], row["index"])
-                df = np.diff(own.starts)
+                df = np.diff(own.starts.astype(np.int64))
                 for i in range(0, len(df), 1 << 16):
                     terms = own.vocab[i : i + (1 << 16)].view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df[i : i + (1 << 16)])], names=["term", "df"])
@@ -239,14 +248,21 @@ def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int = 16,
 
 
 def _searched(shards: DataFrame, block: list, k: int, mean_length: float) -> DataFrame:
+    terms = np.array([t for _, own in block for t, _ in own], np.uint64)
+    idf = [x for _, own in block for _, x in own]
+    owner = np.repeat(np.arange(len(block)), [len(own) for _, own in block])
+    names = [query for query, _ in block]
+
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for row in batch.to_pylist():
                 shard = Shard.load(row["keys"], row["index"])
-                weights, out = shard.weights(mean_length), []
-                for query, terms in block:
-                    cursors = [c for c in (shard.cursor(t, idf, weights) for t, idf in terms) if c is not None]
-                    out += [(query, shard.keys[d], s) for s, d in top_documents(cursors, k)]
+                weights, numbers, out = shard.weights(mean_length), shard.find(terms), []
+                present = np.flatnonzero(numbers >= 0)
+                for a, b in slices(changes(owner[present])):
+                    own = present[a:b].tolist()
+                    found = top_documents([shard.cursor(int(numbers[i]), idf[i], weights) for i in own], k)
+                    out += [(names[owner[own[0]]], shard.keys[d], score) for score, d in found]
                 columns = list(zip(*out, strict=True)) if out else [(), (), ()]
                 kinds = [pa.int64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query", "doc_id", "score"])
