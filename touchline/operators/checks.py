@@ -161,18 +161,18 @@ def check_ranges_exclusive(
 ) -> DataFrame:
     """Ranges that are empty, have a NULL bound, or do not end before the next one starts.
 
-    Ranges are ordered in slots of lower bounds, so neither a large partition nor a table without
-    partitions goes to one task; the first lower bound of the next slot follows a slot's last range.
+    Equal ranges are counted first, and distinct ones are ordered in slots of their bounds, so neither a large
+    partition, a table without partitions nor a frequent bound goes to one task; the first lower bound of the next
+    slot follows a slot's last range.
     """
     if gaps not in GAP_RULES:
         raise ValueError(f"gaps must be one of {sorted(GAP_RULES)}, got {gaps!r}")
     part = [F.col(partition_by).alias("partition_by_col")] if partition_by else []
     keys = ["partition_by_col"] if partition_by else []
-    rows = order_slots(df.select(*part, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound")),
-                       "lower_bound").withColumn("_slot", F.coalesce("_slot", F.lit(float("-inf"))))
-    starts = rows.groupBy(*keys, "_slot").agg(
-        F.min("lower_bound").alias("_first"), F.count("*").alias("_rows")
-    )
+    bounds = ["lower_bound", "upper_bound"]
+    ranges = df.select(*part, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
+    rows = order_slots(ranges.groupBy(*keys, *bounds).agg(F.count("*").alias("_n")), bounds)
+    starts = rows.groupBy(*keys, "_slot").agg(F.min(F.struct(*bounds))["lower_bound"].alias("_first"))
     onward = Window.partitionBy(*keys).orderBy("_slot")
     following = starts.select(
         *[F.col(k).alias("_part") for k in keys], F.col("_slot").alias("_at"),
@@ -182,26 +182,33 @@ def check_ranges_exclusive(
     meet = F.col("_slot") == F.col("_at")
     if keys:
         meet = meet & F.col("partition_by_col").eqNullSafe(F.col("_part"))
-    ordered = Window.partitionBy(*keys, "_slot").orderBy("lower_bound", "upper_bound")
+    ordered = Window.partitionBy(*keys, "_slot").orderBy(*bounds)
     within = rows.select(
         *rows.columns,
         F.lead("lower_bound").over(ordered).alias("_lead"),
         F.lead(F.lit(1)).over(ordered).isNull().alias("_end"),
     )
-    joined = within.join(following, meet)
+    last_copies = within.join(following, meet).select(
+        *keys, *bounds,
+        F.when(F.col("_end"), F.col("_next_first")).otherwise(F.col("_lead")).alias("next_lower_bound"),
+        (F.col("_end") & F.col("_last_slot")).alias("is_last_record"),
+        F.lit(1).cast("bigint").alias("_n"),
+    )
+    # The other copies are followed by their like.
+    copies = rows.where(F.col("_n") > 1).select(
+        *keys, *bounds, F.col("lower_bound").alias("next_lower_bound"), F.lit(False).alias("is_last_record"),
+        (F.col("_n") - 1).alias("_n"),
+    )
     up, low, after = F.col("upper_bound"), F.col("lower_bound"), F.col("next_lower_bound")
     sound = F.coalesce(low <= up if zero_length else low < up, F.lit(False))
     spaced = F.coalesce(GAP_RULES[gaps](up, after), F.col("is_last_record"), F.lit(False))
-    return (
-        joined.select(
-            *keys, "lower_bound", "upper_bound",
-            F.when(F.col("_end"), F.col("_next_first")).otherwise(F.col("_lead")).alias("next_lower_bound"),
-            (F.col("_end") & F.col("_last_slot")).alias("is_last_record"),
-        )
+    failing = (
+        last_copies.unionByName(copies)
         .withColumn("bounds_in_order", sound)
         .withColumn("ends_before_next", spaced)
         .where(~(F.col("bounds_in_order") & F.col("ends_before_next")))
     )
+    return expand_copies(failing, "_n")
 
 
 def check_not_constant(df: DataFrame, col: str, group_by: Sequence[str] = ()) -> DataFrame:
@@ -251,7 +258,7 @@ def check_sequential_values(
     """
     keys, previous = list(group_by), f"previous_{col}"
     values = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count("*").alias("_n"))
-    slotted = order_slots(values, col)
+    slotted = order_slots(values, [col])
 
     def follows(before: Column) -> Column:
         step = before + interval if part is None else F.timestamp_add(part.upper(), F.lit(interval), before)

@@ -6,49 +6,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions import safe_divide
-from touchline.plans.skew import hash_slot
+from touchline.plans.skew import SLOTS, order_slots
 
 
 def _points() -> Column:
     return F.when(F.col("result") == "W", 3).when(F.col("result") == "D", 1).otherwise(0)
 
 
-# Rows of one date that are numbered in one task; a date with more is numbered in hash slots.
-SLOT_ROWS = 1_000_000
-
-
-def match_results(stg_matches: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def match_results(stg_matches: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Running points and match number per season.
 
-    Matches of one date share the running points and are numbered by ``game_id``. A season may hold
-    any share of the rows, so it is never sorted as a whole: running totals are taken over one row
-    per date, and rows are only numbered within their date. A date above ``slot_rows`` is numbered
-    in slots of a hash of ``game_id``, one slot after the other.
+    Matches of one date share the running points and are numbered by ``game_id``. A season or a date may hold any
+    share of the rows, so neither is sorted as a whole: running totals are taken over one row per date, and rows
+    are numbered within their date and a slot of ``game_id``; slots follow its order, so the numbers are the same
+    for any number of slots.
     """
     # One key that is never NULL, so that the joins and the window below share a partitioning.
     day = F.concat_ws("|", F.coalesce("season", F.lit("\0")), F.coalesce(F.col("date").cast("string"), F.lit("\0")))
     rows = stg_matches.select(
         "game_id", "season", "date", "gameweek", "opponent", "venue_type", "goals_for", "goals_against", "result"
     )
-    up_to = Window.partitionBy("season").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = rows.groupBy("season", "date").agg(F.sum(_points()).alias("_pts"), F.count("*").alias("_n"))
-    totals = days.select(
-        day.alias("_day"),
-        F.sum("_pts").over(up_to).alias("cumulative_points"),
-        (F.sum("_n").over(up_to) - F.col("_n")).alias("_before"),
-        (F.col("_n") > slot_rows).alias("_large"),
+    by = ["game_id", "opponent", "venue_type"]
+    slotted = order_slots(rows, by, slots)
+    up_to = Window.partitionBy("season").orderBy("date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
+    whole_day = Window.partitionBy("season").orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = slotted.groupBy("season", "date", "_slot").agg(F.sum(_points()).alias("_pts"), F.count("*").alias("_n"))
+    totals = parts.select(
+        day.alias("_day"), "_slot",
+        F.sum("_pts").over(whole_day).alias("cumulative_points"),
+        F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_before"),
     )
-    slot = F.when(F.col("_large"), hash_slot(F.col("game_id"))).otherwise("")
-    dated = rows.withColumn("_day", day).join(totals, "_day").withColumn("_slot", slot)
-    place = Window.partitionBy("_day", "_slot").orderBy("game_id", "opponent", "venue_type")
-    numbered = dated.withColumn("_place", F.row_number().over(place))
-
-    earlier = Window.partitionBy("_day").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    large = dated.where("_large").groupBy("_day", "_slot", "_before", "cumulative_points").agg(F.count("*").alias("_n"))
-    offsets = large.select("_day", "_slot", (F.col("_before") + F.sum("_n").over(earlier)).alias("_skip"))
-    number = F.coalesce("_skip", "_before") + F.col("_place")
-    return numbered.join(offsets, ["_day", "_slot"], "left").select(
-        *rows.columns, "cumulative_points", number.alias("match_number")
+    place = Window.partitionBy("_day", "_slot").orderBy(*by)
+    numbered = slotted.withColumn("_day", day).withColumn("_place", F.row_number().over(place))
+    return numbered.join(totals, ["_day", "_slot"]).select(
+        *rows.columns, "cumulative_points", (F.col("_before") + F.col("_place")).alias("match_number")
     )
 
 

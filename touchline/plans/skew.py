@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Rows of one group that meet in one task when pairs are built; larger groups are cut into cells.
 CELL_ROWS = 2000
 COPIES_PER_CHUNK = 100_000
 # Cut points are kept by the driver and in every task, so their number has a bound.
-MAX_SLOTS = 4096
+SLOTS = 64
+SAMPLES_PER_SLOT = 32
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -21,34 +20,28 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: i
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def hash_slot(*cols: Column) -> Column:
-    """One of 4096 slots."""
-    return F.hex(F.pmod(F.xxhash64(*cols), F.lit(4096)))
+def order_slots(df: DataFrame, cols: Sequence[str], slots: int = SLOTS, out: str = "_slot") -> DataFrame:
+    """Number rows by ranges of ``cols``, so that slots follow their order (NULLs first) and are of similar size.
 
-
-def order_slots(df: DataFrame, col: str, out: str = "_slot") -> DataFrame:
-    """Number rows by quantile range of ``col``, so that slots follow its order and are of similar size.
-
-    The cut points come from one pass with a fixed-size sketch. Types without a numeric order get a
-    single slot.
+    Works for every type that can be ordered. The cut points come from a random sample of bounded size; any cut
+    points give slots in the right order, so results do not depend on them. Rows that are equal in ``cols`` share
+    a slot: count them first where they may be many.
     """
-    dtype = df.schema[col].dataType
-    value = F.col(col)
-    if isinstance(dtype, T.DateType):
-        value = F.unix_date(value)
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        value = value.cast("timestamp")
-    elif not isinstance(dtype, T.NumericType):
-        return df.withColumn(out, F.lit(0.0))
-    slots = min(MAX_SLOTS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    numbered = df.withColumn("_pos", value.cast("double"))
-    shares = [i / slots for i in range(1, slots)]
-    cuts = numbered.approxQuantile("_pos", shares, 1 / (4 * slots))
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    bucketizer = Bucketizer(splits=splits, inputCol="_pos", outputCol=out, handleInvalid="keep")
-    return bucketizer.transform(numbered).drop("_pos")
+    key = F.struct(*cols)
+    sample = df.select(*cols).orderBy(F.rand(11)).limit(SAMPLES_PER_SLOT * slots).collect()
+    places = sorted({tuple((v is not None, v if v is not None else 0) for v in row) for row in sample})
+    cuts = [places[len(places) * i // slots] for i in range(1, slots)] if places else []
+    cuts = sorted(set(cuts))
+    if not cuts:
+        return df.withColumn(out, F.lit(0))
+    kinds = [df.schema[c].dataType for c in cols]
+    listed = F.array(
+        *[
+            F.struct(*[F.lit(v if known else None).cast(t).alias(c) for (known, v), c, t in zip(cut, cols, kinds, strict=True)])
+            for cut in cuts
+        ]
+    )
+    return df.withColumn(out, F.size(F.filter(listed, lambda cut: cut <= key)))
 
 
 def expand_copies(df: DataFrame, count_col: str) -> DataFrame:
