@@ -13,11 +13,11 @@ agreeing ranges are hot for both. It is taken out of the hot groups, and only th
 frequent passages stay there. No similar pair is lost.
 
 Signature groups are not expanded into pairs. First every set is compared with the smallest members of its groups,
-and connected components are formed. Then, for a few rounds, every set is compared with the nearest member of its
-groups that is in another component. Large groups of near copies are one component by then, and only members of a
-group that are still in different components are compared in the end, all of them. Before each comparison stands a
-parity sketch of the set: the number of different bits is at most the number of different elements. Each remaining
-comparison is exact, on the texts.
+and connected components are formed. Then, for a round or two, the sets of large groups are compared with the nearest of some
+members in other components, so that large groups of near copies hang together. In the end all members of a group
+that are still in different components are compared. Before each comparison stands a parity sketch of the set: the
+number of different bits is at most the number of different elements. A pair that several signatures find is
+compared once, and exactly, on the texts.
 
 Shuffles carry packed signatures with 16-byte names of sets; equal sets are one name and one node.
 
@@ -43,8 +43,8 @@ from touchline.llm.common import SPLIT_LOWER, Hasher, chunks_of, components, mix
 
 SHINGLE = 5
 TOP_LOAD = 2.0  # mean elements per range at the upper end of a band; below 2.8, so that filled ranges exceed a third
-ROUNDS = 4  # at most so many rounds of nearest members
-WINDOW = 64  # members that a round looks at for each member of a group
+ROUNDS = 2  # at most so many rounds of nearest members
+LARGE, WINDOW = 32, 16  # a round takes the groups above so many members, and looks at so many for each of them
 GROUP = 64  # sets per signature beyond which it is hot
 REF_BITS, BAND_BITS = 16, 5  # a packed signature is 43 bits of hash, the band, and a reference into the block's names
 
@@ -305,11 +305,13 @@ def nearest(seed: int):
     def run(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
         """Per bucket: for each member the nearest one of its groups that is in another component.
 
-        In a group above ``WINDOW`` members, each looks at the next ones in an order that depends on ``seed``.
+        Only groups above ``LARGE`` members; each looks at the next ``WINDOW`` in an order that depends on ``seed``.
         """
         listed, component, size, sketches, spanning = _open_groups(groups_table, members_table)
         best, partner = np.full(len(listed), 2.0), np.full(len(listed), -1, np.int64)
         for own in spanning:
+            if len(own) <= LARGE:
+                continue
             own = own[np.argsort(mix(own.astype(np.uint64) + np.uint64(seed << 32)))]
             words = min(len(sketches[m]) for m in own.tolist())
             stack = np.concatenate([folded(sketches[m][None, :], words) for m in own.tolist()])
@@ -328,15 +330,46 @@ def nearest(seed: int):
     return run
 
 
-def cross_pairs(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
-    """Per bucket: all pairs to compare, from its groups and its members' components, sizes and sketches."""
-    listed, component, size, sketches, spanning = _open_groups(groups_table, members_table)
-    words = np.array([len(s) for s in sketches], np.int64)
-    found: set[tuple[int, int]] = set()
-    for own in spanning:
-        found.update((x, y) if x < y else (y, x) for x, y in open_pairs(own, component, size, words, sketches))
-    pairs = [(min(listed[x], listed[y]), max(listed[x], listed[y])) for x, y in found]
-    return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+PACKED = pa.schema([("bucket", pa.int32()), ("names", pa.binary()), ("pairs", pa.binary())])
+
+
+def cross_pairs(buckets: int):
+    def run(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
+        """Per bucket: all pairs to compare, from its groups and its members' components, sizes and sketches.
+
+        Several buckets may find a pair; packed blocks take it to one task by its hash.
+        """
+        listed, component, size, sketches, spanning = _open_groups(groups_table, members_table)
+        words = np.array([len(s) for s in sketches], np.int64)
+        names = np.frombuffer(b"".join(listed), f"S{DIGEST}")
+        place = np.argsort(np.argsort(names))  # numbers in the order of the names
+        found: set[int] = set()
+        for own in spanning:
+            for x, y in open_pairs(own, component, size, words, sketches):
+                found.add(int(place[x]) << 32 | int(place[y]) if place[x] < place[y] else int(place[y]) << 32 | int(place[x]))
+        pairs, names = np.array(sorted(found), np.int64), np.sort(names)
+        a, b = pairs >> 32, pairs & 0xFFFFFFFF
+        marks = np.frombuffer(names.tobytes(), np.uint64).reshape(-1, 2)[:, 0]
+        target = buckets_of(mix(marks[a] + np.uint64(3) * marks[b]), buckets)
+        out = []
+        for bucket, (x, y) in by_bucket(target, a, b):
+            ref, own = used(np.concatenate([x, y]), names.view(f"V{DIGEST}"))
+            out.append((bucket, own, ref.tobytes()))
+        return pa.Table.from_batches(list(rows(PACKED, out)), PACKED)
+
+    return run
+
+
+def distinct_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pair of one task's blocks once."""
+    blocks = [row for batch in batches for row in batch.to_pylist()]
+    names, keys = Names([row["names"] for row in blocks]), []
+    for i, row in enumerate(blocks):
+        number = names.block(i)[np.frombuffer(row["pairs"], np.uint32)].astype(np.int64)
+        a, b = number.reshape(2, -1)
+        keys.append(a << 32 | b)
+    keys = np.unique(concat(keys, np.int64))
+    yield from rows(PAIRS, [(names[k >> 32], names[k & 0xFFFFFFFF]) for k in keys.tolist()])
 
 
 def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,8 +445,11 @@ class Join:
             if more.isEmpty():
                 break
             found = found.unionByName(more)
-        pairs = self.meeting(several, inside, found).applyInArrow(cross_pairs, "a binary, b binary")
-        more = stored(self.checked(stored(pairs.distinct(), "pairs")), "more")
+        packed = self.meeting(several, inside, found).applyInArrow(
+            cross_pairs(self.buckets), "bucket int, names binary, pairs binary"
+        )
+        pairs = dealt(packed, self.buckets).mapInArrow(distinct_pairs, "a binary, b binary")
+        more = stored(self.checked(stored(pairs, "pairs")), "more")
         return stored(found.unionByName(self.numbered(more)), "links")
 
     def meeting(self, several: DataFrame, inside: DataFrame, found: DataFrame):
