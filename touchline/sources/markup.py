@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from functools import cached_property
 from html import unescape
 
-TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)-->"
-    r"|<(?P<raw>script|style)\b(?P<raw_attrs>[^>]*)>(?P<raw_text>.*?)</(?P=raw)\s*>"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|(?P<text>[^<]+|<)",
-    re.S | re.I,
-)
+OPEN = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style")}
 ATTR = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 # Opening one of these ends an open element of the listed kinds.
@@ -28,10 +25,16 @@ class Element:
         return {k.lower(): unescape(v.strip("\"'")) for k, v in ATTR.findall(self.source)}
 
     def walk(self):
-        for child in self.children:
-            if isinstance(child, Element):
-                yield child
-                yield from child.walk()
+        """All elements below, in document order."""
+        waiting = [iter(self.children)]
+        while waiting:
+            for child in waiting[-1]:
+                if isinstance(child, Element):
+                    yield child
+                    waiting.append(iter(child.children))
+                    break
+            else:
+                waiting.pop()
 
     def all(self, tag: str, classes=()):
         for e in self.walk():
@@ -46,39 +49,123 @@ class Element:
 
     def text(self, joiner: str = "") -> str:
         """All text below, stripped; with a joiner every piece is stripped before joining."""
-        parts = []
-        for child in self.children:
-            part = child.text(joiner) if isinstance(child, Element) else child.strip() if joiner else child
-            if part:
-                parts.append(part)
-        return joiner.join(parts).strip()
+        if not joiner:
+            return "".join(self._pieces()).strip()
+        return joiner.join(p for p in map(str.strip, self._pieces()) if p)
+
+    def _pieces(self):
+        waiting = [iter(self.children)]
+        while waiting:
+            for child in waiting[-1]:
+                if isinstance(child, Element):
+                    waiting.append(iter(child.children))
+                    break
+                yield child
+            else:
+                waiting.pop()
+
+
+class Scanner:
+    """Comments, raw texts, tags and texts of a page, in one pass.
+
+    A search that came to the end of the page without a hit is not repeated, so time is linear also for pages full of
+    unclosed tags and comments. What does not close is text.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.missing, self.broken = html, set(), 0
+        self.raw_ends = {tag: [m.span() for m in end.finditer(html)] for tag, end in RAW_ENDS.items()}
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """The place of the ``>`` that closes a tag, outside of quotes; -1 if there is none."""
+        first = self.find(">", at)
+        if first < 0 or self.broken >= 2:  # quotes do not match up: the next > will do
+            return first
+        place = at
+        while True:
+            close = self.find(">", place)
+            quotes = [q for q in (self.find('"', place), self.find("'", place)) if q >= 0]
+            quote = min(quotes, default=-1)
+            if close < 0 or (quote < 0 or close < quote):
+                break
+            place = self.find(self.html[quote], quote + 1) + 1
+            if not place:
+                close = -1
+                break
+        if close < 0:
+            self.broken += 1
+            self.missing.clear()
+        return close
+
+    def tokens(self):
+        """(kind, ...) tuples: text, comment, raw, open and close."""
+        html, at, text_from = self.html, 0, 0
+        while True:
+            at = self.find("<", at)
+            if at < 0:
+                break
+            token = None
+            if html.startswith("<!--", at):
+                end = self.find("-->", at + 4)
+                if end >= 0:
+                    token, after = ("comment", html[at + 4 : end]), end + 3
+            elif match := OPEN.match(html, at):
+                name, closing = match[1].lower(), html[at + 1] == "/"
+                end = self.tag_end(match.end())
+                if end >= 0 and name in RAW_ENDS and not closing:
+                    ends = self.raw_ends[name]
+                    k = bisect_left(ends, (end + 1, 0))
+                    if k < len(ends):
+                        token, after = ("raw", name, html[match.end() : end], html[end + 1 : ends[k][0]]), ends[k][1]
+                elif end >= 0:
+                    token, after = ("close" if closing else "open", name, html[match.end() : end]), end + 1
+            if token is None:
+                at += 1
+                continue
+            if at > text_from:
+                yield ("text", html[text_from:at])
+            yield token
+            at = text_from = after
+        if text_from < len(html):
+            yield ("text", html[text_from:])
 
 
 def parse(html: str | None) -> tuple[Element, list[str]]:
     """The element tree of a page, and the text of its comments."""
     root = at = Element("#root")
-    comments = []
-    for m in TOKEN.finditer(html or ""):
-        kind, tag = m.lastgroup, (m["tag"] or "").lower()
-        if m["text"] is not None:
-            at.children.append(unescape(m["text"]))
+    comments, open_tags = [], Counter()
+    for kind, *parts in Scanner(html or "").tokens():
+        if kind == "text":
+            at.children.append(unescape(parts[0]))
         elif kind == "comment":
-            comments.append(m["comment"])
-        elif m["raw"]:
-            raw = Element(m["raw"].lower(), m["raw_attrs"], at)
-            raw.children.append(m["raw_text"])
+            comments.append(parts[0])
+        elif kind == "raw":
+            raw = Element(parts[0], parts[1], at)
+            raw.children.append(parts[2])
             at.children.append(raw)
-        elif m["end"]:
-            e = at
-            while e is not None and e.tag != tag:
-                e = e.parent
-            if e is not None:
-                at = e.parent
+        elif kind == "close":
+            tag = parts[0]
+            while open_tags[tag]:
+                open_tags[at.tag] -= 1
+                closed, at = at.tag, at.parent
+                if closed == tag:
+                    break
         else:
+            tag = parts[0]
             while at.tag in ENDS.get(tag, ()):
+                open_tags[at.tag] -= 1
                 at = at.parent
-            element = Element(tag, m["attrs"], at)
+            element = Element(tag, parts[1], at)
             at.children.append(element)
             if tag not in VOID:
                 at = element
+                open_tags[tag] += 1
     return root, comments

@@ -27,6 +27,7 @@ from touchline.sources.markup import Element, parse
 # Marks of the pages that are read.
 ROW_CLASSES = ("odd", "even")
 SQUAD_CELLS = 9
+MAX_SPAN = 1000  # as browsers do
 TRANSFER_CELLS = 12
 DIRECTIONS = {"Arrivals": "in", "Departures": "out"}
 PROFILE_LABELS = {
@@ -63,11 +64,12 @@ def _header(rows: list[list[Element]]) -> list[str]:
     for row in rows:
         names: list[str] = []
         for cell in row:
-            names += [cell.text()] * int(cell.attrs.get("colspan") or 1)
+            span = cell.attrs.get("colspan") or ""
+            names += [cell.text()] * (min(int(span), MAX_SPAN) if span.isdecimal() else 1)
         levels.append(names)
-    if len(levels) == 1:
-        return levels[0]
-    groups, names = levels
+    if len(levels) < 2:
+        return levels[0] if levels else []
+    groups, names = levels[-2:]
     groups = groups + [""] * (len(names) - len(groups))
     return [n if not g else f"{g}_{n}" if n else g for g, n in zip(groups, names)]
 
