@@ -134,7 +134,7 @@ LOADS = {
 }
 
 STAGES = {
-    "build_match_rows": """SELECT RIGHT(COALESCE(match_report, date), 8) AS game_id, season, date, CASE WHEN k % 14 <> 0 THEN k % 38 + 1 END AS gameweek,
+    "build_match_rows": """SELECT COALESCE(match_report, date) AS game_id, season, date, CASE WHEN k % 14 <> 0 THEN k % 38 + 1 END AS gameweek,
           CASE venue WHEN 'Home' THEN 'FOCUS' ELSE opponent END AS home_team, CASE venue WHEN 'Home' THEN opponent ELSE 'FOCUS' END AS away_team,
           CASE venue WHEN 'Home' THEN gf ELSE ga END AS home_goals, CASE venue WHEN 'Home' THEN ga ELSE gf END AS away_goals, venue
         FROM v_schedule WHERE comp = 'Premier League' AND date <> ''""",
@@ -183,9 +183,9 @@ GRAPH = {
     "property_graph": """SELECT 'Player' AS element, COUNT(*) AS row_count, COUNT(*) - COUNT(DISTINCT player_id) AS bad_keys, CAST(0 AS BIGINT) AS loose_ends FROM v_players
         UNION ALL SELECT 'Season', COUNT(*), COUNT(*) - COUNT(DISTINCT season_id), 0 FROM v_seasons
         UNION ALL SELECT 'Club', COUNT(*), COUNT(*) - COUNT(DISTINCT club_id), 0 FROM v_clubs
-        UNION ALL SELECT 'PlayedIn', COUNT(*), 0, COUNT(*) FILTER (WHERE player_id NOT IN (SELECT player_id FROM v_players)) + COUNT(*) FILTER (WHERE season_id NOT IN (SELECT season_id FROM v_seasons)) FROM v_played_in
-        UNION ALL SELECT 'PlayedWith', COUNT(*), 0, 0 FROM v_played_with
-        UNION ALL SELECT 'TransferredTo', COUNT(*), 0, COUNT(*) FILTER (WHERE club_id NOT IN (SELECT club_id FROM v_clubs)) FROM v_moved""",
+        UNION ALL SELECT 'PlayedIn', COUNT(*), (SELECT COUNT(*) FROM (SELECT 1 FROM v_played_in GROUP BY player_id, season_id HAVING COUNT(*) > 1)), COUNT(*) FILTER (WHERE player_id NOT IN (SELECT player_id FROM v_players)) + COUNT(*) FILTER (WHERE season_id NOT IN (SELECT season_id FROM v_seasons)) FROM v_played_in
+        UNION ALL SELECT 'PlayedWith', COUNT(*), (SELECT COUNT(*) FROM (SELECT 1 FROM v_played_with GROUP BY player_id_a, player_id_b HAVING COUNT(*) > 1)), 0 FROM v_played_with
+        UNION ALL SELECT 'TransferredTo', COUNT(*), (SELECT COUNT(*) FROM (SELECT 1 FROM v_moved GROUP BY player_id, club_id, season HAVING COUNT(*) > 1)), COUNT(*) FILTER (WHERE club_id NOT IN (SELECT club_id FROM v_clubs)) FROM v_moved""",
     "match_edges": """SELECT p.name AS a_name, c.name AS b_name, m.season, m.direction, m.fee_eur
         FROM v_moved m JOIN v_players p ON p.player_id = m.player_id JOIN v_clubs c ON c.club_id = m.club_id WHERE p.position LIKE 'Left%'""",
     "latest_nonempty_position": "SELECT * FROM v_pos",
@@ -200,7 +200,7 @@ GRAPH = {
     "squad_edges_all": "SELECT * EXCLUDE (apk, bpk) FROM v_teammates",
     "transfer_nodes_season": "SELECT * EXCLUDE (nationality_g) REPLACE (nationality_g AS nationality) FROM v_season_nodes",
     "transfer_nodes_all": "SELECT * EXCLUDE (player_id) FROM v_career_nodes WHERE player_id IN (SELECT player_id FROM v_moved)",
-    "transfer_edges_season": "SELECT * FROM v_transfer_edges WHERE LOWER(TRIM(source)) IN (SELECT LOWER(TRIM(player)) FROM v_perf WHERE season = '9697')",
+    "transfer_edges_season": "SELECT * FROM v_transfer_edges WHERE LOWER(TRIM(source)) IN (SELECT pk FROM v_league WHERE season = '9697')",
     "transfer_edges_all": "SELECT * FROM v_transfer_edges",
     "club_nodes": "SELECT * FROM v_club_nodes",
     "season_nodes": "SELECT * FROM v_season_points",

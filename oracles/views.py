@@ -232,8 +232,8 @@ VIEWS: dict[str, str] = {
         SELECT * EXCLUDE (player_id) FROM v_career_nodes WHERE player_id IN (SELECT player_id FROM v_moved)
         UNION ALL SELECT * FROM v_club_nodes UNION ALL SELECT * FROM v_season_points""",
     "v_found": """
-        SELECT id FROM v_network WHERE (node_type = 'player' AND LOWER(label) LIKE '%player 11%')
-           OR (node_type = 'club' AND LOWER(label) LIKE '%club_33%') OR (node_type = 'season' AND (id LIKE '%99/00%' OR label LIKE '%99/00%'))""",
+        SELECT id FROM v_network WHERE (node_type = 'player' AND LOWER(label) LIKE '%player 7%')
+           OR (node_type = 'season' AND (id LIKE '%99/00%' OR label LIKE '%99/00%'))""",
     "v_seen": """
         SELECT id FROM v_found UNION SELECT target FROM v_transfer_edges WHERE source IN (SELECT id FROM v_found)
         UNION SELECT source FROM v_transfer_edges WHERE target IN (SELECT id FROM v_found)""",

@@ -104,7 +104,9 @@ def test_run_log(rows):
          ("r2", "p", "2425", 4, at + dt.timedelta(hours=2), "finish", "success", None, 5)],
         "run_id string, pipeline string, season string, event_id bigint, at timestamp, event string, status string, "
         "error_msg string, rows_written bigint")
-    got = {r["run_id"]: r for r in loads.run_log(events).collect()}
+    whole = {r["run_id"]: r for r in loads.run_log(events).collect()}
+    assert len(whole["r1"]["pipeline"]) == 80
+    got = {r["run_id"]: r for r in loads.run_log(events, {"pipeline": 64}).collect()}
     assert got["r1"]["status"] == "running" and got["r1"]["finished_at"] is None and len(got["r1"]["pipeline"]) == 64
     assert got["r1"]["season"] == ""
     assert (got["r2"]["status"], got["r2"]["error_msg"], got["r2"]["rows_written"]) == ("success", "", 5)
@@ -199,3 +201,17 @@ def test_undirected_pattern(rows):
     broken = graph.PropertyGraph({"P": graph.Nodes(people.union(people.limit(1)), "player_id")},
                                  {"E": graph.Edges(rows([("1", "9", 1)], "s string, d string, w int"), "s", "d", "P", "P")})
     assert values(graph.graph_problems(broken)) == [("E", 1, 0, 1), ("P", 4, 1, 0)]
+
+
+def test_first_load_follows_the_rules_of_later_ones(rows, spark, tmp_path):
+    cols = "season string, player string, v int"
+    twice = rows([("a", "x", 1), ("a", "x", 2), (None, "y", 3)], cols)
+    with pytest.raises(Exception, match="more than one source row"):
+        loads.upsert_path(spark, str(tmp_path / "t"), twice, ["season", "player"])
+    path = str(tmp_path / "u")
+    loads.upsert_path(spark, path, twice, ["season", "player"], order_by=[F.col("v").desc()])
+    loads.upsert_path(spark, path, rows([("a", "x", 9), (None, "z", 4)], cols), ["season", "player"])
+    back = spark.read.schema(cols).parquet(path)
+    assert values(back, "season", "player", "v") == [("a", "x", 9), (None, "y", 3), (None, "z", 4)]
+    loads.upsert_path(spark, path, rows([], cols), ["season", "player"])
+    assert spark.read.schema(cols).parquet(path).count() == 3

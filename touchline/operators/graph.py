@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,13 +74,15 @@ def edge_played_in(performance: DataFrame, players: DataFrame) -> DataFrame:
 
 
 def edge_played_with(
-    performance: DataFrame, players: DataFrame, squad: tuple[str, ...] = ("season",)
+    performance: DataFrame, players: DataFrame, squad: tuple[str, ...] = ("season", "team")
 ) -> DataFrame:
     """Pairs of players who shared a squad, with the seasons shared and both players' goals in them.
 
-    ``squad`` names the columns a squad is equal in. Its size is what pairs grow with, so data of
-    more than one club should give the club too. Rows are first reduced to one per squad and player.
+    ``squad`` names the columns a squad is equal in; a table of one club may have no team. There is a row per pair by
+    definition, so the result grows with the square of a squad's size, which the club keeps small. Rows are first
+    reduced to one per squad and player.
     """
+    squad = tuple(c for c in squad if c in performance.columns)
     member = [*squad, "player_id"]
     rows = performance.select(
         *squad, name_key(F.col("player")).alias("_key"), F.coalesce("goals", F.lit(0.0)).alias("goals")
@@ -104,6 +107,10 @@ def edge_played_with(
     )
 
 
+def largest_fee_first() -> list[Column]:
+    return [F.col("fee_eur").desc_nulls_last(), F.col("fee_text"), F.col("direction")]
+
+
 def edge_transferred_to(
     transfers: DataFrame, players: DataFrame, latest_by: list[Column] | None = None
 ) -> DataFrame:
@@ -139,6 +146,11 @@ class Edges:
     dst: str
     src_label: str
     dst_label: str
+    more_keys: tuple[str, ...] = ()
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return (self.src, self.dst, *self.more_keys)
 
 
 @dataclass(frozen=True)
@@ -160,7 +172,7 @@ def property_graph(
         edges={
             "PlayedIn": Edges(played_in, "player_id", "season_id", "Player", "Season"),
             "PlayedWith": Edges(played_with, "player_id_a", "player_id_b", "Player", "Player"),
-            "TransferredTo": Edges(transferred_to, "player_id", "club_id", "Player", "Club"),
+            "TransferredTo": Edges(transferred_to, "player_id", "club_id", "Player", "Club", ("season",)),
         },
     )
 
@@ -194,14 +206,15 @@ def graph_problems(graph: PropertyGraph) -> DataFrame:
             known = ids if known is None else known.unionByName(ids)
         # Ends are counted per node before the join, so a node of many edges is one row in it.
         per_end = ends.groupBy("label", "id").agg(F.count("*").alias("n"))
+        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in e.keys])
+        per_key = e.df.groupBy(*e.keys).agg(F.count("*").alias("n")).agg(F.count_if((F.col("n") > 1) | missing).alias("bad"))
         checked = per_end.join(known.withColumn("_known", F.lit(True)).distinct(), ["label", "id"], "left")
         parts.append(
             checked.agg(
                 F.lit(label).alias("element"),
                 F.coalesce((F.sum("n") / 2).cast("bigint"), F.lit(0)).alias("row_count"),
-                F.lit(0).cast("bigint").alias("bad_keys"),
                 F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias("loose_ends"),
-            )
+            ).select("element", "row_count", per_key.scalar().alias("bad_keys"), "loose_ends")
         )
     result = parts[0]
     for part in parts[1:]:

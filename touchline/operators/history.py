@@ -87,7 +87,7 @@ def value_history_scd2(
     )
     added = moved.select(
         "player_id",
-        F.substring(F.coalesce("player", F.lit("")), 1, 200).alias("player"),
+        F.coalesce("player", F.lit("")).alias("player"),
         "season",
         F.col("market_value_eur").cast("bigint").alias("market_value_eur"),
         today.cast("date").alias("valid_from"),

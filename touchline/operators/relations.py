@@ -37,12 +37,17 @@ def _boundary(part: str, moment: Column) -> Column:
     return F.date_trunc(part, moment)
 
 
-def spine(part: str, start: Column, end: Column) -> Column:
-    """Array of moments from ``start``, one per ``part``; as many as part boundaries lie before ``end``."""
+def _span(part: str, start: Column, end: Column) -> tuple[Column, Column, Column]:
+    """(first moment, last moment, number of part boundaries between them)."""
     if part not in SPINE_PARTS:
         raise ValueError(f"part must be one of {SPINE_PARTS}, got {part!r}")
     first, last = start.cast("timestamp"), end.cast("timestamp")
-    steps = F.timestamp_diff(part.upper(), _boundary(part, first), _boundary(part, last))
+    return first, last, F.timestamp_diff(part.upper(), _boundary(part, first), _boundary(part, last))
+
+
+def spine(part: str, start: Column, end: Column) -> Column:
+    """Array of moments from ``start``, one per ``part``; as many as part boundaries lie before ``end``."""
+    first, last, steps = _span(part, start, end)
     numbers = F.when(steps > 0, F.sequence(F.lit(0).cast("bigint"), steps - 1))
     moments = F.transform(numbers, lambda i: F.timestamp_add(part.upper(), i, first))
     return F.filter(moments, lambda m: m <= last)
@@ -50,8 +55,10 @@ def spine(part: str, start: Column, end: Column) -> Column:
 
 def date_spine(spark: SparkSession, part: str, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> DataFrame:
     """``date_<part>`` from ``start`` up to but without ``end``."""
-    bounds = spark.range(1).select(F.lit(start).alias("s"), F.lit(end).alias("e"))
-    return bounds.select(F.explode(spine(part, F.col("s"), F.col("e"))).alias(f"date_{part}"))
+    first, last, steps = _span(part, F.lit(start), F.lit(end))
+    count = spark.range(1).select(steps.alias("n")).first()["n"] or 0
+    moments = spark.range(max(0, count)).select(F.timestamp_add(part.upper(), F.col("id"), first).alias(f"date_{part}"))
+    return moments.where(F.col(f"date_{part}") <= last)
 
 
 def date_spine_per_row(df: DataFrame, part: str, start: str, end: str) -> DataFrame:

@@ -39,22 +39,28 @@ STAGED_STATS = [
 
 
 def build_match_rows(
-    schedule: DataFrame, focal: str = DEFAULTS.focal_team, league: str = DEFAULTS.league
+    schedule: DataFrame, focal: str = DEFAULTS.focal_team, league: str = DEFAULTS.league, id_length: int | None = None
 ) -> DataFrame:
-    """League matches with a date; the own team's goals go to the side it played on."""
+    """League matches with a date; the own team's goals go to the side it played on.
+
+    The match id is the report's name, or with ``id_length`` the last characters of it; short ids collide as data grow.
+    """
     at_home = F.lower(F.col("venue")) == "home"
     own, other = to_float(F.col("gf")), to_float(F.col("ga"))
     week = F.when(
         F.col("round").contains("Matchweek"),
         safe_bigint(clean(F.replace(F.col("round"), F.lit("Matchweek"), F.lit("")))),
     )
+    game_id = F.coalesce(F.col("match_report"), F.col("date"))
+    if id_length:
+        game_id = F.right(game_id, F.lit(id_length))
     dated = F.col("comp").contains(league) & (F.col("date") != "") & (F.col("date") != "nan")
 
     def sided(home: Column, away: Column) -> Column:
         return F.when(at_home, home).otherwise(away)
 
     return schedule.where(dated).select(
-        F.right(F.coalesce(F.col("match_report"), F.col("date")), F.lit(8)).alias("game_id"),
+        game_id.alias("game_id"),
         "season",
         F.substring("date", 1, 10).alias("date"),
         week.alias("gameweek"),

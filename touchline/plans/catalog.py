@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -14,6 +14,7 @@ from touchline import functions as fn
 from touchline.operators import checks, graph, history, kpis, marts, networks, reads, relations, staging
 from touchline.plans import pipeline
 from touchline.sources import derived, loads, pages, schemas
+from touchline.session import shared_root
 from touchline.sources.tables import rebuild_table, scan_table, write_mart
 
 SEASON = "9697"
@@ -26,10 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for a query that writes, in the shared folder of the session."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"touchline-{name}-")
-    return f"{shared.rstrip('/')}/touchline-{name}-{dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
+    return f"{shared_root(spark)}/touchline-{name}-{uuid.uuid4().hex}"
 
 
 class Season:
@@ -163,32 +161,42 @@ class Network(Season):
             self.players, self.seasons, self.clubs, self.played_in, self.played_with, self.moved
         )
 
+    def pattern(self, edge: str) -> graph.PropertyGraph:
+        """The part of the graph that a pattern over one edge table names; nothing else is built or written."""
+        players = {"Player": graph.Nodes(self.players, "player_id")}
+        if edge == "PlayedWith":
+            ends = graph.Edges(self.played_with, "player_id_a", "player_id_b", "Player", "Player")
+            return graph.PropertyGraph(players, {edge: ends})
+        ends = graph.Edges(self.moved, "player_id", "club_id", "Player", "Club")
+        return graph.PropertyGraph(players | {"Club": graph.Nodes(self.clubs, "club_id")}, {edge: ends})
+
+    @cached_property
+    def transfer_edges(self) -> DataFrame:
+        return networks.transfer_edges_all(self.moved, self.players, self.clubs)
+
     @cached_property
-    def transfer_network(self) -> tuple[DataFrame, DataFrame]:
-        edges = networks.transfer_edges_all(self.moved, self.players, self.clubs)
-        nodes = networks.network_nodes(
+    def transfer_nodes(self) -> DataFrame:
+        return networks.network_nodes(
             networks.transfer_nodes_all(self.moved, self.league, self.squad, self.players),
             networks.club_nodes(self.moved, self.clubs),
             networks.season_nodes(self.seasons),
         )
-        return nodes, edges
 
     @cached_property
-    def written_transfer_network(self) -> tuple[DataFrame, DataFrame]:
-        nodes, edges = self.transfer_network
-        return self.written("nodes", nodes), self.written("edges", edges)
+    def written_edges(self) -> DataFrame:
+        return self.written("edges", self.transfer_edges)
 
     @cached_property
-    def squad_network(self) -> tuple[DataFrame, DataFrame]:
-        return (
-            networks.squad_nodes_season(self.league, self.squad, self.players, SEASON),
-            networks.squad_edges_season(self.played_with, self.players, self.league, SEASON),
-        )
+    def squad_nodes(self) -> DataFrame:
+        return networks.squad_nodes_season(self.league, self.squad, self.players, SEASON)
+
+    @cached_property
+    def squad_edges(self) -> DataFrame:
+        return networks.squad_edges_season(self.played_with, self.players, self.league, SEASON)
 
 
 def _transferred_to(t: Season) -> DataFrame:
-    order = [F.col("fee_eur").desc_nulls_last(), F.col("fee_text"), F.col("direction")]
-    return graph.edge_transferred_to(t.transfers, t.players, latest_by=order)
+    return graph.edge_transferred_to(t.transfers, t.players, latest_by=graph.largest_fee_first())
 
 
 def _on(kind: type[Season], build: Callable[[Season], DataFrame]) -> Query:
@@ -351,16 +359,16 @@ STAGES: dict[str, Callable[[Season], DataFrame]] = {
 
 
 def _search(t: Network, part: int) -> DataFrame:
-    nodes, edges = t.written_transfer_network
-    return networks.search_subgraph(nodes, edges, player="player 11", club="CLUB_33", season="99/00")[part]
+    nodes, edges = t.written("nodes", t.transfer_nodes), t.written_edges
+    return networks.search_subgraph(nodes, edges, player="player 7", season="99/00")[part]
 
 
 def _position(t: Network, part: int) -> DataFrame:
-    return networks.filter_by_position(*t.squad_network, "back")[part]
+    return networks.filter_by_position(t.squad_nodes, t.squad_edges, "back")[part]
 
 
 def _match_edges(t: Network) -> DataFrame:
-    hops = graph.match_edges(t.graph, "TransferredTo", where=F.col("a_position").startswith("Left"))
+    hops = graph.match_edges(t.pattern("TransferredTo"), "TransferredTo", where=F.col("a_position").startswith("Left"))
     return hops.select("a_name", "b_name", "season", "direction", "fee_eur")
 
 
@@ -377,28 +385,28 @@ TABLES: dict[str, Callable[[Season], DataFrame]] = {
 GRAPH: dict[str, Callable[[Network], DataFrame]] = {
     "property_graph": lambda t: graph.graph_problems(t.graph),
     "match_edges": _match_edges,
-    "partnerships": lambda t: networks.partnerships(t.graph, " PLAYER 6", 12),
-    "squad_nodes_season": lambda t: t.squad_network[0],
+    "partnerships": lambda t: networks.partnerships(t.pattern("PlayedWith"), " PLAYER 6", 12),
+    "squad_nodes_season": lambda t: t.squad_nodes,
     "squad_nodes_all": lambda t: networks.squad_nodes_all(t.league, t.squad, t.players),
-    "squad_edges_season": lambda t: t.squad_network[1],
+    "squad_edges_season": lambda t: t.squad_edges,
     "squad_edges_all": lambda t: networks.squad_edges_all(t.played_with, t.players),
     "transfer_nodes_season": lambda t: networks.transfer_nodes_season(t.league, t.squad, t.players, SEASON),
     "transfer_nodes_all": lambda t: networks.transfer_nodes_all(t.moved, t.league, t.squad, t.players),
     "transfer_edges_season": lambda t: networks.transfer_edges_season(
-        t.moved, t.players, t.clubs, t.performance, SEASON
+        t.moved, t.players, t.clubs, t.league, SEASON
     ),
-    "transfer_edges_all": lambda t: t.transfer_network[1],
+    "transfer_edges_all": lambda t: t.transfer_edges,
     "club_nodes": lambda t: networks.club_nodes(t.moved, t.clubs),
     "season_nodes": lambda t: networks.season_nodes(t.seasons),
-    "network_nodes": lambda t: t.transfer_network[0],
+    "network_nodes": lambda t: t.transfer_nodes,
     "seasons_player_nodes": lambda t: networks.seasons_player_nodes(t.played_in, t.league, t.squad, t.players),
     "seasons_edges": lambda t: networks.seasons_edges(t.played_in, t.players),
     "search_subgraph": lambda t: _search(t, 1),
     "search_subgraph_nodes": lambda t: _search(t, 0),
     "filter_by_position": lambda t: _position(t, 1),
     "filter_by_position_nodes": lambda t: _position(t, 0),
-    "neighbours": lambda t: networks.neighbours(t.written_transfer_network[1], "Player 6"),
-    "unknown_position_count": lambda t: networks.unknown_position_count(t.squad_network[0]),
+    "neighbours": lambda t: networks.neighbours(t.written_edges, "Player 6"),
+    "unknown_position_count": lambda t: networks.unknown_position_count(t.squad_nodes),
 }
 
 # -- read queries and reports ---------------------------------------------------------------------

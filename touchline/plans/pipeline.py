@@ -20,6 +20,11 @@ class Step:
     written: bool = True
 
 
+def _one_move_per_key(transfers: DataFrame, players: DataFrame) -> DataFrame:
+    """Transfers with one row per player, club and season, the key that the written table has."""
+    return graph.edge_transferred_to(transfers, players, latest_by=graph.largest_fee_first())
+
+
 STEPS: dict[str, Step] = {
     "stg_matches": Step(staging.stg_matches, ("raw_matches",), written=False),
     "stg_player_stats": Step(staging.stg_player_stats, ("raw_player_stats",), written=False),
@@ -34,7 +39,7 @@ STEPS: dict[str, Step] = {
     "graph_clubs": Step(graph.graph_clubs, ("transfers",), (), ("club_id",)),
     "edge_played_in": Step(graph.edge_played_in, ("player_performance", "graph_players"), (), ("player_id",)),
     "edge_played_with": Step(graph.edge_played_with, ("player_performance", "graph_players"), (), ("player_id_a",)),
-    "edge_transferred_to": Step(graph.edge_transferred_to, ("transfers", "graph_players"), (), ("player_id",)),
+    "edge_transferred_to": Step(_one_move_per_key, ("transfers", "graph_players"), (), ("player_id",)),
 }
 
 

@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Only a local master, where there is one machine, does without the setting.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="touchline-")
+
+
 def get_session(app: str = "touchline", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)

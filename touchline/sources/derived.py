@@ -9,22 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from touchline.functions import season_code, season_of_date, start_year_of
 from touchline.sources.tables import scan_table
 
 # Players per club in the league-wide stats.
 SQUAD_SIZE = 25
-_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. These do not change, so each one's schema is read once."""
-    key = (sf_dir, name)
-    if key not in _schemas:
-        _schemas[key] = scan_table(spark, sf_dir, name).schema
-    return scan_table(spark, sf_dir, name, schema=_schemas[key])
+    return scan_table(spark, sf_dir, name)
 
 
 def _text(c: Column) -> Column:
@@ -262,13 +256,13 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run log events: a start per user and day, and a finish for days with a purchase or an error."""
     e = given_table(spark, sf_dir, "events")
     kind = F.col("event_type")
-    return e.where(kind.isin("signup", "purchase", "error")).select(
+    return e.select(
         F.concat_ws("-", "user_id", F.col("ts").cast("date").cast("string")).alias("run_id"),
         F.concat(F.lit("pipeline_"), _text(F.col("user_id") % 5)).alias("pipeline"),
         season_of_date(F.col("ts")).alias("season"),
         "event_id",
         F.col("ts").alias("at"),
-        F.when(kind == "signup", "start").otherwise("finish").alias("event"),
+        F.when(kind == "signup", "start").when(kind.isin("purchase", "error"), "finish").otherwise("other").alias("event"),
         F.when(kind == "purchase", "success").when(kind == "error", "failed").alias("status"),
         F.when(kind == "error", F.concat(F.lit("error "), F.col("props"))).alias("error_msg"),
         F.when(kind == "purchase", F.floor("value")).alias("rows_written"),

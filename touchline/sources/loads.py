@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -15,10 +15,6 @@ from touchline.functions import blank_to_null, safe_double
 from touchline.plans.skew import first_rows
 from touchline.sources.tables import rebuild_table, write_mart
 
-# Longest texts the run log keeps.
-RUN_TEXT_LIMITS = {"pipeline": 64, "season": 16, "status": 32, "error_msg": 8192}
-
-
 def replace_partitions(target: DataFrame, batch: DataFrame, key: str = "season") -> DataFrame:
     """The target with every partition that occurs in the batch replaced by the batch's rows."""
     loaded = batch.select(key).distinct()
@@ -104,15 +100,20 @@ def mark_partition_done(
     return merge_upsert(ledger, loaded, ["season"])
 
 
-def run_log(events: DataFrame) -> DataFrame:
-    """One row per run from its start and finish events: 'running' until the last finish event tells."""
+def run_log(events: DataFrame, limits: Mapping[str, int] | None = None) -> DataFrame:
+    """One row per run from its start and finish events: 'running' until the last finish event tells.
+
+    Events of other kinds do not matter. ``limits`` gives the longest texts to keep per column, for stores that
+    bound them; without it texts stay whole.
+    """
+    limits = limits or {}
     starting, finishing = F.col("event") == "start", F.col("event") == "finish"
     started = F.min(F.when(starting, F.struct("at", "event_id", "pipeline", "season")))
     last = F.max(F.when(finishing, F.struct("at", "event_id", "status", "error_msg", "rows_written")))
     runs = events.groupBy("run_id").agg(started.alias("s"), last.alias("f")).where(F.col("s").isNotNull())
 
     def cut(c: Column, name: str) -> Column:
-        return F.substring(c, 1, RUN_TEXT_LIMITS[name]).alias(name)
+        return (F.substring(c, 1, limits[name]) if name in limits else c).alias(name)
 
     finished = F.col("f").isNotNull()
     empty = F.lit("")
@@ -147,16 +148,16 @@ def upsert_path(
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        write_mart(batch if not order_by else first_rows(batch, keys, order_by), path, [partition_by], cluster_by)
+        # The first load follows the same rules for repeated keys.
+        merged = merge_upsert(batch.limit(0), batch, keys, order_by=order_by)
+        write_mart(merged, path, [partition_by], cluster_by)
         return
-    touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
-    if not touched:
+    if batch.isEmpty():
         return
-    wanted = F.col(partition_by).isin([t for t in touched if t is not None])
-    if None in touched:
-        wanted = wanted | F.col(partition_by).isNull()
+    touched = batch.select(F.col(partition_by).alias("_touched")).distinct()
+    target = target.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
     staging = f"{path.rstrip('/')}__merge_{uuid.uuid4().hex}"
-    merged = merge_upsert(target.where(wanted), batch, keys, order_by=order_by)
+    merged = merge_upsert(target, batch, keys, order_by=order_by)
     rebuild_table(merged, staging)
     ready = spark.read.schema(batch.schema).parquet(staging)
     write_mart(ready, path, [partition_by], cluster_by, touched_only=True)
