@@ -23,7 +23,6 @@ import sys
 import types
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,9 +39,9 @@ from touchline.llm.common import BLANKS, PRIME, Hasher, chunks_of, mix, partitio
 from touchline.llm.warc import open_folder
 
 END_ID = 0
-SHARD_TOKENS = 8 << 20
+SHARD_TOKENS = 4 << 20
 BLOCK_BITS = 1 << 16
-KEPT_PIECES = 300_000
+KEPT_PIECES = 400_000
 KEPT_BYTES = 48
 RUN_BYTES = 4 << 20
 MAGIC = b"WMTK0001"
@@ -127,15 +126,26 @@ class Encoder:
         for i in absent:
             found[i] = self.older.get(pieces[i])
         new = [i for i in absent if found[i] is None]
-        texts = [pieces[i].decode() for i in new]
-        words = [(i, t) for i, t in zip(new, texts, strict=True) if t[0] == " " and t[1:].isalpha()]
         tokenize, table, blank = self.tokenizer.model.tokenize, self.byte_letters, chr(self.byte_letters[0x20])
-        for i, t in words:  # one blank and letters: a single unit of the byte-level rules
-            written = blank + t[1:] if t.isascii() else pieces[i].decode("latin-1").translate(table)
-            found[i] = array("I", [x.id for x in tokenize(written)]).tobytes()
-        rest = [(i, t) for i, t in zip(new, texts, strict=True) if found[i] is None]
-        for (i, _), ids in zip(rest, self._ids([t for _, t in rest]), strict=True):
-            found[i] = array("I", ids).tobytes()
+        flat: list[int] = []
+        ends, rest = [], []
+        for i in new:  # one blank and letters are a single unit of the byte-level rules, which the model takes directly
+            piece = pieces[i]
+            if piece[0] == 0x20 and piece[1:].isalpha():
+                flat += [t.id for t in tokenize(blank + piece[1:].decode())]
+            elif piece[0] == 0x20 and piece[1:].decode().isalpha():
+                flat += [t.id for t in tokenize(piece.decode("latin-1").translate(table))]
+            else:
+                rest.append(i)
+                continue
+            ends.append((i, len(flat)))
+        for i, ids in zip(rest, self._ids([pieces[i].decode() for i in rest]), strict=True):
+            flat += ids
+            ends.append((i, len(flat)))
+        data, begin = np.array(flat, np.uint32).tobytes(), 0
+        for i, end in ends:
+            found[i] = data[4 * begin : 4 * end]
+            begin = end
         self.newer.update((pieces[i], found[i]) for i in absent if len(pieces[i]) <= KEPT_BYTES)
         if len(self.newer) > KEPT_PIECES:
             self.older, self.newer = self.newer, {}
