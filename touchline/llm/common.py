@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.session import shared_root
+
 # Word separators as a byte table: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 PRIME = 0x9E3779B97F4A7C15
@@ -18,12 +19,9 @@ CHUNK_BYTES = 1 << 21
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the setting is absent (tests on one machine) a temporary folder takes its place.
+    Where the setting is absent and the master is local, a temporary folder takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="touchline-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
