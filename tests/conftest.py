@@ -10,11 +10,15 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from touchline import get_session
 
+    shared = f"file://{tmp_path_factory.mktemp('shared')}"
+
     session = get_session(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"}
+        "tests", "local[8]", **{
+            "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.checkpoint.dir": shared,
+        }
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
