@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import values
-from touchline.operators import graph, history, networks
+from touchline.operators import checks, graph, history, networks
 from touchline.plans import pipeline
 from touchline.sources import derived, loads, pages, schemas, tables
 from touchline.sources.markup import parse
@@ -215,3 +215,24 @@ def test_first_load_follows_the_rules_of_later_ones(rows, spark, tmp_path):
     assert values(back, "season", "player", "v") == [("a", "x", 9), (None, "y", 3), (None, "z", 4)]
     loads.upsert_path(spark, path, rows([], cols), ["season", "player"])
     assert spark.read.schema(cols).parquet(path).count() == 3
+
+
+def test_checks_go_on_after_a_table_that_cannot_be_read(rows, spark, tmp_path):
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    bad = spark.read.schema("v int").parquet(str(tmp_path / "bad"))
+    good, empty = rows([(1,), (None,), (70,)], "v int"), rows([], "v int")
+    report = checks.run_checks(spark, [
+        checks.Check("null", "bad", bad, row=F.col("v").isNull()),
+        checks.Check("unique", "bad", bad, lambda d: checks.check_unique(d, "v")),
+        checks.Check("null", "good", good, row=F.col("v").isNull()),
+        checks.Check("range", "good", good, row=~F.col("v").between(0, 60), severity="warn", where="v is not null"),
+        checks.Check("unique", "good", good, lambda d: checks.check_unique(d, "v")),
+        checks.Check("null", "none", empty, row=F.col("v").isNull(), warn_when_empty=True),
+        checks.Check("null", "lost", lambda: spark.read.parquet(str(tmp_path / "lost")), row=F.col("v").isNull()),
+    ])
+    assert [tuple(r) for r in report.collect()] == [
+        ("null", "bad", None, "unreadable"), ("unique", "bad", None, "unreadable"), ("null", "good", 1, "fail"),
+        ("range", "good", 1, "warn"), ("unique", "good", 0, "pass"), ("null", "none", 0, "warn"),
+        ("null", "lost", None, "unreadable"),
+    ]

@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -350,41 +351,93 @@ def equality_failures() -> Column:
 
 @dataclass(frozen=True)
 class Check:
-    """A check of a table. ``table`` may be a function, so that a failing read fails only this check."""
+    """A check of a table: ``row``, true for failing rows, or ``failing``, which returns the failing rows.
+
+    ``source`` may be a function, so that a failing read fails only the checks of that table.
+    """
 
     name: str
     table: str
     source: DataFrame | Callable[[], DataFrame]
-    failing: Callable[[DataFrame], DataFrame]
+    failing: Callable[[DataFrame], DataFrame] | None = None
     where: str | None = None
     severity: str = "error"
     error_if: str = "!= 0"
     warn_if: str = "!= 0"
     failures: Column | None = field(default=None)
     warn_when_empty: bool = False
+    row: Column | None = field(default=None)
 
 
-def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
-    """(check, table, failures, status) of all checks as one query."""
+REPORT = "check string, table string, failures bigint, status string"
+
+
+def _status(c: Check, empty: Column) -> Column:
+    status = F.when(empty, "warn") if c.warn_when_empty else F.when(F.lit(False), "")
+    if c.severity == "error":
+        status = status.when(F.expr(f"failures {c.error_if}"), "fail")
+    return status.when(F.expr(f"failures {c.warn_if}"), "warn").otherwise("pass").alias("status")
+
+
+def _row_checks(source: DataFrame, group: Sequence[Check]) -> DataFrame:
+    """All row checks of a table in one aggregation."""
+    counts = []
+    for i, c in enumerate(group):
+        bad = F.coalesce(c.row, F.lit(False))
+        counts.append(F.count_if(bad & F.expr(c.where) if c.where else bad).alias(f"_f{i}"))
+    totals = source.agg(F.count("*").alias("_rows"), *counts)
+    listed = [
+        F.struct(F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), F.col(f"_f{i}").alias("failures"), F.lit(i).alias("_i"))
+        for i, c in enumerate(group)
+    ]
+    rows = totals.select("_rows", F.inline(F.array(*listed)))
+    empty = F.col("_rows") == 0
+    status = F.coalesce(*[F.when(F.col("_i") == i, _status(c, empty)) for i, c in enumerate(group)])
+    return rows.select("check", "table", "failures", status.alias("status"))
+
+
+def _one_check(source: DataFrame, c: Check) -> DataFrame:
+    failing = c.failing(source.where(c.where) if c.where else source)
+    counted = failing.agg((F.count("*") if c.failures is None else c.failures).cast("bigint").alias("failures"))
+    empty = F.lit(False)
+    if c.warn_when_empty:
+        counted = counted.withColumn("_first", source.limit(1).agg(F.count("*").alias("n")).scalar())
+        empty = F.col("_first") == 0
+    return counted.select(F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), "failures", _status(c, empty))
 
-    def row(c: Check) -> DataFrame:
+
+def _unreadable(spark: SparkSession, group: Sequence[Check]) -> DataFrame:
+    return spark.createDataFrame([(c.name, c.table, None, "unreadable") for c in group], REPORT)
+
+
+def _report(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
+    parts, grouped = [], {}
+    for c in checks:
+        grouped.setdefault(id(c.source), []).append(c)
+    for group in grouped.values():
         try:
-            source = c.source() if callable(c.source) else c.source
-            failing = c.failing(source.where(c.where) if c.where else source)
+            source = group[0].source() if callable(group[0].source) else group[0].source
+            of_rows = [c for c in group if c.row is not None]
+            own = [_row_checks(source, of_rows)] if of_rows else []
+            parts += own + [_one_check(source, c) for c in group if c.row is None]
         except AnalysisException:
-            return spark.range(1).select(
-                F.lit(c.name).alias("check"), F.lit(c.table).alias("table"),
-                F.lit(None).cast("bigint").alias("failures"), F.lit("unreadable").alias("status"),
-            )
-        count = F.count("*") if c.failures is None else c.failures
-        counted = failing.agg(count.cast("bigint").alias("failures"))
-        status = F.when(F.expr(f"failures {c.error_if}"), "fail") if c.severity == "error" else F.when(F.lit(False), "")
-        status = status.when(F.expr(f"failures {c.warn_if}"), "warn")
-        if c.warn_when_empty:
-            counted = counted.withColumn("_first", source.limit(1).agg(F.count("*").alias("n")).scalar())
-            status = status.when(F.col("_first") == 0, "warn")
-        return counted.select(
-            F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), "failures", status.otherwise("pass").alias("status")
-        )
-
-    return reduce(lambda a, b: a.unionByName(b), [row(c) for c in checks])
+            parts.append(_unreadable(spark, group))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
+    """(check, table, failures, status) of all checks, one row each.
+
+    All row checks of a table share one pass over it. The report is worked out as one query; if anything cannot be
+    read, then or while running, each check runs alone and those of unreadable tables say so.
+    """
+    try:
+        rows = [tuple(r) for r in _report(spark, checks).collect()]
+    except (PySparkException, Py4JJavaError):
+        rows = []
+        for c in checks:
+            try:
+                rows += [tuple(r) for r in _report(spark, [c]).collect()]
+            except (PySparkException, Py4JJavaError):
+                rows.append((c.name, c.table, None, "unreadable"))
+    return spark.createDataFrame(rows, REPORT)

@@ -663,11 +663,11 @@ def contract(t: Season) -> list[checks.Check]:
     values = m["player_values"]
 
     def not_null(table: str, df: DataFrame, *cols: str) -> list[checks.Check]:
-        return [checks.Check(f"not_null_{c}", table, df, lambda d, c=c: checks.check_not_null(d, c)) for c in cols]
+        return [checks.Check(f"not_null_{c}", table, df, row=F.col(c).isNull()) for c in cols]
 
     def in_range(table: str, df: DataFrame, col: str, top: int) -> checks.Check:
         return checks.Check(
-            f"range_{col}", table, df, lambda d: checks.check_accepted_range(d, col, 0, top), severity="warn"
+            f"range_{col}", table, df, row=~F.col(col).between(0, top), severity="warn"
         )
 
     def one_per(table: str, df: DataFrame, *cols: str) -> checks.Check:
