@@ -414,7 +414,7 @@ def test_contamination(spark, docs, empty, shard):
 def test_contamination_blocks_and_written_index(spark, docs, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     want = bag(brute.contamination(DOCS, ITEMS))
-    index = fmindex.build_index(docs, shard_words=500)
+    index = fmindex.build_index(docs, shard_words=500).withColumn("shard", F.monotonically_increasing_id())
     (phrases,) = fmindex.phrase_blocks(items, "item_id", "text", 13)
     assert bag(fmindex.judged(fmindex.search_index(index, phrases)).collect()) == want
     monkeypatch.setattr(fmindex, "PHRASE_BYTES", 100)

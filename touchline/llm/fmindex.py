@@ -15,15 +15,18 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of
+from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, stored
 
 SHARD_WORDS = 1 << 20
 SAMPLE = 16
@@ -288,9 +291,10 @@ def _given(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
 
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row per shard: keys, the place of each key's text, and the index. Write it to search it again later."""
-    given, kind = _given(docs, key, text)
-    schema = f"keys array<{kind}>, places array<int>, index binary"
-    arrow = pa.schema([("keys", pa.list_(_arrow(docs, key))), ("places", pa.list_(pa.int32())), ("index", pa.binary())])
+    given = _given(docs, key, text)
+    fields = T.StructType.fromDDL("places array<int>, index binary").fields
+    schema = T.StructType([T.StructField("keys", T.ArrayType(docs.schema[key].dataType)), *fields])
+    arrow = to_arrow_schema(schema)
 
     def build(batches):
         for keys, places, index in shards(batches, shard_words):
@@ -299,15 +303,9 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_
     return given.mapInArrow(build, schema)
 
 
-def _arrow(docs: DataFrame, key: str) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(docs.schema[key].dataType)
-
-
-def phrase_blocks(items: DataFrame, key: str, text: str, window: int, most: int = PHRASE_BYTES) -> Iterator[Phrases]:
+def phrase_blocks(items: DataFrame, key: str, text: str, window: int, most: int | None = None) -> Iterator[Phrases]:
     """The benchmark's windows in blocks of bounded size, read one partition at a time."""
-    block, size = [], 0
+    block, size, most = [], 0, most or PHRASE_BYTES
     rows = items.select(F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
     for name, words in rows.toLocalIterator():
         words = words.encode()
@@ -319,23 +317,23 @@ def phrase_blocks(items: DataFrame, key: str, text: str, window: int, most: int
     yield Phrases(block, window)
 
 
-RESULT = "n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
+FOUND = "n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
 
 
-def _found(keys: list, places: list[int], index: ShardIndex, phrases: Phrases, arrow: pa.Schema) -> pa.RecordBatch:
+def _found(keys: list, places: list[int], index: ShardIndex, phrases: Phrases, arrow: pa.Schema, *more: list) -> pa.RecordBatch:
     hits = phrases.hits(index)
     lengths = np.diff(index.first)
     spans = [[{"start": a, "end": b} for a, b in hits.get(p, ((), ()))[0]] for p in places]
-    columns = [keys, lengths[np.array(places, np.int64)].tolist(), spans, [hits.get(p, ((), []))[1] for p in places]]
+    columns = [keys, lengths[np.array(places, np.int64)].tolist(), spans, [hits.get(p, ((), []))[1] for p in places], *more]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
 
-def _schemas(docs: DataFrame, key: str) -> tuple[str, pa.Schema]:
-    from pyspark.sql.pandas.types import to_arrow_schema
+def _result(kind: T.DataType, more: str = "") -> T.StructType:
+    return T.StructType([T.StructField("key", kind), *T.StructType.fromDDL(FOUND + more).fields])
+
 
-    schema = T.StructType([T.StructField("key", docs.schema[key].dataType)])
-    full = T.StructType(schema.fields + T._parse_datatype_string(RESULT).fields)
-    return full, to_arrow_schema(full)
+def _given(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
 
 
 def find_contamination(
@@ -345,30 +343,48 @@ def find_contamination(
     """One row per document: key, n_words, merged hit spans [start, end) in words, and the items that occur in it.
 
     A window is ``window`` consecutive words of an item, or the whole of a shorter item. The documents are indexed
-    and searched in the same pass; a benchmark above ``PHRASE_BYTES`` is searched in blocks, whose spans are merged.
+    and searched in the same pass. For a benchmark above ``PHRASE_BYTES`` the index is written once and searched
+    for one block of items after the other, and the findings of a document are merged.
     """
-    given, _ = _given(docs, key, text)
-    schema, arrow = _schemas(docs, key)
-    blocks = list(phrase_blocks(items, item_key, item_text, window))
+    blocks = phrase_blocks(items, item_key, item_text, window)
+    phrases, more = next(blocks), next(blocks, None)
+    if more is not None:
+        return _in_blocks(docs, itertools.chain([phrases, more], blocks), key, text, shard_words)
+    schema = _result(docs.schema[key].dataType)
+    arrow = to_arrow_schema(schema)
 
-    def search(batches, blocks=blocks):
+    def search(batches):
         for keys, places, index in shards(batches, shard_words):
-            if len(blocks) == 1:
-                yield _found(keys, places, index, blocks[0], arrow)
-                continue
-            parts = [_found(keys, places, index, b, arrow).to_pylist() for b in blocks]
-            rows = [
-                {**same[0], "spans": merged([s for r in same for s in r["spans"]]), "items": sorted({i for r in same for i in r["items"]})}
-                for same in zip(*parts, strict=True)
-            ]
+            yield _found(keys, places, index, phrases, arrow)
+
+    return _given(docs, key, text).mapInArrow(search, schema)
+
+
+def _in_blocks(docs: DataFrame, blocks: Iterator[Phrases], key: str, text: str, shard_words: int) -> DataFrame:
+    index = build_index(docs, key, text, shard_words).withColumn("shard", F.monotonically_increasing_id())
+    index = stored(index, "fm-index")
+    parts = [stored(search_index(index, phrases), "fm-found") for phrases in blocks]
+    every = reduce(lambda a, b: a.unionByName(b), parts)
+    together = every.groupBy("shard", "at").agg(
+        F.first("key").alias("key"), F.first("n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    schema = _result(docs.schema[key].dataType)
+    arrow = to_arrow_schema(schema)
+
+    def merge(batches):
+        for batch in batches:
+            rows = [{**row, "spans": merged(row["spans"])} for row in batch.to_pylist()]
             yield pa.RecordBatch.from_pylist(rows, arrow)
 
-    return given.mapInArrow(search, schema)
+    return together.select("key", "n_words", "spans", "items").mapInArrow(merge, schema)
 
 
 def merged(spans: list[dict]) -> list[dict]:
+    """Sorted spans without overlaps."""
     out: list[dict] = []
-    for s in sorted(spans, key=lambda s: (s["start"], s["end"])):
+    for s in spans:
         if out and s["start"] <= out[-1]["end"]:
             out[-1]["end"] = max(out[-1]["end"], s["end"])
         else:
@@ -377,19 +393,18 @@ def merged(spans: list[dict]) -> list[dict]:
 
 
 def search_index(index: DataFrame, phrases: Phrases) -> DataFrame:
-    """The same rows from a written index (see :func:`build_index`)."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    kind = index.schema["keys"].dataType.elementType
-    schema = T.StructType([T.StructField("key", kind)] + T._parse_datatype_string(RESULT).fields)
+    """The same rows from a written index with shard numbers, and each row's ``shard`` and place ``at`` in it."""
+    schema = _result(index.schema["keys"].dataType.elementType, ", shard bigint, at int")
     arrow = to_arrow_schema(schema)
 
     def search(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                yield _found(row["keys"], row["places"], ShardIndex.load(row["index"]), phrases, arrow)
+                n = len(row["keys"])
+                numbers = [row["shard"]] * n, list(range(n))
+                yield _found(row["keys"], row["places"], ShardIndex.load(row["index"]), phrases, arrow, *numbers)
 
-    return index.select("keys", "places", "index").mapInArrow(search, schema)
+    return index.select("keys", "places", "index", "shard").mapInArrow(search, schema)
 
 
 def judged(found: DataFrame) -> DataFrame:
