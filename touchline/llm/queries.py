@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from touchline.llm import statements
 from touchline.llm.fmindex import op9_fm_decontamination
 from touchline.llm.jaccard import op7_jaccard_join
 from touchline.llm.licenses import op2_license_scan
@@ -25,4 +26,8 @@ QUERIES = {
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_rule_quality": op10_rule_quality,
 }
-SQL: dict[str, str] = {}
+SQL = {
+    "op5_substring_dedup": statements.SUBSTRINGS,
+    "op7_jaccard_join": statements.JACCARD,
+    "op9_fm_decontamination": statements.CONTAMINATION,
+}
