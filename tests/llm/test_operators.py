@@ -328,7 +328,6 @@ def merged_ids(rows):
 @pytest.mark.parametrize("hot", [64, 2])
 def test_jaccard(spark, docs, empty, monkeypatch, hot):
     monkeypatch.setattr(jaccard, "GROUP", hot)
-    monkeypatch.setattr(jaccard, "LARGE", 32 if hot > 2 else 1)
     assert merged_ids(jaccard.near_copies(docs).collect()) == merged_ids(brute.jaccard(DOCS))
     assert jaccard.near_copies(empty).count() == 0
 
@@ -336,8 +335,6 @@ def test_jaccard(spark, docs, empty, monkeypatch, hot):
 @pytest.mark.parametrize("hot", [64, 3])
 def test_jaccard_near_the_threshold(spark, monkeypatch, hot):
     monkeypatch.setattr(jaccard, "GROUP", hot)
-    monkeypatch.setattr(jaccard, "WINDOW", 4)
-    monkeypatch.setattr(jaccard, "LARGE", 32 if hot > 3 else 2)
     r, rows = random.Random(7), []
     for size in (3, 4, 5, 6, 7, 8, 9, 12, 17, 30, 33, 70, 130):
         base = [f"{size}w{k}" for k in range(size + 4)]

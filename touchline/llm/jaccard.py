@@ -13,11 +13,9 @@ agreeing ranges are hot for both. It is taken out of the hot groups, and only th
 frequent passages stay there. No similar pair is lost.
 
 Signature groups are not expanded into pairs. First every set is compared with the smallest members of its groups,
-and connected components are formed. Then, for a round or two, the sets of large groups are compared with the nearest of some
-members in other components, so that large groups of near copies hang together. In the end all members of a group
-that are still in different components are compared. Before each comparison stands a parity sketch of the set: the
-number of different bits is at most the number of different elements. A pair that several signatures find is
-compared once, and exactly, on the texts.
+and connected components are formed. Then the members of a group that are still in different components are compared, all of them.
+Before each comparison stands a parity sketch of the set: the number of different bits is at most the number of
+different elements. A pair that several signatures find is compared once, and exactly, on the texts.
 
 Shuffles carry packed signatures with 16-byte names of sets; equal sets are one name and one node.
 
@@ -38,13 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, repeated, rows, slices, used
+from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, grouped_positions, repeated, rows, slices, used
 from touchline.llm.common import SPLIT_LOWER, Hasher, chunks_of, components, mix, partitions, rolling, stored
 
 SHINGLE = 5
 TOP_LOAD = 2.0  # mean elements per range at the upper end of a band; below 2.8, so that filled ranges exceed a third
-ROUNDS = 2  # at most so many rounds of nearest members
-LARGE, WINDOW = 32, 16  # a round takes the groups above so many members, and looks at so many for each of them
 GROUP = 64  # sets per signature beyond which it is hot
 REF_BITS, BAND_BITS = 16, 5  # a packed signature is 43 bits of hash, the band, and a reference into the block's names
 
@@ -131,13 +127,15 @@ INFO = pa.schema(
     ]
 )
 BLOCKS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("names", pa.binary())])
-GROUPS = pa.schema(
+# What the signature groups of a bucket send on, by kind: "group" (names of its members), "star" and "inside" (packed
+# pairs and members, for the task ``to``), "hot" (a set's number of hot ranges) and "hot group" (with its signature).
+SENT = pa.schema(
     [
-        ("bucket", pa.int32()), ("member", pa.binary()), ("leader", pa.binary()), ("members", pa.binary()),
-        ("band", pa.int32()), ("hot", pa.int32()),
+        ("kind", pa.string()), ("bucket", pa.int32()), ("to", pa.int32()), ("names", pa.binary()),
+        ("data", pa.binary()), ("band", pa.int32()), ("hot", pa.int32()),
     ]
 )
-GROUPS_DDL = "bucket int, member binary, leader binary, members binary, band int, hot int"
+SENT_DDL = "kind string, bucket int, to int, names binary, data binary, band int, hot int"
 PAIRS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
@@ -190,25 +188,38 @@ def send_signatures(buckets: int):
     return send
 
 
-def _as_groups(bucket: int, listed: Names, owner: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Star rows (member, leader) and distinct groups, for numbers in the order of the names."""
+def packed_pairs(a: np.ndarray, b: np.ndarray, names: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(task, names, pairs as places in them) for pairs of numbers; equal pairs of names come to the same task."""
+    marks = np.frombuffer(names.tobytes(), np.uint64).reshape(-1, 2)[:, 0]
+    for to, (x, y) in by_bucket(buckets_of(mix(marks[a] + np.uint64(3) * marks[b]), buckets), a, b):
+        ref, own = used(np.concatenate([x, y]), names)
+        yield to, own, ref.tobytes()
+
+
+def _as_groups(bucket: int, listed: Names, owner: np.ndarray, count: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Stars, members and distinct groups, for numbers in the order of the names."""
     if not len(owner):
         return
-    head = np.cumsum(count) - count
+    names, head = listed.array(), np.cumsum(count) - count
     leader = np.repeat(owner[head], count)
-    pair = np.unique((owner << 32 | leader)[owner != leader])
-    stars = [(bucket, listed[p >> 32], listed[p & 0xFFFFFFFF], None, None, None) for p in pair.tolist()]
-    yield from rows(GROUPS, stars)
-    alone = np.unique(leader).tolist()  # leaders are members as well
-    yield from rows(GROUPS, [(bucket, listed[m], None, None, None, None) for m in alone])
+    pair = np.unique((leader << 32 | owner)[owner != leader])
+    stars = packed_pairs(pair >> 32, pair & 0xFFFFFFFF, names, buckets)
+    yield from rows(SENT, [("star", bucket, to, own, ref, None, None) for to, own, ref in stars])
+    inside = np.unique(owner)
+    marks = np.frombuffer(names.tobytes(), np.uint64).reshape(-1, 2)[:, 0]
+    sent = by_bucket(buckets_of(mix(marks[inside]), buckets), inside)
+    yield from rows(SENT, [("inside", bucket, to, names[own].tobytes(), None, None, None) for to, (own,) in sent])
     mark = np.add.reduceat(mix(owner.astype(np.uint64) + np.uint64(1)), head)
     _, kept = np.unique(mark + count.astype(np.uint64), return_index=True)
-    joined = listed.array()
-    out = [(bucket, None, None, joined[owner[head[k] : head[k] + count[k]]].tobytes(), None, None) for k in kept.tolist()]
-    yield from rows(GROUPS, out, 512)
+    out = [("group", bucket, None, names[owner[head[k] : head[k] + count[k]]].tobytes(), None, None, None) for k in kept.tolist()]
+    yield from rows(SENT, out, 512)
+
+
+def groups(buckets: int):
+    return lambda batches: _groups(batches, buckets)
 
 
-def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _groups(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """One task's signature groups, and of the hot ones their members with the number of hot ranges per band."""
     blocks = [row for batch in batches for row in batch.to_pylist()]
     bucket = blocks[0]["bucket"] if blocks else 0
@@ -230,32 +241,70 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.diff(np.concatenate([head, [len(sig)]]))
     band = (sig & np.uint64((1 << BAND_BITS) - 1)).astype(np.int64)
     each = np.repeat(count, count)
-    yield from _as_groups(bucket, listed, owner[(each > 1) & (each <= GROUP)], count[(count > 1) & (count <= GROUP)])
+    yield from _as_groups(bucket, listed, owner[(each > 1) & (each <= GROUP)], count[(count > 1) & (count <= GROUP)], buckets)
     hot = each > GROUP
     if hot.any():
         marked, often = np.unique(owner[hot] << BAND_BITS | band[hot], return_counts=True)
         mask = (1 << BAND_BITS) - 1
-        out = [(bucket, listed[m >> BAND_BITS], None, None, m & mask, k) for m, k in zip(marked.tolist(), often.tolist(), strict=True)]
-        yield from rows(GROUPS, out)
+        out = [("hot", bucket, None, listed[m >> BAND_BITS], None, m & mask, k) for m, k in zip(marked.tolist(), often.tolist(), strict=True)]
+        yield from rows(SENT, out)
         joined = listed.array()
         for h, c in zip(head[count > GROUP].tolist(), count[count > GROUP].tolist(), strict=True):
             for i in range(h, h + c, 1 << 16):  # long groups in parts: the signature holds them together
                 part = owner[i : min(i + (1 << 16), h + c)]
-                yield from rows(GROUPS, [(bucket, None, sig[h].tobytes(), joined[part].tobytes(), int(band[h]), c)])
+                yield from rows(SENT, [("hot group", bucket, None, joined[part].tobytes(), sig[h].tobytes(), int(band[h]), c)])
+
+
+def of_unsafe(buckets: int):
+    def run(key, hot: pa.Table, unsafe: pa.Table) -> pa.Table:
+        """The hot groups of a bucket without the sets that are found elsewhere."""
+        listed = Names(unsafe.column("member").to_pylist())
+        number = {listed[i]: i for i in range(len(listed))}
+        keep = set(zip(unsafe.column("member").to_pylist(), unsafe.column("band").to_pylist(), strict=True))
+        parts: dict[bytes, list[int]] = {}
+        for sig, blob, band in zip(*(hot.column(c).to_pylist() for c in ("sig", "sets", "level")), strict=True):
+            own = (blob[i : i + DIGEST] for i in range(0, len(blob), DIGEST))
+            parts.setdefault(sig, []).extend(number[m] for m in own if (m, band) in keep)
+        left = [np.unique(np.array(p, np.int64)) for p in parts.values() if len(p) > 1]
+        count = np.array([len(p) for p in left], np.int64)
+        return pa.Table.from_batches(list(_as_groups(key[0].as_py(), listed, concat(left, np.int64), count, buckets)), SENT)
+
+    return run
+
+
+PLACES = pa.schema([("name", pa.binary()), ("buckets", pa.list_(pa.int32()))])
 
 
-def of_unsafe(key, hot: pa.Table, unsafe: pa.Table) -> pa.Table:
-    """The hot groups of a bucket without the sets that are found elsewhere."""
-    listed = Names(unsafe.column("member").to_pylist())
-    number = {listed[i]: i for i in range(len(listed))}
-    keep = set(zip(unsafe.column("member").to_pylist(), unsafe.column("band").to_pylist(), strict=True))
-    parts: dict[bytes, list[int]] = {}
-    for sig, blob, band in zip(*(hot.column(c).to_pylist() for c in ("sig", "sets", "level")), strict=True):
-        own = (blob[i : i + DIGEST] for i in range(0, len(blob), DIGEST))
-        parts.setdefault(sig, []).extend(number[m] for m in own if (m, band) in keep)
-    left = [np.unique(np.array(p, np.int64)) for p in parts.values() if len(p) > 1]
-    count = np.array([len(p) for p in left], np.int64)
-    return pa.Table.from_batches(list(_as_groups(key[0].as_py(), listed, concat(left, np.int64), count)), GROUPS)
+def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets that each set is a member in."""
+    blocks = [row for batch in batches for row in batch.to_pylist()]
+    names = Names([row["names"] for row in blocks])
+    own = np.repeat([row["own"] for row in blocks], np.diff(names.starts)).astype(np.int64)
+    out = []
+    for n, held in grouped_positions(names.inverse.astype(np.int64), own):
+        out.append((names[n], np.unique(held).tolist()))
+    yield from rows(PLACES, out)
+
+
+MEMBERS = pa.schema(
+    [("own", pa.int32()), ("names", pa.binary()), ("components", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("sketches", pa.binary())]
+)
+MEMBERS_DDL = "own int, names binary, components binary, sizes binary, words binary, sketches binary"
+
+
+def pack_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (name, buckets, component, n, sketch) as one block per bucket."""
+    for batch in batches:
+        names, held, component, size, sketches = (c.to_pylist() for c in batch.columns)
+        listed = np.frombuffer(b"".join(names), f"V{DIGEST}")
+        component, size = np.array(component, np.int64), np.array(size, np.int64)
+        words = np.array([len(x) // 8 for x in sketches], np.int64)
+        who = np.repeat(np.arange(len(names)), [len(h) for h in held])
+        out = []
+        for bucket, (own,) in by_bucket(np.array([b for h in held for b in h], np.int64), who):
+            parts = [a[own].tobytes() for a in (listed, component, size, words)]
+            out.append((bucket, *parts, b"".join([sketches[i] for i in own.tolist()])))
+        yield from rows(MEMBERS, out)
 
 
 def open_pairs(members: np.ndarray, component: np.ndarray, size: np.ndarray, words: np.ndarray, sketches: list, block: int = 256):
@@ -283,90 +332,46 @@ def open_pairs(members: np.ndarray, component: np.ndarray, size: np.ndarray, wor
                         yield from zip(own[p[near]].tolist(), other[q[near]].tolist(), strict=True)
 
 
-def _open_groups(groups_table: pa.Table, members_table: pa.Table):
-    """Names, components, sizes, sketches of a bucket's members, and its groups that span several components."""
-    listed = members_table.column("member").to_pylist()
-    number = {m: i for i, m in enumerate(listed)}
-    component = np.array(members_table.column("component").to_pylist(), np.int64)
-    size = np.array(members_table.column("n").to_pylist(), np.int64)
-    sketches = [np.frombuffer(s, np.uint64) for s in members_table.column("sketch").to_pylist()]
-
-    def spanning():
-        for blob in groups_table.column("sets").to_pylist():
-            own = [number.get(blob[i : i + DIGEST]) for i in range(0, len(blob), DIGEST)]
-            own = np.array([x for x in own if x is not None], np.int64)
-            if len(own) > 1 and (component[own] != component[own[0]]).any():
-                yield own
-
-    return listed, component, size, sketches, spanning()
-
-
-def nearest(seed: int):
-    def run(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
-        """Per bucket: for each member the nearest one of its groups that is in another component.
-
-        Only groups above ``LARGE`` members; each looks at the next ``WINDOW`` in an order that depends on ``seed``.
-        """
-        listed, component, size, sketches, spanning = _open_groups(groups_table, members_table)
-        best, partner = np.full(len(listed), 2.0), np.full(len(listed), -1, np.int64)
-        for own in spanning:
-            if len(own) <= LARGE:
-                continue
-            own = own[np.argsort(mix(own.astype(np.uint64) + np.uint64(seed << 32)))]
-            words = min(len(sketches[m]) for m in own.tolist())
-            stack = np.concatenate([folded(sketches[m][None, :], words) for m in own.tolist()])
-            for shift in range(1, min(WINDOW, len(own) // 2) + 1):
-                other, n, m = np.roll(own, -shift), size[own], np.roll(size[own], -shift)
-                different = np.bitwise_count(stack ^ np.roll(stack, -shift, axis=0)).sum(axis=1, dtype=np.int64)
-                may = (component[own] != component[other]) & may_match(n, m, different)
-                far = different / (n + m)
-                for a, b in ((own, other), (other, own)):
-                    better = may & (far < best[a])
-                    best[a[better]], partner[a[better]] = far[better], b[better]
-        at = np.flatnonzero(partner >= 0).tolist()
-        columns = [pa.array([listed[i] for i in at], pa.binary()), pa.array([listed[partner[i]] for i in at], pa.binary())]
-        return pa.table({"a": columns[0], "b": columns[1], "far": pa.array(best[at], pa.float64())})
-
-    return run
-
-
-PACKED = pa.schema([("bucket", pa.int32()), ("names", pa.binary()), ("pairs", pa.binary())])
-
-
 def cross_pairs(buckets: int):
     def run(key, groups_table: pa.Table, members_table: pa.Table) -> pa.Table:
         """Per bucket: all pairs to compare, from its groups and its members' components, sizes and sketches.
 
-        Several buckets may find a pair; packed blocks take it to one task by its hash.
+        Several buckets may find a pair; packed blocks take it to one task.
         """
-        listed, component, size, sketches, spanning = _open_groups(groups_table, members_table)
-        words = np.array([len(s) for s in sketches], np.int64)
-        names = np.frombuffer(b"".join(listed), f"S{DIGEST}")
-        place = np.argsort(np.argsort(names))  # numbers in the order of the names
+        blocks = members_table.to_pylist()
+        names = np.frombuffer(b"".join(b["names"] for b in blocks), f"S{DIGEST}")
+        component, size, words = (
+            np.frombuffer(b"".join(b[c] for b in blocks), np.int64) for c in ("components", "sizes", "words")
+        )
+        every = np.frombuffer(b"".join(b["sketches"] for b in blocks), np.uint64)
+        order = np.argsort(names)  # numbers in the order of the names
+        ends = np.cumsum(words)
+        sketches = [every[ends[i] - words[i] : ends[i]] for i in order.tolist()]
+        names, component, size, words = names[order], component[order], size[order], words[order]
         found: set[int] = set()
-        for own in spanning:
-            for x, y in open_pairs(own, component, size, words, sketches):
-                found.add(int(place[x]) << 32 | int(place[y]) if place[x] < place[y] else int(place[y]) << 32 | int(place[x]))
-        pairs, names = np.array(sorted(found), np.int64), np.sort(names)
-        a, b = pairs >> 32, pairs & 0xFFFFFFFF
-        marks = np.frombuffer(names.tobytes(), np.uint64).reshape(-1, 2)[:, 0]
-        target = buckets_of(mix(marks[a] + np.uint64(3) * marks[b]), buckets)
-        out = []
-        for bucket, (x, y) in by_bucket(target, a, b):
-            ref, own = used(np.concatenate([x, y]), names.view(f"V{DIGEST}"))
-            out.append((bucket, own, ref.tobytes()))
+        for blob in groups_table.column("sets").to_pylist():
+            wanted = np.frombuffer(blob, f"S{DIGEST}")
+            own = np.minimum(np.searchsorted(names, wanted), max(0, len(names) - 1))
+            own = own[names[own] == wanted] if len(names) else own[:0]
+            if len(own) > 1 and (component[own] != component[own[0]]).any():
+                found.update(min(x, y) << 32 | max(x, y) for x, y in open_pairs(own, component, size, words, sketches))
+        pairs = np.array(sorted(found), np.int64)
+        listed = np.frombuffer(names.tobytes(), f"V{DIGEST}")
+        out = list(packed_pairs(pairs >> 32, pairs & 0xFFFFFFFF, listed, buckets))
         return pa.Table.from_batches(list(rows(PACKED, out)), PACKED)
 
     return run
 
 
+PACKED = pa.schema([("bucket", pa.int32()), ("names", pa.binary()), ("pairs", pa.binary())])
+
+
 def distinct_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each pair of one task's blocks once."""
     blocks = [row for batch in batches for row in batch.to_pylist()]
     names, keys = Names([row["names"] for row in blocks]), []
     for i, row in enumerate(blocks):
-        number = names.block(i)[np.frombuffer(row["pairs"], np.uint32)].astype(np.int64)
-        a, b = number.reshape(2, -1)
+        a, b = names.block(i)[np.frombuffer(row["pairs"], np.uint32)].astype(np.int64).reshape(2, -1)
         keys.append(a << 32 | b)
     keys = np.unique(concat(keys, np.int64))
     yield from rows(PAIRS, [(names[k >> 32], names[k & 0xFFFFFFFF]) for k in keys.tolist()])
@@ -427,52 +432,28 @@ class Join:
         blocks = self.given.where("row is not null").select("text").mapInArrow(
             send_signatures(self.buckets), "bucket int, keys binary, names binary"
         )
-        sent = stored(dealt(blocks, self.buckets).mapInArrow(groups, GROUPS_DDL), "signatures")
-        shared = stored(sent.where("band is null").unionByName(self.hot_groups(sent)), "groups")
-        stars = shared.where("member is not null")
-        first = stars.where("leader is not null").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
+        sent = stored(dealt(blocks, self.buckets).mapInArrow(groups(self.buckets), SENT_DDL), "signatures")
+        shared = stored(sent.where(~F.col("kind").startswith("hot")).unionByName(self.hot_groups(sent)), "groups")
+        stars = shared.where("kind = 'star'").select(F.col("to").alias("bucket"), "names", F.col("data").alias("pairs"))
+        first = dealt(stars, self.buckets).mapInArrow(distinct_pairs, "a binary, b binary")
         sizes = self.nodes.select("name", "n", "sketch")
         both = first.join(sizes.toDF("a", "n_a", "sketch_a"), "a").join(sizes.toDF("b", "n_b", "sketch_b"), "b")
         both = both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(allowed, "a binary, b binary")
         found = stored(self.numbered(self.checked(stored(both, "stars"))), "near")
-        several = shared.where("members is not null").select(F.col("bucket").alias("part"), F.col("members").alias("sets"))
-        inside = stars.select("bucket", "member").distinct()
-        for seed in range(1, ROUNDS + 1):
-            picked = self.meeting(several, inside, found).applyInArrow(nearest(seed), "a binary, b binary, far double")
-            pairs = picked.groupBy("a").agg(F.min_by("b", "far").alias("b"))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            more = stored(self.numbered(self.checked(stored(pairs, "nearest"))), "near")
-            if more.isEmpty():
-                break
-            found = found.unionByName(more)
-        packed = self.meeting(several, inside, found).applyInArrow(
-            cross_pairs(self.buckets), "bucket int, names binary, pairs binary"
-        )
+        packed = self.meeting(shared, found).applyInArrow(cross_pairs(self.buckets), "bucket int, names binary, pairs binary")
         pairs = dealt(packed, self.buckets).mapInArrow(distinct_pairs, "a binary, b binary")
         more = stored(self.checked(stored(pairs, "pairs")), "more")
         return stored(found.unionByName(self.numbered(more)), "links")
 
-    def meeting(self, several: DataFrame, inside: DataFrame, found: DataFrame):
+    def meeting(self, shared: DataFrame, found: DataFrame):
         """The groups of each bucket beside its members as they are connected so far."""
+        inside = shared.where("kind = 'inside'").select(F.col("to").alias("bucket"), "names", F.col("bucket").alias("own"))
+        held = dealt(inside, self.buckets).mapInArrow(places, "name binary, buckets array<int>")
         nodes = self.nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        members = inside.join(nodes.withColumnRenamed("name", "member"), "member")
-        members = members.select(F.col("bucket").alias("own"), "member", "component", "n", "sketch")
-        return several.groupBy("part").cogroup(members.groupBy("own"))
-
-    def hot_groups(self, sent: DataFrame) -> DataFrame:
-        """Hot groups, of those sets only that have too few ranges that are not hot."""
-        counts = sent.where("band is not null and member is not null").select("bucket", "member", "band", "hot")
-        hot = counts.groupBy("member", "band").agg(F.sum("hot").alias("hot"))
-        filled = self.nodes.select(F.col("name").alias("member"), "n", F.posexplode("filled").alias("place", "filled"))
-        low = F.length(F.bin("n")) - 1
-        unsafe = hot.join(filled.withColumn("band", low + F.col("place")), ["member", "band"]).where(
-            "filled - hot <= floor(n / 3)"
-        )
-        left = counts.select("bucket", "member", "band").join(unsafe.select("member", "band"), ["member", "band"])
-        groups_ = sent.where("band is not null and members is not null").select(
-            F.col("bucket").alias("part"), F.col("leader").alias("sig"), F.col("members").alias("sets"), F.col("band").alias("level")
-        )
-        return groups_.groupBy("part").cogroup(left.groupBy("bucket")).applyInArrow(of_unsafe, GROUPS_DDL)
+        members = held.join(nodes, "name").select("name", "buckets", "component", "n", "sketch")
+        blocks = members.mapInArrow(pack_members, MEMBERS_DDL)
+        several = shared.where("kind = 'group'").select(F.col("bucket").alias("part"), F.col("names").alias("sets"))
+        return several.groupBy("part").cogroup(blocks.groupBy("own"))
 
     def numbered(self, pairs: DataFrame) -> DataFrame:
         a = self.nodes.select(F.col("name").alias("a"), F.col("node").alias("node_a"))
@@ -481,7 +462,6 @@ class Join:
 
     def checked(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs of names whose sets are similar, by their texts."""
-        pairs = pairs.where("a <> b")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
         wanted = wanted.join(self.nodes.select("name", "text_name"), "name")
         one = self.given.join(wanted.select("text_name").distinct(), "text_name", "left_semi").groupBy("text_name").agg(F.first("text").alias("text"))
@@ -491,6 +471,21 @@ class Join:
         both = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
         return both.mapInArrow(compare, "a binary, b binary")
 
+    def hot_groups(self, sent: DataFrame) -> DataFrame:
+        """Hot groups, of those sets only that have too few ranges that are not hot."""
+        counts = sent.where("kind = 'hot'").select("bucket", F.col("names").alias("member"), "band", "hot")
+        hot = counts.groupBy("member", "band").agg(F.sum("hot").alias("hot"))
+        filled = self.nodes.select(F.col("name").alias("member"), "n", F.posexplode("filled").alias("place", "filled"))
+        low = F.length(F.bin("n")) - 1
+        unsafe = hot.join(filled.withColumn("band", low + F.col("place")), ["member", "band"]).where(
+            "filled - hot <= floor(n / 3)"
+        )
+        left = counts.select("bucket", "member", "band").join(unsafe.select("member", "band"), ["member", "band"])
+        held = sent.where("kind = 'hot group'").select(
+            F.col("bucket").alias("part"), F.col("data").alias("sig"), F.col("names").alias("sets"), F.col("band").alias("level")
+        )
+        return held.groupBy("part").cogroup(left.groupBy("bucket")).applyInArrow(of_unsafe(self.buckets), SENT_DDL)
+
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, and the smallest key that links lead to, itself included."""
