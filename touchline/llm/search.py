@@ -9,7 +9,7 @@ Queries are rows of the same table: a query's terms are the ``terms`` words of i
 (1 + ln tf) * idf among the words that at least ``least_df`` documents have (ties by hash). Queries come to the driver in blocks of at most ``QUERY_BLOCK`` and are sent to all shards.
 
 Defined results: null, empty and wordless texts are in no postings but count as documents of length 0, and as
-queries find nothing; equal scores go by ascending id, null ids last; repeated rows are documents of their own;
+queries find nothing; a null id is no query; equal scores go by ascending id, null ids last; repeated rows are documents of their own;
 other columns are ignored; an empty table gives no rows.
 """
 
@@ -20,14 +20,15 @@ import io
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.blocks import changes, concat, slices
-from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, stored
+from touchline.llm.blocks import buckets_of, by_bucket, changes, concat, dealt, rows, slices
+from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, mix, partitions, stored
 
 SHARD_DOCS = 4096
 SHARD_WORDS = 4 << 20
@@ -111,6 +112,10 @@ class Cursor:
         self.at = bisect_left(self.docs, doc, self.at)
         self.doc = self.docs[self.at] if self.at < len(self.docs) else END
 
+    def next(self) -> None:
+        self.at += 1
+        self.doc = self.docs[self.at] if self.at < len(self.docs) else END
+
     def block(self, doc: int) -> tuple[float, int]:
         """(largest score, last document) of the block that would hold ``doc``."""
         i = bisect_left(self.block_last, doc, self.at // BLOCK)
@@ -118,50 +123,60 @@ class Cursor:
 
 
 END = 1 << 60
+BY_DOC, BY_RANK = attrgetter("doc"), attrgetter("rank")
 SLACK = 1 + 1e-9  # bounds are summed in another order than scores
 
 
 def top_documents(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
     """The k best (score, document), best first, equal scores by ascending document; block-max WAND."""
-    named = list(enumerate(cursors))
+    live = list(cursors)
+    for rank, c in enumerate(live):
+        c.rank = rank
     heap: list[tuple[float, int]] = []  # (score, -document): the worst kept one first
-    while True:
-        live = sorted((c for c in named if c[1].doc < END), key=lambda c: c[1].doc)
-        bar = heap[0][0] if len(heap) == k else 0.0
+    bar = 0.0
+    while live:
+        live.sort(key=BY_DOC)
+        while live and live[-1].doc == END:
+            live.pop()
         total, pivot = 0.0, -1
-        for i, (_, c) in enumerate(live):
+        for i, c in enumerate(live):
             total += c.most
             if total * SLACK > bar:
                 pivot = i
                 break
         if pivot < 0:
             break
-        doc = live[pivot][1].doc
-        while pivot + 1 < len(live) and live[pivot + 1][1].doc == doc:
+        doc = live[pivot].doc
+        while pivot + 1 < len(live) and live[pivot + 1].doc == doc:
             pivot += 1
-        blocks = [c.block(doc) for _, c in live[: pivot + 1]]
-        if sum(m for m, _ in blocks) * SLACK > bar:
-            if live[0][1].doc == doc:
-                score = 0.0
-                for _, c in sorted(live[: pivot + 1], key=lambda c: c[0]):
-                    score += c.scores[c.at]
-                    c.move(doc + 1)
-                # Documents come in ascending order, so an equal later score does not displace a kept one.
-                if len(heap) < k:
-                    heapq.heappush(heap, (score, -doc))
-                elif score > heap[0][0]:
-                    heapq.heapreplace(heap, (score, -doc))
-            else:
-                for _, c in live[: pivot + 1]:
-                    if c.doc < doc:
-                        c.move(doc)
+        ahead = live[: pivot + 1]
+        if bar:
+            blocks = [c.block(doc) for c in ahead]
+            if sum(m for m, _ in blocks) * SLACK <= bar:
+                following = min(last for _, last in blocks) + 1
+                if pivot + 1 < len(live):
+                    following = min(following, live[pivot + 1].doc)
+                for c in ahead:
+                    c.move(max(following, doc + 1))
+                continue
+        if ahead[0].doc == doc:
+            if len(ahead) > 1:
+                ahead.sort(key=BY_RANK)
+            score = 0.0
+            for c in ahead:
+                score += c.scores[c.at]
+                c.next()
+            # Documents come in ascending order, so an equal later score does not displace a kept one.
+            if len(heap) < k:
+                heapq.heappush(heap, (score, -doc))
+            elif score > bar:
+                heapq.heapreplace(heap, (score, -doc))
+            if len(heap) == k:
+                bar = heap[0][0]
         else:
-            following = min(last for _, last in blocks) + 1
-            if pivot + 1 < len(live):
-                following = min(following, live[pivot + 1][1].doc)
-            for _, c in live[: pivot + 1]:
-                if c.doc < following:
-                    c.move(max(following, doc + 1) if following <= doc else following)
+            for c in ahead:
+                if c.doc < doc:
+                    c.move(doc)
     return sorted(((s, -d) for s, d in heap), key=lambda x: (-x[0], x[1]))
 
 
@@ -170,10 +185,10 @@ def build_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shard
     schema = pa.schema([("keys", pa.list_(pa.int64())), ("words", pa.int64()), ("index", pa.binary())])
 
     def build(batches: Iterator[pa.RecordBatch]):
-        hasher, rows, size = Hasher(SPLIT_ALNUM), [], 0
+        hasher, found_rows, size = Hasher(SPLIT_ALNUM), [], 0
 
         def shard():
-            own = Shard.of(rows)
+            own = Shard.of(found_rows)
             return pa.RecordBatch.from_pylist([{"keys": own.keys, "words": int(own.lengths.sum()), "index": own.dump()}], schema)
 
         for batch in batches:
@@ -181,12 +196,12 @@ def build_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shard
                 part = batch.slice(i, 256)
                 texts = [t or b"" for t in part.column(1).to_pylist()]
                 for k, found in zip(part.column(0).to_pylist(), term_counts(texts, hasher), strict=True):
-                    rows.append((k, *found))
+                    found_rows.append((k, *found))
                     size += found[2]
-                    if len(rows) >= shard_docs or size >= SHARD_WORDS:
+                    if len(found_rows) >= shard_docs or size >= SHARD_WORDS:
                         yield shard()
-                        rows, size = [], 0
-        if rows:
+                        found_rows, size = [], 0
+        if found_rows:
             yield shard()
 
     given = docs.select(F.col(key).cast("bigint"), F.col(text).cast("binary"))
@@ -227,7 +242,7 @@ def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int = 16,
     """(query, rank, doc_id, score): the k best documents of each query; ``queries`` as by :func:`query_terms`."""
     size = shards.agg(F.sum(F.size("keys")).alias("n"), F.sum("words").alias("words")).first()
     n, mean_length = size["n"] or 0, (size["words"] or 0) / max(size["n"] or 0, 1)
-    known = queries.join(document_frequencies(shards).where(F.col("df") >= least_df), "term").withColumn(
+    known = queries.where("query is not null").join(document_frequencies(shards).where(F.col("df") >= least_df), "term").withColumn(
         "idf", F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     )
     best = Window.partitionBy("query").orderBy(F.desc((1 + F.log("tf")) * F.col("idf")), "term")
@@ -235,23 +250,45 @@ def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int = 16,
     asked = stored(
         chosen.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "term", "idf"))).alias("terms")), "queries"
     )
-    found, block = None, []
+    found, block, buckets = None, [], partitions(queries.sparkSession)
     for row in asked.orderBy("query").toLocalIterator():
         block.append((row["query"], [(t["term"] % (1 << 64), t["idf"]) for t in row["terms"]]))
         if len(block) == QUERY_BLOCK:
-            part, block = _searched(shards, block, k, mean_length), []
+            part, block = _searched(shards, block, k, mean_length, buckets), []
             found = part if found is None else found.unionByName(part)
-    part = _searched(shards, block, k, mean_length)
+    part = _searched(shards, block, k, mean_length, buckets)
     found = part if found is None else found.unionByName(part)
-    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "rank", "doc_id", "score")
+    return dealt(found, buckets).mapInArrow(best_of_shards(k), "query bigint, rank int, doc_id bigint, score double")
+
+
+BEST = pa.schema([("query", pa.int64()), ("rank", pa.int32()), ("doc_id", pa.int64()), ("score", pa.float64())])
 
 
-def _searched(shards: DataFrame, block: list, k: int, mean_length: float) -> DataFrame:
+def best_of_shards(k: int):
+    def run(batches: Iterator[pa.RecordBatch]):
+        """The k best of all shards' findings, for the queries of one task; null ids are packed as a mask."""
+        blocks = [row for batch in batches for row in batch.to_pylist()]
+        query, doc, score, known = (
+            concat([np.frombuffer(b[c], t) for b in blocks], t)
+            for c, t in (("queries", np.int64), ("docs", np.int64), ("scores", np.float64), ("known", np.bool_))
+        )
+        order = np.lexsort((doc, ~known, -score, query))
+        out = []
+        for a, b in slices(changes(query[order])):
+            own = order[a : min(b, a + k)].tolist()
+            out += [(int(query[i]), r + 1, int(doc[i]) if known[i] else None, float(score[i])) for r, i in enumerate(own)]
+        yield from rows(BEST, out)
+
+    return run
+
+
+def _searched(shards: DataFrame, block: list, k: int, mean_length: float, buckets: int) -> DataFrame:
+    """Each shard's best documents, packed for the task that merges their query."""
     terms = np.array([t for _, own in block for t, _ in own], np.uint64)
     idf = [x for _, own in block for _, x in own]
     owner = np.repeat(np.arange(len(block)), [len(own) for _, own in block])
     names = [query for query, _ in block]
+    to = buckets_of(mix(np.array(names, np.int64).view(np.uint64)), buckets)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -262,12 +299,17 @@ def _searched(shards: DataFrame, block: list, k: int, mean_length: float) -> Dat
                 for a, b in slices(changes(owner[present])):
                     own = present[a:b].tolist()
                     found = top_documents([shard.cursor(int(numbers[i]), idf[i], weights) for i in own], k)
-                    out += [(names[owner[own[0]]], shard.keys[d], score) for score, d in found]
-                columns = list(zip(*out, strict=True)) if out else [(), (), ()]
-                kinds = [pa.int64(), pa.int64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query", "doc_id", "score"])
+                    out += [(int(owner[own[0]]), shard.keys[d], score) for score, d in found]
+                which = np.array([o[0] for o in out], np.int64)
+                queries, docs = np.array(names, np.int64)[which], np.array([o[1] or 0 for o in out], np.int64)
+                known, scores = np.array([o[1] is not None for o in out], np.bool_), np.array([o[2] for o in out], np.float64)
+                packed = by_bucket(to[which], queries, docs, known, scores)
+                yield from rows(SENT, [(bucket, *(p.tobytes() for p in parts)) for bucket, parts in packed])
+
+    return shards.select("keys", "index").mapInArrow(run, "bucket int, queries binary, docs binary, known binary, scores binary")
+
 
-    return shards.select("keys", "index").mapInArrow(run, "query bigint, doc_id bigint, score double")
+SENT = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("queries", "docs", "known", "scores"))])
 
 
 def op6_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
