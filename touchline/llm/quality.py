@@ -13,6 +13,7 @@ that parts them, the score is the share of label 1 (one half without any).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -64,10 +65,10 @@ class Rule:
             out &= (x[:, f] > cut) == above
         return out
 
-    def column(self) -> Column:
+    def column(self, value: Callable[[str], Column]) -> Column:
         out = F.lit(True)
         for f, above, cut in self.terms:
-            out = out & ((F.col(FEATURES[f]) > cut) if above else (F.col(FEATURES[f]) <= cut))
+            out = out & ((value(FEATURES[f]) > cut) if above else (value(FEATURES[f]) <= cut))
         return out
 
 
@@ -83,11 +84,11 @@ class RuleModel:
             total += w * r.applies(x)
         return 1 / (1 + np.exp(-total))
 
-    def score(self) -> Column:
-        """The score over columns named as ``FEATURES``."""
+    def score(self, value: Callable[[str], Column] = F.col) -> Column:
+        """The score over values named as ``FEATURES``, by default columns."""
         total = F.lit(float(self.base))
         for w, r in zip(self.weights, self.rules, strict=True):
-            total = total + F.when(r.column(), F.lit(float(w))).otherwise(F.lit(0.0))
+            total = total + F.when(r.column(value), F.lit(float(w))).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -193,14 +194,15 @@ def train(
 
 
 def scored(docs: DataFrame, model: RuleModel, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the score as a further column."""
-    stats = F.struct(*statistics(F.col(text)))
-    names = {c for c in docs.columns}
-    if names & set(FEATURES) or out in names:  # keep clashing columns apart
-        packed = docs.select(F.struct(*docs.columns).alias("_row"), stats.alias("_stats"))
-        score = packed.select("_row", "_stats.*").select("_row", model.score().alias("_score"))
-        return score.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != out], F.col("_score").alias(out))
-    return docs.select("*", *statistics(F.col(text))).select(*docs.columns, model.score().alias(out))
+    """``docs`` with the score as a further column.
+
+    Every rule uses several statistics. The row number keeps a later filter on the score from moving below their
+    projection, where each use would work them out again.
+    """
+    number = F.monotonically_increasing_id().alias("_number")
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), *statistics(F.col(text)), number)
+    rated = packed.select("_row", F.when(F.col("_number") >= 0, model.score()).alias("_score"))
+    return rated.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != out], F.col("_score").alias(out))
 
 
 def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
