@@ -84,7 +84,7 @@ class Hasher:
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
             with np.errstate(over="ignore"):
-                size = max(n, 2 * len(self.powers))
+                size = (n >> 18) + 1 << 18
                 steps = np.full(size, PRIME, np.uint64)
                 steps[0] = 1
                 self.powers = np.cumprod(steps, dtype=np.uint64)

@@ -42,6 +42,7 @@ from touchline.llm.common import SPLIT_LOWER, Hasher, chunks_of, components, mix
 SHINGLE = 5
 TOP_LOAD = 2.0  # mean elements per range at the upper end of a band; below 2.8, so that filled ranges exceed a third
 GROUP = 64  # sets per signature beyond which it is hot
+SLICE = 1024  # rows of an Arrow batch that are worked on at once
 REF_BITS, BAND_BITS = 16, 5  # a packed signature is 43 bits of hash, the band, and a reference into the block's names
 
 
@@ -141,8 +142,8 @@ PAIRS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = Hasher(SPLIT_LOWER)
-    for batch in batches:
-        ids, names, texts = (c.to_pylist() for c in batch.columns)
+    for part in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
+        ids, names, texts = (c.to_pylist() for c in part.columns)
         sets = shingle_sets([t or b"" for t in texts], hasher)
         out = []
         for row, text_name, own in zip(ids, names, sets, strict=True):
@@ -167,8 +168,8 @@ def send_signatures(buckets: int):
                 out.append((bucket, np.sort(key).tobytes(), own))
             return rows(BLOCKS, out)
 
-        for batch in batches:
-            texts = [t for t in batch.column(0).to_pylist() if t]
+        for part in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
+            texts = [t for t in part.column(0).to_pylist() if t]
             for shingles in shingle_sets(texts, hasher):
                 name = set_name(shingles)
                 if name in seen:

@@ -41,9 +41,8 @@ from touchline.llm.warc import open_folder
 END_ID = 0
 SHARD_TOKENS = 4 << 20
 BLOCK_BITS = 1 << 16
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
 KEPT_BYTES = 48
-RUN_BYTES = 4 << 20
 MAGIC = b"WMTK0001"
 # UTF-8 of the white space characters outside ASCII.
 WIDE_SPACE = re.compile(rb"[\xc2\xe1-\xe3](?:(?<=\xc2)[\x85\xa0]|(?<=\xe1)\x9a\x80|(?<=\xe2)(?:\x80[\x80-\x8a\xa8\xa9\xaf]|\x81\x9f)|(?<=\xe3)\x80\x80)")
@@ -83,7 +82,7 @@ class Encoder:
             else:
                 plain.append(i)
         own = [texts[i] for i in plain]
-        for a, b in chunks_of(own, RUN_BYTES):
+        for a, b in chunks_of(own):
             for i, ids in zip(plain[a:b], self._pieces(own[a:b]), strict=True):
                 out[i] = ids
         return out
