@@ -2,21 +2,26 @@
 
 A shard holds the postings of up to ``SHARD_DOCS`` documents, ordered by id. Document count, mean length and document
 frequencies are summed over all shards before any score is worked out, so the scores of all shards are comparable
-and the merged top k is that of a full scan. WAND keeps one cursor per query term; a document is scored only if the
-terms' bounds, and then the bounds of the posting blocks around it, reach the k-th best score of the shard.
+and the merged top k is that of a full scan. Short queries keep one cursor per term (WAND); a document is scored only
+if the terms' bounds, and then the bounds of the posting blocks around it, reach the k-th best score of the shard.
+Queries above ``CURSORS`` terms add up all postings of their terms in numpy, as the bounds of so many terms pass most
+documents. Both sum a score in the order of the terms.
 
-Queries are rows of the same table: a query's terms are the ``terms`` words of its whole text with the largest
-(1 + ln tf) * idf among the words that at least ``least_df`` documents have (ties by hash). Queries come to the driver in blocks of at most ``QUERY_BLOCK`` and are sent to all shards.
+Queries are rows of the same table: a query's terms are all distinct words of its whole text, unless ``terms`` asks for
+those with the largest (1 + ln tf) * idf only (ties by hash) or ``least_df`` for words that so many documents have.
+Queries are written in packed blocks of about ``BLOCK_TERMS`` terms; each pair of a shard and a block is a row, whose
+task reads the block.
 
 Defined results: null, empty and wordless texts are in no postings but count as documents of length 0, and as
 queries find nothing; a null id is no query; equal scores go by ascending id, null ids last; repeated rows are documents of their own;
-other columns are ignored; an empty table gives no rows.
+rows of one id are one query; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import heapq
 import io
+import uuid
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -27,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.blocks import buckets_of, by_bucket, changes, concat, dealt, rows, slices
-from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, mix, partitions, stored
+from touchline.llm.blocks import buckets_of, by_bucket, changes, concat, dealt, expand, rows, slices
+from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, mix, partitions, shared_folder, stored
+from touchline.llm.warc import open_folder
 
 SHARD_DOCS = 4096
 SHARD_WORDS = 4 << 20
-QUERY_BLOCK = 20_000
+BLOCK_TERMS = 2 << 20
 BLOCK = 64
+CURSORS = 4
 K1, B = 1.2, 0.75
 
 
@@ -92,6 +99,16 @@ class Shard:
         at = np.minimum(np.searchsorted(self.vocab, terms), len(self.vocab) - 1)
         return np.where(self.vocab[at] == terms, at, -1)
 
+    def top(self, numbers: np.ndarray, idf: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The k best (score, document) of the terms as :func:`top_documents` gives them, from all of their postings."""
+        begin, end = self.starts[numbers].astype(np.int64), self.starts[numbers + 1].astype(np.int64)
+        at = expand(begin, end - begin)
+        scores = np.bincount(self.docs[at], weights[at] * np.repeat(idf, end - begin), len(self.lengths))
+        bar = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
+        docs = np.flatnonzero((scores >= bar) & (scores > 0))
+        best = docs[np.argsort(-scores[docs], kind="stable")[:k]]
+        return list(zip(scores[best].tolist(), best.tolist(), strict=True))
+
     def cursor(self, number: int, idf: float, weights: np.ndarray) -> Cursor:
         a, b = int(self.starts[number]), int(self.starts[number + 1])
         return Cursor(self.docs[a:b], idf * weights[a:b])
@@ -238,29 +255,57 @@ def query_terms(queries: DataFrame, key: str = "doc_id", text: str = "text") ->
     return given.mapInArrow(split, "query bigint, term bigint, tf bigint")
 
 
-def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int = 16, least_df: int = 2) -> DataFrame:
+def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int | None = None, least_df: int = 1) -> DataFrame:
     """(query, rank, doc_id, score): the k best documents of each query; ``queries`` as by :func:`query_terms`."""
     size = shards.agg(F.sum(F.size("keys")).alias("n"), F.sum("words").alias("words")).first()
     n, mean_length = size["n"] or 0, (size["words"] or 0) / max(size["n"] or 0, 1)
-    known = queries.where("query is not null").join(document_frequencies(shards).where(F.col("df") >= least_df), "term").withColumn(
+    chosen = queries.where("query is not null").join(document_frequencies(shards).where(F.col("df") >= least_df), "term").withColumn(
         "idf", F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     )
-    best = Window.partitionBy("query").orderBy(F.desc((1 + F.log("tf")) * F.col("idf")), "term")
-    chosen = known.withColumn("place", F.row_number().over(best)).where(F.col("place") <= terms)
-    asked = stored(
-        chosen.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "term", "idf"))).alias("terms")), "queries"
-    )
-    found, block, buckets = None, [], partitions(queries.sparkSession)
-    for row in asked.orderBy("query").toLocalIterator():
-        block.append((row["query"], [(t["term"] % (1 << 64), t["idf"]) for t in row["terms"]]))
-        if len(block) == QUERY_BLOCK:
-            part, block = _searched(shards, block, k, mean_length, buckets), []
-            found = part if found is None else found.unionByName(part)
-    part = _searched(shards, block, k, mean_length, buckets)
-    found = part if found is None else found.unionByName(part)
+    if terms is not None:
+        best = Window.partitionBy("query").orderBy(F.desc((1 + F.log("tf")) * F.col("idf")), "term")
+        chosen = chosen.withColumn("place", F.row_number().over(best)).where(F.col("place") <= terms)
+    asked = stored(chosen.groupBy("query").agg(F.collect_set(F.struct("term", "idf")).alias("terms")), "queries")
+    blocks, buckets = query_blocks(asked), partitions(queries.sparkSession)
+    found = _searched(shards.crossJoin(blocks), k, mean_length, buckets)
     return dealt(found, buckets).mapInArrow(best_of_shards(k), "query bigint, rank int, doc_id bigint, score double")
 
 
+def query_blocks(asked: DataFrame) -> DataFrame:
+    """The paths of files that each hold a block of the queries: names, number of terms, terms (ascending), idf."""
+    spark = asked.sparkSession
+    blocks = -(-(asked.agg(F.sum(F.size("terms"))).first()[0] or 1) // BLOCK_TERMS)
+    folder = shared_folder(spark, "query-blocks")
+
+    def write(batches: Iterator[pa.RecordBatch]):
+        system, inner = open_folder(folder)
+        parts: dict[int, list[tuple]] = {}
+        for batch in batches:
+            found = batch.column(2)
+            ends = np.asarray(found.offsets)
+            values = found.values
+            every, idf = values.field(0).to_numpy(), values.field(1).to_numpy()
+            for row, (bucket, name) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                own = every[ends[row] : ends[row + 1]].view(np.uint64)
+                order = np.argsort(own)
+                parts.setdefault(bucket, []).append((name, own[order], idf[ends[row] : ends[row + 1]][order]))
+        for bucket, own in parts.items():
+            system.create_dir(inner, recursive=True)
+            path, temp = f"{inner}/block-{bucket:06d}.npz", f"{inner}/.{uuid.uuid4().hex}"
+            packed = io.BytesIO()
+            np.savez(
+                packed, names=np.array([o[0] for o in own], np.int64), counts=np.array([len(o[1]) for o in own], np.int64),
+                terms=concat([o[1] for o in own], np.uint64), idf=concat([o[2] for o in own], np.float64),
+            )
+            with system.open_output_stream(temp) as out:
+                out.write(packed.getbuffer())
+            system.move(temp, path)
+            yield pa.RecordBatch.from_pydict({"block": [path]})
+
+    spread = asked.select(F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("bucket"), "query", "terms")
+    return stored(dealt(spread, blocks).mapInArrow(write, "block string"), "query-blocks-log").withColumn("folder", F.lit(folder))
+
+
 BEST = pa.schema([("query", pa.int64()), ("rank", pa.int32()), ("doc_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -282,31 +327,33 @@ def best_of_shards(k: int):
     return run
 
 
-def _searched(shards: DataFrame, block: list, k: int, mean_length: float, buckets: int) -> DataFrame:
-    """Each shard's best documents, packed for the task that merges their query."""
-    terms = np.array([t for _, own in block for t, _ in own], np.uint64)
-    idf = [x for _, own in block for _, x in own]
-    owner = np.repeat(np.arange(len(block)), [len(own) for _, own in block])
-    names = [query for query, _ in block]
-    to = buckets_of(mix(np.array(names, np.int64).view(np.uint64)), buckets)
+def _searched(pairs: DataFrame, k: int, mean_length: float, buckets: int) -> DataFrame:
+    """For each pair of a shard and a block of queries the shard's best documents, packed for the task that merges their query."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard.load(row["keys"], row["index"])
-                weights, numbers, out = shard.weights(mean_length), shard.find(terms), []
-                present = np.flatnonzero(numbers >= 0)
-                for a, b in slices(changes(owner[present])):
-                    own = present[a:b].tolist()
-                    found = top_documents([shard.cursor(int(numbers[i]), idf[i], weights) for i in own], k)
-                    out += [(int(owner[own[0]]), shard.keys[d], score) for score, d in found]
-                which = np.array([o[0] for o in out], np.int64)
-                queries, docs = np.array(names, np.int64)[which], np.array([o[1] or 0 for o in out], np.int64)
-                known, scores = np.array([o[1] is not None for o in out], np.bool_), np.array([o[2] for o in out], np.float64)
-                packed = by_bucket(to[which], queries, docs, known, scores)
-                yield from rows(SENT, [(bucket, *(p.tobytes() for p in parts)) for bucket, parts in packed])
-
-    return shards.select("keys", "index").mapInArrow(run, "bucket int, queries binary, docs binary, known binary, scores binary")
+        for row in (row for batch in batches for i in range(batch.num_rows) for row in batch.slice(i, 1).to_pylist()):
+            with open_folder(row["folder"])[0].open_input_file(row["block"]) as file:
+                asked = np.load(io.BytesIO(file.read()))
+                names, counts, terms, idf = (asked[c] for c in ("names", "counts", "terms", "idf"))
+            shard = Shard.load(row["keys"], row["index"])
+            weights, numbers = shard.weights(mean_length), shard.find(terms)
+            owner = np.repeat(np.arange(len(names)), counts)
+            present = np.flatnonzero(numbers >= 0)
+            numbers, idf, owner, out = numbers[present], idf[present], owner[present], []
+            for a, b in slices(changes(owner)) if len(owner) else ():
+                if b - a > CURSORS:
+                    found = shard.top(numbers[a:b], idf[a:b], weights, k)
+                else:
+                    found = top_documents([shard.cursor(int(numbers[i]), float(idf[i]), weights) for i in range(a, b)], k)
+                out += [(int(owner[a]), shard.keys[d], score) for score, d in found]
+            which = np.array([o[0] for o in out], np.int64)
+            queries, docs = names[which], np.array([o[1] or 0 for o in out], np.int64)
+            known, best = np.array([o[1] is not None for o in out], np.bool_), np.array([o[2] for o in out], np.float64)
+            packed = by_bucket(buckets_of(mix(queries.view(np.uint64)), buckets), queries, docs, known, best) if out else ()
+            yield from rows(SENT, [(bucket, *(p.tobytes() for p in parts)) for bucket, parts in packed])
+
+    given = pairs.select("keys", "index", "block", "folder")
+    return given.mapInArrow(run, "bucket int, queries binary, docs binary, known binary, scores binary")
 
 
 SENT = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("queries", "docs", "known", "scores"))])
