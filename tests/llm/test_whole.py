@@ -9,11 +9,24 @@ pytest.importorskip("touchline.llm")
 
 from conftest import SF_DIR  # noqa: E402
 from llm import brute  # noqa: E402
-from llm.test_operators import DOCS, docs, given  # noqa: E402, F401
+from llm.test_operators import DOCS, docs, given, tokenizer_path  # noqa: E402, F401
 from pyspark.sql import functions as F  # noqa: E402
 
 from touchline.llm import queries as Q  # noqa: E402
-from touchline.llm import search  # noqa: E402
+from touchline.llm import search, tokens  # noqa: E402
+
+# ---- op3 -------------------------------------------------------------------------------------------------------
+
+
+def test_markers_are_single_tokens(tokenizer_path):  # noqa: F811
+    from tokenizers import Tokenizer
+
+    marker = "<|endoftext|>"
+    texts = [f" {marker}", f"one{marker}two", f"a {marker}\n{marker} b", marker, f"é {marker}", "one <|endoftext two|>", "<|endoftext", "|>"]
+    want = [Tokenizer.from_file(tokenizer_path).encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(50256 in ids for ids in want) == 5
+    assert [ids.tolist() for ids in tokens.Encoder(tokenizer_path).encode([t.encode() for t in texts])] == want
+
 
 # ---- op6 -------------------------------------------------------------------------------------------------------
 

@@ -8,7 +8,8 @@ unpacked as a whole, and a full read undoes the planes from the lowest up. Files
 
 Tokenization works on pieces (white space and the word after it, cut before ASCII punctuation that follows an ASCII
 letter), for which the byte-level rules give the same ids alone as in the text; a worker keeps the ids of pieces it
-has seen lately, up to a bounded number. A text with white space outside ASCII is encoded as a whole.
+has seen lately, up to a bounded number. A text with white space outside ASCII, or with the content of an added token of
+the tokenizer (a marker such as the end of a text), is encoded as a whole.
 
 Defined results: a null text is empty and has the end id only; null ids come first; rows with equal ids follow the
 hash of their text and keep a row each; other columns are ignored; an empty table writes no files and reads no rows.
@@ -60,6 +61,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.hasher = Hasher(np.arange(1, 257, dtype=np.uint64))
         self.blank = np.zeros(256, bool)
         self.blank[list(BLANKS)] = True
@@ -77,7 +79,7 @@ class Encoder:
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         plain = []
         for i, text in enumerate(texts):
-            if not text.isascii() and WIDE_SPACE.search(text):
+            if (not text.isascii() and WIDE_SPACE.search(text)) or any(a in text for a in self.added):
                 out[i] = np.array(self._ids([text.decode()])[0], np.uint32)
             else:
                 plain.append(i)
