@@ -13,7 +13,7 @@ from llm.test_operators import DOCS, docs, given, tokenizer_path  # noqa: E402,
 from pyspark.sql import functions as F  # noqa: E402
 
 from touchline.llm import queries as Q  # noqa: E402
-from touchline.llm import search, tokens  # noqa: E402
+from touchline.llm import mixing, search, tokens  # noqa: E402
 
 # ---- op3 -------------------------------------------------------------------------------------------------------
 
@@ -28,6 +28,30 @@ def test_markers_are_single_tokens(tokenizer_path):  # noqa: F811
     assert [ids.tolist() for ids in tokens.Encoder(tokenizer_path).encode([t.encode() for t in texts])] == want
 
 
+# ---- op4 -------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("share", [0.01, 0.003, 0.001])
+@pytest.mark.parametrize("low", [0.0, 1.0])
+def test_rare_domain_meets_its_target(spark, share, low):
+    rare, n = F.col("id") < 10_000 * share, 10_000
+    soft = spark.range(n).select(F.lit(100.0).alias("words"), F.when(rare, 1.0).otherwise(0.0).alias("p0"), F.when(rare, 0.0).otherwise(1.0).alias("p1"))
+    weights, gaps = mixing.fit_rates(soft, [0.2, 0.8], low=low)
+    got = soft.withColumn("rate", mixing.rate_of(weights, low, 1e6)).agg(
+        (F.sum(F.col("rate") * F.col("words") * F.col("p0")) / F.sum(F.col("rate") * F.col("words"))).alias("share"), F.min("rate").alias("least")
+    ).first()
+    assert abs(got["share"] - 0.2) < 1e-4 and got["least"] >= low and max(map(abs, gaps)) <= mixing.CLOSE
+
+
+def test_targets_out_of_reach_are_told(spark):
+    soft = spark.range(1000).select(F.lit(1.0).alias("words"), F.when(F.col("id") < 500, 0.9).otherwise(0.4).alias("p0"))
+    soft = soft.withColumn("p1", 1 - F.col("p0"))
+    _, gaps = mixing.fit_rates(soft, [0.2, 0.8])
+    # Texts that are 40% of the first domain at least cannot give 20%; the least squares take 0.56 / 0.52 of such texts only.
+    rate = 0.56 / 0.52
+    assert abs(gaps[0] - (0.4 * rate - 0.2)) < 1e-3 and abs(gaps[1] - (0.6 * rate - 0.8)) < 1e-3
+
+
 # ---- op6 -------------------------------------------------------------------------------------------------------
 
 

@@ -5,9 +5,12 @@
    gives; its means and variances (domains x features numbers) become a column expression for domain posteriors.
 3. Rates: with ``low`` above 0 the targets are first scaled to the least total that leaves them within reach. Then
    minimise the squared gap between the targets and the expected domain shares of words,
-   ``sum_d rate_d * words_d * p_dk / words`` per domain k, plus a small pull of each rate to 1, over rates in
-   [low, high]. Each accelerated projected-gradient step needs one aggregation to as many sums as there are domains;
-   the rates themselves stay a column, worked out from the steps so far.
+   ``sum_d rate_d * words_d * p_dk / words`` per domain k, plus a pull of each rate to 1, over rates in [low, high].
+   The least point has rates ``1 + sum_k weight_k * p_dk``, cut to [low, high], so only the domains' weights are
+   sought: by Newton steps, each with one aggregation to the domains' first and second moments, which bring rare and
+   hot domains to one scale. The pull starts at ``PULL`` times the least share of a domain and falls until all gaps
+   are within ``CLOSE``, or do not shrink any more because the bounds or the posteriors put the targets out of reach;
+   :class:`Mix` tells the gaps that remain.
 4. A document is taken floor(rate) times, and once more with the probability of the rest, by a hash of its id.
 
 Defined results: a null or empty text has no words, the prior as posterior and no effect on the fit, and its rate
@@ -22,6 +25,7 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +33,10 @@ from touchline.llm.common import stored
 
 LETTERS = "eaoiuhwkqzñü"
 MAX_DOMAINS = 64
-STEPS = 30
-STORED_STEPS = 10
+STEPS = 60
 PULL = 1e-3
+FALL, LEAST_PULL = 0.01, 1e-12
+CLOSE = 1e-6
 # Target weights of the query, by language.
 TARGETS = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
 
@@ -89,35 +94,22 @@ def with_posteriors(rows: DataFrame, model: list[tuple[str, float, list[float],
     return rows.select(*keep, *[(F.col(n) / F.col("total")).alias(f"p{k}") for k, n in enumerate(names)])
 
 
-def rate_after(steps: list[tuple[list[float], float]], size: float, pull: float, low: float, high: float, at: Column) -> Column:
-    """(rate, ahead) after the steps, each a gap per domain and a momentum, from ``at``; over the columns ``p0``, ..."""
-    if not steps:
-        return at
-    k = len(steps[0][0])
-    listed = F.array(
-        *[F.struct(*[F.lit(float(g)).alias(f"g{i}") for i, g in enumerate(gap)], F.lit(float(m)).alias("m")) for gap, m in steps]
-    )
+def free_rate(weights: list[float]) -> Column:
+    """The rate before it is cut to its bounds, over the columns ``p0``, ..."""
+    return sum((F.lit(float(w)) * F.col(f"p{i}") for i, w in enumerate(weights)), F.lit(1.0))
 
-    def step(acc: Column, s: Column) -> Column:
-        slope = sum((s[f"g{i}"] * F.col(f"p{i}") for i in range(1, k)), s["g0"] * F.col("p0"))
-        moved = acc["ahead"] - size * (slope + pull * (acc["ahead"] - 1))
-        rate = F.least(F.greatest(moved, F.lit(low)), F.lit(high))
-        return F.struct(rate.alias("rate"), (rate + s["m"] * (rate - acc["rate"])).alias("ahead"))
 
-    return F.aggregate(listed, at, step)
-
-
-def first_rate() -> Column:
-    return F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+def rate_of(weights: list[float], low: float, high: float) -> Column:
+    return F.least(F.greatest(free_rate(weights), F.lit(float(low))), F.lit(float(high)))
 
 
 @dataclass(frozen=True)
 class Mix:
-    """A fitted mix: the domains' models, and the steps that lead to the rates."""
+    """A fitted mix: the domains' models, their weights in the rates, and expected share minus target per domain."""
 
     model: list
-    steps: list
-    size: float
+    weights: list
+    gaps: list
     low: float
     high: float
 
@@ -127,7 +119,7 @@ class Mix:
 
     def rate(self) -> Column:
         """Rate over the posterior columns."""
-        return rate_after(self.steps, self.size, PULL, self.low, self.high, first_rate())["rate"]
+        return rate_of(self.weights, self.low, self.high)
 
     def apply(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """The rows of ``docs`` as a struct ``row``, with ``rate`` and ``copies``; one more scan, no join."""
@@ -143,42 +135,71 @@ def copies(rate: Column, key: Column) -> Column:
     return (F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)).cast("bigint")
 
 
+def moments(rows: DataFrame, weights: np.ndarray, low: float, high: float, total: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """(value, slope, curvature) of the rates' potential at some weights: the slope has the expected shares, the curvature the
+    second moments of the rows whose rate is free."""
+    k, p = len(weights), [F.col(f"p{i}") for i in range(len(weights))]
+    at = rows.select("words", *p, free_rate(weights).alias("free"))
+    at = at.select("*", F.least(F.greatest("free", F.lit(float(low))), F.lit(float(high))).alias("rate"))
+    inside = F.when(F.col("free") == F.col("rate"), F.col("words")).otherwise(0.0)
+    at = at.select(*p, (F.col("words") * F.col("rate")).alias("mass"), inside.alias("inside"), "rate", "free")
+    found = at.agg(
+        F.sum(F.col("mass") * (F.col("free") - F.col("rate") / 2)).alias("value"),
+        *[F.sum(F.col("mass") * p[i]).alias(f"s{i}") for i in range(k)],
+        *[F.sum(F.col("inside") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
+    ).first()
+    slope = np.array([found[f"s{i}"] or 0.0 for i in range(k)]) / total
+    curve = np.array([[found[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)]) / total
+    return (found["value"] or 0.0) / total, slope, curve
+
+
 def fit_rates(
     rows: DataFrame, targets: list[float], steps: int = STEPS, pull: float = PULL, low: float = 0.0, high: float = 1e6,
-    close: float = 1e-6,
-) -> tuple[list, float]:
-    """(steps, step size) towards the rates of ``rows`` (words, p0, p1, ...); ends when all gaps are ``close``.
+    close: float = CLOSE,
+) -> tuple[list, list]:
+    """(weight of each domain, expected share minus target of each) for the rates of ``rows`` (words, p0, p1, ...).
 
-    Every ``STORED_STEPS`` steps the rates reached are written, so that a step works through few earlier ones.
+    Ends when all gaps are ``close``, when a smaller pull does not shrink them, or after ``steps`` aggregations.
     """
-    k, p = len(targets), [F.col(f"p{i}") for i in range(len(targets))]
-    first = rows.agg(
-        F.sum("words").alias("words"),
-        *[F.sum(F.col("words") * p[i]).alias(f"s{i}") for i in range(k)],
-        *[F.sum(F.col("words") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
-    ).first()
+    k = len(targets)
+    first = rows.agg(F.sum("words").alias("words"), *[F.sum(F.col("words") * F.col(f"p{i}")).alias(f"s{i}") for i in range(k)]).first()
     total = first["words"] or 1.0
+    shares = np.array([first[f"s{i}"] or 0.0 for i in range(k)]) / total
     # Rates of at least `low` need so many words in all that no domain exceeds its target.
-    whole = max([1.0, *(low * (first[f"s{i}"] or 0.0) / total / t for i, t in enumerate(targets) if t > 0)])
-    targets = [t * whole for t in targets]
-    # A row sum of the domains' second moments bounds their largest eigenvalue, and so the curvature.
-    norm = max(sum(abs((first[f"g{min(i, j)}_{max(i, j)}"] or 0.0) / total) for j in range(k)) for i in range(k))
-    size, done, momentum = 1 / (norm + pull), [], 1.0
-    now, since = rows.select("words", *[f"p{i}" for i in range(k)], first_rate().alias("at")), 0
-    for n in range(steps):
-        at = rate_after(done[since:], size, pull, low, high, F.col("at"))
-        if n and n % STORED_STEPS == 0:
-            now, since = stored(now.withColumn("at", at), "rates"), n
-            at = F.col("at")
-        ahead = now.select("words", *p, at["ahead"].alias("ahead"))
-        sums = ahead.agg(*[F.sum(F.col("ahead") * F.col("words") * p[i]).alias(f"s{i}") for i in range(k)]).first()
-        gap = [(sums[i] or 0.0) / total - targets[i] for i in range(k)]
-        if max(map(abs, gap)) < close:
-            break
-        following = (1 + math.sqrt(1 + 4 * momentum**2)) / 2
-        done.append((gap, (momentum - 1) / following))
-        momentum = following
-    return done, size
+    goal = np.array(targets) * max([1.0, *(low * s / t for s, t in zip(shares, targets, strict=True) if t > 0)])
+    if not shares.any():
+        return [0.0] * k, (-goal).tolist()
+    pull *= min(1.0, shares[shares > 0].min())
+    weights, left, best = np.zeros(k), steps - 1, None
+    value, slope, curve = moments(rows, weights, low, high, total)
+    while True:
+        # The least point for this pull: the slope of value - goal * weights + pull / 2 * weights ** 2 is 0.
+        height = lambda v, w: v - goal @ w + pull / 2 * (w @ w)
+        while left > 0:
+            off = slope - goal + pull * weights
+            if np.abs(off).max() <= close / 10:
+                break
+            # Scaled to a diagonal of ones, small domains count like large ones.
+            scale = 1 / np.sqrt(np.diag(curve) + pull)
+            scaled = (curve + pull * np.eye(k)) * np.outer(scale, scale)
+            move, length = -scale * np.linalg.lstsq(scaled, scale * off, rcond=None)[0], 1.0
+            while left > 0:
+                tried = weights + length * move
+                found = moments(rows, tried, low, high, total)
+                left -= 1
+                least = height(value, weights) + 1e-4 * length * (off @ move)
+                if height(found[0], tried) <= least or np.abs(found[1] - goal + pull * tried).max() <= close / 10:
+                    weights, (value, slope, curve) = tried, found
+                    break
+                length /= 4
+        gaps = slope - goal
+        gap = np.abs(gaps).max()
+        better = best is None or gap < 0.5 * best[0]
+        if best is None or gap < best[0]:
+            best = gap, weights, gaps
+        if gap <= close or not better or left <= 0 or pull * FALL < LEAST_PULL:
+            return best[1].tolist(), best[2].tolist()
+        pull *= FALL
 
 
 def fit_mix(
@@ -198,8 +219,8 @@ def fit_mix(
         raise ValueError(f"targets for unknown domains: {sorted(set(targets) - set(names))}")
     whole = sum(targets.values())
     soft = stored(with_posteriors(rows, model, "key", "words"), "posteriors")
-    done, size = fit_rates(soft, [targets.get(n, 0.0) / whole for n in names], steps, low=low, high=high)
-    return Mix(model, done, size, low, high), soft
+    weights, gaps = fit_rates(soft, [targets.get(n, 0.0) / whole for n in names], steps, low=low, high=high)
+    return Mix(model, weights, gaps, low, high), soft
 
 
 def languages(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
