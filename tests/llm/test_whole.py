@@ -2,7 +2,9 @@
 
 import collections
 import math
+import random
 
+import numpy as np
 import pytest
 
 pytest.importorskip("touchline.llm")
@@ -13,7 +15,40 @@ from llm.test_operators import DOCS, docs, given, tokenizer_path  # noqa: E402,
 from pyspark.sql import functions as F  # noqa: E402
 
 from touchline.llm import queries as Q  # noqa: E402
-from touchline.llm import mixing, search, tokens  # noqa: E402
+from touchline.llm import licenses, mixing, search, tokens  # noqa: E402
+
+# ---- op2 -------------------------------------------------------------------------------------------------------
+
+
+def edited_templates():
+    """(template, text) with at most a quarter of the template's words changed, left out or put in; and beyond that."""
+    r = random.Random(11)
+    for name, template in licenses.TEMPLATES.items():
+        words = [w for w in brute.ALNUM.findall(template.translate(brute.LOWER))]
+        yield from ((name, [*words[:i], "oddly", *words[i + 1 :]]) for i in range(min(len(words), 15)))
+        yield name, [("oddly" if i % 4 == 3 else w) for i, w in enumerate(words)]
+        for _ in range(6):
+            own = list(words)
+            for _ in range(r.randrange(1, len(words) // 4 + 2)):
+                i = r.randrange(len(own))
+                own[i : i + 1] = r.choice([["oddly"], [], [own[i], "oddly"]])
+            yield name, own
+
+
+def test_edited_notices_are_found_as_by_full_alignment(spark):
+    cases = [(name, ["so", "it", "says", *words, "and", "goes", "on"]) for name, words in edited_templates()]
+    df = spark.createDataFrame([(i, " ".join(words)) for i, (_, words) in enumerate(cases)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.license): r.matched for r in licenses.scan_licenses(df).collect()}
+    numbers, found = collections.defaultdict(lambda: len(numbers)), 0
+    for i, (name, words) in enumerate(cases):
+        template = np.array([numbers[w] for w in brute.ALNUM.findall(licenses.TEMPLATES[name].translate(brute.LOWER))])
+        best = licenses.align(np.array([numbers[w] for w in words]), template, 0, len(words) + len(template))
+        whole = best is not None and best[1] >= 0.75 * len(template)
+        found += whole
+        assert ((i, name) in got) == whole, (name, words)
+        assert not whole or got[i, name] == best[1]
+    assert found > 100
+
 
 # ---- op3 -------------------------------------------------------------------------------------------------------
 

@@ -1,11 +1,16 @@
-"""License scan: winnowed fingerprints pick candidates, banded alignment confirms them.
+"""License scan: fingerprints pick candidates, banded alignment confirms them.
 
-Templates are split into lower-case words of letters and digits. The smallest hash of each ``WINDOW`` neighbouring
-``GRAM``-word runs is a fingerprint; an inverted index gives the places of each fingerprint in the templates. It is
-small (the templates' size is checked) and goes to every task. A text's runs are looked up in the index; hits of one
-template on nearby diagonals form a candidate, and the words around them are aligned with the template in a band of
-diagonals (match +2, mismatch and gap -1, local in the text and in the template). A finding is an alignment that
-covers at least ``coverage`` of the template's words; overlapping findings of one template keep the best.
+Templates are split into lower-case words of letters and digits. All runs of q words are fingerprints; an inverted
+index gives the places of each fingerprint in the templates. It is small (the templates' size is checked) and goes to
+every task. A text's runs are looked up in the index; hits of one template on nearby diagonals form a candidate, and the
+words around them are aligned with the template in a band of diagonals (match +2, mismatch and gap -1, local in the
+text and in the template). A finding is an alignment that covers at least ``coverage`` of the template's words;
+overlapping findings of one template keep the best.
+
+Of a template's n words e = floor((1 - coverage) * n) may be edited. The other n - e lie in e + 1 stretches, one of which
+has (n - e) / (e + 1) words at least: q is that number rounded up, ``GRAM`` at the most. As an edit touches q runs, n - q +
+1 - e * q runs stay, on diagonals within e of each other; a candidate needs so many hits, and its band covers these
+diagonals. So no text with up to e words changed, left out or put in is missed before the alignment.
 
 The scan reads each text once, in the scan's stage, and shuffles nothing.
 
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, rolling, runs_inside
 
-GRAM, WINDOW = 4, 2
+GRAM = 4
 COVERAGE = 0.75
 TEMPLATE_BYTES = 16 << 20
 
@@ -67,21 +72,10 @@ TEMPLATES = {
 }
 
 
-def fingerprints(words: np.ndarray) -> list[tuple[int, int]]:
-    """(hash, place) of the winnowed runs of a template."""
-    grams = rolling(words, GRAM)
-    picked = {}
-    for i in range(max(1, len(grams) - WINDOW + 1)):
-        part = grams[i : i + WINDOW]
-        place = i + int(np.argmin(part))
-        picked[place] = int(grams[place])
-    return [(h, p) for p, h in picked.items()]
-
-
 class Index:
-    """The templates' words, and the places of each fingerprint."""
+    """The templates' words, and the places of each fingerprint by its number of words."""
 
-    def __init__(self, templates: Mapping[str, str]):
+    def __init__(self, templates: Mapping[str, str], coverage: float):
         if sum(len(t.encode()) for t in templates.values()) > TEMPLATE_BYTES:
             raise ValueError(f"templates above {TEMPLATE_BYTES} bytes; scan them in several runs")
         self.names = sorted(templates)
@@ -89,19 +83,26 @@ class Index:
         self.words = [words.hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
         if short := [n for n, own in zip(self.names, self.words, strict=True) if len(own) < GRAM]:
             raise ValueError(f"templates below {GRAM} words have no fingerprint: {short}")
-        rows = [(h, t, p) for t, own in enumerate(self.words) for h, p in fingerprints(own)]
-        rows.sort()
-        self.hashes = np.array([r[0] for r in rows], np.uint64)
-        self.template = np.array([r[1] for r in rows], np.int64)
-        self.place = np.array([r[2] for r in rows], np.int64)
-
-    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in the text, template, place in the template) of all runs that are fingerprints."""
-        low, high = np.searchsorted(self.hashes, grams, "left"), np.searchsorted(self.hashes, grams, "right")
-        at = np.flatnonzero(high > low)
-        count = (high - low)[at]
-        entry = np.repeat(low[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        return np.repeat(at, count), self.template[entry], self.place[entry]
+        self.edits = [max(0, int((1 - coverage) * len(own) + 1e-9)) for own in self.words]
+        grams = [max(1, min(GRAM, -(-(len(own) - e) // (e + 1)))) for own, e in zip(self.words, self.edits, strict=True)]
+        self.least = [max(1, len(own) - q + 1 - e * q) for own, e, q in zip(self.words, self.edits, grams, strict=True)]
+        self.runs = {}
+        for q in sorted(set(grams)):
+            rows = sorted((int(h), t, p) for t, own in enumerate(self.words) if grams[t] == q for p, h in enumerate(rolling(own, q)))
+            self.runs[q] = tuple(np.array([r[i] for r in rows], kind) for i, kind in enumerate((np.uint64, np.int64, np.int64)))
+
+    def hits(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in the words, template, place in the template) of all runs inside a text that are fingerprints."""
+        found = [(np.zeros(0, np.int64),) * 3]
+        for q, (hashes, template, place) in self.runs.items():
+            inside = np.flatnonzero(runs_inside(first, q, len(words)))
+            grams = rolling(words, q)[inside]
+            low, high = np.searchsorted(hashes, grams, "left"), np.searchsorted(hashes, grams, "right")
+            at = np.flatnonzero(high > low)
+            count = (high - low)[at]
+            entry = np.repeat(low[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            found.append((np.repeat(inside[at], count), template[entry], place[entry]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def align(text: np.ndarray, template: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int, int] | None:
@@ -150,11 +151,15 @@ def find(words: np.ndarray, hits: tuple[np.ndarray, np.ndarray, np.ndarray], ind
     for t in np.unique(hits[1]).tolist():
         template, mine = index.words[t], hits[1] == t
         band = 2 + len(template) // 8
-        aligned = []
+        wide, aligned = max(2 * band, band + 1 + index.edits[t]), []
+        diagonals = np.sort(hits[0][mine] - hits[2][mine])
         for diagonal in candidates(hits[0][mine], hits[2][mine], band):
-            low = max(0, diagonal - 2 * band)
-            part = words[low : max(low, diagonal + len(template) + 2 * band)]
-            best = align(part, template, diagonal - low, 2 * band)
+            around = np.searchsorted(diagonals, [diagonal - wide, diagonal + wide + 1])
+            if around[1] - around[0] < index.least[t]:
+                continue
+            low = max(0, diagonal - wide)
+            part = words[low : max(low, diagonal + len(template) + wide)]
+            best = align(part, template, diagonal - low, wide)
             if best and best[1] >= coverage * len(template):
                 aligned.append((best[0], best[1], best[2] + low, best[3] + low))
         taken: list[tuple[int, int]] = []
@@ -169,7 +174,7 @@ def scan_licenses(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key: str = "doc_id", text: str = "text", coverage: float = COVERAGE
 ) -> DataFrame:
     """One row per finding: key, license, start_word, end_word (exclusive), matched words, coverage."""
-    index = Index(templates)
+    index = Index(templates, coverage)
     kind = docs.schema[key].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]):
@@ -179,10 +184,7 @@ def scan_licenses(
             out = []
             for a, b in chunks_of(texts):
                 words = hasher.words(texts[a:b])
-                inside = runs_inside(words.first, GRAM, len(words.hashes))
-                places, which, own = index.hits(rolling(words.hashes, GRAM)) if len(inside) and len(index.hashes) else (np.zeros(0, int),) * 3
-                keep = inside[places]
-                places, which, own = places[keep], which[keep], own[keep]
+                places, which, own = index.hits(words.hashes, words.first)
                 owner = np.searchsorted(words.first, places, side="right") - 1
                 for d in np.unique(owner).tolist():
                     mine = owner == d
