@@ -15,7 +15,7 @@ from llm.test_operators import DOCS, docs, given, tokenizer_path  # noqa: E402,
 from pyspark.sql import functions as F  # noqa: E402
 
 from touchline.llm import queries as Q  # noqa: E402
-from touchline.llm import licenses, mixing, search, tokens  # noqa: E402
+from touchline.llm import jaccard, licenses, mixing, search, tokens  # noqa: E402
 
 # ---- op2 -------------------------------------------------------------------------------------------------------
 
@@ -130,3 +130,17 @@ def test_search_query_takes_whole_rows(spark):
     texts = given(spark, "documents", "doc_id", "text")
     got = Q.QUERIES["op6_block_max_search"](spark, SF_DIR).collect()
     assert ranked(got) == bm25_of_whole_rows(texts, [i for i, _ in texts if i % 50 == 0])
+
+
+# ---- op7 -------------------------------------------------------------------------------------------------------
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (9, b), (9, ""), (10, c), (11, None), (None, c)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = collections.Counter(map(tuple, jaccard.near_copies(df).collect()))
+    assert got == collections.Counter(brute.jaccard(rows))
+    assert got[9, 26, 3] == got[9, 0, 3] == 1
+    kept = sorted((r.doc_id or 0, r.text or "") for r in jaccard.without_near_copies(df).collect())
+    assert kept == [(0, c), (3, a), (10, c), (11, "")]

@@ -444,7 +444,13 @@ class Join:
         packed = self.meeting(shared, found).applyInArrow(cross_pairs(self.buckets), "bucket int, names binary, pairs binary")
         pairs = dealt(packed, self.buckets).mapInArrow(distinct_pairs, "a binary, b binary")
         more = stored(self.checked(stored(pairs, "pairs")), "more")
-        return stored(found.unionByName(self.numbered(more)), "links")
+        return stored(found.unionByName(self.numbered(more)).unionByName(self.repeated_ids()), "links")
+
+    def repeated_ids(self) -> DataFrame:
+        """(id, node of a set) for ids of several rows: these count as one document."""
+        several = self.info.where("row is not null").groupBy("row").agg(F.count("*").alias("times")).where("times > 1")
+        own = self.info.where("n > 0").join(several, "row").join(self.nodes.select("name", "node"), "name")
+        return own.select(F.col("row").alias("a"), F.col("node").alias("b"))
 
     def meeting(self, shared: DataFrame, found: DataFrame):
         """The groups of each bucket beside its members as they are connected so far."""
@@ -489,12 +495,16 @@ class Join:
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: key, n_shingles, and the smallest key that links lead to, itself included."""
+    """One row per row of ``docs``: key, n_shingles, and the smallest key that links lead to, itself included.
+
+    Rows of one key are one document, which is linked with what any of them is linked with.
+    """
     join = Join(docs, key, text)
     settled = components(join.links())
     nodes = join.nodes.join(settled, "node", "left").select("name", F.coalesce("component", "node").alias("component_id"))
-    own = F.when(F.col("row").isNotNull(), F.coalesce("component_id", "row"))
-    return join.info.join(nodes, "name", "left").select(
+    own = F.when(F.col("row").isNotNull(), F.coalesce("component_id", "component", "row"))
+    by_key = settled.withColumnRenamed("node", "row")  # for the wordless rows of a key that has others
+    return join.info.join(nodes, "name", "left").join(by_key, "row", "left").select(
         F.col("row").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id")
     )
 
