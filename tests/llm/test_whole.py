@@ -11,11 +11,11 @@ pytest.importorskip("touchline.llm")
 
 from conftest import SF_DIR  # noqa: E402
 from llm import brute  # noqa: E402
-from llm.test_operators import DOCS, docs, given, tokenizer_path  # noqa: E402, F401
+from llm.test_operators import DOCS, SECRET, docs, given, tokenizer_path  # noqa: E402, F401
 from pyspark.sql import functions as F  # noqa: E402
 
 from touchline.llm import queries as Q  # noqa: E402
-from touchline.llm import jaccard, licenses, mixing, search, tokens  # noqa: E402
+from touchline.llm import jaccard, licenses, mixing, search, secrets, tokens  # noqa: E402
 
 # ---- op2 -------------------------------------------------------------------------------------------------------
 
@@ -144,3 +144,21 @@ def test_rows_of_one_id_are_one_document(spark):
     assert got[9, 26, 3] == got[9, 0, 3] == 1
     kept = sorted((r.doc_id or 0, r.text or "") for r in jaccard.without_near_copies(df).collect())
     assert kept == [(0, c), (3, a), (10, c), (11, "")]
+
+
+# ---- op8 -------------------------------------------------------------------------------------------------------
+
+
+def test_ledger_keeps_what_it_has(spark, tmp_path):
+    make = lambda *rows: spark.createDataFrame(rows, "p string, t string")
+    ledger, rules = secrets.Ledger(spark, f"file://{tmp_path}/l"), secrets.BASE_RULES
+    for path, text in (("a", SECRET), ("b", "password: hunter2x"), ("a", SECRET)):
+        (found,) = secrets.scan_secrets(make((path, text)), "p", "t", ledger.path).collect()
+        assert len(found["assign"]) >= 1
+    assert ledger.read().count() == 2 * len(secrets.RULES)
+    named = secrets.Ledger(spark, f"file://{tmp_path}/m")
+    for _ in range(2):
+        assert len(secrets.scan_secrets(make(("a", SECRET), ("b", "x")), "p", "t", named.path, rules, "1").collect()) == 2
+        assert named.read().count() == 2 * len(rules)
+    secrets.scan_secrets(make(("a", SECRET), ("c", "y")), "p", "t", named.path, rules, "2")
+    assert named.read().count() == 3 * len(rules)

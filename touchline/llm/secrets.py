@@ -11,6 +11,7 @@ other columns are ignored; an empty table gives no rows; spans are [start, end)
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -90,28 +91,34 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def read(self) -> DataFrame:
+    def read(self, but: str | None = None) -> DataFrame:
+        """All rows, or those of all batches but one."""
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path)
         if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
             return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(f"{self.SCHEMA}, batch string").parquet(self.path).drop("batch")
+        rows = self.spark.read.schema(f"{self.SCHEMA}, batch string").parquet(self.path)
+        return (rows if but is None else rows.where(F.col("batch") != but)).drop("batch")
 
-    def unseen(self, blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-        """Blobs that miss a rule version, with the missing ones in ``pending``."""
+    def unseen(self, blobs: DataFrame, rules: Sequence[Rule], batch: str | None = None) -> DataFrame:
+        """Blobs that miss a rule version in all batches but ``batch``, with the missing ones in ``pending``."""
         wanted = F.array(*[F.lit(r.key) for r in rules])
         seen = (
-            self.read()
+            self.read(but=batch)
             .groupBy("blob")
             .agg(F.collect_set(F.concat_ws(":", "rule", F.col("version").cast("string"))).alias("seen"))
         )
         left = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
         return blobs.join(seen, "blob", "left").withColumn("pending", left).where(F.size("pending") > 0).drop("seen")
 
-    def scan(self, files: DataFrame, rules: Sequence[Rule], batch: str) -> None:
-        """Scan what is new in ``files`` (blob, text) and write it as one batch; a repeated batch replaces itself."""
+    def scan(self, files: DataFrame, rules: Sequence[Rule], batch: str | None = None) -> None:
+        """Scan what is new in ``files`` (blob, text) and write it as one batch.
+
+        Without a name it is a batch of its own; a repeated name replaces that batch, whose files are not read then.
+        """
+        batch = uuid.uuid4().hex if batch is None else batch
         blobs = files.groupBy("blob").agg(F.first("text").alias("text"))
-        todo = self.unseen(blobs, rules)
+        todo = self.unseen(blobs, rules, batch)
         results = F.array(
             *[
                 F.struct(
@@ -135,7 +142,7 @@ class Ledger:
 
 
 def scan_secrets(
-    files: DataFrame, path_col: str, text_col: str, ledger_dir: str, rules: Sequence[Rule] = RULES, batch: str = "0"
+    files: DataFrame, path_col: str, text_col: str, ledger_dir: str, rules: Sequence[Rule] = RULES, batch: str | None = None
 ) -> DataFrame:
     """Findings of every path: (path, blob, one span array per rule). Scans only what the ledger lacks."""
     text = F.coalesce(F.col(text_col), F.lit(""))
