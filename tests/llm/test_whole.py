@@ -15,7 +15,7 @@ from llm.test_operators import DOCS, SECRET, docs, given, tokenizer_path  # noqa
 from pyspark.sql import functions as F  # noqa: E402
 
 from touchline.llm import queries as Q  # noqa: E402
-from touchline.llm import jaccard, licenses, mixing, search, secrets, tokens  # noqa: E402
+from touchline.llm import jaccard, licenses, mixing, search, secrets, tokens, warc  # noqa: E402
 
 # ---- op2 -------------------------------------------------------------------------------------------------------
 
@@ -162,3 +162,19 @@ def test_ledger_keeps_what_it_has(spark, tmp_path):
         assert named.read().count() == 2 * len(rules)
     secrets.scan_secrets(make(("a", SECRET), ("c", "y")), "p", "t", named.path, rules, "2")
     assert named.read().count() == 3 * len(rules)
+
+
+# ---- op1 -------------------------------------------------------------------------------------------------------
+
+
+def test_payloads_are_those_of_the_bodies_read(spark, tmp_path):
+    rows = [(1, "same"), (2, "same"), (3, "other é"), (4, ""), (None, "same"), (5, "other é"), (6, "alone")]
+    folder = f"file://{tmp_path}/p"
+    warc.write_archives(spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id bigint, url string, html string"), folder).collect()
+    records = warc.read_archives(spark, folder)
+    assert collections.Counter(map(tuple, warc.payloads(records).collect())) == collections.Counter(brute.warc(rows))
+    cut = warc.payloads(records.withColumn("body", F.expr("substring(body, 1, 3)"))).collect()
+    assert {r.page_id: (r.payload_bytes, r.payload_digest) for r in cut if r.record_type == "response"} == {
+        i: (n, warc.sha1_base32(b)) for i, n, b in ((2, 3, b"sam"), (4, 0, b""), (5, 3, b"oth"), (6, 3, b"alo"))
+    }
+    assert all(r.payload_bytes is None for r in cut if r.record_type == "revisit")

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import partitions, shared_folder
+from touchline.llm.common import partitions, shared_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 256 << 20
@@ -252,15 +252,35 @@ def read_archives(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYT
     return parts.repartition(max(partitions(spark), 1), "path", "start").mapInArrow(read, schema)
 
 
+def base32_sha1(body: Column) -> Column:
+    """As :func:`sha1_base32`: four times 40 bits as eight digits to base 32."""
+    digits = [F.lpad(F.conv(F.substring(F.sha1(body), 1 + i, 10), 16, 32), 8, "0") for i in range(0, 40, 10)]
+    return F.translate(F.concat(*digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
+def payloads(records: DataFrame) -> DataFrame:
+    """Row id, length and digest of the payload, kind and the row referred to, of what :func:`read_archives` gives.
+
+    Length and digest of a response are those of its body. A revisit takes them from the response of the row it
+    refers to whose body has the digest that the revisit names; both are null where there is none.
+    """
+    field = F.col("fields")
+    read = stored(
+        records.select(
+            field["x-row-id"].cast("bigint").alias("page_id"), F.length("body").cast("bigint").alias("bytes"), base32_sha1(F.col("body")).alias("sha1"),
+            F.regexp_replace(field["warc-payload-digest"], "^sha1:", "").alias("named"), F.col("kind").alias("record_type"),
+            field["x-refers-to-row"].cast("bigint").alias("refers_to"),
+        ), "warc-records",
+    )
+    responses = read.where("record_type = 'response'")
+    columns = ["page_id", F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "record_type", "refers_to"]
+    bodies = responses.select(F.col("page_id").alias("refers_to"), F.col("sha1").alias("named"), "bytes", "sha1").distinct()
+    revisits = read.where("record_type = 'revisit'").drop("bytes", "sha1").join(bodies, ["refers_to", "named"], "left")
+    return responses.select(*columns).unionByName(revisits.select(*columns))
+
+
 def op1_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "warc")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     write_archives(pages, folder).write.parquet(shared_folder(spark, "warc-log"))
-    field = F.col("fields")
-    return read_archives(spark, folder).select(
-        field["x-row-id"].cast("bigint").alias("page_id"),
-        field["x-payload-length"].cast("bigint").alias("payload_bytes"),
-        F.regexp_replace(field["warc-payload-digest"], "^sha1:", "").alias("payload_digest"),
-        F.col("kind").alias("record_type"),
-        field["x-refers-to-row"].cast("bigint").alias("refers_to"),
-    )
+    return payloads(read_archives(spark, folder))
