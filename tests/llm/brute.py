@@ -111,8 +111,8 @@ def contamination(docs, items, window=13):
     return out
 
 
-def bm25(docs, asked, tie, k=10, terms=16):
-    """For each asked id the scores of its best documents, best first; ``tie`` orders words of equal weight."""
+def bm25(docs, asked, k=10):
+    """For each asked id the scores of its best documents, best first; all distinct words of the row are asked for."""
     data = [(i, collections.Counter(ALNUM.findall((t or "").translate(LOWER)))) for i, t in docs]
     n, df = len(data), collections.Counter(w for _, c in data for w in c)
     mean = sum(sum(c.values()) for _, c in data) / n
@@ -121,11 +121,92 @@ def bm25(docs, asked, tie, k=10, terms=16):
     for q, own in data:
         if q not in asked:
             continue
-        known = sorted((w for w in own if df[w] > 1), key=lambda w: (-(1 + math.log(own[w])) * idf[w], tie(w)))
         scores = []
         for i, c in data:
-            s = sum(idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for w in known[:terms] if w in c)
+            s = sum(idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for w in own if w in c)
             if s > 0:
                 scores.append((-round(s, 8), i))
         out[q] = sorted(s for s, _ in scores)[:k]
     return out
+
+
+def alignment(docs, a_path, b_path):
+    """docs: (id, text); rows as op12 returns them."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+    from tokenizers.decoders import ByteLevel
+
+    a, b, letters = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path), {}
+    a.encode_special_tokens = True
+    for c in map(chr, range(400)):
+        out = ByteLevel().decode([c])
+        if len(out) == 1 and ord(out) < 128:
+            letters[c] = ord(out)
+    rest = [x for x in range(256) if x not in set(letters.values())]
+    for x in rest:  # bytes outside ASCII: themselves where they are printable, the others follow in order
+        if x >= 161 and x != 173:
+            letters[chr(x)] = x
+    free = [chr(c) for c in range(256, 324) if chr(c) not in letters]
+    letters.update(zip(free, [x for x in rest if x not in set(letters.values())], strict=True))
+
+    def bytes_b(piece):
+        return bytes([int(piece[3:5], 16)]) if re.fullmatch(r"<0x[0-9A-F]{2}>", piece) else piece.replace("▁", " ").encode()
+
+    def ends(pieces):
+        at, out = 0, []
+        for p in pieces:
+            at += len(p)
+            out.append(at)
+        return out
+
+    found = []
+    for i, text in docs:
+        groups = []
+        if text:
+            ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+            pieces_a = [bytes(letters[c] for c in a.id_to_token(x)) for x in ids_a]
+            pieces_b = [bytes_b(b.id_to_piece(x)) for x in ids_b]
+            if b"".join(pieces_a) == b"".join(pieces_b) == (" " + text).encode():
+                ends_a, ends_b = ends(pieces_a), ends(pieces_b)
+                at_a = at_b = 0
+                for cut in sorted(set(ends_a) & set(ends_b)):
+                    one, other = ends_a.index(cut, at_a) + 1, ends_b.index(cut, at_b) + 1
+                    groups.append((ids_a[at_a:one], ids_b[at_b:other]))
+                    at_a, at_b = one, other
+        found.append((i, groups))
+    count = collections.Counter(p for _, gs in found for p in {(x, y) for g, h in gs for x in g for y in h})
+    top = collections.defaultdict(int)
+    for (x, _), n in count.items():
+        top[x] = max(top[x], n)
+    out = []
+    for i, gs in found:
+        links = collections.Counter((x, y) for g, h in gs for x in g for y in h)
+        mark = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in gs)
+        out.append(
+            (i, sum(len(g) for g, _ in gs), sum(len(h) for _, h in gs), len(gs), sum(links.values()),
+             sum(n for (x, y), n in links.items() if count[x, y] == top[x]), sum(n * count[p] for p, n in links.items()),
+             hashlib.sha256(mark.encode()).hexdigest() if gs else "")
+        )
+    return out
+
+
+def negatives(rows):
+    """rows: (id, label, vector); rows as op11 returns them."""
+    given = []
+    for i, label, vector in rows:
+        if label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        if i is not None and i % 7 == 0:
+            label = (label + 1) % 10
+        given.append((i, label, [math.floor(256 * x) for x in vector]))
+    last = (lambda s, i: (-s, i is None, i or 0))
+    out = []
+    for k, (i, label, vector) in enumerate(given):
+        if i is None or i % 50:
+            continue
+        scored = [(sum(x * y for x, y in zip(vector, other)), j, of) for m, (j, of, other) in enumerate(given) if m != k]
+        scored.sort(key=lambda x: last(x[0], x[1]))
+        for p, j, _ in [x for x in scored if x[2] == label][:5]:
+            fits = [x for x in scored if x[2] != label and 50 * p <= 100 * x[0] <= 95 * p][:3]
+            out += [(i, j, r, f, p, s) for r, (s, f, _) in enumerate(fits, 1)]
+    return out

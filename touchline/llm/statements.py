@@ -58,3 +58,44 @@ names AS (
 SELECT doc_id, len(ws) AS n_words, COALESCE(hit.n, 0) AS n_hit, COALESCE(names.n, 0) AS n_items,
        sha256(COALESCE(listed, '')) AS items_sha256, COALESCE(hit.n, 0) > 0 AND 20 * COALESCE(hit.n, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)"""
+
+# op13: parts, rules, and the list of canonical URLs as a plain set.
+URLS = r"""
+with parts as (
+    select page_id, url,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') as query
+    from pages
+),
+named as (
+    select *, case when contains(url, '://') then
+        regexp_replace(host, ':(80|443)?$', '') || regexp_replace(path, '/+$', '') ||
+        coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p:
+            p <> '' and not regexp_matches(
+                translate(p, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '(?s)^(utm_[a-z]+|ref|fbclid|gclid|sid|sessionid|phpsessid)(=.*)?$'
+            ))), '&'), ''), '')
+    end as canon
+    from parts
+),
+listed as (
+    select distinct canon from named
+    where canon is not null
+      and regexp_matches(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[?&]utm_[a-z]+=')
+),
+rules(verdict, host, path) as (
+    values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+),
+ruled as (
+    select n.*,
+        (select max({'size': length(r.host || r.path), 'host': length(r.host), 'verdict': r.verdict, 'rule': r.host || r.path})
+         from rules r
+         where (n.host = r.host or ends_with(n.host, '.' || r.host)) and starts_with(n.path, r.path)) as fit
+    from named n
+)
+select page_id, host, path, fit.rule as rule,
+    coalesce(fit.verdict, case when canon in (select canon from listed) then 'block' else 'allow' end) as verdict
+from ruled
+"""
