@@ -16,9 +16,10 @@ count as best. Other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.blocks import changes, concat, expand
 from touchline.llm.common import chunks_of, shared_folder, stored
+from touchline.llm.tokens import Encoder
 from touchline.llm.warc import open_folder
 
 CHUNK_BYTES = 1 << 20
@@ -58,31 +60,30 @@ def byte_letters() -> dict[str, int]:
 
 
 class Tokens:
-    """Ids of texts by one tokenizer, and the bytes of each id."""
+    """Ids of texts by one tokenizer, and of each id its bytes and its digits with the mark that may follow."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes]):
+    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], pieces: list[bytes]):
         self.encode, self.pieces = encode, pieces
         self.sizes = np.array([len(p) for p in pieces], np.int64)
-        self.digits = np.array([str(i) for i in range(len(pieces))], object)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(pieces), np.uint8)
+        self.digits = {mark: np.array([f"{i}{mark}" for i in range(len(pieces))], object) for mark in ",|;"}
+        self.bits = max(1, (len(pieces) - 1).bit_length())
+
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        return self.letters[expand(self.starts[ids], self.sizes[ids])]
 
 
 def byte_level(path: str) -> Tokens:
     """A byte-level model of the tokenizers library on a blank and the text; strings of special tokens are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    encoder = Encoder(path)
+    encoder.tokenizer.encode_special_tokens = True
     letters = byte_letters()
-    pieces = [b""] * tokenizer.get_vocab_size()
-    for token, i in tokenizer.get_vocab().items():
+    pieces = [b""] * encoder.tokenizer.get_vocab_size()
+    for token, i in encoder.tokenizer.get_vocab().items():
         known = all(c in letters for c in token)
         pieces[i] = bytes(letters[c] for c in token) if known else token.encode()
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-    return Tokens(encode, pieces)
+    return Tokens(lambda texts: encoder.encode([b" " + t for t in texts]), pieces)
 
 
 def sentence_pieces(path: str) -> Tokens:
@@ -96,8 +97,19 @@ def sentence_pieces(path: str) -> Tokens:
             return bytes.fromhex(piece[3:5])
         return piece.replace("▁", " ").encode()
 
-    pieces = [bytes_of(model.id_to_piece(i)) for i in range(model.get_piece_size())]
-    return Tokens(lambda texts: model.encode(texts, num_threads=1), pieces)
+    def encode(texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(ids, np.int64) for ids in model.encode([t.decode() for t in texts], num_threads=1)]
+
+    return Tokens(encode, [bytes_of(model.id_to_piece(i)) for i in range(model.get_piece_size())])
+
+
+def worker_tokens(a_path: str, b_path: str) -> tuple[Tokens, Tokens]:
+    """Both tokenizers, loaded once per Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
+    kept = vars(sys.modules.setdefault("_alignment_tokens", types.ModuleType("_alignment_tokens")))
+    if (a_path, b_path) not in kept:
+        kept[a_path, b_path] = byte_level(a_path), sentence_pieces(b_path)
+    return kept[a_path, b_path]
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -114,59 +126,78 @@ class Aligned:
         self.text = self.pair = self.links = np.zeros(0, np.int64)
 
 
-def _flat(lists: list[list[int]]) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+def _given_back(texts: list[bytes], lists: list[np.ndarray], tokens: Tokens) -> np.ndarray:
+    """Which texts, with a blank before them, the ids spell byte for byte."""
+    sizes = np.array([len(t) + 1 for t in texts])
+    ids, counts = np.concatenate(lists), np.array([len(x) for x in lists])
+    owner = np.repeat(np.arange(len(texts)), counts)
+    same = np.bincount(owner, tokens.sizes[ids], len(texts)) == sizes
+    spelled = tokens.spelled(ids[same[owner]])
+    kept = np.flatnonzero(same)
+    wanted = np.frombuffer(b"".join([b" " + texts[i] for i in kept.tolist()]), np.uint8)
+    wrong = np.flatnonzero(spelled != wanted)
+    same[kept[np.searchsorted(np.cumsum(sizes[kept]), wrong, "right")]] = False
+    return same
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, count_a, count_b, group_a, text_of_group) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs(a: np.ndarray, b: np.ndarray, count_a, count_b, group_a, text_of_group, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, pair, links) of all groups; a wide group by its distinct ids, the others token by token."""
     first_a, first_b = np.cumsum(count_a) - count_a, np.cumsum(count_b) - count_b
     wide = count_a * count_b > WIDE_GROUP
     narrow = ~wide[group_a]
     groups = group_a[narrow]
     each = count_b[groups]
-    pair = np.repeat(a[narrow], each) << 32 | b[expand(first_b[groups], each)]
-    text, links = np.repeat(text_of_group[groups], each), np.ones(len(pair), np.int64)
-    for g in np.flatnonzero(wide).tolist():
-        ids_a, times_a = np.unique(a[first_a[g] : first_a[g] + count_a[g]], return_counts=True)
-        ids_b, times_b = np.unique(b[first_b[g] : first_b[g] + count_b[g]], return_counts=True)
-        pair = np.concatenate([pair, (ids_a[:, None] << 32 | ids_b[None, :]).ravel()])
-        links = np.concatenate([links, (times_a[:, None] * times_b[None, :]).ravel()])
-        text = np.concatenate([text, np.full(len(ids_a) * len(ids_b), text_of_group[g])])
-    own, number = np.unique(pair, return_inverse=True)
-    key = text << 32 | number
-    order = np.argsort(key, kind="stable")
-    new = np.flatnonzero(changes(key[order]))
-    place = order[new]
-    return text[place], pair[place], np.add.reduceat(links[order], new) if len(new) else links
-
-
-def align(texts: list[str], one: Tokens, other: Tokens) -> Aligned:
+    pair = np.repeat(a[narrow], each) << bits | b[expand(first_b[groups], each)]
+    # One sort of text and pair together; the count of equal ones is their links.
+    shift = 2 * bits
+    key = np.sort(np.repeat(text_of_group[groups], each) << shift | pair)
+    new = np.flatnonzero(changes(key)) if len(key) else np.zeros(0, np.int64)
+    links = np.diff(np.append(new, len(key)))
+    key = key[new]
+    if wide.any():
+        keys, times = [key], [links]
+        for g in np.flatnonzero(wide).tolist():
+            ids_a, times_a = np.unique(a[first_a[g] : first_a[g] + count_a[g]], return_counts=True)
+            ids_b, times_b = np.unique(b[first_b[g] : first_b[g] + count_b[g]], return_counts=True)
+            keys.append((text_of_group[g] << shift) | (ids_a[:, None] << bits | ids_b[None, :]).ravel())
+            times.append((times_a[:, None] * times_b[None, :]).ravel())
+        key, number = np.unique(np.concatenate(keys), return_inverse=True)
+        links = np.zeros(len(key), np.int64)
+        np.add.at(links, number, np.concatenate(times))
+    pair = key & ((1 << shift) - 1)
+    return key >> shift, (pair >> bits) << 32 | (pair & ((1 << bits) - 1)), links
+
+
+def align(texts: list[bytes], one: Tokens, other: Tokens) -> Aligned:
     out = Aligned(len(texts))
-    lists_a, lists_b = one.encode(texts), other.encode(texts)
-    valid = []
-    for i, text in enumerate(texts):
-        data = b" " + text.encode()
-        if text and all(b"".join(map(t.pieces.__getitem__, ids)) == data for t, ids in ((one, lists_a[i]), (other, lists_b[i]))):
-            valid.append(i)
-    if not valid:
+    kept = np.array([i for i, t in enumerate(texts) if t], np.int64)
+    own = [texts[i] for i in kept.tolist()]
+    if not own:
+        return out
+    lists_a, lists_b = one.encode(own), other.encode(own)
+    valid = _given_back(own, lists_a, one) & _given_back(own, lists_b, other)
+    kept = kept[valid]
+    if not len(kept):
         return out
-    lists_a, lists_b = [lists_a[i] for i in valid], [lists_b[i] for i in valid]
-    kept = np.array(valid)
+    lists_a, lists_b = ([ids for ids, v in zip(x, valid.tolist(), strict=True) if v] for x in (lists_a, lists_b))
     n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (lists_a, lists_b))
-    a, b = _flat(lists_a), _flat(lists_b)
-    # Both give back the same bytes, so the ends of all texts, one after the other, are ends of both.
+    a, b = np.concatenate(lists_a).astype(np.int64), np.concatenate(lists_b)
+    # Both spell the same bytes, so the ends of all texts, one after the other, are ends of both.
     ends_a, ends_b = np.cumsum(one.sizes[a]), np.cumsum(other.sizes[b])
-    common = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a]
-    group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-    count_a, count_b = np.bincount(group_a, minlength=len(common)), np.bincount(group_b, minlength=len(common))
-    last_a, last_b = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
-    last_group = group_a[last_a]
-    text_of_group = np.searchsorted(last_group, np.arange(len(common)))
-    out.n_a[kept], out.n_b[kept] = n_a, n_b
-    out.n_groups[kept] = np.diff(last_group, prepend=-1)
-    out.n_links[kept] = np.bincount(text_of_group, count_a * count_b, len(valid)).astype(np.int64)
-    text, out.pair, out.links = _pairs(a, b, count_a, count_b, group_a, text_of_group)
+    shared = np.zeros(int(ends_a[-1]) + 1, np.int8)
+    shared[ends_a] = 1
+    shared[ends_b] += 1
+    meets = shared == 2
+    number = np.cumsum(meets)  # groups that end at or before a byte
+    group_a, group_b = number[ends_a] - meets[ends_a], number[ends_b] - meets[ends_b]
+    groups = int(number[-1])
+    count_a, count_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
+    last_group = group_a[np.cumsum(n_a) - 1]
+    n_groups = np.diff(last_group, prepend=-1)
+    text_of_group = np.repeat(np.arange(len(kept)), n_groups)
+    out.n_a[kept], out.n_b[kept], out.n_groups[kept] = n_a, n_b, n_groups
+    out.n_links[kept] = np.add.reduceat(count_a * count_b, last_group - n_groups + 1)
+    text, out.pair, out.links = _pairs(a, b, count_a, count_b, group_a, text_of_group, max(one.bits, other.bits))
     out.text = kept[text]
     # Ids in the order in which they are written: a group's ids of one, then those of the other, each with what follows.
     before_a, before_b = np.cumsum(count_a) - count_a, np.cumsum(count_b) - count_b
@@ -174,12 +205,13 @@ def align(texts: list[str], one: Tokens, other: Tokens) -> Aligned:
     place_b = np.arange(len(b)) + (before_a + count_a)[group_b]
     written = np.empty(len(a) + len(b), object)
     for tokens, ids, place, group, mark in ((one, a, place_a, group_a, "|"), (other, b, place_b, group_b, ";")):
-        after = np.full(len(ids), ",", object)
-        after[np.append(group[1:] != group[:-1], True)] = mark
-        written[place] = tokens.digits[ids] + after
+        last = np.append(group[1:] != group[:-1], True)
+        written[place] = tokens.digits[","][ids]
+        written[place[last]] = tokens.digits[mark][ids[last]]
     cuts = np.cumsum([0, *(n_a + n_b)]).tolist()
-    for i, begin, end in zip(valid, cuts[:-1], cuts[1:], strict=True):
-        out.groups[i] = "".join(written[begin:end].tolist())[:-1]
+    pieces = written.tolist()
+    for i, begin, end in zip(kept.tolist(), cuts[:-1], cuts[1:], strict=True):
+        out.groups[i] = "".join(pieces[begin:end])[:-1]
     return out
 
 
@@ -188,29 +220,25 @@ def align(texts: list[str], one: Tokens, other: Tokens) -> Aligned:
 # ---------------------------------------------------------------------------------------------------------------
 
 
-def _write(folder: str, names: list[str], copies: np.ndarray, texts: list[str], one: Tokens, other: Tokens) -> dict:
+def _write(folder: str, names: list[str], copies: np.ndarray, texts: list[bytes], one: Tokens, other: Tokens) -> dict:
     """Align one block, write its file under a name of its own, and tell its pairs."""
-    parts, pairs, docs = [], [], []
-    for begin, end in chunks_of([t.encode() for t in texts], CHUNK_BYTES):
-        part = align(texts[begin:end], one, other)
-        own, number = np.unique(part.pair, return_inverse=True)
-        pairs.append(own)
-        docs.append(np.bincount(number, copies[begin:end][part.text], len(own)).astype(np.int64))
-        parts.append((begin, part, number))
-    every, number = np.unique(concat(pairs, np.int64), return_inverse=True)
-    total = np.bincount(number, concat(docs, np.int64), len(every)).astype(np.int64)
+    parts = [(begin, align(texts[begin:end], one, other)) for begin, end in chunks_of(texts, CHUNK_BYTES)]
+    pairs = concat([p.pair for _, p in parts], np.int64)
+    every = np.unique(pairs)
+    refs = np.searchsorted(every, pairs).astype(np.uint32)
+    held = concat([copies[begin + p.text] for begin, p in parts], np.int64)
+    docs = np.zeros(len(every), np.int64)
+    np.add.at(docs, refs, held)
     rows, at = [], 0
-    for (begin, part, numbers), own in zip(parts, pairs, strict=True):
-        refs = number[at : at + len(own)][numbers].astype(np.uint32)
-        at += len(own)
-        cuts = np.searchsorted(part.text, np.arange(len(part.groups) + 1)).tolist()
+    for begin, part in parts:
+        cuts = (at + np.searchsorted(part.text, np.arange(len(part.groups) + 1))).tolist()
         links = part.links.astype(np.uint64)
         for i, groups in enumerate(part.groups):
-            here = slice(cuts[i], cuts[i + 1])
             rows.append(
                 (names[begin + i], part.n_a[i], part.n_b[i], part.n_groups[i], part.n_links[i], groups,
-                 refs[here].tobytes(), links[here].tobytes())
+                 refs[cuts[i] : cuts[i + 1]].tobytes(), links[cuts[i] - at : cuts[i + 1] - at].tobytes())
             )
+        at += len(part.pair)
     block = uuid.uuid4().hex
     system, inner = open_folder(folder)
     system.create_dir(inner, recursive=True)
@@ -221,26 +249,24 @@ def _write(folder: str, names: list[str], copies: np.ndarray, texts: list[str],
             sink.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FILE, strict=True)], schema=FILE))
     often = np.flatnonzero(copies >= COPIES).tolist()
     copied = [{"name": names[i], "copies": int(copies[i])} for i in often]
-    return {"block": block, "pairs": every, "docs": total, "copied": copied}
+    return {"block": block, "pairs": every, "docs": docs, "copied": copied}
 
 
 def _aligner(folder: str, a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = None
         names, copies, texts, size = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            row = _write(folder, names, np.array(copies, np.int64), texts, *tokens)
+            row = _write(folder, names, np.array(copies, np.int64), texts, *worker_tokens(a_path, b_path))
             kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.struct([("name", pa.string()), ("copies", pa.int64())]))]
             return pa.RecordBatch.from_arrays([pa.array([row[k]], t) for k, t in zip(row, kinds, strict=True)], list(row))
 
         for batch in batches:
-            tokens = tokens or (byte_level(a_path), sentence_pieces(b_path))
             for name, text, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 names.append(name)
-                texts.append(text)
+                texts.append(text.encode())
                 copies.append(n)
-                size += len(text)
+                size += len(texts[-1])
                 if size >= BLOCK_BYTES:
                     yield close()
                     names, copies, texts, size = [], [], [], 0
