@@ -32,18 +32,19 @@ def test_expand_copies(rows, monkeypatch):
 def test_order_slots_follow_the_order(rows):
     rng = random.Random(5)
     data = [(rng.choice([7, rng.randint(-1000, 1000)]),) for _ in range(3000)]
-    slotted = skew.order_slots(rows(data, "v int"), ["v"])
+    slotted = skew.order_slots(rows(data, "v int"), ["v"], 100)
     spans = sorted((r["_slot"], r["lo"], r["hi"]) for r in slotted.groupBy("_slot").agg(
         F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
     assert len(spans) > 2
     assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("slot_rows", [10**9, 20, 1])
 @pytest.mark.parametrize("interval", [0, 1, 3])
-def test_sequential_values(rows, interval):
+def test_sequential_values(rows, interval, slot_rows):
     rng = random.Random(interval)
     data = [(rng.choice(["hot", "hot", "x", None]), rng.choice([5, None, rng.randint(0, 60)])) for _ in range(400)]
-    got = values(checks.check_sequential_values(rows(data, "g string, v int"), "v", interval, group_by=["g"]))
+    got = values(checks.check_sequential_values(rows(data, "g string, v int"), "v", interval, group_by=["g"], rows_per_slot=slot_rows))
     want = []
     for g in {d[0] for d in data}:
         vs = sorted(v for h, v in data if h == g and v is not None)
@@ -51,16 +52,17 @@ def test_sequential_values(rows, interval):
     assert got == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("slot_rows", [10**9, 20, 1])
 @pytest.mark.parametrize("gaps", ["allowed", "not_allowed", "required"])
 @pytest.mark.parametrize("grouped", [True, False])
-def test_ranges(rows, gaps, grouped):
+def test_ranges(rows, gaps, grouped, slot_rows):
     rng = random.Random(11)
     data = []
     for _ in range(300):
         low = rng.choice([None, 50, rng.randint(0, 200)])
         data.append((rng.choice(["hot", "hot", "b", None]), low, None if rng.random() < 0.05 else (low or 0) + rng.randint(0, 3)))
     df = rows(data, "g string, lo int, hi int")
-    got = checks.check_ranges_exclusive(df, "lo", "hi", "g" if grouped else None, gaps)
+    got = checks.check_ranges_exclusive(df, "lo", "hi", "g" if grouped else None, gaps, rows_per_slot=slot_rows)
     rule = checks.GAP_RULES[gaps]
     want = []
     for g in {d[0] for d in data} if grouped else {0}:
@@ -80,22 +82,33 @@ def test_ranges(rows, gaps, grouped):
 def test_order_slots_of_texts_and_constants(rows):
     rng = random.Random(6)
     data = [(rng.choice([None, "é", f"game-{rng.randint(0, 400):04d}"]), rng.choice([None, 1, 2])) for _ in range(2000)]
-    slotted = skew.order_slots(rows(data, "t string, n int"), ["t", "n"]).collect()
+    slotted = skew.order_slots(rows(data, "t string, n int"), ["t", "n"], 20).collect()
     assert len({r["_slot"] for r in slotted}) > 20
     ordered = sorted(slotted, key=lambda r: (r["t"] is not None, r["t"] or "", r["n"] is not None, r["n"] or 0))
     assert [r["_slot"] for r in ordered] == sorted(r["_slot"] for r in slotted)
-    assert skew.order_slots(rows([("a",)] * 50, "t string"), ["t"]).select("_slot").distinct().count() == 1
+    assert skew.order_slots(rows([("a",)] * 50, "t string"), ["t"], 1).select("_slot").distinct().count() == 1
     assert skew.order_slots(rows([], "t string"), ["t"]).count() == 0
 
 
 def test_ranges_of_texts_with_a_frequent_bound(rows):
     data = [("a", f"b{i:03d}") for i in range(60)] + [("a", "b000")] * 40 + [("c", "d")]
-    got = checks.check_ranges_exclusive(rows(data, "lo string, hi string"), "lo", "hi")
+    got = checks.check_ranges_exclusive(rows(data, "lo string, hi string"), "lo", "hi", rows_per_slot=5)
     assert got.count() == 99  # all but the last of the ranges from "a", and the last one, overlap the next
 
 
-@pytest.mark.parametrize("slots", [1, 5, skew.SLOTS])
-def test_match_numbers(rows, slots):
+def test_slots_number_with_the_rows_and_run_nothing_early(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup())
+    slotted = skew.order_slots(spark.range(100_000), ["id"], 1000)
+    assert set(tracker.getJobIdsForGroup()) == before
+    sizes = [r["count"] for r in slotted.groupBy("_slot").count().collect()]
+    assert 50 < len(sizes) < 200 and max(sizes) < 12_000
+    few = skew.order_slots(spark.range(10_000), ["id"], 1000).select("_slot").distinct().count()
+    assert 2 < few < 30
+
+
+@pytest.mark.parametrize("slot_rows", [10**9, 120, 1])
+def test_match_numbers(rows, slot_rows):
     rng = random.Random(3)
     data = []
     for i in range(600):
@@ -105,7 +118,7 @@ def test_match_numbers(rows, slots):
     df = rows(data, "game_id string, season string, d string, result string").select(
         "game_id", "season", F.col("d").cast("date").alias("date"), F.lit(1).alias("gameweek"), F.lit("o").alias("opponent"),
         F.lit("home").alias("venue_type"), F.lit(1).alias("goals_for"), F.lit(0).alias("goals_against"), "result")
-    got = marts.match_results(df, slots).collect()
+    got = marts.match_results(df, slot_rows).collect()
     assert len(got) == len(data)
     points = {"W": 3, "D": 1}
     for season in {d[1] for d in data}:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.config import DEFAULTS
-from touchline.plans.skew import expand_copies, order_slots
+from touchline.plans.skew import SLOT_ROWS, expand_copies, order_slots
 
 GAP_RULES: dict[str, Callable[[Column, Column], Column]] = {
     "not_allowed": lambda upper, following: upper == following,
@@ -159,6 +159,7 @@ def check_ranges_exclusive(
     partition_by: str | None = None,
     gaps: str = "allowed",
     zero_length: bool = False,
+    rows_per_slot: int = SLOT_ROWS,
 ) -> DataFrame:
     """Ranges that are empty, have a NULL bound, or do not end before the next one starts.
 
@@ -172,7 +173,9 @@ def check_ranges_exclusive(
     keys = ["partition_by_col"] if partition_by else []
     bounds = ["lower_bound", "upper_bound"]
     ranges = df.select(*part, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
-    rows = order_slots(ranges.groupBy(*keys, *bounds).agg(F.count("*").alias("_n")), bounds)
+    # Every branch below needs the count, so that all read one shuffle of the distinct ranges.
+    counted = ranges.groupBy(*keys, *bounds).agg(F.count("*").alias("_n")).where("_n > 0")
+    rows = order_slots(counted, [*keys, *bounds], rows_per_slot, source=ranges)
     starts = rows.groupBy(*keys, "_slot").agg(F.min(F.struct(*bounds))["lower_bound"].alias("_first"))
     onward = Window.partitionBy(*keys).orderBy("_slot")
     following = starts.select(
@@ -250,16 +253,19 @@ def check_recency(
 
 
 def check_sequential_values(
-    df: DataFrame, col: str, interval: int = 1, part: str | None = None, group_by: Sequence[str] = ()
+    df: DataFrame, col: str, interval: int = 1, part: str | None = None, group_by: Sequence[str] = (),
+    rows_per_slot: int = SLOT_ROWS,
 ) -> DataFrame:
     """Rows that do not follow the previous value by ``interval`` (numbers, or date parts).
 
-    Copies of a value are counted first, and distinct values are compared within slots of the value
-    range; only the first and last value of each slot meet those of its neighbours.
+    Copies of a value are counted first, and distinct values are compared within slots that follow the order of
+    group and value; only the first and last value of each slot meet those of its neighbours.
     """
     keys, previous = list(group_by), f"previous_{col}"
-    values = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count("*").alias("_n"))
-    slotted = order_slots(values, [col])
+    known = df.where(F.col(col).isNotNull()).select(*keys, col)
+    # Every branch below needs the count, so that all read one shuffle of the distinct values.
+    values = known.groupBy(*keys, col).agg(F.count("*").alias("_n")).where("_n > 0")
+    slotted = order_slots(values, [*keys, col], rows_per_slot, source=known)
 
     def follows(before: Column) -> Column:
         step = before + interval if part is None else F.timestamp_add(part.upper(), F.lit(interval), before)

@@ -27,22 +27,25 @@ def _percent(part: Column, whole: Column, digits: int) -> Column:
     return F.round(part / whole * 100, digits)
 
 
-def _played(match_results: DataFrame) -> DataFrame:
-    return match_results.where(F.col("result").isNotNull())
+def _played(matches: DataFrame) -> DataFrame:
+    return matches.where(F.col("result").isNotNull())
 
 
-def season_kpis(match_results: DataFrame) -> DataFrame:
-    """Goals and games at home and away, clean sheets, and the biggest win (the earliest of equals)."""
+def season_kpis(matches: DataFrame) -> DataFrame:
+    """Goals and games at home and away, clean sheets, and the biggest win (of equals the first by date and id).
+
+    Takes staged matches: a report that does not show match numbers does not pay for them.
+    """
     home, away = F.col("venue_type") == "home", F.col("venue_type") == "away"
     margin = F.col("goals_for") - F.col("goals_against")
     win = F.min(
         F.when(
             F.col("result") == "W",
-            F.struct((-margin).alias("m"), "match_number", "date", "opponent", "goals_for", "goals_against"),
+            F.struct((-margin).alias("m"), "date", "game_id", "opponent", "venue_type", "goals_for", "goals_against"),
         )
     )
     return (
-        _played(match_results)
+        _played(matches)
         .groupBy("season")
         .agg(
             F.sum(F.when(home, F.col("goals_for")).otherwise(0)).alias("home_goals"),
@@ -114,10 +117,10 @@ def shooting_table(performance: DataFrame) -> DataFrame:
     )
 
 
-def venue_goals(match_results: DataFrame) -> DataFrame:
+def venue_goals(matches: DataFrame) -> DataFrame:
     goals = F.sum(F.coalesce("goals_for", F.lit(0)))
     return (
-        _played(match_results)
+        _played(matches)
         .groupBy("season", "venue_type")
         .agg(goals.alias("goals"), F.count("*").alias("games"), F.round(goals / F.count("*"), 2).alias("avg_goals"))
     )
@@ -142,10 +145,10 @@ def attack_totals(performance: DataFrame) -> DataFrame:
     )
 
 
-def clean_sheet_summary(match_results: DataFrame) -> DataFrame:
+def clean_sheet_summary(matches: DataFrame) -> DataFrame:
     conceded = F.coalesce("goals_against", F.lit(0))
     return (
-        _played(match_results)
+        _played(matches)
         .groupBy("season")
         .agg(
             F.count_if(F.col("goals_against") == 0).alias("clean_sheets"),
@@ -165,11 +168,11 @@ def discipline_rank(performance: DataFrame) -> DataFrame:
     return carded.orderBy("season", F.col("card_points").desc(), "player")
 
 
-def defence_totals(performance: DataFrame, match_results: DataFrame) -> DataFrame:
+def defence_totals(performance: DataFrame, matches: DataFrame) -> DataFrame:
     players = performance.groupBy("season").agg(
         F.sum(_zero("tackles")).alias("tackles"), F.sum(_zero("interceptions")).alias("interceptions")
     )
-    against = _played(match_results).groupBy("season").agg(F.sum("goals_against").alias("goals_against"))
+    against = _played(matches).groupBy("season").agg(F.sum("goals_against").alias("goals_against"))
     return players.join(against, "season", "full_outer")
 
 

@@ -6,20 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions import safe_divide
-from touchline.plans.skew import SLOTS, order_slots
+from touchline.plans.skew import SLOT_ROWS, order_slots
 
 
 def _points() -> Column:
     return F.when(F.col("result") == "W", 3).when(F.col("result") == "D", 1).otherwise(0)
 
 
-def match_results(stg_matches: DataFrame, slots: int = SLOTS) -> DataFrame:
+def match_results(stg_matches: DataFrame, rows_per_slot: int = SLOT_ROWS) -> DataFrame:
     """Running points and match number per season.
 
     Matches of one date share the running points and are numbered by ``game_id``. A season or a date may hold any
-    share of the rows, so neither is sorted as a whole: running totals are taken over one row per date, and rows
-    are numbered within their date and a slot of ``game_id``; slots follow its order, so the numbers are the same
-    for any number of slots.
+    share of the rows, so neither is sorted as a whole. The rows are cut into slots that follow (season, date, id);
+    what goes before a slot comes from a small table of one row per date and slot, and rows are numbered within
+    theirs. The numbers are the same for any number of slots.
     """
     # One key that is never NULL, so that the joins and the window below share a partitioning.
     day = F.concat_ws("|", F.coalesce("season", F.lit("\0")), F.coalesce(F.col("date").cast("string"), F.lit("\0")))
@@ -27,7 +27,7 @@ def match_results(stg_matches: DataFrame, slots: int = SLOTS) -> DataFrame:
         "game_id", "season", "date", "gameweek", "opponent", "venue_type", "goals_for", "goals_against", "result"
     )
     by = ["game_id", "opponent", "venue_type"]
-    slotted = order_slots(rows, by, slots)
+    slotted = order_slots(rows, ["season", "date", *by], rows_per_slot)
     up_to = Window.partitionBy("season").orderBy("date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     whole_day = Window.partitionBy("season").orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     parts = slotted.groupBy("season", "date", "_slot").agg(F.sum(_points()).alias("_pts"), F.count("*").alias("_n"))

@@ -439,20 +439,20 @@ READS: dict[str, Callable[[Season], DataFrame]] = {
 }
 
 REPORTS: dict[str, Callable[[Season], DataFrame]] = {
-    "season_kpis": lambda t: kpis.season_kpis(t.results),
+    "season_kpis": lambda t: kpis.season_kpis(t.stg_matches),
     "result_share": lambda t: kpis.result_share(t.summary),
     "form_strip": lambda t: kpis.form_strip(t.results),
     "top_goals": lambda t: kpis.top_goals(t.performance),
     "shooting_table": lambda t: kpis.shooting_table(t.performance),
-    "venue_goals": lambda t: kpis.venue_goals(t.results),
+    "venue_goals": lambda t: kpis.venue_goals(t.stg_matches),
     "match_goal_series": lambda t: kpis.match_goal_series(t.results),
     "top_offsides": lambda t: kpis.top_offsides(t.performance),
     "attack_totals": lambda t: kpis.attack_totals(t.performance),
     "top_tackles": lambda t: kpis.top_tackles(t.performance),
     "top_interceptions": lambda t: kpis.top_interceptions(t.performance),
-    "clean_sheet_summary": lambda t: kpis.clean_sheet_summary(t.results),
+    "clean_sheet_summary": lambda t: kpis.clean_sheet_summary(t.stg_matches),
     "discipline_rank": lambda t: kpis.discipline_rank(t.performance),
-    "defence_totals": lambda t: kpis.defence_totals(t.performance, t.results),
+    "defence_totals": lambda t: kpis.defence_totals(t.performance, t.stg_matches),
     "career_summary": lambda t: kpis.career_summary(t.performance, t.squad),
     "value_share_of_peak": lambda t: kpis.value_share_of_peak(t.squad),
     "peak_squad_season": lambda t: kpis.peak_squad_season(t.squad_value, SEASON),

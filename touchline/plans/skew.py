@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 # Rows of one group that meet in one task when pairs are built; larger groups are cut into cells.
 CELL_ROWS = 2000
 COPIES_PER_CHUNK = 100_000
-# Cut points are kept by the driver and in every task, so their number has a bound.
-SLOTS = 64
-SAMPLES_PER_SLOT = 32
+# Rows of a slot, on average. Cut points are a sorted array in the plan: one per so many rows.
+SLOT_ROWS = 4_000_000
+# Halvings of a search among the cut points. More rows than these allow for make the last slot larger, no row wrong.
+SLOT_LEVELS = 16
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -20,28 +21,31 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: i
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def order_slots(df: DataFrame, cols: Sequence[str], slots: int = SLOTS, out: str = "_slot") -> DataFrame:
-    """Number rows by ranges of ``cols``, so that slots follow their order (NULLs first) and are of similar size.
+def order_slots(
+    df: DataFrame, cols: Sequence[str], rows_per_slot: int = SLOT_ROWS, out: str = "_slot", source: DataFrame | None = None
+) -> DataFrame:
+    """Number rows by ranges of ``cols``, so that slots follow their order (NULLs first) and number with the rows.
 
-    Works for every type that can be ordered. The cut points come from a random sample of bounded size; any cut
-    points give slots in the right order, so results do not depend on them. Rows that are equal in ``cols`` share
-    a slot: count them first where they may be many.
+    Cut points are the keys of a sample: those of the rows of ``source`` (``df`` by default; it may be the table that
+    ``df`` was counted from) whose hash is divisible by ``rows_per_slot``. The sample depends on the data alone, so
+    every part of a plan that asks for slots gets the same ones, also when a lost task runs again, and any cut points
+    give slots in the right order. They are a scalar subquery: nothing runs while the plan is built, and a row finds
+    its slot by bisection. Rows that are equal in ``cols`` share a slot: count them first where they may be many.
     """
+    given = df if source is None else source
     key = F.struct(*cols)
-    sample = df.select(*cols).orderBy(F.rand(11)).limit(SAMPLES_PER_SLOT * slots).collect()
-    places = sorted({tuple((v is not None, v if v is not None else 0) for v in row) for row in sample})
-    cuts = [places[len(places) * i // slots] for i in range(1, slots)] if places else []
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    kinds = [df.schema[c].dataType for c in cols]
-    listed = F.array(
-        *[
-            F.struct(*[F.lit(v if known else None).cast(t).alias(c) for (known, v), c, t in zip(cut, cols, kinds, strict=True)])
-            for cut in cuts
-        ]
-    )
-    return df.withColumn(out, F.size(F.filter(listed, lambda cut: cut <= key)))
+    chosen = given.where(F.pmod(F.xxhash64(*(given.columns if source is None else cols)), F.lit(rows_per_slot)) == 0)
+    cuts = chosen.agg(F.sort_array(F.collect_set(key)).alias("keys")).scalar()
+    # One column per halving: generated code that reads the array in place. Beyond the array, get() gives NULL.
+    steps, place = [], F.lit(0)
+    for level in reversed(range(SLOT_LEVELS)):
+        there = place + (1 << level)
+        steps.append(F.when(F.get("_cuts", there - 1) <= F.col("_key"), there).otherwise(place).alias(f"_step{level}"))
+        place = F.col(f"_step{level}")
+    slotted = df.withColumns({"_cuts": cuts, "_key": key}).select("*", *steps)
+    # An array of one, unpacked: what follows a join key down the plan (runtime filters) stops here, where it would
+    # write the columns into each other and double the expression at every level.
+    return slotted.select(*[F.col(c) for c in df.columns], F.explode(F.array("_step0")).alias(out))
 
 
 def expand_copies(df: DataFrame, count_col: str) -> DataFrame:
