@@ -34,7 +34,8 @@ VIEWS: dict[str, str] = {
                CASE WHEN l_suppkey % 7 = 6 THEN 'CLUB_X' ELSE 'FOCUS' END AS team,
                'SQUAD_' || CAST(l_suppkey // 25 AS VARCHAR) AS club,
                CASE WHEN l_suppkey % 11 = 10 THEN 'partial' ELSE 'combined' END AS stat_type,
-               CASE WHEN l_suppkey % 13 = 0 THEN 'nan?' ELSE CAST(COUNT(*) * 15 AS VARCHAR) END AS minutes,
+               CASE WHEN l_suppkey % 13 = 0 THEN 'nan?' WHEN (l_suppkey + CAST(SUBSTR(season, 1, 2) AS INTEGER)) % 9 = 0 THEN '0'
+                    ELSE CAST(COUNT(*) * 15 AS VARCHAR) END AS minutes,
                CAST({count_where("l_returnflag = 'R'")} AS VARCHAR) AS goals,
                CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE CAST({count_where("l_returnflag = 'A'")} AS VARCHAR) END AS assists,
                {count_where("l_returnflag = 'R'")} + 0.25 AS xg, {count_where("l_returnflag = 'A'")} + 0.5 AS xag,
@@ -64,14 +65,14 @@ VIEWS: dict[str, str] = {
                                ELSE market_value_eur END AS market_value_eur)
         FROM v_squad WHERE age % 20 <> 17""",
     "v_transfers": f"""
-        SELECT season, {PLAYER} AS player, CASE l_returnflag WHEN 'A' THEN 'in' ELSE 'out' END AS direction,
-               CASE l_returnflag WHEN 'A' THEN 'CLUB_' || CAST(l_partkey % 40 AS VARCHAR) ELSE 'FOCUS' END AS from_club,
-               CASE l_returnflag WHEN 'A' THEN 'FOCUS' ELSE 'CLUB_' || CAST(l_partkey % 40 AS VARCHAR) END AS to_club,
+        SELECT season, {PLAYER} AS player, CASE WHEN arrival THEN 'in' ELSE 'out' END AS direction,
+               CASE WHEN arrival THEN 'CLUB_' || CAST(l_partkey % 40 AS VARCHAR) ELSE 'FOCUS' END AS from_club,
+               CASE WHEN arrival THEN 'FOCUS' ELSE 'CLUB_' || CAST(l_partkey % 40 AS VARCHAR) END AS to_club,
                CASE l_linenumber % 5 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE {FEE} END AS fee_eur,
                CASE l_linenumber % 5 WHEN 0 THEN '?' WHEN 1 THEN 'free transfer' ELSE '€' || CAST({FEE} AS VARCHAR) END AS fee_text,
                CASE WHEN l_linenumber % 5 < 2 THEN 'Centre-Back' ELSE 'Left Winger' END AS position,
                CAST(17 + CAST(l_quantity AS BIGINT) % 18 AS BIGINT) AS age_at_transfer, l_orderkey, l_linenumber
-        FROM v_lines WHERE l_returnflag IN ('A', 'R')""",
+        FROM (SELECT *, l_returnflag = 'A' OR (l_returnflag = 'N' AND l_linenumber % 2 = 1) AS arrival FROM v_lines)""",
     "v_ledger": """
         SELECT season, COUNT(*) AS matches_count, CAST(25 AS BIGINT) AS players_count, season < '9798' AS is_complete,
                MAX(date) AS scraped_on FROM v_raw_matches GROUP BY season""",

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -191,6 +192,33 @@ def test_clamp_and_classes(rows):
     assert networks.search_subgraph(nodes, two, player="A", hops=2)[0].count() == 3
 
 
+def test_search_follows_new_nodes_only(rows, spark, tmp_path):
+    """Three hops on a graph with a node of 10,000 edges, against a plain breadth-first search."""
+    rng = random.Random(8)
+    pairs = [("hub", f"leaf{i}") for i in range(10_000)] + [(f"n{rng.randrange(300)}", f"n{rng.randrange(300)}") for _ in range(330)]
+    pairs += [("n1", "hub"), ("leaf7", "n200"), (None, "n3"), ("n5", None), ("n1", "hub")]
+    edges = rows(pairs, "source string, target string").repartition(4)
+    ids = sorted({x for p in pairs for x in p if x})
+    nodes = rows([(i, i, "player") for i in ids], "id string, label string, node_type string")
+    near = {}
+    for a, b in pairs:
+        if a and b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    table = networks.Adjacency.written(edges, str(tmp_path / "a"), buckets=7)
+    for start, hops in (("n250", 3), ("leaf9999", 3), ("n1", 1), ("hub", 2), ("n250", 40)):
+        seen = {i for i in ids if start in i}
+        for _ in range(hops):
+            seen |= {y for x in seen for y in near.get(x, ())}
+        got_nodes, got_edges = networks.search_subgraph(nodes, edges, player=start, hops=hops, adjacency=table)
+        assert {r["id"] for r in got_nodes.collect()} == seen
+        assert got_edges.count() == sum(a in seen and b in seen for a, b in pairs)
+    assert {r["id"] for r in networks.neighbours(table, "n1").collect()} == near["n1"] | {"n1"}
+    assert {r["id"] for r in networks.neighbours(table, "nobody").collect()} == {"nobody"}
+    plan = networks.neighbours(table, "n1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(id,n1)" in plan and "Sort " not in plan
+
+
 def test_undirected_pattern(rows):
     people = rows([("1", "a"), ("2", "b"), ("3", "c")], "player_id string, name string")
     edge = rows([("1", "2", 4), ("2", "3", 5)], "s string, d string, w int")

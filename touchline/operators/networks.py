@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions import blank_to_null, name_key
 from touchline.operators.graph import PropertyGraph, match_edges
 from touchline.plans.skew import first_rows
+from touchline.session import shared_root
+from touchline.sources.tables import write_mart
 
 NODE_COLUMNS = [
     "id", "label", "position", "nationality", "market_value", "photo_url", "goals", "assists", "minutes",
@@ -24,6 +27,8 @@ POSITION_PATTERNS = {
     "forward": r"forward|striker|sturm|centre-forward|center-forward|centre forward|stürmer|attack",
 }
 MAX_PARTNERS = 50
+# Folders of an adjacency: enough that one holds a small part of the edges.
+ADJACENCY_BUCKETS = 64
 DEFAULT_PARTNERS = 15
 
 
@@ -175,29 +180,25 @@ def transfer_nodes_season(
 
 
 def transfer_nodes_all(
-    transferred_to: DataFrame, performance: DataFrame, squad_values: DataFrame, players: DataFrame
+    transferred_to: DataFrame, performance: DataFrame, squad_values: DataFrame, players: DataFrame, ordered: bool = True
 ) -> DataFrame:
     moved = players.join(transferred_to.select("player_id").distinct(), "player_id", "left_semi")
     nodes = _career_nodes(moved, _career(performance), latest_nonempty_position(squad_values), "left")
-    return nodes.orderBy("id")
+    return nodes.orderBy("id") if ordered else nodes
 
 
-def _transfer_edges(transferred_to: DataFrame, players: DataFrame, clubs: DataFrame) -> DataFrame:
+def _transfer_edges(transferred_to: DataFrame, players: DataFrame, clubs: DataFrame, ordered: bool) -> DataFrame:
     named = players.select("player_id", F.col("name").alias("source"))
     club = clubs.select("club_id", F.col("name").alias("target_label"))
-    return (
-        transferred_to.join(named, "player_id")
-        .join(club, "club_id")
-        .select(
-            "source",
-            F.concat(F.lit("club:"), F.col("club_id")).alias("target"),
-            "club_id",
-            F.lit(1).cast("bigint").alias("weight"),
-            "season", "direction", "fee_eur", "fee_text", "target_label",
-            F.lit("TRANSFERRED_TO").alias("edge_type"),
-        )
-        .orderBy(F.col("season").desc(), "source", "club_id", "direction")
+    edges = transferred_to.join(named, "player_id").join(club, "club_id").select(
+        "source",
+        F.concat(F.lit("club:"), F.col("club_id")).alias("target"),
+        "club_id",
+        F.lit(1).cast("bigint").alias("weight"),
+        "season", "direction", "fee_eur", "fee_text", "target_label",
+        F.lit("TRANSFERRED_TO").alias("edge_type"),
     )
+    return edges.orderBy(F.col("season").desc(), "source", "club_id", "direction") if ordered else edges
 
 
 def transfer_edges_season(
@@ -206,11 +207,14 @@ def transfer_edges_season(
     """Every transfer, of any season, of the players in the squad of ``season``."""
     squad = performance.where(F.col("season") == season).select(name_key(F.col("player")).alias("_key"))
     members = players.withColumn("_key", name_key(F.col("name"))).join(squad, "_key", "left_semi")
-    return _transfer_edges(transferred_to, members, clubs)
+    return _transfer_edges(transferred_to, members, clubs, ordered=True)
 
 
-def transfer_edges_all(transferred_to: DataFrame, players: DataFrame, clubs: DataFrame) -> DataFrame:
-    return _transfer_edges(transferred_to, players, clubs)
+def transfer_edges_all(
+    transferred_to: DataFrame, players: DataFrame, clubs: DataFrame, ordered: bool = True
+) -> DataFrame:
+    """All transfers; without ``ordered`` for use inside other queries."""
+    return _transfer_edges(transferred_to, players, clubs, ordered)
 
 
 def club_nodes(edges: DataFrame, clubs: DataFrame) -> DataFrame:
@@ -231,12 +235,13 @@ def club_nodes(edges: DataFrame, clubs: DataFrame) -> DataFrame:
     )
 
 
-def season_nodes(seasons: DataFrame) -> DataFrame:
+def season_nodes(seasons: DataFrame, ordered: bool = True) -> DataFrame:
     def count_text(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0)).cast("string")
 
     nothing = F.lit(None).cast("double")
-    return seasons.orderBy(F.col("season_id").desc()).select(
+    listed = seasons.orderBy(F.col("season_id").desc()) if ordered else seasons
+    return listed.select(
         F.concat(F.lit("season:"), F.col("season_id")).alias("id"),
         "label",
         F.concat(F.lit("Pts "), count_text("points"), F.lit(" · W "), count_text("wins")).alias("position"),
@@ -279,7 +284,7 @@ def _induced(edges: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select(
+    return edges.where(F.col("source").isNotNull() & F.col("target").isNotNull()).select(
         F.inline(
             F.array(
                 F.struct(F.col("source").alias("id"), F.col("target").alias("other")),
@@ -289,12 +294,69 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     )
 
 
+class Adjacency:
+    """Each pair of neighbours once in both directions, in files by bucket of ``id`` and sorted by ``id`` within.
+
+    A search reads only the buckets of the nodes it has just reached, and in them the row groups that may hold these
+    nodes. The pairs of a node with very many edges are split over files by size.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = ADJACENCY_BUCKETS):
+        self.spark, self.path, self.buckets = spark, path, buckets
+
+    @classmethod
+    def written(cls, edges: DataFrame, path: str, buckets: int = ADJACENCY_BUCKETS) -> Adjacency:
+        out = cls(edges.sparkSession, path, buckets)
+        pairs = _both_ways(edges).distinct()
+        write_mart(pairs.withColumn("bucket", out.bucket(F.col("id"))), path, ["bucket"], ["id"])
+        return out
+
+    def bucket(self, node: Column) -> Column:
+        return F.pmod(F.xxhash64(node.cast("string")), F.lit(self.buckets)).cast("int")
+
+    def table(self) -> DataFrame:
+        return self.spark.read.schema("id string, other string, bucket int").parquet(self.path)
+
+    def of(self, node: str) -> DataFrame:
+        """Neighbours of one node, by its bucket and its place in it."""
+        own = F.lit(node)
+        return self.table().where((F.col("bucket") == self.bucket(own)) & (F.col("id") == own)).select(F.col("other").alias("id"))
+
+    def reach(self, start: DataFrame, hops: int, path: str) -> DataFrame:
+        """Ids within ``hops`` edges of the ids of ``start``. Each hop follows only the nodes that the last one found.
+
+        A hop writes the nodes it finds, so it starts from files, and ends when there are none. The driver sees the
+        numbers of their buckets only.
+        """
+        def layer(hop: int) -> DataFrame:
+            return self.spark.read.schema("id string, bucket int").parquet(f"{path}/hop={hop}")
+
+        def write(ids: DataFrame, hop: int) -> None:
+            found = ids.where("id is not null").distinct()
+            found.withColumn("bucket", self.bucket(F.col("id"))).write.mode("overwrite").parquet(f"{path}/hop={hop}")
+
+        write(start.select(F.col("id").cast("string")), 0)
+        seen = layer(0)
+        for hop in range(1, hops + 1):
+            frontier = layer(hop - 1)
+            used = [r[0] for r in frontier.select("bucket").distinct().collect()]
+            if not used:
+                break
+            steps = self.table().where(F.col("bucket").isin(used)).join(frontier, ["bucket", "id"], "left_semi")
+            reached = steps.select(F.col("other").alias("id")).distinct()
+            write(reached.join(seen, "id", "left_anti"), hop)
+            seen = seen.unionByName(layer(hop))
+        return seen.select("id")
+
+
 def search_subgraph(
-    nodes: DataFrame, edges: DataFrame, player: str = "", club: str = "", season: str = "", hops: int = 1
+    nodes: DataFrame, edges: DataFrame, player: str = "", club: str = "", season: str = "", hops: int = 1,
+    adjacency: Adjacency | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Nodes found by a part of their name, everything within ``hops`` edges of them, and the edges between.
 
-    Without a search text the network is returned as it is; a search that finds nothing gives nothing.
+    Without a search text the network is returned as it is; a search that finds nothing gives nothing. The adjacency
+    of the edges is written where none is given.
     """
     wanted = {"player": player, "club": club, "season": season}
     texts = {kind: text.strip().lower() for kind, text in wanted.items() if text and text.strip()}
@@ -307,11 +369,11 @@ def search_subgraph(
         "season": F.concat_ws("\n", F.lower("id"), label),
     }
     found = [(F.col("node_type") == kind) & places[kind].contains(text) for kind, text in texts.items()]
-    seen = nodes.where(reduce(lambda a, b: a | b, found)).select("id").distinct()
-    steps = _both_ways(edges)
-    for _ in range(hops):
-        reached = steps.join(seen, "id", "left_semi").select(F.col("other").alias("id"))
-        seen = seen.unionByName(reached).distinct()
+    start = nodes.where(reduce(lambda a, b: a | b, found)).select("id")
+    folder = f"{shared_root(nodes.sparkSession)}/search-{uuid.uuid4().hex}"
+    if adjacency is None:
+        adjacency = Adjacency.written(edges, f"{folder}/adjacency")
+    seen = adjacency.reach(start, hops, f"{folder}/seen")
     return nodes.join(seen, "id", "left_semi"), _induced(edges, seen)
 
 
@@ -327,10 +389,15 @@ def filter_by_position(nodes: DataFrame, edges: DataFrame, position_class: str)
     return kept, _induced(edges, kept.select("id").distinct())
 
 
-def neighbours(edges: DataFrame, node_id: str) -> DataFrame:
-    """A node and the nodes it has an edge with."""
-    near = _both_ways(edges).where(F.col("id") == node_id).select(F.col("other").alias("id"))
-    itself = edges.sparkSession.range(1).select(F.lit(node_id).alias("id"))
+def neighbours(edges: DataFrame | Adjacency, node_id: str) -> DataFrame:
+    """A node and the nodes it has an edge with; with an adjacency only that node's bucket is read."""
+    if isinstance(edges, Adjacency):
+        near = edges.of(node_id)
+        spark = edges.spark
+    else:
+        near = _both_ways(edges).where(F.col("id") == node_id).select(F.col("other").alias("id"))
+        spark = edges.sparkSession
+    itself = spark.range(1).select(F.lit(node_id).alias("id"))
     return near.unionByName(itself).distinct()
 
 

@@ -138,10 +138,6 @@ class Network(Season):
     def players(self) -> DataFrame:
         return self.written("players", super().players)
 
-    @cached_property
-    def clubs(self) -> DataFrame:
-        return self.written("clubs", super().clubs)
-
     @cached_property
     def played_in(self) -> DataFrame:
         return graph.edge_played_in(self.league, self.players)
@@ -170,21 +166,23 @@ class Network(Season):
         ends = graph.Edges(self.moved, "player_id", "club_id", "Player", "Club")
         return graph.PropertyGraph(players | {"Club": graph.Nodes(self.clubs, "club_id")}, {edge: ends})
 
-    @cached_property
-    def transfer_edges(self) -> DataFrame:
-        return networks.transfer_edges_all(self.moved, self.players, self.clubs)
+    def transfer_edges(self, ordered: bool = False) -> DataFrame:
+        return networks.transfer_edges_all(self.moved, self.players, self.clubs, ordered)
 
     @cached_property
     def transfer_nodes(self) -> DataFrame:
         return networks.network_nodes(
-            networks.transfer_nodes_all(self.moved, self.league, self.squad, self.players),
+            networks.transfer_nodes_all(self.moved, self.league, self.squad, self.players, ordered=False),
             networks.club_nodes(self.moved, self.clubs),
-            networks.season_nodes(self.seasons),
+            networks.season_nodes(self.seasons, ordered=False),
         )
 
     @cached_property
     def written_edges(self) -> DataFrame:
-        return self.written("edges", self.transfer_edges)
+        return self.written("edges", self.transfer_edges())
+
+    def adjacency(self, edges: DataFrame) -> networks.Adjacency:
+        return networks.Adjacency.written(edges, f"{self.folder}/adjacency", buckets=8)
 
     @cached_property
     def squad_nodes(self) -> DataFrame:
@@ -360,7 +358,7 @@ STAGES: dict[str, Callable[[Season], DataFrame]] = {
 
 def _search(t: Network, part: int) -> DataFrame:
     nodes, edges = t.written("nodes", t.transfer_nodes), t.written_edges
-    return networks.search_subgraph(nodes, edges, player="player 7", season="99/00")[part]
+    return networks.search_subgraph(nodes, edges, player="player 7", season="99/00", adjacency=t.adjacency(edges))[part]
 
 
 def _position(t: Network, part: int) -> DataFrame:
@@ -395,7 +393,7 @@ GRAPH: dict[str, Callable[[Network], DataFrame]] = {
     "transfer_edges_season": lambda t: networks.transfer_edges_season(
         t.moved, t.players, t.clubs, t.league, SEASON
     ),
-    "transfer_edges_all": lambda t: t.transfer_edges,
+    "transfer_edges_all": lambda t: t.transfer_edges(ordered=True),
     "club_nodes": lambda t: networks.club_nodes(t.moved, t.clubs),
     "season_nodes": lambda t: networks.season_nodes(t.seasons),
     "network_nodes": lambda t: t.transfer_nodes,
@@ -405,7 +403,7 @@ GRAPH: dict[str, Callable[[Network], DataFrame]] = {
     "search_subgraph_nodes": lambda t: _search(t, 0),
     "filter_by_position": lambda t: _position(t, 1),
     "filter_by_position_nodes": lambda t: _position(t, 0),
-    "neighbours": lambda t: networks.neighbours(t.written_edges, "Player 6"),
+    "neighbours": lambda t: networks.neighbours(t.adjacency(t.transfer_edges()), "Player 6"),
     "unknown_position_count": lambda t: networks.unknown_position_count(t.squad_nodes),
 }
 

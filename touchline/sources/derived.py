@@ -81,7 +81,10 @@ def raw_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(s % 7 == 6, "CLUB_X").otherwise("FOCUS").alias("team"),
         F.concat(F.lit("SQUAD_"), _text(F.floor(s / SQUAD_SIZE))).alias("club"),
         F.when(s % 11 == 10, "partial").otherwise("combined").alias("stat_type"),
-        F.when(s % 13 == 0, "nan?").otherwise(_text(F.col("n") * 15)).alias("minutes"),
+        # Every ninth season of a player passes without a minute played.
+        F.when(s % 13 == 0, "nan?")
+        .when((s + F.left("season", F.lit(2)).cast("int")) % 9 == 0, "0")
+        .otherwise(_text(F.col("n") * 15)).alias("minutes"),
         _text(F.col("goals")).alias("goals"),
         F.when(s % 5 == 0, None).otherwise(_text(F.col("assists"))).alias("assists"),
         F.concat(_text(F.col("goals")), F.lit(".25")).alias("xg"),
@@ -131,8 +134,9 @@ def squad_values_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = given_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
-    arrival = F.col("l_returnflag") == "A"
+    """Every line item is a transfer: A arrivals, R departures, N either by line number."""
+    lines = given_table(spark, sf_dir, "lineitem")
+    arrival = (F.col("l_returnflag") == "A") | ((F.col("l_returnflag") == "N") & (F.col("l_linenumber") % 2 == 1))
     kind = F.col("l_linenumber") % 5
     other = F.concat(F.lit("CLUB_"), _text(F.col("l_partkey") % 40))
     fee = F.floor("l_extendedprice")
