@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 from touchline.config import DEFAULTS
 from touchline.plans.skew import SLOT_ROWS, expand_copies, order_slots
 
+# Buckets of the hash comparison, as powers of two. Every map task sends a row per bucket, so the first level is small;
+# large tables with few differences are worth a second one, such as (12, 18).
+TREE_LEVELS = (12,)
+
 GAP_RULES: dict[str, Callable[[Column, Column], Column]] = {
     "not_allowed": lambda upper, following: upper == following,
     "allowed": lambda upper, following: upper <= following,
@@ -77,14 +81,48 @@ def check_at_least_one(df: DataFrame, col: str, group_by: Sequence[str] = ()) ->
     return counts.where("n_values = 0")
 
 
-def check_cardinality_equality(df: DataFrame, col: str, to: DataFrame, field: str) -> DataFrame:
-    """Values whose number of rows differs, as (value, count) of the side that has it."""
+def _fold(side: DataFrame, names: Sequence[str], bits: int) -> DataFrame:
+    """One row per bucket of row hashes: how many rows, and order-free sums of two 64-bit hashes of them."""
+    def halves(h: str) -> list[Column]:  # sums of 32 bits stay within a long for two thousand million rows a bucket
+        return [F.sum(F.shiftrightunsigned(h, 32)).alias(f"{h}_high"), F.sum(F.col(h).bitwiseAND((1 << 32) - 1)).alias(f"{h}_low")]
+
+    return side.groupBy(_bucket(bits).alias("_b")).agg(F.count("*").alias("_rows"), *halves("_h"), *halves("_g"))
+
+
+def _bucket(bits: int) -> Column:
+    return F.shiftrightunsigned("_h", 64 - bits).cast("int") if bits else F.lit(0)
 
-    def counts(side: DataFrame, c: str) -> DataFrame:
-        return side.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("num_rows"))
 
-    a, b = counts(df, col), counts(to, field)
-    return a.exceptAll(b).unionByName(b.exceptAll(a))
+def unequal_parts(a: DataFrame, b: DataFrame, names: Sequence[str], levels: Sequence[int] = TREE_LEVELS) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides in the hash buckets in which the sides differ, found level by level.
+
+    Each side is reduced to order-free sums of row hashes per bucket, in the map tasks first. Only buckets whose sums
+    differ are folded again more finely, and only the rows of those that still differ are returned; two equal tables
+    cost one scan each and move no row. Buckets are at most two to the power of the last level, so their list may be
+    broadcast. A difference is overlooked only if the count and both 64-bit sums of a bucket agree by chance.
+    """
+    # NULL leaves a hash as it is, so the places of NULLs take part too.
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in names])
+    cells = [F.col(c) for c in names]
+    hashes = {"_h": F.xxhash64(*cells, nulls), "_g": F.xxhash64(F.lit(1), nulls, *cells)}
+    sides = [side.withColumns(hashes) for side in (a, b)]
+    for bits in levels:
+        one, other = (_fold(side, names, bits) for side in sides)
+        sums = [c for c in one.columns if c != "_b"]
+        meet = other.select(F.col("_b").alias("_c"), *[F.col(c).alias(f"{c}_other") for c in sums])
+        same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"{c}_other")) for c in sums])
+        differ = one.join(meet, F.col("_b") == F.col("_c"), "full_outer").where(~same).select(F.coalesce("_b", "_c").alias("_b"))
+        sides = [side.join(F.broadcast(differ), _bucket(bits) == F.col("_b"), "left_semi") for side in sides]
+    return tuple(side.select(*names) for side in sides)
+
+
+def check_cardinality_equality(df: DataFrame, col: str, to: DataFrame, field: str) -> DataFrame:
+    """Values whose number of rows differs, as (value, count) of the side that has it."""
+    a, b = unequal_parts(df.select(F.col(col).alias("value")), to.select(F.col(field).alias("value")), ["value"])
+    both = a.withColumn("_ours", F.lit(True)).unionByName(b.withColumn("_ours", F.lit(False)))
+    counts = both.groupBy("value").agg(F.count_if("_ours").alias("_a"), F.count_if(~F.col("_ours")).alias("_b"))
+    sides = F.filter(F.array("_a", "_b"), lambda n: n > 0)
+    return counts.where("_a <> _b").select("value", F.explode(sides).alias("num_rows"))
 
 
 def _paired_counts(df: DataFrame, other: DataFrame, group_by: Sequence[str], names: tuple[str, str]) -> DataFrame:
@@ -123,7 +161,7 @@ def check_equality(
     exclude: Sequence[str] | None = None,
     precision: int | None = None,
 ) -> DataFrame:
-    """Distinct rows only one side has, with the side in ``which_diff``."""
+    """Distinct rows only one side has, with the side in ``which_diff``; compared by hash buckets first."""
     if columns and exclude:
         raise ValueError("give columns or exclude, not both")
     left_out = {c.lower() for c in exclude or ()}
@@ -141,10 +179,12 @@ def check_equality(
 
         return side.select(*[cell(c) for c in names])
 
-    a, b = cells(df), cells(other)
-    a_only = a.subtract(b).select(F.lit("a_minus_b").alias("which_diff"), *names)
-    b_only = b.subtract(a).select(F.lit("b_minus_a").alias("which_diff"), *names)
-    return a_only.unionByName(b_only)
+    a, b = unequal_parts(cells(df), cells(other), names)
+    both = a.withColumn("_ours", F.lit(True)).unionByName(b.withColumn("_ours", F.lit(False)))
+    # One pass over what differs: a row that only one side has, whatever its number of copies.
+    rows = both.groupBy(*names).agg(F.bool_or("_ours").alias("_a"), F.bool_or(~F.col("_ours")).alias("_b"))
+    which = F.when(F.col("_a"), "a_minus_b").otherwise("b_minus_a").alias("which_diff")
+    return rows.where(F.col("_a") != F.col("_b")).select(which, *names)
 
 
 def check_expression(df: DataFrame, expression: str, col: str | None = None) -> DataFrame:
