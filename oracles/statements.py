@@ -223,7 +223,18 @@ RESOLVED = f"""(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY term OR
     FROM (SELECT term, v_squad.*, CAST(CASE WHEN season = '9697' AND LOWER(TRIM(player)) = LOWER(term) THEN 1 WHEN season = '9697' AND CONTAINS(LOWER(player), LOWER(term)) THEN 2 ELSE 3 END AS BIGINT) AS tier
           FROM v_squad, {TERMS} WHERE LOWER(TRIM(player)) = LOWER(term) OR CONTAINS(LOWER(player), LOWER(term)))) WHERE rn = 1)"""
 
+MANY_TERMS = """(SELECT DISTINCT CASE k % 4 WHEN 0 THEN UPPER(player_name) WHEN 1 THEN SUBSTR(player_name, 4, 20) WHEN 2 THEN player_id
+      ELSE player_name || '%x' END AS term FROM v_profiles) w"""
+RESOLVED_MANY = f"""(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY term ORDER BY tier, CASE tier WHEN 2 THEN LENGTH(player) END NULLS FIRST,
+      CASE tier WHEN 3 THEN season END DESC NULLS LAST, player, player_id) AS rn
+    FROM (SELECT term, v_squad.*, CAST(CASE WHEN season = '9697' AND LOWER(TRIM(player)) = LOWER(term) THEN 1
+                 WHEN season = '9697' AND CONTAINS(LOWER(player), LOWER(REPLACE(term, '%', ''))) THEN 2 ELSE 3 END AS BIGINT) AS tier
+          FROM v_squad, {MANY_TERMS} WHERE LOWER(TRIM(player)) = LOWER(term) OR CONTAINS(LOWER(player), LOWER(REPLACE(term, '%', ''))))) WHERE rn = 1)"""
+
 READS = {
+    "resolve_players": f"SELECT term, tier, season AS season_used, player, player_id, market_value_eur FROM {RESOLVED_MANY}",
+    "name_suggestions": f"""SELECT term, low FROM (SELECT term, low, ROW_NUMBER() OVER (PARTITION BY term ORDER BY LENGTH(low), low) AS rn
+        FROM {MANY_TERMS}, (SELECT DISTINCT LOWER(player) AS low FROM v_squad) WHERE CONTAINS(low, LOWER(term))) WHERE rn <= 3""",
     "matches_of_season": "SELECT * FROM v_results WHERE season = '9697'",
     "summary_of_season": "SELECT * FROM v_summary WHERE season = '9697'",
     "players_sorted": f"SELECT {PERF_ROWS} FROM v_perf WHERE season = '9697'",

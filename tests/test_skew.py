@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from touchline.operators import checks, marts
+from touchline.operators import checks, marts, names, reads
 from touchline.plans import skew
 
 
@@ -174,3 +174,33 @@ def test_cardinality_by_hash_buckets(rows):
     want = [(v, n) for v, n in count.items() if against[v] != n] + [(v, n) for v, n in against.items() if count[v] != n]
     got = checks.check_cardinality_equality(rows(ones, "a int"), "a", rows(others, "b int"), "b")
     assert collections.Counter(map(tuple, got.collect())) == collections.Counter(want)
+
+
+def test_a_thousand_terms_find_what_literals_find(rows, tmp_path):
+    rng = random.Random(14)
+    part = lambda n: "".join(rng.choice("abÉ %_x1") for _ in range(n))
+    people = [(rng.choice(["9697", "9798"]), rng.choice([None, f" {part(rng.randrange(0, 9))} ", part(4).upper()])) for _ in range(400)]
+    blank = {c: "string" for c in reads.SQUAD_COLUMNS if c != "player"}
+    squad = rows([(s, p, str(i)) for i, (s, p) in enumerate(people)], "season string, player string, player_id string")
+    squad = squad.withColumns({c: F.lit(None).cast("string") for c in blank if c != "player_id"})
+    terms = sorted({t.strip() for t in [part(rng.randrange(0, 7)) for _ in range(2200)] + [p for _, p in people if p][:40]})
+    index = names.NameIndex.written(squad, str(tmp_path / "index"))
+    many = rows([(t,) for t in [*terms, *terms[:9], None]], "term string")
+    got = names.resolve_players(squad, many, "9697", index)
+    want = reads.resolve_player(squad, terms, "9697")
+    assert len(terms) > 1000
+    assert values(got, "term", "tier", "season_used", "player", "player_id") == values(want, "term", "tier", "season_used", "player", "player_id")
+
+
+def test_short_terms_and_unknown_pieces(rows, tmp_path):
+    index = names.NameIndex.written(rows([("Ann",), ("anna b",), (None,), ("",), ("x%y",)], "player string"), str(tmp_path / "i"))
+    asked = rows([(t,) for t in ("", "a", "nn", "ann", "anna", "nnab", "%", "b ", None)], "part string")
+    found = collections.defaultdict(set)
+    for r in index.containing(asked).collect():
+        found[r["part"]].add(r["low"])
+    assert found == {
+        "": {"ann", "anna b", "", "x%y"}, "a": {"ann", "anna b"}, "nn": {"ann", "anna b"}, "ann": {"ann", "anna b"},
+        "anna": {"anna b"}, "%": {"x%y"},
+    }
+    assert index.containing(asked.limit(0)).count() == 0
+    assert names.first_names(index, rows([("AN",)], "term string"), 1).collect()[0]["low"] == "ann"

@@ -110,7 +110,7 @@ def resolve_player(squad_values: DataFrame, terms: Sequence[str], season: str) -
 
     First the exact name in the season, then the shortest name of the season that contains the term,
     then the newest row of any season that fits either way. The terms are a caller's short list, so
-    they are matched as literals within the scan, without a join.
+    they are matched as literals within the scan, without a join; for many see ``names.resolve_players``.
     """
     texts = list(dict.fromkeys(t.strip() for t in terms))
     wanted = F.array(
@@ -126,15 +126,17 @@ def resolve_player(squad_values: DataFrame, terms: Sequence[str], season: str) -
     key, low = name_key(F.col("player")), F.lower("player")
     hits = F.filter(wanted, lambda w: (key == w["exact"]) | low.contains(w["part"]))
     rows = squad_values.select("season", *SQUAD_COLUMNS, F.explode(hits).alias("_hit"))
+    return best_match(rows.select("season", *SQUAD_COLUMNS, "_hit.*"), season)
+
+
+def best_match(rows: DataFrame, season: str) -> DataFrame:
+    """The first of the squad rows that fit a term, given next to each row as (term, exact, part)."""
+    key, low = name_key(F.col("player")), F.lower("player")
     in_season = F.col("season") == season
     tier = (
-        F.when(in_season & (key == F.col("_hit.exact")), 1)
-        .when(in_season & low.contains(F.col("_hit.part")), 2)
-        .otherwise(3)
-    )
-    ranked = rows.select(
-        F.col("_hit.term").alias("term"), tier.cast("bigint").alias("tier"), "season", *SQUAD_COLUMNS
+        F.when(in_season & (key == F.col("exact")), 1).when(in_season & low.contains(F.col("part")), 2).otherwise(3)
     )
+    ranked = rows.select("term", tier.cast("bigint").alias("tier"), "season", *SQUAD_COLUMNS)
     length = F.when(F.col("tier") == 2, F.length("player"))
     newest = F.when(F.col("tier") == 3, F.col("season"))
     order = [F.col("tier"), length, newest.desc_nulls_last(), F.col("player"), F.col("player_id")]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import functions as fn
-from touchline.operators import checks, graph, history, kpis, marts, networks, reads, relations, staging
+from touchline.operators import checks, graph, history, kpis, marts, names, networks, reads, relations, staging
 from touchline.plans import pipeline
 from touchline.sources import derived, loads, pages, schemas
 from touchline.session import shared_root
@@ -415,6 +415,25 @@ def _profile(t: Season) -> DataFrame:
     return reads.player_profile(found, t.fixture("player_profiles"))
 
 
+def _many_terms(t: Season) -> DataFrame:
+    """Search terms that grow with the profiles: whole names, the ends of names, numbers, and names nobody has."""
+    number, name = F.col("player_id").cast("bigint"), F.col("player_name")
+    text = (
+        F.when(number % 4 == 0, F.upper(name)).when(number % 4 == 1, F.substring(name, 4, 20))
+        .when(number % 4 == 2, F.col("player_id")).otherwise(F.concat(name, F.lit("%x")))
+    )
+    return t.fixture("player_profiles").select(text.alias("term"))
+
+
+def _name_index(t: Season) -> names.NameIndex:
+    return names.NameIndex.written(t.squad, work_dir(t.spark, "names"))
+
+
+def _resolve_many(t: Season) -> DataFrame:
+    found = names.resolve_players(t.squad, _many_terms(t), SEASON, _name_index(t))
+    return found.select("term", "tier", "season_used", "player", "player_id", "market_value_eur")
+
+
 READS: dict[str, Callable[[Season], DataFrame]] = {
     "matches_of_season": lambda t: reads.matches_of_season(t.results, SEASON),
     "summary_of_season": lambda t: reads.summary_of_season(t.summary, SEASON),
@@ -427,6 +446,8 @@ READS: dict[str, Callable[[Season], DataFrame]] = {
     "resolve_player": lambda t: reads.resolve_player(t.squad, SEARCH_TERMS, SEASON).select(
         "term", "tier", "season_used", "player", "player_id", "market_value_eur"
     ),
+    "resolve_players": _resolve_many,
+    "name_suggestions": lambda t: names.first_names(_name_index(t), _many_terms(t), 3),
     "player_profile": _profile,
     "player_performance_history": lambda t: reads.player_performance_history(t.performance, [" player 7 ", "Player 8"]),
     "player_value_series": lambda t: reads.player_value_series(t.squad, ["Player 3", "Player 8"]),
