@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import shutil
 
 import pytest
 from pyspark.errors import PySparkException
@@ -245,6 +246,45 @@ def test_first_load_follows_the_rules_of_later_ones(rows, spark, tmp_path):
     assert spark.read.schema(cols).parquet(path).count() == 3
 
 
+@pytest.mark.parametrize("lost", ["nothing", "a partition", "all files"])
+def test_an_interrupted_upsert_is_completed(rows, spark, tmp_path, monkeypatch, lost):
+    """The job ends between staging and swap, or while partitions are being replaced."""
+    cols = "season string, player string, v int"
+    path = str(tmp_path / "t")
+    loads.upsert_path(spark, path, rows([("a", "x", 1), ("a", "y", 2), ("b", "z", 3), ("c", "w", 4)], cols), ["season", "player"])
+    real = loads.write_mart
+
+    def crash(df, where, *args, **kwargs):
+        gone = {"nothing": [], "a partition": ["season=a"], "all files": ["season=a", "season=b"]}[lost]
+        for name in gone:
+            shutil.rmtree(f"{path}/{name}")
+        raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(loads, "write_mart", crash)
+    batch = rows([("a", "x", 10), ("b", "n", 5)], cols)
+    with pytest.raises(RuntimeError):
+        loads.upsert_path(spark, path, batch, ["season", "player"])
+    monkeypatch.setattr(loads, "write_mart", real)
+    if lost == "a partition":  # the failed batch comes again
+        loads.upsert_path(spark, path, batch, ["season", "player"])
+    else:  # another one comes
+        loads.upsert_path(spark, path, rows([("c", "w", 40)], cols), ["season", "player"])
+    want = [("a", "x", 10), ("a", "y", 2), ("b", "n", 5), ("b", "z", 3), ("c", "w", 4 if lost == "a partition" else 40)]
+    assert values(spark.read.schema(cols).parquet(path), "season", "player", "v") == want
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_half_staged_upsert_is_dropped(rows, spark, tmp_path):
+    cols = "season string, player string, v int"
+    path = str(tmp_path / "t")
+    loads.upsert_path(spark, path, rows([("a", "x", 1)], cols), ["season", "player"])
+    half = tmp_path / "t__merge_dead"
+    rows([("a", "x", 99)], cols).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert loads.complete_upsert(spark, path) == 0 and not half.exists()
+    assert values(spark.read.schema(cols).parquet(path), "v") == [(1,)]
+
+
 def test_checks_go_on_after_a_table_that_cannot_be_read(rows, spark, tmp_path):
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "part-0.parquet").write_bytes(b"PAR1 this is no table PAR1")

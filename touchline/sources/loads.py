@@ -129,6 +129,37 @@ def run_log(events: DataFrame, limits: Mapping[str, int] | None = None) -> DataF
     )
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path, as the session's storage client sees them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def complete_upsert(spark: SparkSession, path: str, partition_by: str = "season", cluster_by: Sequence[str] = ()) -> int:
+    """Finish the upserts of ``path`` that a crash interrupted; returns how many were redone.
+
+    A load writes the merged partitions next to the table, and Spark marks that copy as whole (``_SUCCESS``) before
+    the table is touched. A whole copy that is still there is swapped in once more, which gives the same partitions
+    however far the first swap came; a copy without the mark belongs to a load that never touched the table.
+    """
+    folder = path.rstrip("/")
+    fs, pattern = _files(spark, f"{folder}__merge_*")
+    redone = 0
+    for status in sorted(fs.globStatus(pattern) or [], key=lambda s: s.getModificationTime()):
+        staging = status.getPath().toString()
+        if fs.exists(_files(spark, f"{staging}/_SUCCESS")[1]):
+            _swap(spark, staging, folder, partition_by, cluster_by)
+            redone += 1
+        fs.delete(status.getPath(), True)
+    return redone
+
+
+def _swap(spark: SparkSession, staging: str, path: str, partition_by: str, cluster_by: Sequence[str]) -> None:
+    ready = spark.read.parquet(staging)
+    if not ready.isEmpty():
+        write_mart(ready, path, [partition_by], cluster_by, touched_only=True)
+
+
 def upsert_path(
     spark: SparkSession,
     path: str,
@@ -140,26 +171,27 @@ def upsert_path(
 ) -> None:
     """Upsert a batch into a partitioned table, reading and writing only the partitions it touches.
 
-    The merged rows are written next to the table first, so the table is never read while it is
-    overwritten and a lost executor only repeats its own tasks.
+    The merged rows are written next to the table first, so the table is never read while it is overwritten and a lost
+    executor only repeats its own tasks. If the job itself ends between that copy and the last swapped partition, the
+    next load finds the copy and completes the swap before it reads the table (``complete_upsert``), so no row is lost
+    and a repeated batch gives the same table. One load at a time may write a table.
     """
+    complete_upsert(spark, path, partition_by, cluster_by)
     try:
         target = spark.read.schema(batch.schema).parquet(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         # The first load follows the same rules for repeated keys.
-        merged = merge_upsert(batch.limit(0), batch, keys, order_by=order_by)
-        write_mart(merged, path, [partition_by], cluster_by)
-        return
-    if batch.isEmpty():
-        return
-    touched = batch.select(F.col(partition_by).alias("_touched")).distinct()
-    target = target.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
+        target = batch.limit(0)
+    else:
+        if batch.isEmpty():
+            return
+        touched = batch.select(F.col(partition_by).alias("_touched")).distinct()
+        target = target.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
     staging = f"{path.rstrip('/')}__merge_{uuid.uuid4().hex}"
-    merged = merge_upsert(target, batch, keys, order_by=order_by)
-    rebuild_table(merged, staging)
+    rebuild_table(merge_upsert(target, batch, keys, order_by=order_by), staging)
     ready = spark.read.schema(batch.schema).parquet(staging)
     write_mart(ready, path, [partition_by], cluster_by, touched_only=True)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(staging)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    fs, place = _files(spark, staging)
+    fs.delete(place, True)

@@ -29,7 +29,8 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Upsert what has arrived since the last run, then stop.
 
-    A batch that is repeated after a failure merges to the same table, so each key ends up once.
+    A batch that is repeated after a failure merges to the same table, so each key ends up once: what the failed load
+    had staged is swapped in first (``loads.complete_upsert``).
     """
 
     def load(batch: DataFrame, _: int) -> None:
