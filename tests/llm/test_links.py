@@ -219,3 +219,39 @@ def test_url_query(spark):
     campaign = [u for _, u in pages if u is not None and "utm_" in u]
     want = collections.Counter(want_urls(pages, campaign))
     assert bag(Q.QUERIES["op13_url_filter"](spark, SF_DIR).collect()) == want
+
+
+# ---- columns and words of the other operators ------------------------------------------------------------------
+
+
+def test_results_keep_columns_of_any_name(spark):
+    from touchline.llm import jaccard, substrings
+
+    texts = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None), (None, "x y"), (3, "other words are here today")]
+    plain = spark.createDataFrame(texts, "doc_id bigint, text string")
+    names = ["n_words", "kept", "spans", "N_removed", "_name", "name", "row", "places", "copies"]
+    out = substrings.remove_repeats(plain.select("*", *[F.lit("x").alias(c) for c in names]), length=5, anchor_words=2)
+    assert sorted(c for c in out.columns if c.lower() in ("n_words", "n_removed", "kept", "spans")) == ["kept", "n_removed", "n_words", "spans"]
+    assert bag((r.doc_id, r.n_words, r.n_removed, r["_name"], r["row"]) for r in out.collect()) == bag(
+        (i, len((t or "").split()), 7 if i in (1, 2) else 0, "x", "x") for i, t in texts
+    )
+    names = ["_number", "_head", "key", "number", "row", "component_id", "n_shingles", "node"]
+    kept = jaccard.without_near_copies(plain.select("*", *[F.lit("x").alias(c) for c in names]))
+    assert kept.columns == ["doc_id", "text", *names]
+    assert bag((r.doc_id, r["_head"]) for r in kept.collect()) == bag([(1, "x"), (3, "x"), (None, "x")])
+
+
+def test_words_are_counted_between_white_space(spark):
+    from touchline.llm import mixing
+
+    texts = ["\nabc def\n", "\n", "", " a\tb\x0bc\x0c\r\n d ", "one", "a\u00a0b"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", mixing.word_count(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in rows.collect()} == {t: float(len(brute.WORD.findall(t))) for t in texts}
+
+
+def test_quality_stage_keeps_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("_score", F.lit("own")).withColumn("_row", F.lit(1))
+    out = corpus_pipeline.reject_low_quality(spark, docs, SF_DIR)
+    assert out.columns == docs.columns and {r[0] for r in out.select("_score").collect()} == {"own"}

@@ -512,11 +512,12 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component: that with the smallest id, of rows that share it one; rows without an id stay."""
     found = near_copies(docs, key, text)
-    heads = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_head")).distinct()
-    kept = docs.join(heads, docs[key].cast("bigint") == F.col("_head"), "left_semi")
-    one = Window.partitionBy(key).orderBy(F.xxhash64(text), F.col(text))
-    kept = kept.withColumn("_number", F.row_number().over(one)).where(F.col("_number") == 1).drop("_number")
-    return kept.unionByName(docs.where(F.col(key).isNull()))
+    heads = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("key")).distinct()
+    # The row goes along as one value, so its column names cannot clash with those used here.
+    whole = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
+    one = Window.partitionBy("key").orderBy(F.xxhash64("text"), F.col("text"))
+    kept = whole.join(heads, "key", "left_semi").withColumn("number", F.row_number().over(one)).where(F.col("number") == 1)
+    return kept.select("row").unionByName(whole.where("key is null").select("row")).select("row.*")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

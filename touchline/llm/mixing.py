@@ -55,7 +55,8 @@ FEATURES = [f"f{i}" for i in range(len(LETTERS) + 1)]
 
 
 def word_count(text: Column) -> Column:
-    trimmed = F.trim(text)
+    """Words between white space (blank, tab, line breaks, vertical tab, form feed); that at the ends makes none."""
+    trimmed = F.trim(text, F.lit(" \t\n\x0b\f\r"))
     return F.when(F.length(trimmed) > 0, F.size(F.split(trimmed, r"[ \t\n\x0B\f\r]+"))).otherwise(0).cast("double")
 
 

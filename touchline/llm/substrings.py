@@ -222,12 +222,15 @@ def clean(length: int, digest_only: bool):
 def remove_repeats(
     docs: DataFrame, text: str = "text", length: int = 35, anchor_words: int = 12, digest_only: bool = False
 ) -> DataFrame:
-    """``docs`` with n_words, n_removed, kept (see :func:`clean`) and the removed word spans of each row."""
+    """``docs`` with n_words, n_removed, kept (see :func:`clean`) and the removed word spans of each row.
+
+    A column of ``docs`` with one of these names gives way to the result.
+    """
     spark = docs.sparkSession
     buckets = partitions(spark)
     value = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    named = docs.withColumn("_name", F.unhex(F.md5(value)))
-    given = named.select(F.col("_name").alias("name"), value.alias("text"))
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.unhex(F.md5(value)).alias("name"))
+    given = docs.select(F.unhex(F.md5(value)).alias("name"), value.alias("text"))
     texts = given.groupBy("name").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
 
     blocks = given.mapInArrow(send_anchors(length, anchor_words, buckets), _ddl(ANCHORS))
@@ -236,8 +239,10 @@ def remove_repeats(
     blocks = seeded.mapInArrow(send_windows(length, anchor_words, buckets), _ddl(WINDOWS))
     again = stored(dealt(blocks, buckets).mapInArrow(repeats, _ddl(FOUND)), "repeats")
     cleaned = texts.join(_gathered(again), "name", "left").select("name", "text", "copies", "places")
-    cleaned = cleaned.mapInArrow(clean(length, digest_only), CLEANED).withColumnRenamed("name", "_name")
-    return named.join(cleaned, "_name").drop("_name")
+    cleaned = cleaned.mapInArrow(clean(length, digest_only), CLEANED)
+    results = [c for c in cleaned.columns if c != "name"]
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in results]
+    return named.join(cleaned, "name").select(*own, *results)
 
 
 def _ddl(schema: pa.Schema) -> str:
