@@ -1,4 +1,10 @@
-"""From raw documents to token files: five stages, each on what the one before kept."""
+"""From raw documents to token files: five stages, each on what the one before kept.
+
+Defined results, for all stages: null and empty texts are rows like others; rows with a null id stay where a stage has
+no reason to drop them; repeated rows are documents of their own, except that the second stage keeps one row of an id;
+ties go to the smallest id there, then to a hash of the text; further columns, of any name, go along unchanged up to the
+fourth stage; empty documents pass through all stages and give no rows; a null in any other column changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -15,19 +21,21 @@ ORACLE_SQL = None
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the rule ensemble scores below its threshold go."""
+    """Rows that the rule ensemble scores below its threshold go. A row without a text is scored as an empty one."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    kept = quality.scored(docs, model, out="_score").where(F.col("_score") >= quality.THRESHOLD)
-    return kept.drop("_score")
+    score = "_score"
+    while score.lower() in {c.lower() for c in docs.columns}:
+        score += "_"
+    return quality.scored(docs, model, out=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, that with the smallest id; rows without an id all stay."""
     return jaccard.without_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold passages of the benchmark go."""
+    """Documents that hold passages of the benchmark go; those without words stay."""
     return fmindex.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -36,7 +44,8 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     labelled = mixing.languages(spark, sf_dir, docs)
     if labelled.where("domain is not null").isEmpty():
         return docs
-    known = {r[0] for r in labelled.select("domain").where("domain is not null").distinct().limit(mixing.MAX_DOMAINS).collect()}
+    # Only the languages that have a target are asked for, so their number is that of the targets.
+    known = {r[0] for r in labelled.select("domain").where(F.col("domain").isin(list(TARGETS))).distinct().collect()}
     targets = {d: w for d, w in TARGETS.items() if d in known}
     if not targets:
         return docs
@@ -64,6 +73,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of a folder, each written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
