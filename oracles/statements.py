@@ -179,6 +179,7 @@ GRAPH = {
     "graph_clubs": "SELECT * FROM v_clubs",
     "edge_played_in": "SELECT * FROM v_played_in",
     "edge_played_with": "SELECT * FROM v_played_with",
+    "edge_played_with_incremental": "SELECT * FROM v_played_with",
     "edge_transferred_to": "SELECT * FROM v_moved",
     "property_graph": """SELECT 'Player' AS element, COUNT(*) AS row_count, COUNT(*) - COUNT(DISTINCT player_id) AS bad_keys, CAST(0 AS BIGINT) AS loose_ends FROM v_players
         UNION ALL SELECT 'Season', COUNT(*), COUNT(*) - COUNT(DISTINCT season_id), 0 FROM v_seasons

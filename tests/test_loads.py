@@ -220,6 +220,27 @@ def test_search_follows_new_nodes_only(rows, spark, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(id,n1)" in plan and "Sort " not in plan
 
 
+def test_teammates_after_an_upsert_equal_a_rebuild(rows, spark, tmp_path):
+    """One season is loaded again: with a lost player, changed goals, and one whose squad broke up."""
+    rng = random.Random(21)
+    cols = "season string, team string, player string, goals double"
+    data = [(s, rng.choice(["A", "B"]), f"{'P' if rng.random() < 0.5 else 'p'}{i}", rng.choice([None, 1.0, 2.0])) for s in ("a", "b", "c") for i in range(9)]
+    data += [("a", "A", " p1 ", 5.0), (None, "A", "p1", 1.0), (None, "A", "p2", 1.0)]
+    after = [r for r in data if r[0] != "b"] + [("b", "A", "p1", 7.0), ("b", "A", "p2", 1.0), ("b", "B", "p3", 1.0)]
+    gone = [r for r in after if r[0] != "c"] + [("c", "A", "p1", 1.0)]
+    players = rows([(f"id{i}", f"p{i}") for i in range(9)], "player_id string, name string")
+    kept = graph.Teammates(spark, str(tmp_path / "pairs"))
+    table = str(tmp_path / "performance")
+    names = ("player_id_a", "player_id_b", "shared_seasons", "combined_goals", "seasons_list")
+    for present, touched in ((data, ["a", "b", "c"]), (after, ["b"]), (gone, ["c"])):
+        tables.write_mart(rows(present, cols), table, ["season"])
+        stored = spark.read.schema("team string, player string, goals double, season string").parquet(table)
+        read = kept.load(stored, touched)
+        assert values(kept.edges(players), *names) == values(graph.edge_played_with(rows(present, cols), players), *names)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters" in plan and len(read.inputFiles()) and "season" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_undirected_pattern(rows):
     people = rows([("1", "a"), ("2", "b"), ("3", "c")], "player_id string, name string")
     edge = rows([("1", "2", 4), ("2", "3", 5)], "s string, d string, w int")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.config import DEFAULTS
 from touchline.functions import blank_to_null, clean, fingerprint_id, name_key, portrait_url, season_label
 from touchline.plans.skew import first_rows, pairs_within
+from touchline.sources.tables import write_mart
 
 
 def graph_players(
@@ -107,6 +109,45 @@ def edge_played_with(
     )
 
 
+class Teammates:
+    """``edge_played_with`` kept up to date: one written row per pair of name keys and season, in a partition per season.
+
+    A load recomputes the pairs of the seasons it touched from their rows alone and replaces their partitions; the
+    edges are then summed over the written rows. Players' ids are joined last, so they may change between loads. Rows
+    without a season share no squad.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def load(self, performance: DataFrame, seasons: Sequence[str], squad: tuple[str, ...] = ("season", "team")) -> DataFrame:
+        """Recompute ``seasons`` from the table's present rows; returns the rows read, for a look at their plan."""
+        rows = performance.where(F.col("season").isin(list(seasons)))
+        squad = tuple(c for c in squad if c in performance.columns)
+        members = rows.groupBy(*squad, name_key(F.col("player")).alias("_key")).agg(
+            F.sum(F.coalesce("goals", F.lit(0.0))).alias("goals"), F.count("*").alias("n")
+        )
+        pairs = pairs_within(members, squad, "_key", ["goals", "n"])
+        goals = F.col("goals_a") * F.col("n_b") + F.col("goals_b") * F.col("n_a")
+        found = pairs.groupBy("season", "_key_a", "_key_b").agg(F.sum(goals).alias("goals"))
+        # A row without a pair per season: it replaces the partition of a season that has no pairs any more.
+        nothing = self.spark.createDataFrame([(s, None, None, None) for s in seasons], "season string, _key_a string, _key_b string, goals double")
+        write_mart(found.unionByName(nothing), self.path, ["season"], ["_key_a"], touched_only=True)
+        return rows
+
+    def edges(self, players: DataFrame) -> DataFrame:
+        parts = self.spark.read.schema("_key_a string, _key_b string, goals double, season string").parquet(self.path)
+        sums = parts.where("_key_a is not null").groupBy("_key_a", "_key_b").agg(
+            F.sort_array(F.collect_set("season")).alias("_seasons"), F.sum("goals").alias("combined_goals")
+        )
+        ids = _player_ids(players)
+        a, b = (ids.select(F.col("_key").alias(f"_key_{x}"), F.col("player_id").alias(f"player_id_{x}")) for x in "ab")
+        return sums.join(a, "_key_a").join(b, "_key_b").select(
+            "player_id_a", "player_id_b", F.size("_seasons").cast("bigint").alias("shared_seasons"), "combined_goals",
+            F.array_join("_seasons", ",").alias("seasons_list"),
+        )
+
+
 def largest_fee_first() -> list[Column]:
     return [F.col("fee_eur").desc_nulls_last(), F.col("fee_text"), F.col("direction")]
 
