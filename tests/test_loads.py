@@ -325,3 +325,10 @@ def test_checks_go_on_after_a_table_that_cannot_be_read(rows, spark, tmp_path):
         ("range", "good", 1, "warn"), ("unique", "good", 0, "pass"), ("null", "none", 0, "warn"),
         ("null", "lost", None, "unreadable"),
     ]
+
+
+def test_errors_that_are_no_failed_reads_are_raised(rows, spark):
+    good = rows([(1,), (0,)], "v int")
+    for row, condition in ((F.col("nothing") == 1, "UNRESOLVED_COLUMN"), (F.lit(1) / F.col("v") > 0, "DIVIDE_BY_ZERO")):
+        with pytest.raises(PySparkException, match=condition):
+            checks.run_checks(spark, [checks.Check("row", "good", good, row=row)]).collect()

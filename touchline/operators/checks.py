@@ -415,6 +415,11 @@ class Check:
     row: Column | None = field(default=None)
 
 
+# Names of the engine's errors that mean a table is absent or damaged.
+READ_ERRORS = (
+    "PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER",
+    "FileNotFoundException",
+)
 REPORT = "check string, table string, failures bigint, status string"
 
 
@@ -466,24 +471,36 @@ def _report(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
             of_rows = [c for c in group if c.row is not None]
             own = [_row_checks(source, of_rows)] if of_rows else []
             parts += own + [_one_check(source, c) for c in group if c.row is None]
-        except AnalysisException:
+        except AnalysisException as e:
+            if not _failed_read(e):
+                raise
             parts.append(_unreadable(spark, group))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _failed_read(error: Exception) -> bool:
+    """Whether a table's data could not be found or read; all other errors are not the table's."""
+    return any(mark in str(error) for mark in READ_ERRORS)
+
+
 def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
     """(check, table, failures, status) of all checks, one row each.
 
-    All row checks of a table share one pass over it. The report is worked out as one query; if anything cannot be
-    read, then or while running, each check runs alone and those of unreadable tables say so.
+    All row checks of a table share one pass over it. The report is worked out as one query; if a table cannot be
+    read, then or while running, each check runs alone and those of unreadable tables say so. Any other error, such as a
+    check that names no column of its table or a lack of memory, is raised.
     """
     try:
         rows = [tuple(r) for r in _report(spark, checks).collect()]
-    except (PySparkException, Py4JJavaError):
+    except (PySparkException, Py4JJavaError) as failure:
+        if not _failed_read(failure):
+            raise
         rows = []
         for c in checks:
             try:
                 rows += [tuple(r) for r in _report(spark, [c]).collect()]
-            except (PySparkException, Py4JJavaError):
+            except (PySparkException, Py4JJavaError) as e:
+                if not _failed_read(e):
+                    raise
                 rows.append((c.name, c.table, None, "unreadable"))
     return spark.createDataFrame(rows, REPORT)
