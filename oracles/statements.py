@@ -89,6 +89,8 @@ LOADS = {
         FROM (SELECT * FROM v_squad WHERE season < '9900') t FULL JOIN v_squad_new s ON t.season = s.season AND t.player = s.player""",
     "replace_by_id": """SELECT player_id, player_name, CASE WHEN k % 2 = 0 AND k % 10 <> 0 THEN 'renewed' ELSE agent END AS agent FROM v_profiles""",
     "rebuild_table": "SELECT * FROM v_summary",
+    "write_mart_curve": """SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem
+        WHERE l_partkey <= (SELECT CAST(FLOOR(MAX(p_partkey) / 10) AS BIGINT) FROM part)""",
     "write_mart": "SELECT * FROM v_results",
     "incremental_upsert": """SELECT o.season, o.player, o.age,
           CASE WHEN o.season >= '9900' AND n.player IS NOT NULL THEN n.market_value_eur ELSE o.market_value_eur END AS market_value_eur
@@ -106,6 +108,8 @@ LOADS = {
                (SELECT season, CAST(SUM(m) AS BIGINT) AS m, CAST(SUM(p) AS BIGINT) AS p FROM (
                   SELECT season, 1 AS m, 0 AS p FROM v_raw_matches WHERE season >= '9798' UNION ALL
                   SELECT season, 0, 1 FROM v_raw_stats WHERE season >= '9798') GROUP BY season) b ON l.season = b.season)""",
+    "run_log_of_writes": """SELECT 'matches' AS pipeline, '' AS season, COUNT(*) AS rows_written, 'success' AS status FROM v_raw_matches
+        UNION ALL SELECT 'squads', '', COUNT(*), 'success' FROM v_squad UNION ALL SELECT 'broken', '', NULL, 'error'""",
     "run_log": f"""SELECT s.run_id, s.pipeline, s.season, s.ts AS started_at, f.ts AS finished_at, f.rows_written,
           CASE WHEN f.run_id IS NULL THEN 'running' ELSE f.status END AS status,
           CASE WHEN f.run_id IS NOT NULL THEN COALESCE(f.error_msg, '') END AS error_msg

@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 import random
 import shutil
 
@@ -332,3 +333,55 @@ def test_errors_that_are_no_failed_reads_are_raised(rows, spark):
     for row, condition in ((F.col("nothing") == 1, "UNRESOLVED_COLUMN"), (F.lit(1) / F.col("v") > 0, "DIVIDE_BY_ZERO")):
         with pytest.raises(PySparkException, match=condition):
             checks.run_checks(spark, [checks.Check("row", "good", good, row=row)]).collect()
+
+
+def test_a_write_counts_its_rows(rows, spark, tmp_path):
+    events, path = str(tmp_path / "events"), str(tmp_path / "t")
+    df = spark.range(10_000).select(F.concat(F.lit("s"), F.col("id") % 3).alias("season"), "id").repartition(7)
+    first = loads.write_logged(df, path, events, "all", partition_by=["season"], cluster_by=["id"])
+    part = loads.write_logged(df.where("season = 's1'"), path, events, "part", "s1", ["season"], touched_only=True)
+    none = loads.write_logged(df.limit(0), str(tmp_path / "e"), events, "none")
+    with pytest.raises(Exception, match="no such row"):
+        loads.write_logged(df.select(F.raise_error(F.lit("no such row"))), str(tmp_path / "f"), events, "failed")
+    log = {r["pipeline"]: r for r in loads.run_log(spark.read.schema(loads.RUN_EVENTS).parquet(events)).collect()}
+    assert (log["all"]["run_id"], log["part"]["run_id"], log["none"]["run_id"]) == (first, part, none)
+    assert [log[p]["rows_written"] for p in ("all", "part", "none", "failed")] == [10_000, 3333, 0, None]
+    assert [log[p]["status"] for p in ("all", "part", "none", "failed")] == ["success"] * 3 + ["error"]
+    assert "no such row" in log["failed"]["error_msg"] and spark.read.parquet(path).count() == 10_000
+
+
+def test_a_curve_prunes_on_every_column(spark, tmp_path):
+    """Files that may hold a narrow range of either column, by the statistics that Spark's scan goes by."""
+    import pyarrow.parquet as pq
+
+    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_suppkey", "l_partkey", "l_orderkey", "l_shipdate")
+    by = ["l_partkey", "l_orderkey"]
+    one, both = str(tmp_path / "sorted"), str(tmp_path / "curve")
+    df.repartitionByRange(16, *by).sortWithinPartitions(*by).write.mode("overwrite").parquet(one)
+    curved = tables.with_curve(df, by, 500)
+    curved.repartitionByRange(16, "_curve").sortWithinPartitions("_curve").drop("_curve").write.parquet(both)
+
+    def read(path, column, low, high):
+        files = [pq.ParquetFile(f).metadata for f in pathlib.Path(path).glob("*.parquet")]
+        spans = [(g.column(i).statistics.min, g.column(i).statistics.max) for m in files for g in [m.row_group(0)]
+                 for i in range(m.num_columns) if g.column(i).path_in_schema == column]
+        return sum(a <= high and b >= low for a, b in spans) / len(spans)
+
+    top = {c: df.agg(F.max(c)).first()[0] for c in by}
+    share = lambda path, c: sum(read(path, c, top[c] * i // 10, top[c] * i // 10 + top[c] // 50) for i in range(10)) / 10
+    assert share(one, "l_orderkey") == 1.0
+    assert all(share(both, c) < 0.55 for c in by), [share(both, c) for c in by]
+    tables.write_mart(df.withColumn("year", F.year("l_shipdate")), str(tmp_path / "mart"), ["year"], by, curve_rows=500)
+    back = spark.read.parquet(str(tmp_path / "mart"))
+    assert back.count() == df.count() and back.agg(F.sum("l_orderkey")).first() == df.agg(F.sum("l_orderkey")).first()
+    assert tables.with_curve(df.limit(0), by, 500).count() == 0
+
+
+def test_curve_numbers_interleave(spark):
+    grid = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    rows_ = tables.with_curve(grid, ["x", "y"], 1).collect()
+    rank = lambda c: {v: sum(w < v for w in {r[c] for r in rows_}) + 1 for v in {r[c] for r in rows_}}
+    xs, ys = rank("x"), rank("y")
+    for r in rows_:
+        want = sum((xs[r["x"]] >> b & 1) << (2 * b + 1) | (ys[r["y"]] >> b & 1) << (2 * b) for b in range(5))
+        assert r["_curve"] == want

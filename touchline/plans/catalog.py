@@ -7,6 +7,8 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,6 +241,15 @@ def _write_mart(t: Season) -> DataFrame:
     return t.spark.read.schema(t.results.schema).parquet(path)
 
 
+def _write_curve(t: Season) -> DataFrame:
+    """Line items laid out by supplier and part at once; the query reads a range of parts."""
+    path = work_dir(t.spark, "curve") + "/lines"
+    lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    write_mart(lines, path, cluster_by=["l_suppkey", "l_partkey"], curve_rows=1000)
+    parts = t.table("part").agg((F.max("p_partkey") / 10).cast("bigint").alias("few")).scalar()
+    return t.spark.read.schema(lines.schema).parquet(path).where(F.col("l_partkey") <= parts)
+
+
 def _upsert_path(t: Season) -> DataFrame:
     path = work_dir(t.spark, "upsert") + "/squad_values"
     columns = ["season", "player", "age", "market_value_eur"]
@@ -275,13 +286,30 @@ def _align(t: Season) -> DataFrame:
     ).withColumn("scraped_at", F.col("scraped_at").cast("string"))
 
 
+def _logged_writes(t: Season) -> DataFrame:
+    """The log of three writes, one of which fails while it runs."""
+    folder = work_dir(t.spark, "logged")
+    events = f"{folder}/events"
+    loads.write_logged(t.raw_matches, f"{folder}/matches", events, "matches", partition_by=["season"])
+    loads.write_logged(t.squad, f"{folder}/squads", events, "squads", cluster_by=["player"])
+    broken = t.squad.withColumn("age", F.raise_error(F.concat(F.lit("no age for "), F.col("player"))).cast("int"))
+    try:
+        loads.write_logged(broken, f"{folder}/broken", events, "broken")
+    except (PySparkException, Py4JJavaError):
+        pass
+    log = loads.run_log(t.spark.read.schema(loads.RUN_EVENTS).parquet(events))
+    return log.select("pipeline", "season", "rows_written", "status")
+
+
 LOADS: dict[str, Callable[[Season], DataFrame]] = {
+    "run_log_of_writes": _logged_writes,
     "scan_table": lambda t: scan_table(t.spark, t.sf_dir, "customer"),
     "replace_partitions": _replace_partitions,
     "merge_upsert": _merge_upsert,
     "replace_by_id": _replace_by_id,
     "rebuild_table": _rebuild_table,
     "write_mart": _write_mart,
+    "write_mart_curve": _write_curve,
     "incremental_upsert": _upsert_path,
     "align_schema": _align,
     "coerce_numeric": _coerce,

@@ -22,19 +22,22 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: i
 
 
 def order_slots(
-    df: DataFrame, cols: Sequence[str], rows_per_slot: int = SLOT_ROWS, out: str = "_slot", source: DataFrame | None = None
+    df: DataFrame, cols: Sequence[str], rows_per_slot: int = SLOT_ROWS, out: str = "_slot", source: DataFrame | None = None,
+    sample_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number rows by ranges of ``cols``, so that slots follow their order (NULLs first) and number with the rows.
 
     Cut points are the keys of a sample: those of the rows of ``source`` (``df`` by default; it may be the table that
-    ``df`` was counted from) whose hash is divisible by ``rows_per_slot``. The sample depends on the data alone, so
+    ``df`` was counted from) whose hash is divisible by ``rows_per_slot``: the hash of the whole row, with a ``source``
+    of the key, or of the columns in ``sample_by``. The sample depends on the data alone, so
     every part of a plan that asks for slots gets the same ones, also when a lost task runs again, and any cut points
     give slots in the right order. They are a scalar subquery: nothing runs while the plan is built, and a row finds
     its slot by bisection. Rows that are equal in ``cols`` share a slot: count them first where they may be many.
     """
     given = df if source is None else source
     key = F.struct(*cols)
-    chosen = given.where(F.pmod(F.xxhash64(*(given.columns if source is None else cols)), F.lit(rows_per_slot)) == 0)
+    hashed = sample_by or (given.columns if source is None else cols)
+    chosen = given.where(F.pmod(F.xxhash64(*hashed), F.lit(rows_per_slot)) == 0)
     cuts = chosen.agg(F.sort_array(F.collect_set(key)).alias("keys")).scalar()
     # One column per halving: generated code that reads the array in place. Beyond the array, get() gives NULL.
     steps, place = [], F.lit(0)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +130,38 @@ def run_log(events: DataFrame, limits: Mapping[str, int] | None = None) -> DataF
     )
 
 
+RUN_EVENTS = (
+    "run_id string, event string, at timestamp, event_id bigint, pipeline string, season string, status string, "
+    "error_msg string, rows_written bigint"
+)
+
+
+def write_logged(
+    df: DataFrame, path: str, events_path: str, pipeline: str, season: str = "", partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (), touched_only: bool = False,
+) -> str:
+    """Write a mart and append its start and finish events to the run log; returns the run's id.
+
+    The rows are counted by the write itself. A run that fails is recorded with the error's first line, and the error is
+    raised; a run whose driver ends has a start event only, which ``run_log`` shows as running.
+    """
+    spark, run_id = df.sparkSession, uuid.uuid4().hex
+
+    def tell(event: str, place: int, status: str | None = None, error: str | None = None, rows: int | None = None) -> None:
+        row = (run_id, event, dt.datetime.now(dt.timezone.utc), place, pipeline, season, status, error, rows)
+        spark.createDataFrame([row], RUN_EVENTS).coalesce(1).write.mode("append").parquet(events_path)
+
+    tell("start", 0)
+    seen = Observation()
+    try:
+        write_mart(df, path, partition_by, cluster_by, touched_only, seen)
+    except Exception as e:
+        tell("finish", 1, "error", str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__)
+        raise
+    tell("finish", 1, "success", rows=seen.get["rows"])
+    return run_id
+
+
 def _files(spark: SparkSession, path: str):
     """The file system of ``path`` and the path, as the session's storage client sees them."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
