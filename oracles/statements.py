@@ -137,6 +137,14 @@ LOADS = {
         FROM v_profiles""",
 }
 
+SNAPSHOT = """SELECT o.sk, o.position, o.age, o.market_value_eur, o.nationality, DATE '2024-01-01' AS valid_from,
+          CASE WHEN n.sk IS NOT NULL AND n.market_value_eur IS DISTINCT FROM o.market_value_eur THEN DATE '2024-01-31' END AS valid_to
+        FROM (SELECT *, COALESCE(NULLIF(TRIM(player_id), ''), LOWER(TRIM(player))) || '|' || season AS sk FROM v_squad) o
+        LEFT JOIN (SELECT *, COALESCE(NULLIF(TRIM(player_id), ''), LOWER(TRIM(player))) || '|' || season AS sk FROM v_squad_new) n ON n.sk = o.sk
+        UNION ALL
+        SELECT COALESCE(NULLIF(TRIM(n.player_id), ''), LOWER(TRIM(n.player))) || '|' || n.season, n.position, n.age, n.market_value_eur, n.nationality, DATE '2024-01-31', NULL
+        FROM v_squad_new n JOIN v_squad o ON o.season = n.season AND o.k = n.k AND o.market_value_eur IS DISTINCT FROM n.market_value_eur"""
+
 STAGES = {
     "build_match_rows": """SELECT COALESCE(match_report, date) AS game_id, season, date, CASE WHEN k % 14 <> 0 THEN k % 38 + 1 END AS gameweek,
           CASE venue WHEN 'Home' THEN 'FOCUS' ELSE opponent END AS home_team, CASE venue WHEN 'Home' THEN opponent ELSE 'FOCUS' END AS away_team,
@@ -163,13 +171,9 @@ STAGES = {
     "player_values": "SELECT * FROM v_values",
     "snapshot_source": """SELECT sk, season, player, position, age, market_value_eur FROM (
           SELECT *, COALESCE(NULLIF(TRIM(player_id), ''), LOWER(TRIM(player))) || '|' || season AS sk FROM v_squad)""",
-    "snapshot_check": """SELECT o.sk, o.position, o.age, o.market_value_eur, o.nationality, DATE '2024-01-01' AS valid_from,
-          CASE WHEN n.sk IS NOT NULL AND n.market_value_eur IS DISTINCT FROM o.market_value_eur THEN DATE '2024-01-31' END AS valid_to
-        FROM (SELECT *, COALESCE(NULLIF(TRIM(player_id), ''), LOWER(TRIM(player))) || '|' || season AS sk FROM v_squad) o
-        LEFT JOIN (SELECT *, COALESCE(NULLIF(TRIM(player_id), ''), LOWER(TRIM(player))) || '|' || season AS sk FROM v_squad_new) n ON n.sk = o.sk
-        UNION ALL
-        SELECT COALESCE(NULLIF(TRIM(n.player_id), ''), LOWER(TRIM(n.player))) || '|' || n.season, n.position, n.age, n.market_value_eur, n.nationality, DATE '2024-01-31', NULL
-        FROM v_squad_new n JOIN v_squad o ON o.season = n.season AND o.k = n.k AND o.market_value_eur IS DISTINCT FROM n.market_value_eur""",
+    "snapshot_check": SNAPSHOT,
+    "snapshot_written": SNAPSHOT,
+    "snapshot_as_of": f"SELECT sk, position, age, market_value_eur, nationality FROM ({SNAPSHOT}) WHERE valid_from <= DATE '2024-01-15' AND (valid_to IS NULL OR valid_to > DATE '2024-01-15')",
     "value_history_scd2": """SELECT h.player_id, h.player, h.season, h.market_value_eur, DATE '2024-01-01' AS valid_from,
           CASE WHEN m.old_value IS NOT NULL THEN DATE '2024-01-31' END AS valid_to, m.old_value IS NULL AS is_current
         FROM v_squad h LEFT JOIN v_moved_values m ON m.player_id = h.player_id AND m.season = h.season

@@ -150,6 +150,67 @@ def test_snapshot(rows):
     assert h.select("scd_id").distinct().count() == 5
 
 
+SNAPSHOT_LOADS = [[("a", "x", 1), ("b", None, 2)], [("a", "x", 2), ("b", None, 2), ("c", "z", 3)], [("a", "x", 2), ("b", "y", 2)], []]
+
+
+def test_written_versions_read_and_write_open_rows_only(rows, spark, tmp_path):
+    cols = ["position", "n"]
+    whole, files, path = None, {}, tmp_path / "v"
+
+    def step(old, day, data):
+        source = rows(data, "sk string, position string, n int")
+        return history.snapshot_check(old, source, check_cols=cols, as_of=F.lit(dt.datetime(2024, 1, day)).cast("timestamp"))
+
+    kept = history.Versions(spark, str(path), step(None, 1, []).schema, ["sk"])
+    assert kept.read().count() == 0 and kept.current().count() == 0
+    for day, data in enumerate(SNAPSHOT_LOADS, 1):
+        whole = step(whole, day, data)
+        before = kept.load(lambda old: step(old, day, data))  # noqa: B023
+        assert values(kept.read(), *whole.columns) == values(whole, *whole.columns)
+        assert values(kept.current(), "sk", "n") == values(whole.where("valid_to is null"), "sk", "n")
+        if before is not None:
+            assert before.inputFiles() and all("state=open" in f and f"load={day - 2}" in f for f in before.inputFiles())
+        closed = {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet") if "state=closed" in str(p)}
+        assert files.items() <= closed.items()
+        files = closed
+    at = F.lit(dt.datetime(2024, 1, 2, 12)).cast("timestamp")
+    then = kept.as_of(at)
+    assert values(then, "sk", "n") == [("a", 2), ("b", 2), ("c", 3)]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10000)
+    plan = then._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "closed_on" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert len(list(path.glob("load=*/state=open"))) == 2
+
+
+def test_a_load_of_versions_that_breaks_off_leaves_them(rows, spark, tmp_path):
+    def step(old, day, data):
+        source = rows(data, "sk string, n int")
+        return history.snapshot_check(old, source, check_cols=["n"], as_of=F.lit(dt.datetime(2024, 1, day)).cast("timestamp"))
+
+    kept = history.Versions(spark, str(tmp_path / "v"), step(None, 1, []).schema)
+    kept.load(lambda old: step(old, 1, [("a", 1)]))
+    kept.load(lambda old: step(old, 2, [("a", 2)]))
+    (tmp_path / "v" / "load=1" / "_SUCCESS").unlink()  # the second write never ended
+    assert values(kept.read(), "sk", "n") == [("a", 1)]
+    kept.load(lambda old: step(old, 3, [("a", 3)]))
+    assert [(r.n, r.valid_from.day, r.valid_to and r.valid_to.day) for r in kept.read().orderBy("n").collect()] == [(1, 1, 3), (3, 3, None)]
+    with pytest.raises(ValueError, match="state"):
+        history.Versions(spark, "p", rows([], "state string").schema)
+
+
+def test_written_value_history(rows, spark, tmp_path):
+    loads_of = [[("s", "1", 10), ("s", "2", None), ("s", "3", 30)], [("s", "1", 11), ("s", "2", 20), ("s", "4", 40)], [("s", "1", None), ("s", "2", 21)]]
+    squads = [squad(rows, []), *[squad(rows, d) for d in loads_of]]
+    kept, whole = None, None
+    for day, (old, new) in enumerate(zip(squads, squads[1:]), 1):
+        today = F.lit(dt.date(2024, 1, day))
+        whole = history.value_history_scd2(whole, old, new, today)
+        kept = kept or history.Versions(spark, str(tmp_path / "h"), whole.schema)
+        kept.load(lambda h: history.value_history_scd2(h, old, new, today))  # noqa: B023
+    assert values(kept.read(), *whole.columns) == values(whole, *whole.columns)
+
+
 def test_pipeline_writes_and_reads_back(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     raw = {"raw_matches": derived.raw_matches, "raw_player_stats": derived.raw_player_stats,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions import blank_to_null, clean
 from touchline.plans.skew import first_rows
+from touchline.sources.loads import committed_loads, drop_path, has_path
+from touchline.sources.tables import write_mart
 
 # A new snapshot version is made when one of these changes.
 SNAPSHOT_CHECKED = ["market_value_eur", "position", "age", "nationality", "nationality_full"]
@@ -107,3 +110,73 @@ def value_history_scd2(
         "recorded_at",
     )
     return after.unionByName(added)
+
+
+class Versions:
+    """A written type-2 history, open and closed versions apart, so that a load reads and writes open rows only.
+
+    Load ``n`` is one write to ``load=n``: ``state=open`` has all versions open after it, ``state=closed/closed_on=...``
+    those it closed, by closing date. The write counts once Spark has marked it as whole, so a load that breaks off
+    leaves the history as it was, and the next load replaces its folder. Files of closed versions are never touched
+    again; open versions are kept for the last two loads, so that readers of the one before can finish.
+
+    A version without ``valid_to`` is open. ``schema`` is that of the rows. One load at a time may write.
+    """
+
+    LAYOUT = {"load": T.IntegerType(), "state": T.StringType(), "closed_on": T.DateType()}
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, cluster_by: Sequence[str] = ()):
+        if taken := {f.name.lower() for f in schema} & set(self.LAYOUT):
+            raise ValueError(f"columns of the layout: {sorted(taken)}")
+        self.spark, self.path, self.schema, self.cluster_by = spark, path.rstrip("/"), schema, list(cluster_by)
+
+    def load(self, step: Callable[[DataFrame | None], DataFrame]) -> DataFrame | None:
+        """Apply ``step``, from the open versions (None at first) to those open after it and those it closed.
+
+        Returns the open versions it was given, for a look at their plan. ``snapshot_check`` and ``value_history_scd2``
+        are such steps, as both leave closed versions alone.
+        """
+        done = committed_loads(self.spark, self.path)
+        before = self._open(done[-1]) if done else None
+        found = step(before)
+        closed = F.col("valid_to").isNotNull()
+        placed = found.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema],
+            F.when(closed, "closed").otherwise("open").alias("state"), F.to_date("valid_to").alias("closed_on"),
+        )
+        number = done[-1] + 1 if done else 0
+        write_mart(placed, f"{self.path}/load={number}", ["state", "closed_on"], self.cluster_by)
+        for old in done[:-1]:
+            drop_path(self.spark, f"{self.path}/load={old}/state=open")
+        return before
+
+    def read(self) -> DataFrame:
+        """All versions, open and closed."""
+        return self._rows(F.lit(True))
+
+    def current(self) -> DataFrame:
+        return self._open(max(committed_loads(self.spark, self.path), default=-1))
+
+    def as_of(self, at: Column) -> DataFrame:
+        """The versions that held at a time: open ones, and of the closed ones only the files from that day on are read."""
+        lasting = (F.col("state") == "open") | (F.col("closed_on") >= F.to_date(at))
+        return self._rows(lasting & (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at)))
+
+    def _open(self, load: int) -> DataFrame:
+        """The open versions after a load, without a look at any other folder."""
+        folder = f"{self.path}/load={load}/state=open"
+        if not has_path(self.spark, folder):
+            return self._nothing()
+        return self.spark.read.schema(self.schema).parquet(folder).select(*[f.name for f in self.schema])
+
+    def _rows(self, where: Column) -> DataFrame:
+        done = committed_loads(self.spark, self.path)
+        if not done:
+            return self._nothing()
+        whole = T.StructType([*self.schema, *[T.StructField(c, t) for c, t in self.LAYOUT.items()]])
+        rows = self.spark.read.schema(whole).parquet(self.path)
+        kept = F.when(F.col("state") == "open", F.col("load") == done[-1]).otherwise(F.col("load") <= done[-1])
+        return rows.where(kept).where(where).select(*[f.name for f in self.schema])
+
+    def _nothing(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)

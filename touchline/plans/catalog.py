@@ -355,6 +355,29 @@ def _snapshot(t: Season) -> DataFrame:
     )
 
 
+SNAPSHOT_COLUMNS = ["sk", "position", "age", "market_value_eur", "nationality"]
+
+
+def _written_snapshot(t: Season) -> history.Versions:
+    """The same two loads, written with open and closed versions apart."""
+    first = history.snapshot_source(t.squad)
+    days = [F.lit(day).cast("timestamp") for day in (dt.datetime(2024, 1, 1), AS_OF)]
+    schema = history.snapshot_check(None, first, as_of=days[0]).schema
+    kept = history.Versions(t.spark, work_dir(t.spark, "snapshot"), schema, ["sk"])
+    for source, day in zip((first, history.snapshot_source(t.fixture("squad_values_new"))), days, strict=True):
+        kept.load(lambda old, source=source, day=day: history.snapshot_check(old, source, as_of=day))
+    return kept
+
+
+def _snapshot_written(t: Season) -> DataFrame:
+    days = [F.col(c).cast("date").alias(c) for c in ("valid_from", "valid_to")]
+    return _written_snapshot(t).read().select(*SNAPSHOT_COLUMNS, *days)
+
+
+def _snapshot_as_of(t: Season) -> DataFrame:
+    return _written_snapshot(t).as_of(F.lit(dt.datetime(2024, 1, 15)).cast("timestamp")).select(*SNAPSHOT_COLUMNS)
+
+
 def _value_history(t: Season) -> DataFrame:
     after = history.value_history_scd2(
         t.history, t.squad, t.fixture("squad_values_new"), F.lit(LOAD_DAY)
@@ -378,6 +401,8 @@ STAGES: dict[str, Callable[[Season], DataFrame]] = {
         "sk", "season", "player", "position", "age", "market_value_eur"
     ),
     "snapshot_check": _snapshot,
+    "snapshot_written": _snapshot_written,
+    "snapshot_as_of": _snapshot_as_of,
     "value_history_scd2": _value_history,
 }
 

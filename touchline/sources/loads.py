@@ -168,6 +168,23 @@ def _files(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def committed_loads(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the folders ``load=n`` that a finished write has marked as whole, ascending."""
+    fs, pattern = _files(spark, f"{path.rstrip('/')}/load=*/_SUCCESS")
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(pattern) or [])
+
+
+def has_path(spark: SparkSession, path: str) -> bool:
+    fs, place = _files(spark, path)
+    return fs.exists(place)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if there is one."""
+    fs, place = _files(spark, path)
+    fs.delete(place, True)
+
+
 def complete_upsert(spark: SparkSession, path: str, partition_by: str = "season", cluster_by: Sequence[str] = ()) -> int:
     """Finish the upserts of ``path`` that a crash interrupted; returns how many were redone.
 
