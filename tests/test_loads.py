@@ -389,6 +389,32 @@ def test_checks_go_on_after_a_table_that_cannot_be_read(rows, spark, tmp_path):
     ]
 
 
+def test_group_checks_share_one_pass(rows, spark, tmp_path):
+    data = [(1, "a", 0.0, "x"), (1, "a", -0.0, "x"), (2, None, 1.0, None), (2, None, 1.0, "y"), (None, "b", None, "z"), (None, "b", None, "x")]
+    rows(data, "k int, s string, d double, n string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    both = [  # the same check by groups and by its own query
+        ("k", checks.unique_groups("k"), lambda d: checks.check_unique(d, "k"), None),
+        ("k_where", checks.unique_groups("k"), lambda d: checks.check_unique(d, "k"), "n = 'x' OR k = 2"),
+        ("none", checks.unique_groups("k"), lambda d: checks.check_unique(d, "k"), "k > 9"),
+        ("s_d", checks.combination_groups(["s", "d"]), lambda d: checks.check_unique_combination(d, ["s", "d"]), None),
+        ("all", checks.combination_groups("ksdn"), lambda d: checks.check_unique_combination(d, list("ksdn")), None),
+        ("few", checks.min_rows_groups("n", 2), lambda d: checks.check_min_rows_per_group(d, "n", 2), None),
+        ("accepted", checks.accepted_groups("n", ["x"]), lambda d: checks.check_accepted_values(d, "n", ["x"]), None),
+    ]
+    for source in (df, df.limit(0)):
+        grouped = [checks.Check(n, "t", source, where=w, groups=g, warn_when_empty=True) for n, g, _, w in both]
+        alone = [checks.Check(n, "t", source, f, where=w, warn_when_empty=True) for n, _, f, w in both]
+        want = values(checks.run_checks(spark, alone), "check", "failures", "status")
+        assert values(checks.run_checks(spark, grouped), "check", "failures", "status") == want
+    found = {r["check"]: r["failures"] for r in checks.run_checks(spark, [checks.Check(n, "t", df, where=w, groups=g) for n, g, _, w in both]).collect()}
+    assert found == {"k": 2, "k_where": 2, "none": 0, "s_d": 3, "all": 1, "few": 3, "accepted": 2}
+    plan = checks._report(spark, [checks.Check(n, "t", df, where=w, groups=g) for n, g, _, w in both])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    many = [checks.Check(f"c{i}", "t", df, groups=checks.unique_groups("k"), where=f"k >= {i}") for i in range(checks.SETS + 3)]
+    assert [r["failures"] for r in checks.run_checks(spark, many).collect()] == [2, 2, 1] + [0] * checks.SETS
+
+
 def test_errors_that_are_no_failed_reads_are_raised(rows, spark):
     good = rows([(1,), (0,)], "v int")
     for row, condition in ((F.col("nothing") == 1, "UNRESOLVED_COLUMN"), (F.lit(1) / F.col("v") > 0, "DIVIDE_BY_ZERO")):

@@ -395,9 +395,39 @@ def equality_failures() -> Column:
     return F.count("*") + F.abs(a - b)
 
 
+@dataclass(frozen=True)
+class Groups:
+    """A check of groups of rows that are equal in ``cols``: ``fails(key, n)`` is true for failing groups, from the struct of
+    ``cols`` and the number of rows. With ``skip_null`` rows with a NULL in ``cols`` are in no group, else NULLs are equal."""
+
+    cols: Sequence[str]
+    fails: Callable[[Column, Column], Column] = lambda key, n: n > 1
+    skip_null: bool = False
+
+
+def unique_groups(col: str) -> Groups:
+    """The failures of ``check_unique``."""
+    return Groups((col,), skip_null=True)
+
+
+def combination_groups(cols: Sequence[str]) -> Groups:
+    """The failures of ``check_unique_combination``."""
+    return Groups(tuple(cols))
+
+
+def accepted_groups(col: str, values: Sequence[Any]) -> Groups:
+    """The failures of ``check_accepted_values``."""
+    return Groups((col,), lambda key, n: ~key[col].isin(list(values)))
+
+
+def min_rows_groups(by: str, least: int = DEFAULTS.min_players_per_season) -> Groups:
+    """The failures of ``check_min_rows_per_group``."""
+    return Groups((by,), lambda key, n: n < least)
+
+
 @dataclass(frozen=True)
 class Check:
-    """A check of a table: ``row``, true for failing rows, or ``failing``, which returns the failing rows.
+    """A check of a table: ``row``, true for failing rows, ``groups`` of rows, or ``failing``, which returns the failing rows.
 
     ``source`` may be a function, so that a failing read fails only the checks of that table.
     """
@@ -413,7 +443,11 @@ class Check:
     failures: Column | None = field(default=None)
     warn_when_empty: bool = False
     row: Column | None = field(default=None)
+    groups: Groups | None = None
+
 
+# Grouping sets of one pass; further ones take another.
+SETS = 32
 
 # Names of the engine's errors that mean a table is absent or damaged.
 READ_ERRORS = (
@@ -436,7 +470,11 @@ def _row_checks(source: DataFrame, group: Sequence[Check]) -> DataFrame:
     for i, c in enumerate(group):
         bad = F.coalesce(c.row, F.lit(False))
         counts.append(F.count_if(bad & F.expr(c.where) if c.where else bad).alias(f"_f{i}"))
-    totals = source.agg(F.count("*").alias("_rows"), *counts)
+    return _listed(source.agg(F.count("*").alias("_rows"), *counts), group)
+
+
+def _listed(totals: DataFrame, group: Sequence[Check]) -> DataFrame:
+    """The report of checks whose failures are the columns ``_f0``, ``_f1``, ... of one row, beside the table's ``_rows``."""
     listed = [
         F.struct(F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), F.col(f"_f{i}").alias("failures"), F.lit(i).alias("_i"))
         for i, c in enumerate(group)
@@ -447,6 +485,36 @@ def _row_checks(source: DataFrame, group: Sequence[Check]) -> DataFrame:
     return rows.select("check", "table", "failures", status.alias("status"))
 
 
+def _group_checks(source: DataFrame, group: Sequence[Check]) -> DataFrame:
+    """All group checks of a table in one pass over it: a grouping set for each different key.
+
+    A key is NULL where a check leaves a row out, so these rows are one group that is counted in the map tasks.
+    """
+    keys: dict[tuple, Column] = {}
+    for c in group:
+        cols = [F.col(k) for k in c.groups.cols]
+        inside = [F.expr(c.where)] if c.where else []
+        inside += [k.isNotNull() for k in cols] if c.groups.skip_null else []
+        keys[_key_of(c)] = F.when(reduce(lambda a, b: a & b, inside, F.lit(True)), F.struct(*cols))
+    names = {key: f"_k{i}" for i, key in enumerate(keys)}
+    keyed = source.select(*[column.alias(names[key]) for key, column in keys.items()])
+    sets = keyed.groupingSets([[n] for n in names.values()], *names.values())
+    counted = sets.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
+    whole = (1 << len(names)) - 1  # the bit of each column that is not in the set, the first column's highest
+    set_of = {key: F.lit(whole ^ (1 << (len(names) - 1 - i))).cast("bigint") for i, key in enumerate(names)}
+    failures = []
+    for i, c in enumerate(group):
+        key = F.col(names[_key_of(c)])
+        fails = key.isNotNull() & c.groups.fails(key, F.col("_n"))
+        failures.append(F.count_if((F.col("_set") == set_of[_key_of(c)]) & fails).alias(f"_f{i}"))
+    rows = F.sum(F.when(F.col("_set") == next(iter(set_of.values())), F.col("_n")))
+    return _listed(counted.agg(F.coalesce(rows, F.lit(0)).alias("_rows"), *failures), group)
+
+
+def _key_of(c: Check) -> tuple:
+    return (tuple(c.groups.cols), c.where, c.groups.skip_null)
+
+
 def _one_check(source: DataFrame, c: Check) -> DataFrame:
     failing = c.failing(source.where(c.where) if c.where else source)
     counted = failing.agg((F.count("*") if c.failures is None else c.failures).cast("bigint").alias("failures"))
@@ -469,8 +537,10 @@ def _report(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
         try:
             source = group[0].source() if callable(group[0].source) else group[0].source
             of_rows = [c for c in group if c.row is not None]
+            of_groups = [c for c in group if c.row is None and c.groups is not None]
             own = [_row_checks(source, of_rows)] if of_rows else []
-            parts += own + [_one_check(source, c) for c in group if c.row is None]
+            own += [_group_checks(source, of_groups[i : i + SETS]) for i in range(0, len(of_groups), SETS)]
+            parts += own + [_one_check(source, c) for c in group if c.row is None and c.groups is None]
         except AnalysisException as e:
             if not _failed_read(e):
                 raise
@@ -486,7 +556,7 @@ def _failed_read(error: Exception) -> bool:
 def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
     """(check, table, failures, status) of all checks, one row each.
 
-    All row checks of a table share one pass over it. The report is worked out as one query; if a table cannot be
+    All row checks of a table share one pass over it, and all group checks another. The report is worked out as one query; if a table cannot be
     read, then or while running, each check runs alone and those of unreadable tables say so. Any other error, such as a
     check that names no column of its table or a lack of memory, is raised.
     """

@@ -757,7 +757,7 @@ def contract(t: Season) -> list[checks.Check]:
         )
 
     def one_per(table: str, df: DataFrame, *cols: str) -> checks.Check:
-        return checks.Check("unique_rows", table, df, lambda d: checks.check_unique_combination(d, cols))
+        return checks.Check("unique_rows", table, df, groups=checks.combination_groups(cols))
 
     return [
         *not_null("player_performance", perf, "season", "player", "goals", "assists", "minutes"),
@@ -770,18 +770,17 @@ def contract(t: Season) -> list[checks.Check]:
         in_range("player_performance", perf, "minutes", 4000),
         one_per("player_performance", perf, "season", "player"),
         checks.Check(
-            "enough_players", "player_performance", perf,
-            lambda d: checks.check_min_rows_per_group(d, "season"), severity="warn",
+            "enough_players", "player_performance", perf, severity="warn", groups=checks.min_rows_groups("season")
         ),
         *not_null("match_results", results, "season", "game_id", "date"),
         one_per("match_results", results, "season", "date", "opponent", "venue_type"),
         *not_null("season_summary", summary, "season", "points"),
-        checks.Check("unique_season", "season_summary", summary, lambda d: checks.check_unique(d, "season"),
+        checks.Check("unique_season", "season_summary", summary, groups=checks.unique_groups("season"),
                      warn_when_empty=True),
         in_range("season_summary", summary, "points", 120),
-        checks.Check("unique_season", "squad_value", m["squad_value"], lambda d: checks.check_unique(d, "season"),
+        checks.Check("unique_season", "squad_value", m["squad_value"], groups=checks.unique_groups("season"),
                      warn_when_empty=True),
-        checks.Check("unique_season", "transfer_balance", m["transfer_balance"], lambda d: checks.check_unique(d, "season")),
+        checks.Check("unique_season", "transfer_balance", m["transfer_balance"], groups=checks.unique_groups("season")),
         *not_null("player_values", values, "season", "player"),
         one_per("player_values", values, "season", "player"),
         checks.Check(
