@@ -50,6 +50,27 @@ def test_edited_notices_are_found_as_by_full_alignment(spark):
     assert found > 100
 
 
+@pytest.mark.parametrize("coverage", [0.5, 0.75, 0.9, 1.0])
+def test_every_whole_stretch_holds_a_fingerprint(coverage):
+    index, r = licenses.Index(licenses.TEMPLATES, coverage), random.Random(2)
+    kept = {(t, p): q for q, (_, which, place) in index.runs.items() for t, p in zip(which.tolist(), place.tolist())}
+    winnowed = 0
+    for t, own in enumerate(index.words):
+        (q,) = {q for (x, _), q in kept.items() if x == t}
+        winnowed += sum(x == t for x, _ in kept) < len(own) - q + 1
+        for _ in range(200):
+            edits = {r.randrange(len(own)) for _ in range(index.edits[t])}
+            hits = sum(not edits & set(range(p, p + q)) for x, p in kept if x == t)
+            assert hits >= index.least[t] >= 1
+    assert winnowed >= (0 if coverage == 0.5 else 6)  # below three words a stretch every run stays
+
+
+def test_winnow_takes_the_last_least_of_each_window():
+    assert licenses.winnow(np.array([5, 2, 2, 9, 7, 8], np.uint64), 3).tolist() == [2, 4]
+    assert licenses.winnow(np.array([5, 2], np.uint64), 3).tolist() == [1]
+    assert licenses.winnow(np.zeros(0, np.uint64), 3).tolist() == []
+
+
 # ---- op3 -------------------------------------------------------------------------------------------------------
 
 

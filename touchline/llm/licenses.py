@@ -1,16 +1,17 @@
 """License scan: fingerprints pick candidates, banded alignment confirms them.
 
-Templates are split into lower-case words of letters and digits. All runs of q words are fingerprints; an inverted
-index gives the places of each fingerprint in the templates. It is small (the templates' size is checked) and goes to
-every task. A text's runs are looked up in the index; hits of one template on nearby diagonals form a candidate, and the
+Templates are split into lower-case words of letters and digits. Their fingerprints are hashes of runs of q words,
+winnowed: of each w runs in a row the least hash stays, the last of equal ones. An inverted index gives the places of
+each fingerprint in the templates. It is small (the templates' size is checked) and goes to every task. A text's runs are looked up in the index; hits of one template on nearby diagonals form a candidate, and the
 words around them are aligned with the template in a band of diagonals (match +2, mismatch and gap -1, local in the
 text and in the template). A finding is an alignment that covers at least ``coverage`` of the template's words;
 overlapping findings of one template keep the best.
 
 Of a template's n words e = floor((1 - coverage) * n) may be edited. The other n - e lie in e + 1 stretches, one of which
-has (n - e) / (e + 1) words at least: q is that number rounded up, ``GRAM`` at the most. As an edit touches q runs, n - q +
-1 - e * q runs stay, on diagonals within e of each other; a candidate needs so many hits, and its band covers these
-diagonals. So no text with up to e words changed, left out or put in is missed before the alignment.
+has l = (n - e) / (e + 1) words at least, rounded up. q + w - 1 = l, with q at most ``GRAM`` and, from three words on, below
+l, so each stretch of l words holds a fingerprint. The stretches have n - e - (e + 1) * (l - 1) windows of w runs at least;
+a fingerprint stands for w of them at most. A candidate needs so many hits, on diagonals within e of each other, which its
+band covers. So no text with up to e words changed, left out or put in is missed before the alignment.
 
 The scan reads each text once, in the scan's stage, and shuffles nothing.
 
@@ -69,9 +70,29 @@ TEMPLATES = {
         "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
         "with the distribution."
     ),
+    "bsd-3-clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
 }
 
 
+def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
+    """The places of the least hash of each ``window`` hashes in a row, the last of equal ones; one place if there are fewer."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(hashes, min(window, len(hashes)))
+    return np.unique(np.arange(len(views)) + views.shape[1] - 1 - views[:, ::-1].argmin(axis=1))
+
+
 class Index:
     """The templates' words, and the places of each fingerprint by its number of words."""
 
@@ -84,11 +105,17 @@ class Index:
         if short := [n for n, own in zip(self.names, self.words, strict=True) if len(own) < GRAM]:
             raise ValueError(f"templates below {GRAM} words have no fingerprint: {short}")
         self.edits = [max(0, int((1 - coverage) * len(own) + 1e-9)) for own in self.words]
-        grams = [max(1, min(GRAM, -(-(len(own) - e) // (e + 1)))) for own, e in zip(self.words, self.edits, strict=True)]
-        self.least = [max(1, len(own) - q + 1 - e * q) for own, e, q in zip(self.words, self.edits, grams, strict=True)]
+        self.least, places = [], {}
+        for t, (own, e) in enumerate(zip(self.words, self.edits, strict=True)):
+            whole = -(-(len(own) - e) // (e + 1))  # some stretch without an edit has so many words
+            q = min(GRAM, max(whole - 1, min(whole, 2)))
+            window = whole - q + 1
+            self.least.append(-(-(len(own) - e - (e + 1) * (whole - 1)) // window))
+            grams = rolling(own, q)
+            places.setdefault(q, []).extend((int(grams[p]), t, p) for p in winnow(grams, window).tolist())
         self.runs = {}
-        for q in sorted(set(grams)):
-            rows = sorted((int(h), t, p) for t, own in enumerate(self.words) if grams[t] == q for p, h in enumerate(rolling(own, q)))
+        for q, rows in sorted(places.items()):
+            rows.sort()
             self.runs[q] = tuple(np.array([r[i] for r in rows], kind) for i, kind in enumerate((np.uint64, np.int64, np.int64)))
 
     def hits(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
