@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("touchline.llm")
@@ -167,6 +168,22 @@ def test_rows_of_one_id_are_one_document(spark):
     assert kept == [(0, c), (3, a), (10, c), (11, "")]
 
 
+def test_pairs_are_compared_in_slices_of_bytes(monkeypatch):
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words[:n]).encode() for n in (100, 101, 130, 131, 399, 400, 5)]
+    pairs = [(bytes([i]), bytes([j]), a, b) for i, a in enumerate(texts) for j, b in enumerate(texts) if i < j]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*pairs, strict=True)], names=["a", "b", "text_a", "text_b"])
+    runs = [(a, b, *sorted((len(x.split()) - 4, len(y.split()) - 4))) for a, b, x, y in pairs]
+    want = [(a, b) for a, b, few, many in runs if 4 * few >= 3 * many]  # each text is a prefix of the longer ones
+    for most in (1, 700, 1 << 30):
+        parts = list(jaccard.byte_slices(batch, ["text_a", "text_b"], most))
+        assert sum(p.num_rows for p in parts) == len(pairs) and (len(parts) == 1) == (most > 1000)
+        monkeypatch.setattr(jaccard, "SLICE_BYTES", most)
+        monkeypatch.setattr(jaccard, "KEPT_BYTES", most)
+        got = [r for out in jaccard.compare(iter([batch, batch.slice(0, 0)])) for r in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+        assert got == want and len(want) > 3
+
+
 # ---- op8 -------------------------------------------------------------------------------------------------------
 
 

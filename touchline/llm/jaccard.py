@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ SHINGLE = 5
 TOP_LOAD = 2.0  # mean elements per range at the upper end of a band; below 2.8, so that filled ranges exceed a third
 GROUP = 64  # sets per signature beyond which it is hot
 SLICE = 1024  # rows of an Arrow batch that are worked on at once
+SLICE_BYTES = 4 << 20  # and bytes of texts in them, where rows hold two
+KEPT_BYTES = 16 << 20  # sets that a task keeps between pairs
 REF_BITS, BAND_BITS = 16, 5  # a packed signature is 43 bits of hash, the band, and a reference into the block's names
 
 
@@ -390,20 +393,30 @@ def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(PAIRS, out)
 
 
+def byte_slices(batch: pa.RecordBatch, columns: list[str], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs whose ``columns`` hold about ``most`` bytes; a longer row is a run with those around it."""
+    size = sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    for a, b in slices(changes(np.cumsum(size) // most)):
+        yield batch.slice(a, b - a)
+
+
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, text_a, text_b) whose shingle sets are similar."""
-    hasher, kept = Hasher(SPLIT_LOWER), OrderedDict()
+    """Pairs (a, b, text_a, text_b) whose shingle sets are similar. Texts become Python objects a slice at a time."""
+    hasher, kept, held = Hasher(SPLIT_LOWER), OrderedDict(), 0
 
     def set_of(name: bytes, text: bytes) -> np.ndarray:
+        nonlocal held
         if name not in kept:
             kept[name] = next(shingle_sets([text], hasher))
-            if len(kept) > 64:
-                kept.popitem(last=False)
+            held += kept[name].nbytes
+            while held > KEPT_BYTES and len(kept) > 2:
+                held -= kept.popitem(last=False)[1].nbytes
         return kept[name]
 
-    for batch in batches:
+    for part in (p for b in batches if b.num_rows for p in byte_slices(b, ["text_a", "text_b"], SLICE_BYTES)):
         out = []
-        for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for i in range(part.num_rows):
+            a, b, text_a, text_b = (c[i].as_py() for c in part.columns)
             x, y = set_of(a, text_a), set_of(b, text_b)
             if similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)):
                 out.append((a, b))
@@ -423,10 +436,13 @@ class Join:
         )
         self.info = stored(info, "shingles")
         # One node per set: the smallest id, and one text of it.
-        self.nodes = self.info.where("n > 0 and row is not null").groupBy("name").agg(
-            F.min("row").alias("node"), F.min("text_name").alias("text_name"), F.first("n").alias("n"),
+        least = self.info.where("n > 0 and row is not null").groupBy("name").agg(
+            F.min(F.struct("row", "text_name")).alias("least"), F.first("n").alias("n"),
             F.first("sketch").alias("sketch"), F.first("filled").alias("filled"),
         )
+        self.nodes = least.select(
+            "name", F.col("least.row").alias("node"), F.col("least.text_name").alias("text_name"), "n", "sketch", "filled"
+        )
 
     def links(self) -> DataFrame:
         """(a, b) node ids of links that connect all that is connected."""
@@ -470,9 +486,9 @@ class Join:
     def checked(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs of names whose sets are similar, by their texts."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-        wanted = wanted.join(self.nodes.select("name", "text_name"), "name")
-        one = self.given.join(wanted.select("text_name").distinct(), "text_name", "left_semi").groupBy("text_name").agg(F.first("text").alias("text"))
-        texts = stored(one.join(wanted, "text_name").select("name", "text"), "texts")
+        # One row per set, by its id too: copies stay behind, and no key holds a large group of them.
+        wanted = wanted.join(self.nodes.select("name", F.col("node").alias("row"), "text_name"), "name")
+        texts = stored(self.given.join(wanted, ["row", "text_name"]).groupBy("name").agg(F.first("text").alias("text")), "texts")
         a = texts.select(F.col("name").alias("a"), F.col("text").alias("text_a"))
         b = texts.select(F.col("name").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
