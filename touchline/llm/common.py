@@ -1,10 +1,13 @@
-"""Shared folders, word hashing in numpy, and connected components."""
+"""Shared folders, memory of tasks, word hashing in numpy, and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system: Arrow's, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, beginning and ending with :func:`give_back`.
+
+    A Python worker goes on to further tasks, and would else hold the most that any of its tasks took beside the next one's.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return work
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # Words as 64-bit hashes
 # ---------------------------------------------------------------------------------------------------------------

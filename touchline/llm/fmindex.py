@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, stored
+from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, released, stored
 
 SHARD_WORDS = 1 << 20
 SAMPLE = 16
@@ -357,7 +357,7 @@ def find_contamination(
         for keys, places, index in shards(batches, shard_words):
             yield _found(keys, places, index, phrases, arrow)
 
-    return _given(docs, key, text).mapInArrow(search, schema)
+    return _given(docs, key, text).mapInArrow(released(search), schema)
 
 
 def _in_blocks(docs: DataFrame, blocks: Iterator[Phrases], key: str, text: str, shard_words: int) -> DataFrame:

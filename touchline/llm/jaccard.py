@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.blocks import DIGEST, Names, buckets_of, by_bucket, changes, concat, dealt, grouped_positions, repeated, rows, slices, used
-from touchline.llm.common import SPLIT_LOWER, Hasher, chunks_of, components, mix, partitions, rolling, stored
+from touchline.llm.common import SPLIT_LOWER, Hasher, chunks_of, components, mix, partitions, released, rolling, stored
 
 SHINGLE = 5
 TOP_LOAD = 2.0  # mean elements per range at the upper end of a band; below 2.8, so that filled ranges exceed a third
@@ -432,7 +432,7 @@ class Join:
         value = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
         self.given = docs.select(F.col(key).cast("bigint").alias("row"), F.unhex(F.md5(value)).alias("text_name"), value.alias("text"))
         info = self.given.mapInArrow(
-            describe, "row bigint, text_name binary, name binary, n bigint, sketch binary, filled array<int>"
+            released(describe), "row bigint, text_name binary, name binary, n bigint, sketch binary, filled array<int>"
         )
         self.info = stored(info, "shingles")
         # One node per set: the smallest id, and one text of it.
@@ -447,18 +447,18 @@ class Join:
     def links(self) -> DataFrame:
         """(a, b) node ids of links that connect all that is connected."""
         blocks = self.given.where("row is not null").select("text").mapInArrow(
-            send_signatures(self.buckets), "bucket int, keys binary, names binary"
+            released(send_signatures(self.buckets)), "bucket int, keys binary, names binary"
         )
-        sent = stored(dealt(blocks, self.buckets).mapInArrow(groups(self.buckets), SENT_DDL), "signatures")
+        sent = stored(dealt(blocks, self.buckets).mapInArrow(released(groups(self.buckets)), SENT_DDL), "signatures")
         shared = stored(sent.where(~F.col("kind").startswith("hot")).unionByName(self.hot_groups(sent)), "groups")
         stars = shared.where("kind = 'star'").select(F.col("to").alias("bucket"), "names", F.col("data").alias("pairs"))
-        first = dealt(stars, self.buckets).mapInArrow(distinct_pairs, "a binary, b binary")
+        first = dealt(stars, self.buckets).mapInArrow(released(distinct_pairs), "a binary, b binary")
         sizes = self.nodes.select("name", "n", "sketch")
         both = first.join(sizes.toDF("a", "n_a", "sketch_a"), "a").join(sizes.toDF("b", "n_b", "sketch_b"), "b")
-        both = both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(allowed, "a binary, b binary")
+        both = both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(released(allowed), "a binary, b binary")
         found = stored(self.numbered(self.checked(stored(both, "stars"))), "near")
         packed = self.meeting(shared, found).applyInArrow(cross_pairs(self.buckets), "bucket int, names binary, pairs binary")
-        pairs = dealt(packed, self.buckets).mapInArrow(distinct_pairs, "a binary, b binary")
+        pairs = dealt(packed, self.buckets).mapInArrow(released(distinct_pairs), "a binary, b binary")
         more = stored(self.checked(stored(pairs, "pairs")), "more")
         return stored(found.unionByName(self.numbered(more)).unionByName(self.repeated_ids()), "links")
 
@@ -471,10 +471,10 @@ class Join:
     def meeting(self, shared: DataFrame, found: DataFrame):
         """The groups of each bucket beside its members as they are connected so far."""
         inside = shared.where("kind = 'inside'").select(F.col("to").alias("bucket"), "names", F.col("bucket").alias("own"))
-        held = dealt(inside, self.buckets).mapInArrow(places, "name binary, buckets array<int>")
+        held = dealt(inside, self.buckets).mapInArrow(released(places), "name binary, buckets array<int>")
         nodes = self.nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
         members = held.join(nodes, "name").select("name", "buckets", "component", "n", "sketch")
-        blocks = members.mapInArrow(pack_members, MEMBERS_DDL)
+        blocks = members.mapInArrow(released(pack_members), MEMBERS_DDL)
         several = shared.where("kind = 'group'").select(F.col("bucket").alias("part"), F.col("names").alias("sets"))
         return several.groupBy("part").cogroup(blocks.groupBy("own"))
 
@@ -492,7 +492,7 @@ class Join:
         a = texts.select(F.col("name").alias("a"), F.col("text").alias("text_a"))
         b = texts.select(F.col("name").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
-        return both.mapInArrow(compare, "a binary, b binary")
+        return both.mapInArrow(released(compare), "a binary, b binary")
 
     def hot_groups(self, sent: DataFrame) -> DataFrame:
         """Hot groups, of those sets only that have too few ranges that are not hot."""
