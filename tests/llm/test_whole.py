@@ -148,6 +148,23 @@ def test_search_takes_whole_rows(spark, docs, monkeypatch, block_terms, cursors)
     assert ranked(got) == bm25_of_whole_rows(DOCS, asked)
 
 
+@pytest.mark.parametrize(("often", "again"), [(16, 8), (1, 0), (1 << 20, 1)])
+def test_search_reads_shards_from_files(spark, monkeypatch, often, again):
+    """Rows name the files of shards and hold no postings; copies and equal scores meet the bars of several shards."""
+    monkeypatch.setattr(search, "OFTEN", often)
+    monkeypatch.setattr(search, "AGAIN", again)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 40))) for _ in range(40)]
+    data = [(i, texts[i % 40 if i < 160 else 0]) for i in range(240)] + [(None, texts[0]), (240, None), (241, ""), (3, texts[5])]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    shards = search.build_shards(df, shard_docs=16)
+    assert {f.dataType.simpleString() for f in shards.schema} == {"string", "bigint"}
+    got = search.search(shards, search.query_terms(df.where("doc_id % 5 = 0"))).collect()
+    assert ranked(got) == bm25_of_whole_rows(data, [i for i, _ in data if i is not None and i % 5 == 0])
+
+
 def test_search_query_takes_whole_rows(spark):
     texts = given(spark, "documents", "doc_id", "text")
     got = Q.QUERIES["op6_block_max_search"](spark, SF_DIR).collect()

@@ -5,12 +5,14 @@ frequencies are summed over all shards before any score is worked out, so the sc
 and the merged top k is that of a full scan. Short queries keep one cursor per term (WAND); a document is scored only
 if the terms' bounds, and then the bounds of the posting blocks around it, reach the k-th best score of the shard.
 Queries above ``CURSORS`` terms add up all postings of their terms in numpy, as the bounds of so many terms pass most
-documents. Both sum a score in the order of the terms.
+documents: those of terms in an ``OFTEN``th of a shard's documents or more as rounded products of matrices, for ``TOGETHER``
+queries at once, the others one by one. The documents that come near the k-th best of these sums, or of the scores that
+the same task found in other shards, are scored exactly. All exact scores are summed in the order of the terms.
 
 Queries are rows of the same table: a query's terms are all distinct words of its whole text, unless ``terms`` asks for
 those with the largest (1 + ln tf) * idf only (ties by hash) or ``least_df`` for words that so many documents have.
-Queries are written in packed blocks of about ``BLOCK_TERMS`` terms; each pair of a shard and a block is a row, whose
-task reads the block.
+Shards are files, and queries are written in packed blocks of about ``BLOCK_TERMS`` terms; each pair of a group of up to
+about ``GROUP`` shards and a block is a row of paths, whose task reads one after the other.
 
 Defined results: null, empty and wordless texts are in no postings but count as documents of length 0, and as
 queries find nothing; a null id is no query; equal scores go by ascending id, null ids last; repeated rows are documents of their own;
@@ -33,13 +35,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.blocks import buckets_of, by_bucket, changes, concat, dealt, expand, rows, slices
-from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, mix, partitions, shared_folder, stored
+from touchline.llm.common import SPLIT_ALNUM, Hasher, chunks_of, mix, partitions, released, shared_folder, stored
 from touchline.llm.warc import open_folder
 
-SHARD_DOCS = 4096
-SHARD_WORDS = 4 << 20
-BLOCK_TERMS = 2 << 20
+SHARD_DOCS = 8192
+SHARD_WORDS = 5 << 20
+BLOCK_TERMS = 1 << 20
 BLOCK = 64
+GROUP = 16
+OFTEN = 32
+OFTEN_ENTRIES = 1 << 22  # numbers in the matrix of frequent terms
+TOGETHER = 64
+AGAIN = 8  # documents scored by their own postings, as a multiple of k; beyond, all are
 CURSORS = 4
 K1, B = 1.2, 0.75
 
@@ -76,15 +83,24 @@ class Shard:
         lengths = np.array([r[3] for r in rows], np.int64)
         return cls([r[0] for r in rows], lengths, terms[head], starts, docs[order].astype(np.uint32), tf[order].astype(np.uint32))
 
-    def dump(self) -> bytes:
+    def write(self, folder: str) -> str:
+        """A new file in the folder, which gets its name when whole."""
+        system, inner = open_folder(folder)
+        system.create_dir(inner, recursive=True)
+        name = uuid.uuid4().hex
         out = io.BytesIO()
         small = {name: least_type(getattr(self, name)) for name in ("lengths", "starts", "docs", "tf")}
-        np.savez(out, vocab=self.vocab, **small)
-        return out.getvalue()
+        known = np.array([k is not None for k in self.keys], np.bool_)
+        np.savez(out, keys=np.array([k or 0 for k in self.keys], np.int64), known=known, vocab=self.vocab, **small)
+        with system.open_output_stream(f"{inner}/.{name}") as file:
+            file.write(out.getbuffer())
+        system.move(f"{inner}/.{name}", f"{inner}/shard-{name}.npz")
+        return f"{inner}/shard-{name}.npz"
 
     @classmethod
-    def load(cls, keys: list, data: bytes) -> Shard:
-        x = np.load(io.BytesIO(data))
+    def read(cls, folder: str, path: str) -> Shard:
+        x = read_arrays(folder, path)
+        keys = [k if known else None for k, known in zip(x["keys"].tolist(), x["known"].tolist(), strict=True)]
         return cls(keys, x["lengths"], x["vocab"], x["starts"], x["docs"], x["tf"])
 
     def weights(self, mean_length: float) -> np.ndarray:
@@ -99,19 +115,74 @@ class Shard:
         at = np.minimum(np.searchsorted(self.vocab, terms), len(self.vocab) - 1)
         return np.where(self.vocab[at] == terms, at, -1)
 
-    def top(self, numbers: np.ndarray, idf: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k best (score, document) of the terms as :func:`top_documents` gives them, from all of their postings."""
-        begin, end = self.starts[numbers].astype(np.int64), self.starts[numbers + 1].astype(np.int64)
-        at = expand(begin, end - begin)
-        scores = np.bincount(self.docs[at], weights[at] * np.repeat(idf, end - begin), len(self.lengths))
-        bar = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        docs = np.flatnonzero((scores >= bar) & (scores > 0))
-        best = docs[np.argsort(-scores[docs], kind="stable")[:k]]
-        return list(zip(scores[best].tolist(), best.tolist(), strict=True))
-
-    def cursor(self, number: int, idf: float, weights: np.ndarray) -> Cursor:
+    def cursor(self, number: int, parts: np.ndarray) -> Cursor:
         a, b = int(self.starts[number]), int(self.starts[number + 1])
-        return Cursor(self.docs[a:b], idf * weights[a:b])
+        return Cursor(self.docs[a:b], parts[a:b])
+
+
+class Sums:
+    """Scores of a shard's documents for queries of many terms; ``parts`` are the scores of its postings.
+
+    Sums of all but the exact scores are rounded; all addends are positive, so ``low`` times a sum is no more than the
+    exact one, and the exact one times ``low`` no more than the sum.
+    """
+
+    def __init__(self, shard: Shard, parts: np.ndarray):
+        self.starts, self.n, docs = shard.starts.astype(np.int64), len(shard.lengths), shard.docs
+        self.docs, self.parts = docs, parts
+        self.near = np.column_stack([docs, parts]).astype(np.float32)  # side by side, as a run of them is read from far away
+        df = np.diff(self.starts)
+        most = np.argsort(-df, kind="stable")[: OFTEN_ENTRIES // max(self.n, 1)]
+        often = most[df[most] * OFTEN >= self.n]
+        self.row = np.full(len(df), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.table = np.zeros((len(often), self.n), np.float32)
+        at = expand(self.starts[often], df[often])
+        self.table[np.repeat(np.arange(len(often)), df[often]), docs[at]] = parts[at]
+        self.low = 1 / (1 + 1e-9 + 4 * (len(often) + 8) * 2.0**-24)
+        # The postings once more by document, in the order of the terms.
+        order = np.argsort(docs, kind="stable")
+        self.terms, self.by_doc = np.repeat(np.arange(len(df), dtype=np.int32), df)[order], parts[order]
+        self.first = np.searchsorted(docs[order], np.arange(self.n + 1))
+        self.asked = np.zeros(len(df), bool)
+
+    def added(self, numbers: np.ndarray) -> np.ndarray:
+        """The rounded scores of all postings of these terms, added up by document."""
+        runs = zip(self.starts[numbers].tolist(), self.starts[numbers + 1].tolist(), strict=True)
+        found = np.concatenate([self.near[:0], *[self.near[a:b] for a, b in runs]])
+        return np.bincount(found[:, 0].astype(np.intp), found[:, 1], self.n)
+
+    def exact(self, numbers: np.ndarray, docs: np.ndarray, most: int) -> np.ndarray:
+        """Scores of these documents: from their own postings, or, for very many of them, from those of all."""
+        if len(docs) > most:
+            count = self.starts[numbers + 1] - self.starts[numbers]
+            at = expand(self.starts[numbers], count)
+            return np.bincount(self.docs[at], self.parts[at], self.n)[docs]
+        begin, end = self.first[docs], self.first[docs + 1]
+        runs = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        self.asked[numbers] = True
+        own = np.flatnonzero(self.asked[np.concatenate([self.terms[r] for r in runs])])
+        self.asked[numbers] = False
+        place = np.searchsorted(np.cumsum(end - begin), own, "right")
+        return np.bincount(place, np.concatenate([self.by_doc[r] for r in runs])[own], len(docs))
+
+    def best(self, asked: list[np.ndarray], bars: list[float], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(documents, scores) of the k best for each query's terms, best first, without those that score below its bar."""
+        factors, rows = np.zeros((len(asked), len(self.table)), np.float32), [self.row[numbers] for numbers in asked]
+        for i, row in enumerate(rows):
+            factors[i, row[row >= 0]] = 1
+        for numbers, row, bar, sums in zip(asked, rows, bars, factors @ self.table, strict=True):
+            sums = sums + self.added(numbers[row < 0])
+            if not bar and self.n > k:
+                bar = np.partition(sums, -k)[-k] * self.low
+            docs = np.flatnonzero(sums >= max(bar * self.low, LEAST))
+            if not len(docs):
+                yield docs, np.zeros(0)
+                continue
+            scores = self.exact(numbers, docs, AGAIN * k)
+            order = np.argsort(-scores, kind="stable")[:k]
+            order = order[scores[order] >= bar]
+            yield docs[order], scores[order]
 
 
 class Cursor:
@@ -139,7 +210,13 @@ class Cursor:
         return (self.block_max[i], self.block_last[i]) if i < len(self.block_last) else (0.0, END - 1)
 
 
+def read_arrays(folder: str, path: str):
+    with open_folder(folder)[0].open_input_file(path) as file:
+        return np.load(io.BytesIO(file.read()))
+
+
 END = 1 << 60
+LEAST = np.nextafter(0.0, 1.0)
 BY_DOC, BY_RANK = attrgetter("doc"), attrgetter("rank")
 SLACK = 1 + 1e-9  # bounds are summed in another order than scores
 
@@ -198,15 +275,18 @@ def top_documents(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
 
 
 def build_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """One row per shard: keys, words in all, and the packed postings."""
-    schema = pa.schema([("keys", pa.list_(pa.int64())), ("words", pa.int64()), ("index", pa.binary())])
+    """One row per written shard: the path of its file, documents and words in all, and the folder."""
+    schema = pa.schema([("shard", pa.string()), ("docs", pa.int64()), ("words", pa.int64())])
+    folder = shared_folder(docs.sparkSession, "shards")
 
     def build(batches: Iterator[pa.RecordBatch]):
         hasher, found_rows, size = Hasher(SPLIT_ALNUM), [], 0
 
         def shard():
             own = Shard.of(found_rows)
-            return pa.RecordBatch.from_pylist([{"keys": own.keys, "words": int(own.lengths.sum()), "index": own.dump()}], schema)
+            return pa.RecordBatch.from_pylist(
+                [{"shard": own.write(folder), "docs": len(own.keys), "words": int(own.lengths.sum())}], schema
+            )
 
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
@@ -222,22 +302,28 @@ def build_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shard
             yield shard()
 
     given = docs.select(F.col(key).cast("bigint"), F.col(text).cast("binary"))
-    return given.mapInArrow(build, "keys array<bigint>, words bigint, index binary")
+    written = stored(given.mapInArrow(released(build), "shard string, docs bigint, words bigint"), "shards-log")
+    return written.withColumn("folder", F.lit(folder))
 
 
 def document_frequencies(shards: DataFrame) -> DataFrame:
     """(term, df) over all shards."""
 
     def count(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Shard.load(row["keys"], row["index"])
-                df = np.diff(own.starts.astype(np.int64))
-                for i in range(0, len(df), 1 << 16):
-                    terms = own.vocab[i : i + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df[i : i + (1 << 16)])], names=["term", "df"])
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            x = read_arrays(row["folder"], row["shard"])
+            vocab, df = x["vocab"], np.diff(x["starts"].astype(np.int64))
+            for i in range(0, len(df), 1 << 16):
+                terms = vocab[i : i + (1 << 16)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df[i : i + (1 << 16)])], names=["term", "df"])
 
-    return shards.select("keys", "index").mapInArrow(count, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    given = spread(shards.select("shard", "folder"))
+    return given.mapInArrow(released(count), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+
+
+def spread(paths: DataFrame) -> DataFrame:
+    """Rows that name files are few and short; what is done with them goes to all tasks."""
+    return paths.repartition(partitions(paths.sparkSession))
 
 
 def query_terms(queries: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -252,14 +338,16 @@ def query_terms(queries: DataFrame, key: str = "doc_id", text: str = "text") ->
                 yield pa.RecordBatch.from_arrays(columns, names=["query", "term", "tf"])
 
     given = queries.select(F.col(key).cast("bigint"), F.col(text).cast("binary"))
-    return given.mapInArrow(split, "query bigint, term bigint, tf bigint")
+    return given.mapInArrow(released(split), "query bigint, term bigint, tf bigint")
 
 
 def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int | None = None, least_df: int = 1) -> DataFrame:
     """(query, rank, doc_id, score): the k best documents of each query; ``queries`` as by :func:`query_terms`."""
-    size = shards.agg(F.sum(F.size("keys")).alias("n"), F.sum("words").alias("words")).first()
+    size = shards.agg(F.sum("docs").alias("n"), F.sum("words").alias("words"), F.count("*").alias("shards")).first()
     n, mean_length = size["n"] or 0, (size["words"] or 0) / max(size["n"] or 0, 1)
-    chosen = queries.where("query is not null").join(document_frequencies(shards).where(F.col("df") >= least_df), "term").withColumn(
+    # The frequencies are by far larger than the list of shard files they come from, by which Spark would judge them.
+    frequent = document_frequencies(shards).where(F.col("df") >= least_df)
+    chosen = queries.where("query is not null").join(frequent.hint("merge"), "term").withColumn(
         "idf", F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     )
     if terms is not None:
@@ -267,8 +355,12 @@ def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int | None
         chosen = chosen.withColumn("place", F.row_number().over(best)).where(F.col("place") <= terms)
     asked = stored(chosen.groupBy("query").agg(F.collect_set(F.struct("term", "idf")).alias("terms")), "queries")
     blocks, buckets = query_blocks(asked), partitions(queries.sparkSession)
-    found = _searched(shards.crossJoin(blocks), k, mean_length, buckets)
-    return dealt(found, buckets).mapInArrow(best_of_shards(k), "query bigint, rank int, doc_id bigint, score double")
+    pairs = size["shards"] * blocks.count()
+    group = min(GROUP, max(1, 2 * pairs // buckets))
+    number = F.pmod(F.xxhash64("shard"), F.lit(-(-size["shards"] // group) or 1))
+    grouped = shards.groupBy(number, "folder").agg(F.sort_array(F.collect_list("shard")).alias("shards"))
+    found = _searched(spread(grouped.select("shards", "folder").crossJoin(blocks)), k, mean_length, buckets)
+    return dealt(found, buckets).mapInArrow(released(best_of_shards(k)), "query bigint, rank int, doc_id bigint, score double")
 
 
 def query_blocks(asked: DataFrame) -> DataFrame:
@@ -302,8 +394,8 @@ def query_blocks(asked: DataFrame) -> DataFrame:
             system.move(temp, path)
             yield pa.RecordBatch.from_pydict({"block": [path]})
 
-    spread = asked.select(F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("bucket"), "query", "terms")
-    return stored(dealt(spread, blocks).mapInArrow(write, "block string"), "query-blocks-log").withColumn("folder", F.lit(folder))
+    numbered = asked.select(F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("bucket"), "query", "terms")
+    return stored(dealt(numbered, blocks).mapInArrow(released(write), "block string"), "query-blocks-log").withColumn("block_folder", F.lit(folder))
 
 
 BEST = pa.schema([("query", pa.int64()), ("rank", pa.int32()), ("doc_id", pa.int64()), ("score", pa.float64())])
@@ -327,33 +419,55 @@ def best_of_shards(k: int):
     return run
 
 
+def _found(shard: Shard, terms: np.ndarray, idf: np.ndarray, owner: np.ndarray, bars: np.ndarray, mean_length: float, k: int):
+    """(query, documents, scores) for the queries that find any; ``owner`` numbers the query of each term."""
+    numbers = shard.find(terms)
+    present = np.flatnonzero(numbers >= 0)
+    numbers, owner = numbers[present], owner[present]
+    every = np.zeros(len(shard.vocab))
+    every[numbers] = idf[present]
+    parts = shard.weights(mean_length) * np.repeat(every, np.diff(shard.starts.astype(np.int64)))
+    long: list[tuple[int, int, int]] = []
+    for a, b in slices(changes(owner)) if len(owner) else ():
+        if b - a > CURSORS:
+            long.append((int(owner[a]), a, b))
+        else:
+            found = top_documents([shard.cursor(int(n), parts) for n in numbers[a:b]], k)
+            yield int(owner[a]), np.array([d for _, d in found], np.int64), np.array([score for score, _ in found], np.float64)
+    sums = Sums(shard, parts) if long else None
+    for i in range(0, len(long), TOGETHER):
+        some = long[i : i + TOGETHER]
+        best = sums.best([numbers[a:b] for _, a, b in some], [float(bars[q]) for q, _, _ in some], k)
+        for (query, _, _), (docs, scores) in zip(some, best, strict=True):
+            if len(docs):
+                yield query, docs, scores
+
+
 def _searched(pairs: DataFrame, k: int, mean_length: float, buckets: int) -> DataFrame:
-    """For each pair of a shard and a block of queries the shard's best documents, packed for the task that merges their query."""
+    """For each pair of a group of shards and a block of queries the best documents, packed for the task that merges their query."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for row in (row for batch in batches for i in range(batch.num_rows) for row in batch.slice(i, 1).to_pylist()):
-            with open_folder(row["folder"])[0].open_input_file(row["block"]) as file:
-                asked = np.load(io.BytesIO(file.read()))
-                names, counts, terms, idf = (asked[c] for c in ("names", "counts", "terms", "idf"))
-            shard = Shard.load(row["keys"], row["index"])
-            weights, numbers = shard.weights(mean_length), shard.find(terms)
-            owner = np.repeat(np.arange(len(names)), counts)
-            present = np.flatnonzero(numbers >= 0)
-            numbers, idf, owner, out = numbers[present], idf[present], owner[present], []
-            for a, b in slices(changes(owner)) if len(owner) else ():
-                if b - a > CURSORS:
-                    found = shard.top(numbers[a:b], idf[a:b], weights, k)
-                else:
-                    found = top_documents([shard.cursor(int(numbers[i]), float(idf[i]), weights) for i in range(a, b)], k)
-                out += [(int(owner[a]), shard.keys[d], score) for score, d in found]
-            which = np.array([o[0] for o in out], np.int64)
-            queries, docs = names[which], np.array([o[1] or 0 for o in out], np.int64)
-            known, best = np.array([o[1] is not None for o in out], np.bool_), np.array([o[2] for o in out], np.float64)
-            packed = by_bucket(buckets_of(mix(queries.view(np.uint64)), buckets), queries, docs, known, best) if out else ()
-            yield from rows(SENT, [(bucket, *(p.tobytes() for p in parts)) for bucket, parts in packed])
-
-    given = pairs.select("keys", "index", "block", "folder")
-    return given.mapInArrow(run, "bucket int, queries binary, docs binary, known binary, scores binary")
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            asked = read_arrays(row["block_folder"], row["block"])
+            names, terms, idf = asked["names"], asked["terms"], asked["idf"]
+            owner = np.repeat(np.arange(len(names), dtype=np.int32), asked["counts"])
+            # The k best scores of each query so far; the least of them is its bar.
+            top, which, found = np.zeros((len(names), k)), [], []
+            for path in row["shards"]:
+                shard = Shard.read(row["folder"], path)
+                keys, known = np.array([key or 0 for key in shard.keys], np.int64), np.array([key is not None for key in shard.keys], np.bool_)
+                for query, docs, scores in _found(shard, terms, idf, owner, top[:, 0], mean_length, k):
+                    top[query] = np.sort(np.concatenate([top[query], scores]))[-k:]
+                    which.append(np.full(len(docs), query))
+                    found.append((keys[docs], known[docs], scores))
+            query = concat(which, np.int64)
+            docs, known, scores = (concat([f[i] for f in found], t) for i, t in enumerate((np.int64, np.bool_, np.float64)))
+            kept = scores >= top[query, 0]
+            query, columns = names[query[kept]], (docs[kept], known[kept], scores[kept])
+            packed = by_bucket(buckets_of(mix(query.view(np.uint64)), buckets), query, *columns) if len(query) else ()
+            yield from rows(SENT, [(bucket, *(p.tobytes() for p in own)) for bucket, own in packed])
+
+    return pairs.mapInArrow(released(run), "bucket int, queries binary, docs binary, known binary, scores binary")
 
 
 SENT = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("queries", "docs", "known", "scores"))])
@@ -361,5 +475,4 @@ SENT = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("queries"
 
 def op6_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    shards = stored(build_shards(docs), "postings")
-    return search(shards, query_terms(docs.where(F.col("doc_id") % 50 == 0)))
+    return search(build_shards(docs), query_terms(docs.where(F.col("doc_id") % 50 == 0)))
