@@ -39,3 +39,15 @@ def test_empty_tables_and_pages(rows):
     got = pages.extract_html_table(df, ["id"], "t").collect()
     assert [(r["id"], r["cells"]) for r in got] == [(4, {})]
     assert pages.extract_squad_rows(df, ["id"]).count() == 0 and pages.extract_transfer_rows(df, ["id"]).count() == 0
+
+
+def test_leaves_quotes_and_open_ends():
+    """A leaf is read in one step and gives the same tree; a search for quotes says nothing about places before it."""
+    page = "<div class='box'><table><tr><td>1</td><td title=\"a>b\">2 &amp; 3</td><td>4<td>5</td></tr></table><br></br>x</div>y"
+    root, _ = parse(page)
+    row = root.first("tr")
+    assert [c.text() for c in row.all("td")] == ["1", "2 & 3", "4", "5"] == [c.text() for c in row.children]
+    assert [c.parent for c in row.children] == [row] * 4 and row.parent.tag == "table"
+    assert row.children[1].attrs == {"title": "a>b"} and root.first("br").text() == "" and root.first("div").text("|") == "1|2 & 3|4|5|x"
+    assert parse("<script a=\"1\" <p title='q>r'>z</p>")[0].first("p").attrs == {"title": "q>r"}
+    assert parse("<td>a<th>b</th>c<td>d</td>")[0].text("|") == "a|b|c|d"

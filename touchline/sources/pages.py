@@ -8,10 +8,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from touchline.config import DEFAULTS
 from touchline.functions import (
@@ -46,16 +48,20 @@ def _rows(pages: DataFrame, keys: Sequence[str], fields: str, read: Callable[[st
     """Run ``read`` on every page; its tuples become rows next to the page's keys."""
     row_type = T.StructType.fromDDL(fields)
     schema = T.StructType([pages.schema[k] for k in keys] + row_type.fields)
-    names, keys = row_type.names, list(keys)
+    maps = [isinstance(f.dataType, T.MapType) for f in row_type]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
         for batch in batches:
-            found = [read(html) for html in batch["html"]]
-            repeated = batch[keys].loc[batch.index.repeat([len(rows) for rows in found])].reset_index(drop=True)
-            cells = pd.DataFrame([row for rows in found for row in rows], columns=names)
-            yield pd.concat([repeated, cells], axis=1)
+            found = [read(html) for html in batch.column(len(keys)).to_pylist()]
+            page = pa.array(np.repeat(np.arange(len(found)), [len(rows) for rows in found]))
+            given = [batch.column(i).take(page).cast(arrow.field(i).type) for i in range(len(keys))]
+            cells = zip(*(row for rows in found for row in rows), strict=True) if len(page) else [()] * len(maps)
+            listed = ([c if c is None else list(c.items()) for c in column] if is_map else column for column, is_map in zip(cells, maps, strict=True))
+            types = arrow.types[len(keys) :]
+            yield pa.RecordBatch.from_arrays([*given, *(pa.array(c, t) for c, t in zip(listed, types, strict=True))], schema=arrow)
 
-    return pages.select(*keys, "html").mapInPandas(run, schema)
+    return pages.select(*keys, "html").mapInArrow(run, schema)
 
 
 def _header(rows: list[list[Element]]) -> list[str]:
@@ -80,7 +86,7 @@ def _read_table(html: str, table_id: str, header_rows: int) -> list[tuple]:
     table = next((t for t in hidden if t is not None), None) or root.first("table", id=table_id)
     if table is None:
         return []
-    grid = [[c for c in tr.children if isinstance(c, Element) and c.tag in ("td", "th")] for tr in table.all("tr")]
+    grid = [[c for c in tr.children if c.tag in ("td", "th")] for tr in table.all("tr")]
     names = _header(grid[:header_rows])
     out = []
     for row_no, cells in enumerate(grid[header_rows:]):
@@ -104,8 +110,8 @@ def _image(element: Element | None) -> tuple:
 
 def _in_second_cell(image: Element, row: Element) -> bool:
     e = image
-    while e is not row:
-        if e.tag == "td" and [c for c in e.parent.children if isinstance(c, Element) and c.tag == "td"][1:2] == [e]:
+    while e != row:
+        if e.tag == "td" and [c for c in e.parent.children if c.tag == "td"][1:2] == [e]:
             return True
         e = e.parent
     return False
