@@ -140,6 +140,11 @@ class Network(Season):
     def players(self) -> DataFrame:
         return self.written("players", super().players)
 
+    @cached_property
+    def clubs(self) -> DataFrame:
+        """Few rows of a scan of all transfers: written, they are read by each join and broadcast by size."""
+        return self.written("clubs", super().clubs)
+
     @cached_property
     def played_in(self) -> DataFrame:
         return graph.edge_played_in(self.league, self.players)
