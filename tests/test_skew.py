@@ -204,3 +204,13 @@ def test_short_terms_and_unknown_pieces(rows, tmp_path):
     }
     assert index.containing(asked.limit(0)).count() == 0
     assert names.first_names(index, rows([("AN",)], "term string"), 1).collect()[0]["low"] == "ann"
+
+
+def test_clubs_of_a_network_are_written_once(spark):
+    from conftest import SF_DIR
+    from touchline.plans.catalog import Network
+
+    network = Network(spark, SF_DIR)
+    files = network.clubs.inputFiles()
+    assert files and all("/clubs/" in f and "lineitem" not in f for f in files)
+    assert network.clubs is network.clubs
