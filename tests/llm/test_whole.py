@@ -165,6 +165,41 @@ def test_search_reads_shards_from_files(spark, monkeypatch, often, again):
     assert ranked(got) == bm25_of_whole_rows(data, [i for i, _ in data if i is not None and i % 5 == 0])
 
 
+@pytest.mark.parametrize(("often", "at_once", "alike"), [(100, 1 << 20, 512), (1 << 20, 50, 7), (1, 1, 1)])
+def test_search_adds_up_many_queries_together(monkeypatch, often, at_once, alike):
+    """Queries of a block share its list of terms and go through a shard in batches; scores are those of plain sums."""
+    for name, value in (("OFTEN", often), ("AT_ONCE", at_once), ("ALIKE", alike), ("TOGETHER", 3)):
+        monkeypatch.setattr(search, name, value)
+    rng = np.random.default_rng(4)
+    documents = [(i, np.unique(rng.integers(0, 80, rng.integers(0, 60)).astype(np.uint64)), 40) for i in range(90)]
+    shard = search.Shard.of([(i, terms, rng.integers(1, 5, len(terms)), words) for i, terms, words in documents])
+    asked = [np.unique(rng.integers(0, 100, rng.integers(0, 70)).astype(np.uint64)) for _ in range(40)]
+    vocab, places = np.unique(np.concatenate(asked), return_inverse=True)
+    idf, counts = rng.random(len(vocab)), np.array([len(a) for a in asked])
+    order = search.side_by_side(counts, places)
+    assert sorted(order.tolist()) == list(range(40))
+    block = search.Asked(np.arange(40), counts, vocab, idf, places)
+    found = {q: (docs, scores) for q, docs, scores in search._found(shard, block, np.zeros(40), 40.0, 5)}
+    weights = dict.fromkeys(range(90), 0.0)
+    for q, terms in enumerate(asked):
+        want = dict(weights)
+        for t in terms.tolist():
+            (n,) = shard.find(np.array([t], np.uint64)).tolist()
+            at = np.arange(shard.starts[n], shard.starts[n + 1]) if n >= 0 else np.zeros(0, int)
+            for doc, part in zip(shard.docs[at].tolist(), shard.weights(40.0, at).tolist()):
+                want[doc] += part * float(idf[np.searchsorted(vocab, t)])
+        best = sorted((-s, d) for d, s in want.items() if s > 0)[:5]
+        docs, scores = found.get(q, (np.zeros(0, int), np.zeros(0)))
+        assert [(round(-s, 9), d) for s, d in best] == [(round(s, 9), d) for s, d in zip(scores.tolist(), docs.tolist())]
+
+
+def test_search_tasks_are_even(spark):
+    """Each group has as many shards, dealt out by size; before, groups came from a hash."""
+    shards = spark.createDataFrame([(f"s{i}", 100 - i, 1, "f") for i in range(20)], "shard string, docs bigint, words bigint, folder string")
+    groups = [r.shards for r in search.shard_groups(shards, 3).collect()]
+    assert sorted(map(len, groups)) == [6, 7, 7] and sorted(s for g in groups for s in g) == sorted(f"s{i}" for i in range(20))
+
+
 def test_search_query_takes_whole_rows(spark):
     texts = given(spark, "documents", "doc_id", "text")
     got = Q.QUERIES["op6_block_max_search"](spark, SF_DIR).collect()

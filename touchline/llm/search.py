@@ -5,14 +5,16 @@ frequencies are summed over all shards before any score is worked out, so the sc
 and the merged top k is that of a full scan. Short queries keep one cursor per term (WAND); a document is scored only
 if the terms' bounds, and then the bounds of the posting blocks around it, reach the k-th best score of the shard.
 Queries above ``CURSORS`` terms add up all postings of their terms in numpy, as the bounds of so many terms pass most
-documents: those of terms in an ``OFTEN``th of a shard's documents or more as rounded products of matrices, for ``TOGETHER``
-queries at once, the others one by one. The documents that come near the k-th best of these sums, or of the scores that
-the same task found in other shards, are scored exactly. All exact scores are summed in the order of the terms.
+documents: those of terms that are frequent both in a shard and in ``ALIKE`` queries as rounded products of matrices, for
+``TOGETHER`` queries at once, the others from runs that Arrow copies out for several queries at once. The documents that come near the
+k-th best of these sums, or of the scores that the same task found in other shards, are scored exactly, also for all these
+queries together. All exact scores are summed in the order of the terms.
 
 Queries are rows of the same table: a query's terms are all distinct words of its whole text, unless ``terms`` asks for
 those with the largest (1 + ln tf) * idf only (ties by hash) or ``least_df`` for words that so many documents have.
-Shards are files, and queries are written in packed blocks of about ``BLOCK_TERMS`` terms; each pair of a group of up to
-about ``GROUP`` shards and a block is a row of paths, whose task reads one after the other.
+Shards are files, and queries are written in packed blocks of about ``BLOCK_TERMS`` terms, each with a list of its distinct
+terms and with queries of the same frequent terms side by side; each pair of a group of up to ``GROUP`` shards and a block is
+a row of paths, whose task reads one after the other.
 
 Defined results: null, empty and wordless texts are in no postings but count as documents of length 0, and as
 queries find nothing; a null id is no query; equal scores go by ascending id, null ids last; repeated rows are documents of their own;
@@ -43,9 +45,13 @@ SHARD_WORDS = 5 << 20
 BLOCK_TERMS = 1 << 20
 BLOCK = 64
 GROUP = 16
-OFTEN = 32
-OFTEN_ENTRIES = 1 << 22  # numbers in the matrix of frequent terms
-TOGETHER = 64
+ALIKE = 512  # queries that share a matrix of frequent terms
+OFTEN = 100  # what adding a posting by itself costs, in multiplications of such a matrix
+OFTEN_ENTRIES = 1 << 22  # numbers in the matrix
+TOGETHER = 128
+ASKED_ENTRIES = 1 << 24  # marks of asked terms, for all queries that go together
+CENTERS, FEATURES, ROUNDS = 8, 256, 4
+AT_ONCE = 1 << 20  # postings looked at in one step
 AGAIN = 8  # documents scored by their own postings, as a multiple of k; beyond, all are
 CURSORS = 4
 K1, B = 1.2, 0.75
@@ -103,10 +109,10 @@ class Shard:
         keys = [k if known else None for k, known in zip(x["keys"].tolist(), x["known"].tolist(), strict=True)]
         return cls(keys, x["lengths"], x["vocab"], x["starts"], x["docs"], x["tf"])
 
-    def weights(self, mean_length: float) -> np.ndarray:
-        """BM25 without the idf factor, for each posting."""
-        norm = K1 * (1 - B + B * self.lengths / max(mean_length, 1e-9))
-        return self.tf * (K1 + 1) / (self.tf + norm[self.docs])
+    def weights(self, mean_length: float, at: np.ndarray) -> np.ndarray:
+        """BM25 without the idf factor, for the postings at these places."""
+        norm, tf = K1 * (1 - B + B * self.lengths / max(mean_length, 1e-9)), self.tf[at]
+        return tf * (K1 + 1) / (tf + norm[self.docs[at]])
 
     def find(self, terms: np.ndarray) -> np.ndarray:
         """The numbers of terms in this shard, -1 for those it lacks."""
@@ -115,74 +121,146 @@ class Shard:
         at = np.minimum(np.searchsorted(self.vocab, terms), len(self.vocab) - 1)
         return np.where(self.vocab[at] == terms, at, -1)
 
-    def cursor(self, number: int, parts: np.ndarray) -> Cursor:
+
+class Postings:
+    """A shard's postings of the terms that are asked for: ``docs`` and their scores ``parts`` between ``starts``.
+
+    ``number`` gives the place of each asked term here, -1 for those that the shard lacks.
+    """
+
+    def __init__(self, shard: Shard, vocab: np.ndarray, idf: np.ndarray, mean_length: float):
+        found = shard.find(vocab)
+        held = np.flatnonzero(found >= 0)
+        self.number = np.full(len(vocab), -1, np.int32)
+        self.number[held] = np.arange(len(held))
+        starts = shard.starts.astype(np.int64)
+        begin = starts[found[held]]
+        self.df = starts[found[held] + 1] - begin
+        self.starts = np.concatenate([[0], np.cumsum(self.df)])
+        at = expand(begin, self.df)
+        self.n, self.docs = len(shard.lengths), shard.docs[at]
+        self.parts = shard.weights(mean_length, at) * np.repeat(idf[held], self.df)
+
+    def cursor(self, number: int) -> Cursor:
         a, b = int(self.starts[number]), int(self.starts[number + 1])
-        return Cursor(self.docs[a:b], parts[a:b])
+        return Cursor(self.docs[a:b], self.parts[a:b])
+
+
+PAIR = np.dtype([("part", np.float32), ("doc", np.int32)])
+
+
+def steps(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of runs of about ``most`` in all; one entry above it is a run of its own."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        yield a, b
+        a = b
+
+
+def runs_of(starts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Each run of the values as one value of bytes, which Arrow copies as a whole."""
+    ends = pa.py_buffer(np.ascontiguousarray(starts * values.itemsize, np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, ends, pa.py_buffer(values)])
+
+
+def copied(runs: pa.Array, which: np.ndarray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of these runs, one run after the other, and where each begins and ends."""
+    kind = np.dtype(kind)
+    if not len(which):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    _, ends, data = runs.take(pa.array(which)).buffers()
+    return np.frombuffer(data, kind), np.frombuffer(ends, np.int64, len(which) + 1) // kind.itemsize
 
 
 class Sums:
-    """Scores of a shard's documents for queries of many terms; ``parts`` are the scores of its postings.
+    """Scores of a shard's documents for queries of many terms.
 
     Sums of all but the exact scores are rounded; all addends are positive, so ``low`` times a sum is no more than the
     exact one, and the exact one times ``low`` no more than the sum.
     """
 
-    def __init__(self, shard: Shard, parts: np.ndarray):
-        self.starts, self.n, docs = shard.starts.astype(np.int64), len(shard.lengths), shard.docs
-        self.docs, self.parts = docs, parts
-        self.near = np.column_stack([docs, parts]).astype(np.float32)  # side by side, as a run of them is read from far away
-        df = np.diff(self.starts)
-        most = np.argsort(-df, kind="stable")[: OFTEN_ENTRIES // max(self.n, 1)]
-        often = most[df[most] * OFTEN >= self.n]
-        self.row = np.full(len(df), -1, np.int32)
+    def __init__(self, own: Postings):
+        self.own, self.n = own, own.n
+        # Each term's documents and rounded scores side by side, and the terms of each document, in their order.
+        pairs = np.empty(len(own.docs), PAIR)
+        pairs["part"], pairs["doc"] = own.parts, own.docs
+        self.of_term = runs_of(own.starts, pairs)
+        self.order = np.argsort(own.docs, kind="stable").astype(np.int32)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(own.docs, minlength=self.n))])
+        self.of_doc = runs_of(self.first, np.repeat(np.arange(len(own.df), dtype=np.int32), own.df)[self.order])
+        self.together = max(1, min(TOGETHER, ASKED_ENTRIES // max(len(own.df), 1)))
+        self.asked = np.zeros(self.together * len(own.df), bool)
+        self.choose(np.zeros(0, np.int64), 0)
+
+    def choose(self, terms: np.ndarray, queries: int) -> None:
+        """The matrix of the terms that are frequent both in these queries and in the documents."""
+        own, most = self.own, OFTEN_ENTRIES // max(self.n, 1)
+        cost = np.bincount(terms, minlength=len(own.df)) * own.df
+        often = np.flatnonzero((cost * OFTEN >= self.n * queries) & (cost > 0))
+        if len(often) > most:
+            often = often[np.argsort(-cost[often], kind="stable")[:most]]
+        self.row = np.full(len(own.df), -1, np.int32)
         self.row[often] = np.arange(len(often))
         self.table = np.zeros((len(often), self.n), np.float32)
-        at = expand(self.starts[often], df[often])
-        self.table[np.repeat(np.arange(len(often)), df[often]), docs[at]] = parts[at]
+        at = expand(own.starts[often], own.df[often])
+        self.table[np.repeat(np.arange(len(often)), own.df[often]), own.docs[at]] = own.parts[at]
         self.low = 1 / (1 + 1e-9 + 4 * (len(often) + 8) * 2.0**-24)
-        # The postings once more by document, in the order of the terms.
-        order = np.argsort(docs, kind="stable")
-        self.terms, self.by_doc = np.repeat(np.arange(len(df), dtype=np.int32), df)[order], parts[order]
-        self.first = np.searchsorted(docs[order], np.arange(self.n + 1))
-        self.asked = np.zeros(len(df), bool)
-
-    def added(self, numbers: np.ndarray) -> np.ndarray:
-        """The rounded scores of all postings of these terms, added up by document."""
-        runs = zip(self.starts[numbers].tolist(), self.starts[numbers + 1].tolist(), strict=True)
-        found = np.concatenate([self.near[:0], *[self.near[a:b] for a, b in runs]])
-        return np.bincount(found[:, 0].astype(np.intp), found[:, 1], self.n)
-
-    def exact(self, numbers: np.ndarray, docs: np.ndarray, most: int) -> np.ndarray:
-        """Scores of these documents: from their own postings, or, for very many of them, from those of all."""
-        if len(docs) > most:
-            count = self.starts[numbers + 1] - self.starts[numbers]
-            at = expand(self.starts[numbers], count)
-            return np.bincount(self.docs[at], self.parts[at], self.n)[docs]
-        begin, end = self.first[docs], self.first[docs + 1]
-        runs = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-        self.asked[numbers] = True
-        own = np.flatnonzero(self.asked[np.concatenate([self.terms[r] for r in runs])])
-        self.asked[numbers] = False
-        place = np.searchsorted(np.cumsum(end - begin), own, "right")
-        return np.bincount(place, np.concatenate([self.by_doc[r] for r in runs])[own], len(docs))
-
-    def best(self, asked: list[np.ndarray], bars: list[float], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(documents, scores) of the k best for each query's terms, best first, without those that score below its bar."""
-        factors, rows = np.zeros((len(asked), len(self.table)), np.float32), [self.row[numbers] for numbers in asked]
-        for i, row in enumerate(rows):
-            factors[i, row[row >= 0]] = 1
-        for numbers, row, bar, sums in zip(asked, rows, bars, factors @ self.table, strict=True):
-            sums = sums + self.added(numbers[row < 0])
-            if not bar and self.n > k:
-                bar = np.partition(sums, -k)[-k] * self.low
-            docs = np.flatnonzero(sums >= max(bar * self.low, LEAST))
-            if not len(docs):
-                yield docs, np.zeros(0)
-                continue
-            scores = self.exact(numbers, docs, AGAIN * k)
-            order = np.argsort(-scores, kind="stable")[:k]
-            order = order[scores[order] >= bar]
-            yield docs[order], scores[order]
+
+    def rounded(self, terms: np.ndarray, owner: np.ndarray, queries: int) -> np.ndarray:
+        """The rounded scores of all documents for some queries; ``owner`` numbers the query of each term, in ascending order."""
+        row = self.row[terms]
+        often = row >= 0
+        factors = np.zeros((queries, len(self.table)), np.float32)
+        factors[owner[often], row[often]] = 1
+        sums = factors @ self.table
+        others, owner = terms[~often], owner[~often]
+        first = np.searchsorted(owner, np.arange(queries + 1))
+        for a, b in steps(np.bincount(owner, self.own.df[others], queries), AT_ONCE):
+            data, ends = copied(self.of_term, others[first[a] : first[b]], PAIR)
+            for i in range(a, b):
+                run = data[ends[first[i] - first[a]] : ends[first[i + 1] - first[a]]]
+                if len(run):
+                    sums[i] += np.bincount(run["doc"], run["part"], self.n)
+        return sums
+
+    def exact(self, owner: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Scores of documents from their own postings, each for the query that ``owner`` numbers among those marked."""
+        begin, scores = self.first[docs], np.zeros(len(docs))
+        count, marks = self.first[docs + 1] - begin, (owner * len(self.own.df)).astype(np.int32)
+        for a, b in steps(count, AT_ONCE):
+            terms, ends = copied(self.of_doc, docs[a:b], np.int32)
+            hit = np.flatnonzero(self.asked[np.repeat(marks[a:b], count[a:b]) + terms])
+            pair = np.searchsorted(ends, hit, "right") - 1
+            at = self.order[hit + (begin[a:b] - ends[:-1])[pair]]
+            scores[a:b] = np.bincount(pair, self.own.parts[at], b - a)
+        return scores
+
+    def exact_by_term(self, terms: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """The same for very many documents of a query, from all postings of its terms."""
+        at = expand(self.own.starts[terms], self.own.df[terms])
+        return np.bincount(self.own.docs[at], self.own.parts[at], self.n)[docs]
+
+    def best(self, terms: np.ndarray, owner: np.ndarray, bars: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, documents, scores) of the k best for each query that finds any, best first, without those that score below its bar."""
+        sums, bars = self.rounded(terms, owner, len(bars)), bars.copy()
+        for i in np.flatnonzero(bars == 0) if self.n > k else ():
+            bars[i] = np.partition(sums[i], -k)[-k] * self.low
+        near = np.maximum((bars * self.low).astype(np.float32), LEAST)
+        query, docs = np.divmod(np.flatnonzero(sums >= near[:, None]), self.n)
+        many = np.bincount(query, minlength=len(bars)) > AGAIN * k
+        scores, few = np.zeros(len(docs)), ~many[query]
+        marks = owner * len(self.own.df) + terms
+        self.asked[marks] = True
+        scores[few] = self.exact(query[few], docs[few])
+        self.asked[marks] = False
+        for a, b in slices(changes(query)) if len(query) else ():
+            i = int(query[a])
+            if many[i]:
+                scores[a:b] = self.exact_by_term(terms[owner == i], docs[a:b])
+            order = a + np.argsort(-scores[a:b], kind="stable")[:k]
+            order = order[scores[order] >= bars[i]]
+            yield i, docs[order], scores[order]
 
 
 class Cursor:
@@ -216,7 +294,7 @@ def read_arrays(folder: str, path: str):
 
 
 END = 1 << 60
-LEAST = np.nextafter(0.0, 1.0)
+LEAST = np.finfo(np.float32).tiny
 BY_DOC, BY_RANK = attrgetter("doc"), attrgetter("rank")
 SLACK = 1 + 1e-9  # bounds are summed in another order than scores
 
@@ -355,16 +433,50 @@ def search(shards: DataFrame, queries: DataFrame, k: int = 10, terms: int | None
         chosen = chosen.withColumn("place", F.row_number().over(best)).where(F.col("place") <= terms)
     asked = stored(chosen.groupBy("query").agg(F.collect_set(F.struct("term", "idf")).alias("terms")), "queries")
     blocks, buckets = query_blocks(asked), partitions(queries.sparkSession)
-    pairs = size["shards"] * blocks.count()
-    group = min(GROUP, max(1, 2 * pairs // buckets))
-    number = F.pmod(F.xxhash64("shard"), F.lit(-(-size["shards"] // group) or 1))
-    grouped = shards.groupBy(number, "folder").agg(F.sort_array(F.collect_list("shard")).alias("shards"))
-    found = _searched(spread(grouped.select("shards", "folder").crossJoin(blocks)), k, mean_length, buckets)
+    listed = blocks.agg(F.count("*").alias("n"), (F.max("block_number") + 1).alias("end")).first()
+    group = min(GROUP, max(1, 2 * size["shards"] * listed["n"] // buckets))
+    groups = -(-size["shards"] // group) or 1
+    grouped = shard_groups(shards, groups)
+    bucket = (F.col("number") * (listed["end"] or 1) + F.col("block_number")).cast("int").alias("bucket")
+    pairs = grouped.crossJoin(blocks).select(bucket, "shards", "folder", "block", "block_folder")
+    found = _searched(dealt(pairs, groups * (listed["end"] or 1)), k, mean_length, buckets)
     return dealt(found, buckets).mapInArrow(released(best_of_shards(k)), "query bigint, rank int, doc_id bigint, score double")
 
 
+def shard_groups(shards: DataFrame, groups: int) -> DataFrame:
+    """(number, folder, shards): the paths of the shards of each group; groups hold as many shards and about as many documents.
+
+    The window is over the short list of files.
+    """
+    number = (F.row_number().over(Window.orderBy(F.desc("docs"), "shard")) - 1) % groups
+    return shards.withColumn("number", number).groupBy("number", "folder").agg(F.sort_array(F.collect_list("shard")).alias("shards"))
+
+
+def side_by_side(counts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """An order of queries by the nearest of a few centers, over the terms that most queries have, and by length.
+
+    Results do not depend on it. ``places`` are terms by number, ``counts`` those of each query.
+    """
+    often = np.bincount(places)
+    common = np.argsort(-often, kind="stable")[:FEATURES]
+    column = np.full(len(often), -1, np.int32)
+    column[common] = np.arange(len(common))
+    found, owner = column[places], np.repeat(np.arange(len(counts)), counts)
+    near = np.zeros((len(counts), len(common)), np.float32)
+    near[owner[found >= 0], found[found >= 0]] = 1
+    near /= np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1)
+    centers = near[:: max(1, len(near) // CENTERS)][:CENTERS].copy()
+    for _ in range(ROUNDS):
+        group = np.argmax(near @ centers.T, axis=1)
+        for c in range(len(centers)):
+            middle = near[group == c].sum(axis=0)
+            centers[c] = middle / max(np.linalg.norm(middle), 1e-9)
+    return np.lexsort((counts, group))
+
+
 def query_blocks(asked: DataFrame) -> DataFrame:
-    """The paths of files that each hold a block of the queries: names, number of terms, terms (ascending), idf."""
+    """(number, path) of files that each hold a block of the queries: names, number of terms, and the terms by their
+    places (ascending) in a list of the block's distinct terms with their idf."""
     spark = asked.sparkSession
     blocks = -(-(asked.agg(F.sum(F.size("terms"))).first()[0] or 1) // BLOCK_TERMS)
     folder = shared_folder(spark, "query-blocks")
@@ -385,17 +497,35 @@ def query_blocks(asked: DataFrame) -> DataFrame:
             system.create_dir(inner, recursive=True)
             path, temp = f"{inner}/block-{bucket:06d}.npz", f"{inner}/.{uuid.uuid4().hex}"
             packed = io.BytesIO()
+            counts = np.array([len(o[1]) for o in own], np.int64)
+            vocab, where, places = np.unique(concat([o[1] for o in own], np.uint64), return_index=True, return_inverse=True)
+            order = side_by_side(counts, places)
+            at = expand((np.cumsum(counts) - counts)[order], counts[order])
             np.savez(
-                packed, names=np.array([o[0] for o in own], np.int64), counts=np.array([len(o[1]) for o in own], np.int64),
-                terms=concat([o[1] for o in own], np.uint64), idf=concat([o[2] for o in own], np.float64),
+                packed, names=np.array([o[0] for o in own], np.int64)[order], counts=counts[order],
+                vocab=vocab, idf=concat([o[2] for o in own], np.float64)[where], places=places[at].astype(np.int32),
             )
             with system.open_output_stream(temp) as out:
                 out.write(packed.getbuffer())
             system.move(temp, path)
-            yield pa.RecordBatch.from_pydict({"block": [path]})
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([path])], names=["block_number", "block"])
 
     numbered = asked.select(F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("bucket"), "query", "terms")
-    return stored(dealt(numbered, blocks).mapInArrow(released(write), "block string"), "query-blocks-log").withColumn("block_folder", F.lit(folder))
+    written = dealt(numbered, blocks).mapInArrow(released(write), "block_number int, block string")
+    return stored(written, "query-blocks-log").withColumn("block_folder", F.lit(folder))
+
+
+class Asked:
+    """A block of queries: ``places`` of their terms in ``vocab``, ascending in each query, and the query of each by ``owner``."""
+
+    def __init__(self, names: np.ndarray, counts: np.ndarray, vocab: np.ndarray, idf: np.ndarray, places: np.ndarray):
+        self.names, self.vocab, self.idf, self.places = names, vocab, idf, places
+        self.owner = np.repeat(np.arange(len(names), dtype=np.int32), counts)
+
+    @classmethod
+    def read(cls, folder: str, path: str) -> Asked:
+        x = read_arrays(folder, path)
+        return cls(x["names"], x["counts"], x["vocab"], x["idf"], x["places"])
 
 
 BEST = pa.schema([("query", pa.int64()), ("rank", pa.int32()), ("doc_id", pa.int64()), ("score", pa.float64())])
@@ -419,28 +549,28 @@ def best_of_shards(k: int):
     return run
 
 
-def _found(shard: Shard, terms: np.ndarray, idf: np.ndarray, owner: np.ndarray, bars: np.ndarray, mean_length: float, k: int):
-    """(query, documents, scores) for the queries that find any; ``owner`` numbers the query of each term."""
-    numbers = shard.find(terms)
-    present = np.flatnonzero(numbers >= 0)
-    numbers, owner = numbers[present], owner[present]
-    every = np.zeros(len(shard.vocab))
-    every[numbers] = idf[present]
-    parts = shard.weights(mean_length) * np.repeat(every, np.diff(shard.starts.astype(np.int64)))
-    long: list[tuple[int, int, int]] = []
-    for a, b in slices(changes(owner)) if len(owner) else ():
-        if b - a > CURSORS:
-            long.append((int(owner[a]), a, b))
-        else:
-            found = top_documents([shard.cursor(int(n), parts) for n in numbers[a:b]], k)
-            yield int(owner[a]), np.array([d for _, d in found], np.int64), np.array([score for score, _ in found], np.float64)
-    sums = Sums(shard, parts) if long else None
-    for i in range(0, len(long), TOGETHER):
-        some = long[i : i + TOGETHER]
-        best = sums.best([numbers[a:b] for _, a, b in some], [float(bars[q]) for q, _, _ in some], k)
-        for (query, _, _), (docs, scores) in zip(some, best, strict=True):
-            if len(docs):
-                yield query, docs, scores
+def _found(shard: Shard, asked: Asked, bars: np.ndarray, mean_length: float, k: int):
+    """(query, documents, scores) for the queries that find any."""
+    own = Postings(shard, asked.vocab, asked.idf, mean_length)
+    terms = own.number[asked.places]
+    present = np.flatnonzero(terms >= 0)
+    terms, owner = terms[present], asked.owner[present]
+    count = np.bincount(owner, minlength=len(bars))
+    first = np.concatenate([[0], np.cumsum(count)])
+    for q in np.flatnonzero((count > 0) & (count <= CURSORS)).tolist():
+        found = top_documents([own.cursor(int(t)) for t in terms[first[q] : first[q + 1]]], k)
+        yield q, np.array([d for _, d in found], np.int64), np.array([score for score, _ in found], np.float64)
+    long = np.flatnonzero(count > CURSORS)
+    sums = Sums(own) if len(long) else None
+    for i in range(0, len(long), ALIKE):
+        alike = long[i : i + ALIKE]
+        sums.choose(terms[expand(first[alike], count[alike])], len(alike))
+        for j in range(0, len(alike), sums.together):
+            some = alike[j : j + sums.together]
+            at = expand(first[some], count[some])
+            for q, docs, scores in sums.best(terms[at], np.repeat(np.arange(len(some)), count[some]), bars[some], k):
+                if len(docs):
+                    yield int(some[q]), docs, scores
 
 
 def _searched(pairs: DataFrame, k: int, mean_length: float, buckets: int) -> DataFrame:
@@ -448,15 +578,14 @@ def _searched(pairs: DataFrame, k: int, mean_length: float, buckets: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]):
         for row in (row for batch in batches for row in batch.to_pylist()):
-            asked = read_arrays(row["block_folder"], row["block"])
-            names, terms, idf = asked["names"], asked["terms"], asked["idf"]
-            owner = np.repeat(np.arange(len(names), dtype=np.int32), asked["counts"])
+            asked = Asked.read(row["block_folder"], row["block"])
+            names = asked.names
             # The k best scores of each query so far; the least of them is its bar.
             top, which, found = np.zeros((len(names), k)), [], []
             for path in row["shards"]:
                 shard = Shard.read(row["folder"], path)
                 keys, known = np.array([key or 0 for key in shard.keys], np.int64), np.array([key is not None for key in shard.keys], np.bool_)
-                for query, docs, scores in _found(shard, terms, idf, owner, top[:, 0], mean_length, k):
+                for query, docs, scores in _found(shard, asked, top[:, 0], mean_length, k):
                     top[query] = np.sort(np.concatenate([top[query], scores]))[-k:]
                     which.append(np.full(len(docs), query))
                     found.append((keys[docs], known[docs], scores))
