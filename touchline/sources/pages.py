@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ from touchline.functions import (
     profile_id,
     profile_slug,
 )
-from touchline.sources.markup import Element, parse
+from touchline.sources.markup import Element, Forest, expand, parse
 
 # Marks of the pages that are read.
 ROW_CLASSES = ("odd", "even")
@@ -41,29 +42,63 @@ PROFILE_LABELS = {
     "agent": ["Player agent", "Agent"],
 }
 VALUE_POINTS_PATTERN = r"(?s)var\s+marketValueDevelopment\s*=\s*(\[.*?\])\s*;"
+PART_BYTES = 1 << 21
 IMAGE_ATTRS = ["data-src", "data-srcset", "srcset", "src"]
 
 
-def _rows(pages: DataFrame, keys: Sequence[str], fields: str, read: Callable[[str], list[tuple]]) -> DataFrame:
-    """Run ``read`` on every page; its tuples become rows next to the page's keys."""
+def _rows(
+    pages: DataFrame, keys: Sequence[str], fields: str, read: Callable[[str], list[tuple]],
+    read_regular: Callable[[Forest], tuple[np.ndarray, list[pa.Array]]] | None = None,
+) -> DataFrame:
+    """Run ``read`` on every page; its tuples become rows next to the page's keys.
+
+    ``read_regular`` gives the same rows for the regular pages of many at once, as page numbers and columns.
+    """
     row_type = T.StructType.fromDDL(fields)
     schema = T.StructType([pages.schema[k] for k in keys] + row_type.fields)
     maps = [isinstance(f.dataType, T.MapType) for f in row_type]
 
+    def one_by_one(found: list[list[tuple]], types: list[pa.DataType]) -> tuple[np.ndarray, list[pa.Array]]:
+        page = np.repeat(np.arange(len(found)), [len(rows) for rows in found])
+        cells = zip(*(row for rows in found for row in rows), strict=True) if len(page) else [()] * len(maps)
+        listed = ([c if c is None else list(c.items()) for c in column] if is_map else column for column, is_map in zip(cells, maps, strict=True))
+        return page, [pa.array(c, t) for c, t in zip(listed, types, strict=True)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
+        types = arrow.types[len(keys) :]
         for batch in batches:
-            found = [read(html) for html in batch.column(len(keys)).to_pylist()]
-            page = pa.array(np.repeat(np.arange(len(found)), [len(rows) for rows in found]))
-            given = [batch.column(i).take(page).cast(arrow.field(i).type) for i in range(len(keys))]
-            cells = zip(*(row for rows in found for row in rows), strict=True) if len(page) else [()] * len(maps)
-            listed = ([c if c is None else list(c.items()) for c in column] if is_map else column for column, is_map in zip(cells, maps, strict=True))
-            types = arrow.types[len(keys) :]
-            yield pa.RecordBatch.from_arrays([*given, *(pa.array(c, t) for c, t in zip(listed, types, strict=True))], schema=arrow)
+            for part in _parts(batch, len(keys)) if read_regular else [batch]:
+                html = part.column(len(keys))
+                if read_regular:
+                    forest = Forest(html)
+                    page, cells = read_regular(forest)
+                    others = np.flatnonzero(~forest.regular)
+                    if len(others):
+                        more, extra = one_by_one([read(h) for h in html.take(pa.array(others)).to_pylist()], types)
+                        page = np.concatenate([page, others[more]])
+                        cells = [pa.concat_arrays([c.cast(t), x]) for c, x, t in zip(cells, extra, types, strict=True)]
+                        order = pa.array(np.argsort(page, kind="stable"))
+                        page, cells = page[order], [c.take(order) for c in cells]
+                else:
+                    page, cells = one_by_one([read(h) for h in html.to_pylist()], types)
+                given = [part.column(i).take(pa.array(page)).cast(arrow.field(i).type) for i in range(len(keys))]
+                yield pa.RecordBatch.from_arrays([*given, *(c.cast(t) for c, t in zip(cells, types, strict=True))], schema=arrow)
 
     return pages.select(*keys, "html").mapInArrow(run, schema)
 
 
+def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``PART_BYTES`` of pages; a larger page is one of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        most = (ends[begin - 1] if begin else 0) + PART_BYTES
+        end = max(begin + 1, int(np.searchsorted(ends, most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _header(rows: list[list[Element]]) -> list[str]:
     """Column names of one or two header rows: 'Group_Name', or the name alone under an empty group."""
     levels = []
@@ -184,10 +219,34 @@ def _read_transfers(html: str) -> list[tuple]:
     return out
 
 
+def _read_regular_transfers(forest: Forest) -> tuple[np.ndarray, list[pa.Array]]:
+    """:func:`_read_transfers` of all regular pages."""
+    boxes, titles, tables = forest.all("div", ["box"]), forest.all("h2"), forest.all("table")
+    title, many = forest.below(titles, boxes)
+    table, more = forest.below(tables, boxes)
+    whole = (many > 0) & (more > 0)
+    titles, tables = titles[title[whole]], tables[table[whole]]
+    names = list(DIRECTIONS)
+    direction = pc.index_in(forest.texts(titles), pa.array(names, pa.large_string())).fill_null(-1).to_numpy()
+    known = direction >= 0
+    direction, tables = direction[known], tables[known]
+    rows = forest.all("tr", ROW_CLASSES)
+    first, count = forest.below(rows, tables)
+    direction, rows = np.repeat(direction, count), rows[expand(first, count)]
+    cells = forest.all("td")
+    first, count = forest.below(cells, rows)
+    long = count >= TRANSFER_CELLS
+    direction, rows, first = direction[long], rows[long], first[long]
+    named = pc.binary_length(forest.texts(cells[first + 3])).to_numpy() > 0
+    direction, rows, first = direction[named], rows[named], first[named]
+    ways = pa.array([DIRECTIONS[n] for n in names], pa.large_string()).take(pa.array(direction))
+    return forest.page[rows], [ways, *(forest.texts(cells[first + i]) for i in (3, 4, 5, 9, 11))]
+
+
 def extract_transfer_rows(pages: DataFrame, keys: Sequence[str], focal: str = DEFAULTS.focal_team) -> DataFrame:
     cells = _rows(
         pages, keys, "direction string, player string, position string, _age string, _club string, _fee string",
-        _read_transfers,
+        _read_transfers, _read_regular_transfers,
     )
     arriving = F.col("direction") == "in"
     fee = parse_fee(F.col("_fee"))
