@@ -52,6 +52,7 @@ TOGETHER = 128
 ASKED_ENTRIES = 1 << 24  # marks of asked terms, for all queries that go together
 CENTERS, FEATURES, ROUNDS = 8, 256, 4
 AT_ONCE = 1 << 20  # postings looked at in one step
+LEVELS = (1 << 16) - 2  # of rounded scores
 AGAIN = 8  # documents scored by their own postings, as a multiple of k; beyond, all are
 CURSORS = 4
 K1, B = 1.2, 0.75
@@ -146,9 +147,6 @@ class Postings:
         return Cursor(self.docs[a:b], self.parts[a:b])
 
 
-PAIR = np.dtype([("part", np.float32), ("doc", np.int32)])
-
-
 def steps(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """(begin, end) of runs of about ``most`` in all; one entry above it is a run of its own."""
     ends, a = np.cumsum(sizes), 0
@@ -176,15 +174,18 @@ def copied(runs: pa.Array, which: np.ndarray, kind) -> tuple[np.ndarray, np.ndar
 class Sums:
     """Scores of a shard's documents for queries of many terms.
 
-    Sums of all but the exact scores are rounded; all addends are positive, so ``low`` times a sum is no more than the
-    exact one, and the exact one times ``low`` no more than the sum.
+    Sums of all but the exact scores are rounded; all addends are positive, so the exact one times ``low`` is no more than
+    the sum. Scores of postings outside of the matrix are rounded up to multiples of ``unit``, so ``low`` times a sum, less a
+    unit for each of their terms, is no more than the exact one.
     """
 
     def __init__(self, own: Postings):
         self.own, self.n = own, own.n
         # Each term's documents and rounded scores side by side, and the terms of each document, in their order.
-        pairs = np.empty(len(own.docs), PAIR)
-        pairs["part"], pairs["doc"] = own.parts, own.docs
+        self.unit = float(own.parts.max(initial=0)) / LEVELS or 1.0
+        self.pair = np.dtype([("part", np.uint16), ("doc", np.uint16 if self.n <= 1 << 16 else np.uint32)])
+        pairs = np.empty(len(own.docs), self.pair)
+        pairs["part"], pairs["doc"] = np.ceil(own.parts / self.unit), own.docs
         self.of_term = runs_of(own.starts, pairs)
         self.order = np.argsort(own.docs, kind="stable").astype(np.int32)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(own.docs, minlength=self.n))])
@@ -207,8 +208,11 @@ class Sums:
         self.table[np.repeat(np.arange(len(often)), own.df[often]), own.docs[at]] = own.parts[at]
         self.low = 1 / (1 + 1e-9 + 4 * (len(often) + 8) * 2.0**-24)
 
-    def rounded(self, terms: np.ndarray, owner: np.ndarray, queries: int) -> np.ndarray:
-        """The rounded scores of all documents for some queries; ``owner`` numbers the query of each term, in ascending order."""
+    def rounded(self, terms: np.ndarray, owner: np.ndarray, queries: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rounded scores of all documents for some queries, and the most that each query's are rounded up.
+
+        ``owner`` numbers the query of each term, in ascending order.
+        """
         row = self.row[terms]
         often = row >= 0
         factors = np.zeros((queries, len(self.table)), np.float32)
@@ -217,12 +221,12 @@ class Sums:
         others, owner = terms[~often], owner[~often]
         first = np.searchsorted(owner, np.arange(queries + 1))
         for a, b in steps(np.bincount(owner, self.own.df[others], queries), AT_ONCE):
-            data, ends = copied(self.of_term, others[first[a] : first[b]], PAIR)
+            data, ends = copied(self.of_term, others[first[a] : first[b]], self.pair)
             for i in range(a, b):
                 run = data[ends[first[i] - first[a]] : ends[first[i + 1] - first[a]]]
                 if len(run):
-                    sums[i] += np.bincount(run["doc"], run["part"], self.n)
-        return sums
+                    sums[i] += np.bincount(run["doc"], run["part"], self.n) * self.unit
+        return sums, np.diff(first) * self.unit
 
     def exact(self, owner: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """Scores of documents from their own postings, each for the query that ``owner`` numbers among those marked."""
@@ -243,9 +247,9 @@ class Sums:
 
     def best(self, terms: np.ndarray, owner: np.ndarray, bars: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query, documents, scores) of the k best for each query that finds any, best first, without those that score below its bar."""
-        sums, bars = self.rounded(terms, owner, len(bars)), bars.copy()
+        (sums, over), bars = self.rounded(terms, owner, len(bars)), bars.copy()
         for i in np.flatnonzero(bars == 0) if self.n > k else ():
-            bars[i] = np.partition(sums[i], -k)[-k] * self.low
+            bars[i] = max(np.partition(sums[i], -k)[-k] * self.low - over[i], 0)
         near = np.maximum((bars * self.low).astype(np.float32), LEAST)
         query, docs = np.divmod(np.flatnonzero(sums >= near[:, None]), self.n)
         many = np.bincount(query, minlength=len(bars)) > AGAIN * k
